@@ -8,10 +8,14 @@ invoices it causes with one `explode` of at most eight codes.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.expressions import plus_days, plus_hours
+from tallymark.functions.ordering import new_path
+from tallymark.sources.loading import open_tables
 from tallymark.sources.schemas import SCHEMAS, ErpTables
 
 NORMAL, DUPLICATE, NEAR_DUPLICATE, MATCH, MAVERICK, AFTER_HOURS, ROUND, GHOST = range(8)
@@ -51,13 +55,23 @@ def _as(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[table].fields])
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give a source with fewer splits than cores one split per core. A source
+    with more splits, as any large one, passes unchanged and unshuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_suppliers = (
         spark.read.parquet(f"{sf_dir}/supplier.parquet").agg(F.count(F.lit(1)).alias("n")).scalar()
     )
     k = F.col("k")
+    source = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus"
+    )
     return (
-        spark.read.parquet(f"{sf_dir}/orders.parquet")
+        _spread(source)
         .select(
             F.col("o_orderkey").alias("k"),
             F.col("o_custkey").alias("cust"),
@@ -207,7 +221,11 @@ def goods_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _by_kind(kind: Column, choices: dict[int, Column], default: Column) -> Column:
-    return F.coalesce(*[F.when(kind == code, value) for code, value in choices.items()], default)
+    (code, value), *rest = choices.items()
+    chain = F.when(kind == code, value)
+    for code, value in rest:
+        chain = chain.when(kind == code, value)
+    return chain.otherwise(default)
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +241,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         ROUND: k % 149 == 6,
         GHOST: k % 269 == 7,
     }
-    kinds = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for code, cond in causes.items()]))
+    kinds = F.array(*[F.when(cond, F.lit(code)) for code, cond in causes.items()])
     landed = plus_days(F.col("day"), k % 43 + 8)
     weekday = F.weekday(landed)
     working_day = plus_days(landed, F.when(weekday >= 5, 7 - weekday).otherwise(0))
@@ -236,6 +254,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = (
         _orders(spark, sf_dir)
         .withColumn("kind", F.explode(kinds))
+        .filter(kind.isNotNull())
         .withColumn("usual", usual)
         .withColumn("ic", base_cents)
         .withColumn(
@@ -346,3 +365,20 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
         goods_receipts=goods_receipts(spark, sf_dir),
         invoices=invoices(spark, sf_dir),
     )
+
+
+_stored: dict[tuple[str, str], ErpTables] = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
+    """The six tables written once per application to the shared folder, so
+    that every later query prunes columns and pushes filters down to them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        root = new_path(spark, "erp")
+        views = erp_tables(spark, sf_dir).items()
+        with ThreadPoolExecutor(len(views)) as pool:  # independent jobs, one per table
+            list(pool.map(lambda item: item[1].write.parquet(f"{root}/{item[0]}"), views))
+        _stored[key] = open_tables(spark, root)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return _stored[key]
