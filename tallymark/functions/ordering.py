@@ -72,19 +72,18 @@ def running_totals(
     group: tuple[str, ...] = (),
     chunks: int | None = None,
 ) -> DataFrame:
-    """Add `before_<v>`: the sum of `v` over all earlier rows of the group."""
+    """Add `before_<v>`, the sum of `v` over all earlier rows of the group, and
+    `total_<v>`, its sum over the whole group."""
     group = list(group)
     laid = ordered_chunks(df, [*group, *order], chunks)
     per_chunk = laid.groupBy("chunk", *group).agg(*[F.sum(v).alias(f"_t_{v}") for v in values])
-    over_chunks = (
-        Window.partitionBy(*(group or [F.lit(0)]))
-        .orderBy("chunk")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    of_group = Window.partitionBy(*(group or [F.lit(0)]))
+    over_chunks = of_group.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(
         "chunk",
         *group,
         *[F.coalesce(F.sum(f"_t_{v}").over(over_chunks), F.lit(0)).alias(f"_o_{v}") for v in values],
+        *[F.sum(f"_t_{v}").over(of_group).alias(f"total_{v}") for v in values],
     )
     inside = (
         Window.partitionBy("chunk", *group)
@@ -100,13 +99,14 @@ def running_totals(
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
         *[(F.col(f"l._l_{v}") + F.col(f"o._o_{v}")).alias(f"before_{v}") for v in values],
+        *[F.col(f"o.total_{v}") for v in values],
     )
 
 
 def global_rank(df: DataFrame, order: list, name: str, chunks: int | None = None) -> DataFrame:
     """Add 1..n along a total order."""
     counted = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"], (), chunks)
-    return counted.withColumn(name, F.col("before__one") + 1).drop("_one", "before__one")
+    return counted.withColumn(name, F.col("before__one") + 1).drop("_one", "before__one", "total__one")
 
 
 def previous_row(

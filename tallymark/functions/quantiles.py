@@ -7,8 +7,6 @@ value order and the wanted positions are read off running totals.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +28,7 @@ def exact_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     run = running_totals(counts, [value], ["_n"], tuple(group), chunks)
-    upto = run.withColumn("_upto", F.col("before__n") + F.col("_n"))
-    sizes = upto.groupBy(*group).agg(F.max("_upto").alias("n"))
-    if group:
-        placed = upto.join(sizes, group)
-    else:
-        placed = upto.withColumn("n", sizes.scalar())
+    placed = run.withColumn("_upto", F.col("before__n") + F.col("_n")).withColumnRenamed("total__n", "n")
     aggs: list[Column] = []
     for name, p in probs.items():
         pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
@@ -60,25 +53,23 @@ def bin_index(value: Column, low: Column, high: Column, bins: int) -> Column:
     return F.least(F.coalesce(raw, F.lit(0)), F.lit(bins - 1))
 
 
-def histogram(df: DataFrame, value: str, bins: int, group: tuple[str, ...] = ()) -> DataFrame:
-    """Counts per equal-width bin over the observed range of each group."""
-    group = list(group)
-    ranges = df.groupBy(*group).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    if group:
-        spread = df.join(ranges, group)
-    else:
-        box = ranges.select(F.struct("_lo", "_hi").alias("_box")).scalar()
-        spread = df.withColumn("_lo", box["_lo"]).withColumn("_hi", box["_hi"])
-    binned = spread.withColumn(
-        "bin", bin_index(F.col(value), F.col("_lo"), F.col("_hi"), bins)
-    )
-    return binned.groupBy(*group, "bin").agg(F.count(F.lit(1)).alias("n"))
-
+def per_label(stats: DataFrame, label: str, cols: list[str]) -> Column:
+    """A table with one row per label value as a scalar map label -> struct.
 
-def histogram_fixed(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
-    binned = df.withColumn("bin", bin_index(F.col(value), F.lit(low), F.lit(high), bins))
-    return binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    For label columns only (a handful of values): a join on such a key would
+    send most of the data to one partition.
+    """
+    entry = F.struct(F.col(label), F.struct(*cols))
+    return stats.agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
 
 
-def ceil_log2(n: int) -> int:
-    return max(1, math.ceil(math.log2(max(n, 2))))
+def histogram(df: DataFrame, value: str, bins: int, label: str | None = None) -> DataFrame:
+    """Counts per equal-width bin over the observed range (of each label)."""
+    by = [label] if label else []
+    ranges = df.groupBy(*by).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
+    if label:
+        box = per_label(ranges, label, ["lo", "hi"])[F.col(label)]
+    else:
+        box = ranges.select(F.struct("lo", "hi").alias("box")).scalar()
+    binned = df.withColumn("bin", bin_index(F.col(value), box["lo"], box["hi"], bins))
+    return binned.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))

@@ -64,13 +64,12 @@ def add_features(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     cc_budget = F.col("cc_budget").cast("double")
     std = F.when(F.col("vendor_std") == 0, F.lit(1.0)).otherwise(F.col("vendor_std"))
     digit = first_digit(F.col("invoice_amount"))
+    age = days_floor(F.col("invoice_date"), F.col("vendor_creation_date"))
     exprs = {
         "feat_amount_zscore": F.try_divide(amount - F.col("vendor_mean"), std),
         "feat_invoice_to_po_ratio": F.when(po_value > 0, amount / po_value).otherwise(1.5),
-        "feat_vendor_age_days": F.coalesce(
-            F.greatest(days_floor(F.col("invoice_date"), F.col("vendor_creation_date")), F.lit(0)),
-            F.lit(365),
-        ),
+        # greatest skips NULLs, so an unknown age is replaced before clipping
+        "feat_vendor_age_days": F.greatest(F.coalesce(age, F.lit(365)), F.lit(0)),
         "feat_days_to_payment": F.least(
             F.greatest(
                 F.coalesce(days_floor(F.col("payment_date"), F.col("invoice_date")), F.lit(90)), F.lit(0)
@@ -86,11 +85,6 @@ def add_features(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
         "feat_round_number": is_round(F.col("invoice_amount"), cfg).cast("int"),
         "feat_benford_dev": F.abs(F.lit(1.0) / F.lit(9.0) - benford_share(digit)),
     }
-    # greatest/least skip NULLs, so an unknown age must stay NULL before clipping
-    age = days_floor(F.col("invoice_date"), F.col("vendor_creation_date"))
-    exprs["feat_vendor_age_days"] = F.when(age.isNull(), F.lit(365)).otherwise(
-        F.greatest(age, F.lit(0))
-    )
     return df.select(
         "*", *[finite_or_zero(exprs[f].cast("double")).alias(f) for f in FEATURES]
     ).drop("vendor_mean", "vendor_std", "month_count")

@@ -49,16 +49,11 @@ def roc_points(
 ) -> DataFrame:
     """False and true positive rate at every distinct score, highest first."""
     run = _ranked(df, label, score, by, chunks)
-    totals = F.struct(F.max("upto_pos").alias("p"), F.max("upto_neg").alias("n")).alias("tot")
-    if by:
-        placed = run.join(run.groupBy(*by).agg(totals), list(by))
-    else:
-        placed = run.withColumn("tot", run.agg(totals).scalar())
-    return placed.select(
+    return run.select(
         *by,
         F.col("score").alias("threshold"),
-        F.try_divide(F.col("upto_neg").cast("double"), F.col("tot.n").cast("double")).alias("fpr"),
-        F.try_divide(F.col("upto_pos").cast("double"), F.col("tot.p").cast("double")).alias("tpr"),
+        F.try_divide(F.col("upto_neg").cast("double"), F.col("total_neg").cast("double")).alias("fpr"),
+        F.try_divide(F.col("upto_pos").cast("double"), F.col("total_pos").cast("double")).alias("tpr"),
     )
 
 
