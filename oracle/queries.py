@@ -4,6 +4,7 @@ plain self-joins, windows and quantile functions over the same views."""
 from __future__ import annotations
 
 from oracle.views import q
+from tallymark.operators.risk import TIER_ACTION, TIER_MEANING
 
 
 def _days(later: str, earlier: str) -> str:
@@ -349,6 +350,14 @@ ORACLE["k1_attach_rules"] = _risk("SELECT invoice_number, rule_triggered, rule_r
 ORACLE["k2_to_k6_scores"] = _risk(
     "SELECT invoice_number, round(ml_component, 6) AS ml_component, rule_component, round(value_component, 6) AS value_component, composite_risk_score, risk_tier FROM risk"
 )
+ORACLE["k7_tier_text"] = _risk(
+    "SELECT invoice_number, "
+    + ", ".join(
+        "CASE risk_tier " + " ".join(f"WHEN '{t}' THEN '" + text.replace("'", "''") + "'" for t, text in texts.items()) + f" END AS {name}"
+        for name, texts in (("tier_definition", TIER_MEANING), ("tier_recommended_action", TIER_ACTION))
+    )
+    + " FROM risk"
+)
 ORACLE["k8_tier_distribution"] = _risk("""
 SELECT CAST(o AS BIGINT) AS tier_order, t AS risk_tier, count(invoice_number) AS n,
        round(count(invoice_number) * CAST(100 AS DOUBLE) / (SELECT count(*) FROM risk), 6) AS pct

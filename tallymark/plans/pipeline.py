@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin
+from tallymark.operators import autoencoder, ensemble, explain, isolation
 from tallymark.operators import features as feat
 from tallymark.operators import risk as rk
 from tallymark.operators import rules
@@ -71,6 +72,59 @@ class Audit:
     def zscore_risk(self) -> DataFrame:
         return pin(rk.risk_frame(self.zscore_scored, self.report, self.cfg), "risk-z")
 
+    # models
+    @cached_property
+    def scaled(self) -> DataFrame:
+        return pin(feat.scale(self.features, self.scaler), "scaled")
+
+    @cached_property
+    def forest_nodes(self) -> DataFrame:
+        return pin(isolation.fit_forest(self.scaled, cfg=self.cfg), "forest")
+
+    @cached_property
+    def forest(self) -> isolation.Forest:
+        return isolation.load_forest(self.forest_nodes, self.cfg)
+
+    # rows the autoencoder learns from; the label serves as the clean-data filter
+    train_filter = "anomaly_flag = 0"
+
+    @cached_property
+    def autoencoder(self) -> autoencoder.Fitted:
+        return autoencoder.fit(self.scaled.filter(self.train_filter), cfg=self.cfg)
+
+    @cached_property
+    def scored(self) -> DataFrame:
+        """Invoices with features, both model scores and the ensemble."""
+        return pin(
+            ensemble.score_models(
+                self.scaled, self.forest, self.autoencoder.weights, self.train_filter, self.cfg
+            ),
+            "scored",
+        )
+
+    @cached_property
+    def risk(self) -> DataFrame:
+        return pin(rk.risk_frame(self.scored, self.report, self.cfg), "risk")
+
+    # explanations
+    @cached_property
+    def explained_sample(self) -> DataFrame:
+        return pin(
+            explain.add_contributions(explain.sample(self.scaled, cfg=self.cfg), self.forest), "sample"
+        )
+
+    @cached_property
+    def explained_cases(self) -> DataFrame:
+        """Critical and High cases with contributions and a sentence."""
+        cases = explain.add_contributions(explain.priority_cases(self.risk), self.forest)
+        return pin(explain.add_sentence(cases), "cases")
+
+    @cached_property
+    def explained_top(self) -> DataFrame:
+        """The five highest cases, whatever their tier."""
+        cases = explain.add_contributions(explain.top_cases(self.risk, 5), self.forest)
+        return pin(explain.add_sentence(cases), "top")
+
 
 _audits: dict[tuple[str, str], Audit] = {}
 

@@ -10,7 +10,17 @@ from pyspark.sql import types as T
 
 from tallymark.config import FEATURES
 from tallymark.functions.ordering import new_path
-from tallymark.operators import controls, explore, metrics, quality, rules
+from tallymark.operators import (
+    autoencoder,
+    controls,
+    ensemble,
+    explain,
+    explore,
+    isolation,
+    metrics,
+    quality,
+    rules,
+)
 from tallymark.operators import features as feat
 from tallymark.operators import near_duplicates as nd
 from tallymark.operators import risk as rk
@@ -281,6 +291,47 @@ QUALITY: dict[str, Query] = {
     "v13_flag_consistency": lambda a: quality.flag_consistency(a.inv),
 }
 
+MODELS: dict[str, Query] = {
+    "m1_forest_nodes": lambda a: a.forest_nodes,
+    "m2_anomaly_score": lambda a: isolation.add_score(a.scaled, a.forest).select("invoice_number", "iso_score"),
+    "m3_contamination_cut": lambda a: a.scored.select("invoice_number", "iso_score", "iso_prediction"),
+    "m4_permutation_importance": lambda a: isolation.permutation_importance(
+        a.scaled, a.forest, "anomaly_flag"
+    ),
+    "m5_training_history": lambda a: autoencoder.history_frame(a.scaled, a.autoencoder),
+    "m6_reconstruction_error": lambda a: autoencoder.add_error(a.scaled, a.autoencoder.weights).select(
+        "invoice_number", "ae_score"
+    ),
+    "m7_error_cut": lambda a: a.scored.select("invoice_number", "ae_score", "ae_prediction"),
+    "m12_ensemble": lambda a: a.scored.select(
+        "invoice_number", "iso_score", "ae_score", "ensemble_score", "ensemble_prediction"
+    ),
+    "m14_model_comparison": lambda a: metrics.compare_models(a.scored, "anomaly_flag", ensemble.MODELS),
+    "m14_model_roc_points": lambda a: metrics.roc_points(
+        metrics.long_scores(a.scored, "anomaly_flag", ensemble.MODELS), "label", "score", ("model",)
+    ),
+    "k2_model_risk": lambda a: a.risk.select(
+        "invoice_number", "ml_component", "rule_component", "value_component",
+        "composite_risk_score", "risk_tier",
+    ),
+    "k13_model_export": lambda a: rk.master_export(a.risk, a.po),
+    "x1_contributions": lambda a: explain.long_contributions(a.explained_cases),
+    "x2_seeded_sample": lambda a: explain.sample(a.features).select("invoice_number", *FEATURES),
+    "x3_global_importance": lambda a: explain.importance(a.explained_sample),
+    "x4_top_case": lambda a: explain.long_contributions(
+        explain.top_cases(a.explained_top, 1), "composite_risk_score"
+    ).orderBy(F.desc(F.abs("contribution")), "feature"),
+    "x5_sentences": lambda a: a.explained_cases.select("invoice_number", "shap_explanation"),
+    "x6_top_cases": lambda a: a.explained_top.select(
+        "invoice_number", F.col("composite_risk_score").alias("risk_score"), "shap_explanation"
+    ),
+    "x7_priority_cases": lambda a: a.explained_cases.select(
+        "invoice_number", "vendor_id", "invoice_amount", "composite_risk_score", "risk_tier",
+        "rule_triggered", "full_explanation", "shap_explanation",
+    ),
+}
+
 ALL: dict[str, Query] = {
     **SOURCES, **CONTROLS, **RULES, **FEATURE_QUERIES, **METRICS, **RISK, **EXPLORE, **QUALITY,
+    **MODELS,
 }
