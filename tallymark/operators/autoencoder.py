@@ -25,7 +25,7 @@ from tallymark.operators.isolation import feature_cols, hash_unit
 SIZES = (10, 16, 8, 3, 8, 16, 10)
 DROPOUT, RATE, BATCH = 0.1, 1e-3, 64
 EPOCHS, PATIENCE, VALIDATION = 50, 5, 0.15
-ROWS_PER_WORKER = 20_000
+ROWS_PER_WORKER, MOST_WORKERS = 20_000, 4096
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-7
 
 SHAPES = [((a, b), (b,)) for a, b in zip(SIZES, SIZES[1:])]
@@ -157,7 +157,7 @@ def fit(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAU
         F.xxhash64(F.col(key), F.lit(seed)).alias("h"),
         (hash_unit(F.col(key), F.lit(seed + 1)) < VALIDATION).alias("held"),
     )
-    workers = max(1, -(-rows.count() // ROWS_PER_WORKER))
+    workers = min(max(1, -(-rows.count() // ROWS_PER_WORKER)), MOST_WORKERS)
     data = pin(rows.repartition(workers, "h").sortWithinPartitions("h"), "ae-train")
     state = np.concatenate([initial_weights(seed), np.zeros(2 * N_WEIGHTS)])
     best, best_loss, best_epoch = state, np.inf, 0

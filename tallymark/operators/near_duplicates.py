@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.expressions import MICROS_PER_DAY, micros
+from tallymark.functions.ordering import pin
 
 CELL = ["vendor_id", "ref", "cents", "slot"]
 ZONE = ["vendor_id", "slot", "band"]
@@ -72,11 +73,15 @@ def _close(earlier: Column, later: Column, cfg: AuditConfig) -> Column:
     return (later != earlier) & (gap <= F.lit(cfg.dup_amount_tolerance) * earlier.cast("decimal(20,0)"))
 
 
-def _cell_pairs(later: DataFrame, earlier: DataFrame, cfg: AuditConfig) -> DataFrame:
+def _cell_pairs(
+    later: DataFrame, earlier: DataFrame, cfg: AuditConfig, crowded: DataFrame | None = None
+) -> DataFrame:
     """Matching cells: `j_*` the later posting, `i_*` the earlier one.
 
     Only the later side is copied to its six neighbouring zones, so a pair of
-    cells meets exactly once.
+    cells meets exactly once. With `crowded` (zone, n), the work of a large
+    zone is dealt to several tasks: its earlier cells are copied to each, its
+    later cells go to one of them.
     """
     asks = (
         later.select(*[F.col(c).alias(f"j_{c}") for c in [*CELL, "band"]])
@@ -87,9 +92,25 @@ def _cell_pairs(later: DataFrame, earlier: DataFrame, cfg: AuditConfig) -> DataF
         .drop("_side", "j_band")
     )
     has = earlier.select(*[F.col(c).alias(f"i_{c}") for c in [*CELL, "band", "first", "last"]])
+    if crowded is None:
+        asks, has = asks.withColumn("j_salt", F.lit(0)), has.withColumn("i_salt", F.lit(0))
+    else:
+        salts = F.ceil(F.col("n") / F.lit(float(max(cfg.hot_cell, 1)))).cast("int")
+        deal = crowded.select(*ZONE, salts.alias("_salts"))
+        asks = asks.join(
+            deal.toDF("j_vendor_id", "z_slot", "z_band", "_salts"), ["j_vendor_id", "z_slot", "z_band"], "left"
+        ).withColumn(
+            "j_salt", F.pmod(F.xxhash64("j_ref", "j_cents"), F.coalesce("_salts", F.lit(1))).cast("int")
+        ).drop("_salts")
+        has = has.join(
+            deal.toDF("i_vendor_id", "i_slot", "i_band", "_salts"), ["i_vendor_id", "i_slot", "i_band"], "left"
+        ).withColumn(
+            "i_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+        ).drop("_salts")
     return asks.join(
         has,
-        (F.col("j_vendor_id") == F.col("i_vendor_id"))
+        (F.col("j_salt") == F.col("i_salt"))
+        & (F.col("j_vendor_id") == F.col("i_vendor_id"))
         & (F.col("z_slot") == F.col("i_slot"))
         & (F.col("z_band") == F.col("i_band"))
         & (F.col("j_ref") != F.col("i_ref"))
@@ -100,8 +121,8 @@ def _cell_pairs(later: DataFrame, earlier: DataFrame, cfg: AuditConfig) -> DataF
 def near_duplicate_pairs(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     """Every pair: invoice_number (the later), matched_invoice, amounts, days."""
     rows = _rows(invoices, cfg)
-    cells = _cells(rows, cfg)
-    met = _cell_pairs(cells, cells, cfg).select(
+    cells = pin(_cells(rows, cfg), "cells")
+    met = _cell_pairs(cells, cells, cfg, _crowded_zones(cells, cfg)).select(
         *[f"j_{c}" for c in CELL], *[f"i_{c}" for c in CELL]
     )
     side_i = rows.select(*[F.col(c).alias(f"i_{c}") for c in [*CELL, "t", "num"]])
@@ -142,11 +163,15 @@ def _best(matches: DataFrame) -> DataFrame:
 # --- dense zones ------------------------------------------------------------
 
 
+def _crowded_zones(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
+    return cells.groupBy(*ZONE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cfg.hot_cell)
+
+
 def _dense_zones(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Zones of later cells that would meet a crowded zone."""
-    crowded = cells.groupBy(*ZONE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cfg.hot_cell)
     return (
-        crowded.withColumn("slot", F.explode(F.array("slot", F.col("slot") + 1)))
+        _crowded_zones(cells, cfg)
+        .withColumn("slot", F.explode(F.array("slot", F.col("slot") + 1)))
         .withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
         .select(*ZONE)
         .distinct()
@@ -238,15 +263,18 @@ def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFram
     """One row per flagged invoice with one partner: the earliest match in the
     invoice's own 31-day slot, else the latest one of the slot before."""
     rows = _rows(invoices, cfg)
-    cells = _cells(rows, cfg)
-    dense = _dense_zones(cells, cfg)
-    marked = cells.join(dense.withColumn("_dense", F.lit(True)), ZONE, "left")
-    sparse = marked.filter(F.col("_dense").isNull())
-    crowded = marked.filter(F.col("_dense"))
-    near_crowd = cells.join(_touched_zones(dense), ZONE, "left_semi")
-    found = _best(_cell_pairs(sparse, cells, cfg)).unionByName(
-        _dense_matches(crowded, near_crowd, cfg)
-    )
+    cells = pin(_cells(rows, cfg), "cells")  # read up to five times below
+    dense = pin(_dense_zones(cells, cfg), "dense-zones")
+    if dense.isEmpty():
+        found = _best(_cell_pairs(cells, cells, cfg))
+    else:
+        marked = cells.join(dense.withColumn("_dense", F.lit(True)), ZONE, "left")
+        sparse = marked.filter(F.col("_dense").isNull())
+        crowded = marked.filter(F.col("_dense"))
+        near_crowd = cells.join(_touched_zones(dense), ZONE, "left_semi")
+        found = _best(_cell_pairs(sparse, cells, cfg)).unionByName(
+            _dense_matches(crowded, near_crowd, cfg)
+        )
     placed = rows.select(*[F.col(c).alias(f"j_{c}") for c in CELL], "t", "num").join(
         found, [f"j_{c}" for c in CELL]
     )

@@ -58,17 +58,22 @@ def _lookup(values: dict[str, str], key: Column) -> Column:
     return F.element_at(F.create_map(*pairs), key)
 
 
-def add_scores(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+def add_scores(
+    df: DataFrame, cfg: AuditConfig = DEFAULT, ranges_from: DataFrame | None = None
+) -> DataFrame:
     """Components, composite score (half-even to one digit), tier and tier text.
 
     `df` needs ensemble_score, rule_risk_score and invoice_amount. The ranges
-    for the two min-max components are scalar subqueries over `df`.
+    for the two min-max components are scalar subqueries over `ranges_from`,
+    the same rows before any join (default: `df`).
     """
-    amounts = df.withColumn("log_amount", F.log1p(F.greatest(money(F.col("invoice_amount")), F.lit(0.0))))
+    log_amount = F.log1p(F.greatest(money(F.col("invoice_amount")), F.lit(0.0)))
+    base = (df if ranges_from is None else ranges_from).withColumn("log_amount", log_amount)
     out = (
-        amounts.withColumn("ml_component", minmax(df, "ensemble_score", 100.0))
+        df.withColumn("log_amount", log_amount)
+        .withColumn("ml_component", minmax(base, "ensemble_score", 100.0))
         .withColumn("rule_component", F.col("rule_risk_score").cast("double") * 10)
-        .withColumn("value_component", minmax(amounts, "log_amount", 100.0))
+        .withColumn("value_component", minmax(base, "log_amount", 100.0))
     )
     total = (
         F.lit(cfg.weight_ml) * F.col("ml_component")
@@ -105,7 +110,7 @@ def add_explanation(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
 
 def risk_frame(scored: DataFrame, report: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     """Scored invoices + exceptions report -> scores, tiers and explanation."""
-    return add_explanation(add_scores(attach_rules(scored, report), cfg), cfg)
+    return add_explanation(add_scores(attach_rules(scored, report), cfg, scored), cfg)
 
 
 def _is_priority() -> Column:

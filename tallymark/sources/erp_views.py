@@ -9,6 +9,7 @@ invoices it causes with one `explode` of at most eight codes.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def _code(prefix: str, value: Column, width: int = 0) -> Column:
 
 
 def _cents(value: Column) -> Column:
-    return (value.cast("decimal(20,2)") / F.lit(100)).cast("decimal(15,2)")
+    return (value.cast("decimal(15,0)") * F.lit(Decimal("0.01"))).cast("decimal(15,2)")
 
 
 def _per_mille(value: Column, factor: Column) -> Column:

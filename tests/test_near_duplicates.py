@@ -62,7 +62,7 @@ def test_matches_brute_force(spark, hot_cell):
     got = keys(flagged, "invoice_number", "matched_invoice")
     assert {j for j, _ in got} == {j for j, _ in expected}
     assert got <= expected
-    if hot_cell == 2000:
+    if hot_cell:  # also with crowded zones dealt to several tasks
         assert keys(nd.near_duplicate_pairs(inv, cfg), "invoice_number", "matched_invoice") == expected
 
 
