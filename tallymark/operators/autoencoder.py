@@ -25,7 +25,7 @@ from tallymark.operators.isolation import feature_cols, hash_unit
 SIZES = (10, 16, 8, 3, 8, 16, 10)
 DROPOUT, RATE, BATCH = 0.1, 1e-3, 64
 EPOCHS, PATIENCE, VALIDATION = 50, 5, 0.15
-ROWS_PER_WORKER, MOST_WORKERS = 20_000, 4096
+ROWS_PER_WORKER, MOST_WORKERS = 10_000, 4096
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-7
 
 SHAPES = [((a, b), (b,)) for a, b in zip(SIZES, SIZES[1:])]

@@ -18,6 +18,7 @@ from tallymark.operators import autoencoder, ensemble, explain, isolation
 from tallymark.operators import features as feat
 from tallymark.operators import risk as rk
 from tallymark.operators import rules
+from tallymark.plans.shipping import ship_package
 from tallymark.sources.erp_views import stored_tables
 from tallymark.sources.schemas import ErpTables
 
@@ -25,6 +26,7 @@ from tallymark.sources.schemas import ErpTables
 class Audit:
     def __init__(self, spark: SparkSession, tables: ErpTables, cfg: AuditConfig = DEFAULT):
         self.spark, self.tables, self.cfg = spark, tables, cfg
+        ship_package(spark)
 
     # tables by short name
     @property
