@@ -4,7 +4,9 @@ plain self-joins, windows and quantile functions over the same views."""
 from __future__ import annotations
 
 from oracle.views import q
+from tallymark.config import RULE_NAMES
 from tallymark.operators.risk import TIER_ACTION, TIER_MEANING
+from tallymark.operators.rules import ACTIONS
 
 
 def _days(later: str, earlier: str) -> str:
@@ -654,3 +656,81 @@ SELECT count(*) FILTER (WHERE anomaly_flag = 1) AS anomalous, count(*) FILTER (W
        count(*) FILTER (WHERE anomaly_flag = 1 AND n = 0) AS no_flag, count(*) FILTER (WHERE anomaly_flag = 1 AND n > 1) AS several_flags,
        count(*) FILTER (WHERE anomaly_flag = 0 AND n > 0) AS normal_with_flag
 FROM (SELECT anomaly_flag, {_SUBS} AS n FROM invoices)""")
+
+# --- explanations -----------------------------------------------------------
+
+
+def _w(amount: str) -> str:
+    """Whole units with thousands separators, half-even."""
+    return f"'₹' || format('{{:,}}', CAST(round_even(CAST({amount} AS DOUBLE), 0) AS BIGINT))"
+
+
+def _f(x: str, digits: int = 1) -> str:
+    return f"format('{{:.{digits}f}}', {x})"
+
+
+TEXTS = f"""texts AS (
+  SELECT invoice_number, 1 AS rule_no, 'Invoice ' || invoice_number || ' of vendor ' || vendor_id || ' for ' || {_w('invoice_amount')}
+         || ' repeats ' || pn || ', posted ' || {_days('invoice_date', 'pd')} || ' days earlier under the same vendor reference.' AS explanation
+  FROM (SELECT *, lag(invoice_date) OVER w AS pd, lag(invoice_number) OVER w AS pn FROM invoices
+        WINDOW w AS (PARTITION BY vendor_id, vendor_invoice_number ORDER BY invoice_date, invoice_number)) WHERE pn IS NOT NULL
+  UNION ALL
+  SELECT invoice_number, 2, 'Invoice ' || invoice_number || ' (' || {_w('invoice_amount')} || ') differs by '
+         || {_f('abs(CAST(CAST(invoice_amount * 100 AS BIGINT) - CAST(matched_amount * 100 AS BIGINT) AS DOUBLE) / 100) * 100 / matched_amount')}
+         || '% from ' || matched_invoice || ' (' || {_w('matched_amount')} || ') of the same vendor, ' || days_apart
+         || ' days apart; a small change can hide a duplicate.' FROM near
+  UNION ALL
+  SELECT p.po_number, 3, 'Order ' || p.po_number || ' to vendor ' || p.vendor_id || ' for ' || {_w('p.total_po_value')} || ' is one of ' || g.n
+         || ' orders within 30 days, each below ₹100,000, together ' || {_w('CAST(g.total AS DOUBLE) / 100')} || '.'
+  FROM purchase_orders p JOIN (
+    SELECT a.vendor_id, a.po_date AS w, count(DISTINCT b.po_number) AS n, sum(b.po_cents) AS total
+    FROM (SELECT DISTINCT vendor_id, po_date FROM purchase_orders WHERE po_cents < 10000000) a
+    JOIN purchase_orders b ON a.vendor_id = b.vendor_id AND b.po_date >= a.po_date AND b.po_date <= a.po_date + INTERVAL '30' DAY
+    WHERE b.po_cents < 10000000 GROUP BY a.vendor_id, a.po_date HAVING count(*) >= 2 AND sum(b.po_cents) > 10000000
+    QUALIFY row_number() OVER (PARTITION BY a.vendor_id ORDER BY a.po_date) = 1) g ON g.vendor_id = p.vendor_id
+  UNION ALL
+  SELECT invoice_number, 4, 'Invoice ' || invoice_number || ' for ' || {_w('invoice_amount')} || ' is '
+         || {_f('CAST(abs(i.invoice_amount - total_po_value) AS DOUBLE) * 100 / CAST(total_po_value AS DOUBLE)')} || '% '
+         || CASE WHEN cents > po_cents THEN 'OVER' ELSE 'UNDER' END || ' the order value ' || {_w('total_po_value')} || ', beyond the 5% tolerance.'
+  FROM invoices i JOIN purchase_orders p ON i.po_number = p.po_number
+  UNION ALL
+  SELECT invoice_number, 5, 'Invoice ' || invoice_number || ' for ' || {_w('invoice_amount')} || ' of vendor ' || vendor_id || ' refers to no purchase order.'
+  FROM invoices
+  UNION ALL
+  SELECT invoice_number, 6, 'Invoice ' || invoice_number || ' for ' || {_w('invoice_amount')} || ' was posted '
+         || CASE isodow(invoice_date) WHEN 6 THEN 'on a Saturday' WHEN 7 THEN 'on a Sunday'
+            ELSE 'at ' || strftime(invoice_date, '%H') || CASE WHEN hour(invoice_date) < 8 THEN ':00 (before business hours)' ELSE ':00 (after business hours)' END END
+         || '; business hours are 08:00-19:00 on weekdays.' FROM invoices
+  UNION ALL
+  SELECT {_BUDGET_KEY}, 7, 'Cost centre ' || cost_centre || ' (' || department || ') spent ' || {_w('actual_spend')} || ' of ' || {_w('approved_budget')}
+         || ' in ' || budget_period || ', over by ' || {_w('actual_spend - approved_budget')} || ' ('
+         || {_f('CAST(actual_spend - approved_budget AS DOUBLE) * 100 / CAST(approved_budget AS DOUBLE)')} || '%).' FROM budget
+  UNION ALL
+  SELECT invoice_number, 8, 'Invoice ' || invoice_number || ' has the round amount ' || {_w('invoice_amount')} || '; real deliveries seldom come to full thousands.' FROM invoices
+  UNION ALL
+  SELECT invoice_number, 9, 'Invoice ' || invoice_number || ' for ' || {_w('invoice_amount')} || ' of vendor ' || i.vendor_id || ' came '
+         || {_days('invoice_date', 'vendor_creation_date')} || ' days after the vendor was created'
+         || CASE WHEN is_ghost_vendor THEN ' (POTENTIAL GHOST VENDOR)' ELSE '' END || '.'
+  FROM invoices i JOIN vendors v ON i.vendor_id = v.vendor_id)"""
+
+
+def _sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_RULE_NO = "CASE rule_triggered " + " ".join(f"WHEN '{name}' THEN {no}" for no, name in RULE_NAMES.items()) + " END"
+_ACTION = "CASE t.rule_no " + " ".join(f"WHEN {no} THEN {_sql(text)}" for no, text in ACTIONS.items()) + " END"
+ORACLE["r10_exceptions_with_text"] = q(
+    f"""
+SELECT r.invoice_number, rule_triggered, risk_score, explanation, {_ACTION} AS recommended_action, financial_value, rule_tier AS risk_tier
+FROM report r JOIN texts t ON t.invoice_number = r.invoice_number AND t.rule_no = {_RULE_NO}""",
+    *ALL_RULES, TEXTS,
+)
+ORACLE["k11_full_explanation"] = q(
+    f"""
+SELECT r.invoice_number, coalesce(nullif(concat_ws(' ', t.explanation,
+         CASE WHEN ml_component > 70 THEN 'The models see a strong outlier (ensemble score in the top ' || {_f('CAST(100 AS DOUBLE) - ml_component', 0)} || '% of its range).' END), ''),
+         'No rule hit and no strong model signal; kept for completeness.') AS full_explanation
+FROM risk r LEFT JOIN texts t ON t.invoice_number = r.invoice_number AND t.rule_no = {_RULE_NO}""",
+    *FULL, TEXTS,
+)
