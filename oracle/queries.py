@@ -313,6 +313,10 @@ ORACLE["f0_assembly"] = q(
 ORACLE["f1_to_f11_features"] = q(
     "SELECT invoice_number, " + ", ".join(f"round({f}, 6) AS {f}" for f in FEATURES) + " FROM feat", FEAT
 )
+for _i, _f_name in enumerate(FEATURES, 1):
+    ORACLE[f"f{_i}_{_f_name.removeprefix('feat_')}"] = q(
+        f"SELECT invoice_number, round({_f_name}, 6) AS {_f_name} FROM feat", FEAT
+    )
 ORACLE["f12_scaler"] = q(
     "SELECT feature, n, round(p25, 6) AS p25, round(p50, 6) AS p50, round(p75, 6) AS p75, round(scale, 6) AS scale FROM fitted",
     FEAT, SCALER,
@@ -352,6 +356,14 @@ ORACLE["k1_attach_rules"] = _risk("SELECT invoice_number, rule_triggered, rule_r
 ORACLE["k2_to_k6_scores"] = _risk(
     "SELECT invoice_number, round(ml_component, 6) AS ml_component, rule_component, round(value_component, 6) AS value_component, composite_risk_score, risk_tier FROM risk"
 )
+for _n, _col, _value in (
+    ("k2_ml_component", "ml_component", "round(ml_component, 6)"),
+    ("k3_rule_component", "rule_component", "rule_component"),
+    ("k4_value_component", "value_component", "round(value_component, 6)"),
+    ("k5_composite_score", "composite_risk_score", "composite_risk_score"),
+    ("k6_risk_tier", "risk_tier", "risk_tier"),
+):
+    ORACLE[_n] = _risk(f"SELECT invoice_number, {_value} AS {_col} FROM risk")
 ORACLE["k7_tier_text"] = _risk(
     "SELECT invoice_number, "
     + ", ".join(

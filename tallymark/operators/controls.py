@@ -6,6 +6,8 @@ and runs as a distributed top-k.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,11 +47,14 @@ def _with_members(
 
     `top` is bounded by its limit and broadcast. A list longer than
     `cfg.list_chunk` is spread over several rows (`list_part` 0, 1, ...), so
-    no group is ever gathered whole in one task or one cell.
+    no group is ever gathered whole in one task or one cell. NULL keys form
+    groups as in SQL.
     """
     parts = F.ceil(F.col("_size") / F.lit(cfg.list_chunk)).cast("int")
     part = F.pmod(F.xxhash64(member), parts).cast("int")
-    tagged = rows.join(F.broadcast(top), keys).withColumn("list_part", part)
+    found = F.broadcast(top).alias("t")
+    same = reduce(lambda a, b: a & b, [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
+    tagged = rows.alias("r").join(found, same).select("t.*", f"r.{member}").withColumn("list_part", part)
     return (
         tagged.groupBy(*[c for c in top.columns if c != "_size"], "list_part")
         .agg(F.sort_array(F.collect_list(member)).alias(listed))
@@ -62,7 +67,7 @@ def same_amount_month(
     """Vendor, amount and month seen more than once."""
     keys = ["vendor_id", "invoice_amount", "invoice_month"]
     rows = (
-        invoices.filter((F.col("invoice_amount") > 0) & F.col("vendor_id").isNotNull())
+        invoices.filter(F.col("invoice_amount") > 0)
         .withColumn("invoice_month", month(F.col("invoice_date")))
         .select(*keys, "invoice_number")
     )
@@ -86,7 +91,6 @@ def split_orders_by_month(
         purchase_orders.filter(
             (F.col("total_po_value") < F.lit(cfg.approval_threshold))
             & (F.col("approval_status") == "Approved")
-            & F.col("vendor_id").isNotNull()
         )
         .withColumn("po_month", month(F.col("po_date")))
         .select(*keys, "po_number", "total_po_value")

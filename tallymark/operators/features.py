@@ -15,7 +15,7 @@ from tallymark.functions.expressions import (
     is_round,
     month,
 )
-from tallymark.functions.joins import left_lookup
+from tallymark.functions.joins import left_lookup, spread_key
 from tallymark.functions.quantiles import exact_quantiles
 
 
@@ -42,19 +42,22 @@ def assemble(
     centre = budget.groupBy("cost_centre").agg(
         F.sum("approved_budget").alias("cc_budget"), F.sum("actual_spend").alias("cc_actual")
     )
-    dated = invoices.withColumn("_month", month(F.col("invoice_date")))
+    dated = invoices.withColumn("_month", month(F.col("invoice_date"))).withColumn(
+        "_vendor", spread_key(F.col("vendor_id"), F.col("invoice_number"))
+    )
     frequency = (
         dated.filter(F.col("vendor_id").isNotNull())
         .groupBy("vendor_id", "_month")
         .agg(F.count("invoice_number").alias("month_count"))
     )
-    with_vendor = dated.join(vendor_profile(invoices, vendors), "vendor_id", "left").join(
-        frequency, ["vendor_id", "_month"], "left"
+    profile = vendor_profile(invoices, vendors).withColumnRenamed("vendor_id", "_vendor")
+    with_vendor = dated.join(profile, "_vendor", "left").join(
+        frequency.withColumnRenamed("vendor_id", "_vendor"), ["_vendor", "_month"], "left"
     )
     with_order = left_lookup(
         with_vendor, purchase_orders.select("po_number", "total_po_value"), "po_number", "invoice_number"
     )
-    return with_order.join(centre, "cost_centre", "left").drop("_month")
+    return with_order.join(centre, "cost_centre", "left").drop("_month", "_vendor")
 
 
 def add_features(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:

@@ -150,7 +150,12 @@ def _features(a: Audit) -> DataFrame:
     return _rounded(a.features.select("invoice_number", *FEATURES), *FEATURES)
 
 
+def _feature(name: str) -> Query:
+    return lambda a: _rounded(a.features.select("invoice_number", name), name)
+
+
 FEATURE_QUERIES: dict[str, Query] = {
+    **{f"f{i}_{f.removeprefix('feat_')}": _feature(f) for i, f in enumerate(FEATURES, 1)},
     "f0_assembly": lambda a: feat.assemble(a.inv, a.ven, a.po, a.bud).select(
         "invoice_number", "vendor_creation_date", "vendor_category", "is_ghost_vendor",
         "total_po_value", "cc_budget", "cc_actual",
@@ -187,7 +192,21 @@ METRICS: dict[str, Query] = {
     "m13_quantile_cut": lambda a: _zscore_flagged(a).select("invoice_number", "flag"),
 }
 
+def _score(name: str) -> Query:
+    return lambda a: _component(a.zscore_risk, name)
+
+
+def _component(risk: DataFrame, name: str) -> DataFrame:
+    out = risk.select("invoice_number", name)
+    return _rounded(out, name) if out.schema[name].dataType == T.DoubleType() else out
+
+
 RISK: dict[str, Query] = {
+    "k2_ml_component": _score("ml_component"),
+    "k3_rule_component": _score("rule_component"),
+    "k4_value_component": _score("value_component"),
+    "k5_composite_score": _score("composite_risk_score"),
+    "k6_risk_tier": _score("risk_tier"),
     "k1_attach_rules": lambda a: rk.attach_rules(a.features, a.report).select(
         "invoice_number", "rule_triggered", "rule_risk_score"
     ),

@@ -72,3 +72,9 @@ def test_pins_go_to_the_configured_folder(spark, hot):
     pinned = ordering.pin(hot, "probe")
     assert pinned.inputFiles() and all(folder in f for f in pinned.inputFiles())
     assert os.path.isdir(folder)
+
+
+def test_a_hot_group_is_cut_across_chunks(hot):
+    laid = ordering.ordered_chunks(hot, ["grp", "v", "id"], 8)
+    sizes = [r["count"] for r in laid.filter("grp = 'hot'").groupBy("chunk").count().collect()]
+    assert len(sizes) >= 5 and max(sizes) < 3000 / 4

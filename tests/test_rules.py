@@ -149,3 +149,9 @@ def test_long_member_lists_are_split_not_cut(spark):
     got = controls.same_amount_month(table(spark, "invoices", rows), replace(DEFAULT, list_chunk=10)).collect()
     assert len(got) > 1 and {r["invoice_count"] for r in got} == {57}
     assert sorted(n for r in got for n in r["invoice_numbers"]) == [f"M{k:03d}" for k in range(57)]
+
+
+def test_null_vendor_forms_a_group_in_the_listing(spark):
+    rows = [invoice(n, "2020-01-06T10:00:00", "10", vendor=None) for n in "ab"]
+    got = controls.same_amount_month(table(spark, "invoices", rows)).first()
+    assert (got["vendor_id"], got["invoice_count"], got["invoice_numbers"]) == (None, 2, ["a", "b"])
