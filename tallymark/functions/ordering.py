@@ -21,11 +21,15 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; an own one only where unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder; an own one only in local mode
+    where none is set."""
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured
-    app = spark.sparkContext.applicationId
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = context.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="tallymark-")
     return _own_dirs[app]

@@ -22,6 +22,7 @@ from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin
 from tallymark.operators.isolation import feature_cols, hash_unit
 
+# Layer sizes and training parameters.
 SIZES = (10, 16, 8, 3, 8, 16, 10)
 DROPOUT, RATE, BATCH = 0.1, 1e-3, 64
 EPOCHS, PATIENCE, VALIDATION = 50, 5, 0.15

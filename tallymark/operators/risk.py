@@ -26,6 +26,7 @@ TIER_ACTION = {
     "Low": "None; keep in the audit trail.",
 }
 
+# Columns of the wide export, in order.
 EXPORT_COLUMNS = (
     "invoice_number", "invoice_date", "due_date", "payment_date", "vendor_id", "po_number",
     "gr_number", "invoice_amount", "tax_amount", "total_amount", "invoice_status", "cost_centre",
@@ -223,6 +224,7 @@ def final_check(risk: DataFrame) -> DataFrame:
 
 # --- report aggregates ------------------------------------------------------
 
+# Anomaly types counted in the headline row.
 COUNTED_TYPES = {
     "ghost_vendor_invoices": "Ghost Vendor Invoice",
     "maverick_invoices": "Maverick Buying",
@@ -253,7 +255,7 @@ def kpi_row(risk: DataFrame, budget: DataFrame, match_rate: DataFrame) -> DataFr
     )
 
 
-# finding id, title, tier and the anomaly types it merges
+# Finding id, title, tier and the anomaly types it merges.
 FINDINGS = (
     ("F-01", "Three-Way Match Failures", "Critical", ("Three-Way Match Failure",)),
     ("F-02", "Ghost Vendor Invoices", "Critical", ("Ghost Vendor Invoice",)),

@@ -21,6 +21,7 @@ from tallymark.sources.schemas import SCHEMAS, ErpTables
 
 NORMAL, DUPLICATE, NEAR_DUPLICATE, MATCH, MAVERICK, AFTER_HOURS, ROUND, GHOST = range(8)
 
+# Label names by code.
 ANOMALY_TYPES = (
     "Normal",
     "Duplicate Invoice",
@@ -144,10 +145,10 @@ def vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as(regular.unionByName(ghosts), "vendors")
 
 
-def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+def budget(orders: DataFrame) -> DataFrame:
     cc, yr = F.col("cc"), F.col("yr")
     per_year = (
-        _orders(spark, sf_dir)
+        orders
         .groupBy("cc", "cost_centre", F.year("day").alias("yr"))
         .agg(F.sum("c").alias("approved"))
     )
@@ -173,12 +174,12 @@ def budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def purchase_orders(orders: DataFrame) -> DataFrame:
     k, c = F.col("k"), F.col("c")
     quantity = k % 40 + 1
     split = F.col("approved") & (c < 10_000_000) & (k % 37 == 5)
     return _as(
-        _orders(spark, sf_dir).select(
+        orders.select(
             _code("PO", k).alias("po_number"),
             plus_hours(F.col("day"), k % 11 + 8).alias("po_date"),
             "vendor_id",
@@ -200,11 +201,11 @@ def purchase_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def goods_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def goods_receipts(orders: DataFrame) -> DataFrame:
     k, c = F.col("k"), F.col("c")
     quantity = k % 40 + 1
     return _as(
-        _orders(spark, sf_dir)
+        orders
         .filter(F.col("approved") & (k % 20 >= 3))
         .select(
             _code("GR", k).alias("gr_number"),
@@ -229,7 +230,7 @@ def _by_kind(kind: Column, choices: dict[int, Column], default: Column) -> Colum
     return chain.otherwise(default)
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def invoices(orders: DataFrame) -> DataFrame:
     k, c, kind = F.col("k"), F.col("c"), F.col("kind")
     received = F.col("approved") & (k % 20 >= 3)
     causes = {
@@ -253,7 +254,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     base_cents = _per_mille(c, k % 61 + 970)
 
     seen = (
-        _orders(spark, sf_dir)
+        orders
         .withColumn("kind", F.explode(kinds))
         .filter(kind.isNotNull())
         .withColumn("usual", usual)
@@ -358,13 +359,14 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def erp_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
     """All six views. Times are UTC wall-clock, whatever the machine's zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    orders = _orders(spark, sf_dir)
     return ErpTables(
         users=users(spark, sf_dir),
         vendors=vendors(spark, sf_dir),
-        budget=budget(spark, sf_dir),
-        purchase_orders=purchase_orders(spark, sf_dir),
-        goods_receipts=goods_receipts(spark, sf_dir),
-        invoices=invoices(spark, sf_dir),
+        budget=budget(orders),
+        purchase_orders=purchase_orders(orders),
+        goods_receipts=goods_receipts(orders),
+        invoices=invoices(orders),
     )
 
 
