@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm.common import stored, table
 from tallymark.llm.decontamination import remove_contaminated
+from tallymark.llm.minhash import drop_near_duplicates
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_duplicates(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark decontamination", decontaminate)]
+STAGES = [("near-dedup", near_dedup), ("benchmark decontamination", decontaminate)]
 
 ORACLE_SQL = None
 

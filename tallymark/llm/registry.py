@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from tallymark.llm.decontamination import op10_decontamination
+from tallymark.llm.minhash import op9_minhash
 
 QUERIES = {
+    "op9_minhash": op9_minhash,
     "op10_decontamination": op10_decontamination,
 }
 
