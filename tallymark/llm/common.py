@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,8 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read back: cuts lineage and
-    survives lost executors."""
-    return pin(df, f"llm-{label}")
+    survives lost executors. Then lets Spark's cleaner drop the shuffle files
+    of what was computed, which else stay on the executors' disks."""
+    out = pin(df, f"llm-{label}")
+    gc.collect()
+    df.sparkSession._jvm.System.gc()
+    return out
 
 
 def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

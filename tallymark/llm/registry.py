@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from tallymark.llm.decontamination import op10_decontamination
 from tallymark.llm.minhash import op9_minhash
+from tallymark.llm.suffix_repeats import op8_suffix_repeats
 
 QUERIES = {
+    "op8_suffix_repeats": op8_suffix_repeats,
     "op9_minhash": op9_minhash,
     "op10_decontamination": op10_decontamination,
 }
