@@ -267,8 +267,8 @@ def near_duplicates(
         ),
         "families",
     )
-    texts = base.alias("d").join(
-        wanted.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_key") == F.col("w.text_key"))
+    texts = base.alias("d").join(  # the list grows with the corpus: never broadcast
+        wanted.hint("merge").alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_key") == F.col("w.text_key"))
     )
     sets = texts.select(F.col("w.set_id").alias("wanted"), F.col("d.text").alias("text")).mapInArrow(
         _sets(width), "wanted binary, set_id binary, shingles binary"
