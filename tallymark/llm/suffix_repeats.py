@@ -266,7 +266,8 @@ def repeated_passages(
     def with_text(other: DataFrame, how: str, left: DataFrame = base) -> DataFrame:
         other = other.withColumnsRenamed({"id": "_id", "text_key": "_text_key"})
         on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))
-        return left.join(other, on, how).drop("_id", "_text_key")
+        # the lists grow with the corpus: never broadcast
+        return left.join(other.hint("merge"), on, how).drop("_id", "_text_key")
 
     contexts = with_text(wanted, "inner").mapInArrow(
         _list_contexts(length), f"id {kind}, text_key long, string long, part long, start long, size long, bytes binary"
