@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from tallymark.llm.decontamination import op10_decontamination
 from tallymark.llm.minhash import op9_minhash
+from tallymark.llm.mixing import op5_mixing
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
 
 QUERIES = {
+    "op5_mixing": op5_mixing,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_minhash": op9_minhash,
     "op10_decontamination": op10_decontamination,
