@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from tallymark.llm.decontamination import op10_decontamination
+from tallymark.llm.language import op3_language
 from tallymark.llm.minhash import op9_minhash
 from tallymark.llm.mixing import op5_mixing
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
 from tallymark.llm.tokens import op2_token_counts, op6_packed_ids
 
 QUERIES = {
+    "op3_language": op3_language,
     "op2_token_counts": op2_token_counts,
     "op6_packed_ids": op6_packed_ids,
     "op5_mixing": op5_mixing,

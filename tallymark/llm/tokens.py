@@ -27,7 +27,9 @@ PAD = 50256
 
 _SPACES = re.compile("[ \t\n\r]+")
 #: Characters that str.split takes for space but that may be word characters to a tokenizer.
-_UNSURE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_UNSURE = re.compile(
+    "[" + "".join(map(chr, (*range(0x0B, 0x0D), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]"
+)
 _loaded: dict[str, object] = {}
 
 
