@@ -6,11 +6,13 @@ from tallymark.llm.decontamination import op10_decontamination
 from tallymark.llm.language import op3_language
 from tallymark.llm.minhash import op9_minhash
 from tallymark.llm.mixing import op5_mixing
+from tallymark.llm.pages import op4_main_text
 from tallymark.llm.secrets import op1_secrets
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
 from tallymark.llm.tokens import op2_token_counts, op6_packed_ids
 
 QUERIES = {
+    "op4_main_text": op4_main_text,
     "op1_secrets": op1_secrets,
     "op3_language": op3_language,
     "op2_token_counts": op2_token_counts,
