@@ -10,14 +10,16 @@ from tallymark.llm.pages import op4_main_text
 from tallymark.llm.secrets import op1_secrets
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
 from tallymark.llm.tokens import op2_token_counts, op6_packed_ids
+from tallymark.llm.vectors import op7_near_vectors
 
 QUERIES = {
-    "op4_main_text": op4_main_text,
     "op1_secrets": op1_secrets,
-    "op3_language": op3_language,
     "op2_token_counts": op2_token_counts,
-    "op6_packed_ids": op6_packed_ids,
+    "op3_language": op3_language,
+    "op4_main_text": op4_main_text,
     "op5_mixing": op5_mixing,
+    "op6_packed_ids": op6_packed_ids,
+    "op7_near_vectors": op7_near_vectors,
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_minhash": op9_minhash,
     "op10_decontamination": op10_decontamination,
