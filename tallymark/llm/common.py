@@ -26,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def positional(df: DataFrame, drop: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], dict[str, str]]:
+    """`df` with columns c0, c1, ... so that no name of an operator's own can
+    clash, not even in case; the names they had, without those in `drop`; and
+    the new name of each. The first of equal names counts."""
+    renamed = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    kept = [(f"c{i}", c) for i, c in enumerate(df.columns) if c not in drop]
+    new: dict[str, str] = {}
+    for i, c in enumerate(df.columns):
+        new.setdefault(c, f"c{i}")
+    return renamed.select(*[n for n, _ in kept]), [c for _, c in kept], new
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Written once to the shared folder and read back: cuts lineage and
     survives lost executors. Then lets Spark's cleaner drop the shuffle files

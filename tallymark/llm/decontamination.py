@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import buffers, prepare, slices, table, words
+from tallymark.llm.common import buffers, positional, prepare, slices, table, words
 
 WINDOW = 13
 #: The benchmark is held by every task; beyond this many bytes the caller must split it.
@@ -152,10 +152,9 @@ def find_matches(
         raise ValueError(f"split the benchmark: {size} bytes, the bound is {MAX_BENCHMARK_BYTES}")
     items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").filter("i is not null").collect()
     tests = spark.sparkContext.broadcast(TestSuffixes([r[0] for r in items], [r[1] for r in items], window))
-    kept = [c for c in documents.columns if c not in ("n_words", "n_hit", "matches")]
-    base = documents.select(*kept)
-    names = [f"c{i}" for i in range(len(kept))]  # names may clash or repeat in case
-    at = kept.index(text)
+    renamed, kept, new = positional(documents, ("n_words", "n_hit", "matches"))
+    names = renamed.columns
+    at = names.index(new[text])
     struct = pa.list_(pa.struct([("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("n_words", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +171,6 @@ def find_matches(
                     [*names, "n_words", "n_hit", "matches"],
                 )
 
-    renamed = base.toDF(*names)
     schema = ", ".join(f"{n} {t}" for n, t in renamed.dtypes) + f", n_words long, n_hit long, matches {MATCHES}"
     return renamed.mapInArrow(run, schema).toDF(*kept, "n_words", "n_hit", "matches")
 
@@ -183,8 +181,9 @@ def is_contaminated():
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Rows of `documents` of whose words less than a twentieth lies in matches."""
-    columns = documents.columns
-    return find_matches(documents, benchmark).filter(~is_contaminated()).select(*columns)
+    renamed, columns, new = positional(documents)
+    found = find_matches(renamed, benchmark, new["text"])
+    return found.filter(~is_contaminated()).select(*renamed.columns).toDF(*columns)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from tallymark.llm.common import (
     grouped_stream,
     in_blocks,
     mix,
+    positional,
     prepare,
     slices,
     stored,
@@ -51,7 +52,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> list[np.n
     _, _, hashed, first = words(data, offsets, WORD_BYTES)
     joined = hashed.copy()
     for j in range(1, width):
-        joined[: len(hashed) - j] = mix(joined[: len(hashed) - j] * np.uint64(0x9FB21C651E98DF25) + hashed[j:])
+        n = max(0, len(hashed) - j)
+        joined[:n] = mix(joined[:n] * np.uint64(0x9FB21C651E98DF25) + hashed[j:])
     sets = []
     for lo, hi in zip(first[:-1], first[1:], strict=True):
         if hi - lo >= width:
@@ -233,7 +235,10 @@ def near_duplicates(
     repeated rows are copies of each other. Other columns are not read.
     """
     prepare(documents.sparkSession)
-    base = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    renamed, _, new = positional(documents)
+    base = renamed.select(
+        F.col(new[id_col]).alias("id"), F.xxhash64(new[text]).alias("text_key"), F.col(new[text]).alias("text")
+    )
     kind = dict(base.dtypes)["id"]
     signed = stored(
         base.mapInArrow(
@@ -308,12 +313,13 @@ def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: int =
     )
     blank = found.filter(alone).select(F.col("doc_id").alias("id"), "text_key", F.lit(True).alias("all_stay")).distinct()
     stay = names.unionByName(blank).alias("s")
-    kept = documents.withColumn("_key", F.xxhash64("text")).alias("d").join(
-        stay, F.col("d.doc_id").eqNullSafe(F.col("s.id")) & (F.col("_key") == F.col("s.text_key"))
+    renamed, columns, new = positional(documents)
+    kept = renamed.withColumn("_key", F.xxhash64(new["text"])).join(
+        stay, F.col(new["doc_id"]).eqNullSafe(F.col("s.id")) & (F.col("_key") == F.col("s.text_key"))
     )
-    one = Window.partitionBy("d.doc_id", "_key").orderBy(F.lit(0))
-    numbered = kept.select("d.*", "all_stay", F.row_number().over(one).alias("_nth"))
-    return numbered.filter("all_stay or _nth = 1").select(*documents.columns)
+    one = Window.partitionBy(new["doc_id"], "_key").orderBy(F.lit(0))
+    numbered = kept.withColumn("_nth", F.row_number().over(one))
+    return numbered.filter("all_stay or _nth = 1").select(*renamed.columns).toDF(*columns)
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

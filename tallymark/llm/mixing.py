@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import stored, table
+from tallymark.llm.common import positional, stored, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -158,12 +158,13 @@ def mix_copies(documents: DataFrame, id_col: str = "doc_id", source: str = "sour
     gives no rows. Null ids and repeated rows are documents of their own.
     Seeded hashes draw, so reruns agree. Other columns are not read.
     """
+    renamed, _, new = positional(documents)
     sized = stored(
-        documents.select(
-            F.col(id_col).alias("id"),
-            F.xxhash64(text).alias("text_key"),
-            F.col(source).alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        renamed.select(
+            F.col(new[id_col]).alias("id"),
+            F.xxhash64(new[text]).alias("text_key"),
+            F.col(new[source]).alias("source"),
+            F.coalesce(F.regexp_count(F.col(new[text]), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         ),
         "mix-sizes",
     )
@@ -194,16 +195,17 @@ def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:
     )
     order = Window.partitionBy("_id", "_key", "_source")
     copies = copies.withColumn("_nth", F.row_number().over(order.orderBy(F.desc("copies"))))
-    same = Window.partitionBy("doc_id", "_k", "source")
-    numbered = documents.withColumn("_k", F.xxhash64("text")).withColumn("_n", F.row_number().over(same.orderBy(F.lit(0))))
+    renamed, columns, new = positional(documents)
+    same = Window.partitionBy(new["doc_id"], "_k", new["source"])
+    numbered = renamed.withColumn("_k", F.xxhash64(new["text"])).withColumn("_n", F.row_number().over(same.orderBy(F.lit(0))))
     on = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
+        F.col(new["doc_id"]).eqNullSafe(F.col("_id"))
         & (F.col("_k") == F.col("_key"))
-        & F.col("source").eqNullSafe(F.col("_source"))
+        & F.col(new["source"]).eqNullSafe(F.col("_source"))
         & (F.col("_n") == F.col("_nth"))
     )
     taken = numbered.join(copies, on)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*documents.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*renamed.columns).toDF(*columns)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

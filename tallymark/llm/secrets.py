@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import prepare, table
+from tallymark.llm.common import positional, prepare, table
 
 # Fixed patterns of the base kinds, with the group whose length counts and the least length.
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -252,11 +252,10 @@ def find_secrets(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     spark = documents.sparkSession
     prepare(spark)
-    formats = spark.sparkContext.broadcast(learn_formats(documents, text))
-    columns = [c for c in documents.columns if c != "secrets"]
-    names = [f"c{i}" for i in range(len(columns))]
-    carried = documents.select(*columns).toDF(*names)
-    at = columns.index(text)
+    formats = spark.sparkContext.broadcast(learn_formats(positional(documents)[0], positional(documents)[2][text]))
+    carried, columns, new = positional(documents, ("secrets",))
+    names = carried.columns
+    at = names.index(new[text])
     kind_of = pa.list_(
         pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_()), ("gain", pa.float64())])
     )

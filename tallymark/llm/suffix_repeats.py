@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import buffers, grouped_stream, mix, powers, prefix_hash, prepare, slices, stored, table
+from tallymark.llm.common import buffers, grouped_stream, mix, positional, powers, prefix_hash, prepare, slices, stored, table
 
 LENGTH = 200
 K = 64
@@ -234,7 +234,11 @@ def repeated_passages(
     """
     spark = documents.sparkSession
     prepare(spark)
-    base = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    carried, columns, new = positional(documents, ("n_bytes", "spans", "kept"))
+    names, id_name, text_name = carried.columns, new[id_col], new[text]
+    base = carried.select(
+        F.col(id_name).alias("id"), F.xxhash64(text_name).alias("text_key"), F.col(text_name).alias("text")
+    )
     kind = dict(base.dtypes)["id"]
     listed = base.mapInArrow(
         _list_anchors(length),
@@ -290,10 +294,6 @@ def repeated_passages(
         ordered.filter(F.col("later") == F.lit(keep_first)).drop("later")
     )
     found = found.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "n_windows")).alias("found"))
-    columns = [c for c in documents.columns if c not in ("n_bytes", "spans", "kept")]
-    names = [f"c{i}" for i in range(len(columns))]
-    carried = documents.select(*columns).toDF(*names)
-    id_name, text_name = names[columns.index(id_col)], names[columns.index(text)]
     left = carried.select("*", F.col(id_name).alias("id"), F.xxhash64(text_name).alias("text_key"))
     joined = with_text(found, "left", left).select(*names, F.col(text_name).alias("text"), "found")
     schema = ", ".join(f"{n} {t}" for n, t in carried.dtypes)

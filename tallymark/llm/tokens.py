@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions.ordering import new_path
-from tallymark.llm.common import grouped_stream, prepare, stored, table
+from tallymark.llm.common import grouped_stream, positional, prepare, stored, table
 
 #: Encoded words a worker remembers; beyond that it starts afresh.
 REMEMBERED_WORDS = 400_000
@@ -107,7 +107,10 @@ def count_tokens(
     prepare(spark)
     version = hashlib.sha256(definition.encode()).hexdigest()
     shared = spark.sparkContext.broadcast(definition)  # a vocabulary file of fixed size
-    base = documents.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    renamed, _, new = positional(documents)
+    base = renamed.select(
+        F.col(new[id_col]).alias("id"), F.xxhash64(new[text]).alias("text_key"), F.col(new[text]).alias("text")
+    )
     keyed = stored(
         base.select(
             "id",
@@ -277,8 +280,9 @@ def pack_documents(
     prepare(spark)
     shared = spark.sparkContext.broadcast((ranks_file, pattern))  # a vocabulary file of fixed size
     version = hashlib.sha256(ranks_file + pattern.encode()).hexdigest()
-    base = documents.select(F.col(id_col).alias("id"), F.col(text).alias("text")).filter("text != ''")
-    total = documents.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    renamed, _, new = positional(documents)
+    base = renamed.select(F.col(new[id_col]).alias("id"), F.col(new[text]).alias("text")).filter("text != ''")
+    total = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = -(-total // SHARD_BYTES) or 1
     keyed = base.withColumn("text_key", F.xxhash64("text"))
     sharded = keyed.withColumn("shard", F.pmod(F.xxhash64("id", "text_key"), F.lit(shards)))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import components, grouped_stream, in_blocks, prepare, stored, table, union_find
+from tallymark.llm.common import components, grouped_stream, in_blocks, positional, prepare, stored, table, union_find
 
 COSINE = 0.9
 #: Classes per centroid, the bound on centroids, and on the sample they are fitted on (rows and bytes).
@@ -268,7 +268,8 @@ def near_vectors(
     """
     spark = vectors.sparkSession
     prepare(spark)
-    base = vectors.select(F.col(id_col).alias("id"), F.col(column).cast("array<double>").alias("v"))
+    renamed, _, new = positional(vectors)
+    base = renamed.select(F.col(new[id_col]).alias("id"), F.col(new[column]).cast("array<double>").alias("v"))
     kind = dict(base.dtypes)["id"]
     signed = stored(base.mapInArrow(_units, f"id {kind}, key binary, unit binary, dim int"), "units")
     classes = stored(
