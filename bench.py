@@ -24,7 +24,7 @@ STAGES = ("report", "features", "zscore_risk", "scaled", "forest", "autoencoder"
           "explained_cases")
 HEADLINE = (
     "q1_po_deviation", "q2_same_amount_month", "q3_split_orders_by_month", "q7_early_first_use",
-    "r1_exact_duplicates", "r2_near_duplicates", "r2_near_duplicate_pairs", "r3_split_orders",
+    "r1_exact_duplicates", "r2_near_duplicates", "r14_rule_counts", "m4_permutation_importance", "r3_split_orders",
     "r4_match_failures", "r6_after_hours", "r9_new_vendors", "r10_exceptions_report",
     "r13_evaluation", "f0_assembly", "f12_scaler", "m2_anomaly_score", "m8_roc_auc",
     "m14_model_comparison", "k8_tier_distribution", "k12_case_queue", "k14_vendor_risk",

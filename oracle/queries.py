@@ -58,7 +58,6 @@ NEAR = """near AS (
 R2 = """r2 AS (
   SELECT invoice_number, 'Near-Duplicate Invoice' AS rule_triggered, CAST(6 AS BIGINT) AS risk_score,
          invoice_amount AS financial_value FROM near)"""
-R2P = R2.replace("r2 AS", "r2p AS").replace("FROM near", "FROM pairs")
 
 R3 = f"""r3 AS (
   SELECT {_hit('Split Purchase Order', '7', 'p.po_number', 'p.total_po_value')}
@@ -232,16 +231,20 @@ FROM invoices i JOIN purchase_orders p ON i.po_number = p.po_number
 WHERE po_cents > 0 AND 20 * abs(cents - po_cents) > po_cents
 ORDER BY CAST(abs(cents - po_cents) AS DOUBLE) / po_cents DESC, invoice_number LIMIT 50""")
 ORACLE["q2_same_amount_month"] = q("""
-SELECT vendor_id, CAST(cents AS DOUBLE) / 100 AS invoice_amount, CAST(date_trunc('month', invoice_date) AS TIMESTAMP) AS invoice_month,
-       count(*) AS invoice_count, CAST(0 AS BIGINT) AS list_part, string_agg(invoice_number, ',' ORDER BY invoice_number) AS invoice_numbers
-FROM invoices WHERE cents > 0 GROUP BY vendor_id, cents, date_trunc('month', invoice_date)
-HAVING count(*) > 1 ORDER BY count(*) DESC, 1, 2, 3 LIMIT 30""")
+SELECT group_rank, g.vendor_id, CAST(g.cents AS DOUBLE) / 100 AS invoice_amount, CAST(g.m AS TIMESTAMP) AS invoice_month, invoice_count, invoice_number
+FROM (SELECT *, row_number() OVER (ORDER BY invoice_count DESC, vendor_id, cents, m) AS group_rank
+      FROM (SELECT vendor_id, cents, date_trunc('month', invoice_date) AS m, count(*) AS invoice_count FROM invoices WHERE cents > 0
+            GROUP BY vendor_id, cents, date_trunc('month', invoice_date) HAVING count(*) > 1 ORDER BY count(*) DESC, 1, 2, 3 LIMIT 30)) g
+JOIN invoices i ON i.vendor_id IS NOT DISTINCT FROM g.vendor_id AND i.cents = g.cents AND date_trunc('month', i.invoice_date) = g.m""")
 ORACLE["q3_split_orders_by_month"] = q("""
-SELECT vendor_id, CAST(date_trunc('month', po_date) AS TIMESTAMP) AS po_month, count(*) AS po_count,
-       CAST(sum(po_cents) AS DOUBLE) / 100 AS total_combined_value, CAST(max(po_cents) AS DOUBLE) / 100 AS max_single_po,
-       CAST(0 AS BIGINT) AS list_part, string_agg(po_number, ',' ORDER BY po_number) AS po_numbers
-FROM purchase_orders WHERE po_cents < 10000000 AND approval_status = 'Approved'
-GROUP BY 1, 2 HAVING count(*) > 1 AND sum(po_cents) > 10000000 ORDER BY sum(po_cents) DESC, 1, 2 LIMIT 30""")
+SELECT group_rank, g.vendor_id, CAST(g.m AS TIMESTAMP) AS po_month, g.po_count, CAST(g.total AS DOUBLE) / 100 AS total_combined_value,
+       CAST(g.most AS DOUBLE) / 100 AS max_single_po, po_number
+FROM (SELECT *, row_number() OVER (ORDER BY total DESC, vendor_id, m) AS group_rank
+      FROM (SELECT vendor_id, date_trunc('month', po_date) AS m, count(*) AS po_count, sum(po_cents) AS total, max(po_cents) AS most
+            FROM purchase_orders WHERE po_cents < 10000000 AND approval_status = 'Approved'
+            GROUP BY 1, 2 HAVING count(*) > 1 AND sum(po_cents) > 10000000 ORDER BY sum(po_cents) DESC, 1, 2 LIMIT 30)) g
+JOIN purchase_orders p ON p.vendor_id IS NOT DISTINCT FROM g.vendor_id AND date_trunc('month', p.po_date) = g.m
+WHERE po_cents < 10000000 AND approval_status = 'Approved'""")
 ORACLE["q4_no_order"] = q("""
 SELECT invoice_number, invoice_date, i.vendor_id, vendor_name, vendor_category, CAST(invoice_amount AS DOUBLE) AS invoice_amount,
        invoice_status, processed_by
@@ -268,9 +271,6 @@ HAVING CAST(min(invoice_date) AS DATE) - vendor_creation_date <= 7 ORDER BY days
 # rules
 _HITS = "SELECT invoice_number, rule_triggered, risk_score, financial_value FROM "
 ORACLE["r1_exact_duplicates"] = q(_HITS + "r1", R1)
-ORACLE["r2_near_duplicate_pairs"] = q(
-    "SELECT invoice_number, matched_invoice, vendor_id, invoice_amount, matched_amount, days_apart FROM pairs", PAIRS
-)
 ORACLE["r2_near_duplicates"] = q("SELECT * FROM near", PAIRS, NEAR)
 for _n, _name, _cte in (
     (3, "split_orders", R3), (4, "match_failures", R4), (5, "maverick", R5), (6, "after_hours", R6),
@@ -300,9 +300,9 @@ ORACLE["r13_evaluation"] = _rules(
 )
 ORACLE["r14_rule_counts"] = q(
     "SELECT rule_triggered, count(*) AS n FROM ("
-    + " UNION ALL ".join(f"SELECT rule_triggered FROM {t}" for t in ("r1", "r2p", "r3", "r4", "r5", "r6", "r7", "r8", "r9"))
+    + " UNION ALL ".join(f"SELECT rule_triggered FROM {t}" for t in ("r1", "r2", "r3", "r4", "r5", "r6", "r7", "r8", "r9"))
     + ") GROUP BY 1",
-    R1, PAIRS, R2P, R3, R4, R5, R6, R7, R8, R9,
+    R1, PAIRS, NEAR, R2, R3, R4, R5, R6, R7, R8, R9,
 )
 
 # features
@@ -526,7 +526,7 @@ SELECT vendor_id, CAST(total_cents AS DOUBLE) / 100 AS total_invoiced, invoice_c
        round(CAST(total_cents AS DOUBLE) / 100 / invoice_count, 6) AS avg_amount, round(CAST(anomaly_count AS DOUBLE) / invoice_count, 6) AS anomaly_rate,
        vendor_name, vendor_category, is_ghost_vendor FROM vs""", _VSTATS)
 ORACLE["e15_top_vendors"] = q(
-    "SELECT vendor_id, substr(vendor_name, 1, 30) AS vendor_name, CAST(total_cents AS DOUBLE) / 100 / 1e6 AS total_millions, is_ghost_vendor FROM vs ORDER BY total_cents DESC, vendor_id LIMIT 15",
+    "SELECT vendor_id, vendor_name, CAST(total_cents AS DOUBLE) / 100 / 1e6 AS total_millions, is_ghost_vendor FROM vs ORDER BY total_cents DESC, vendor_id LIMIT 15",
     _VSTATS,
 )
 ORACLE["e16_rate_vs_volume"] = q(
@@ -624,7 +624,7 @@ ORACLE["v4_labelled_duplicates"] = q(
 )
 ORACLE["v5_near_duplicate_labels"] = q("""
 SELECT invoice_number, vendor_id, CAST(invoice_amount AS DOUBLE) AS invoice_amount, count(*) OVER () AS labelled_total
-FROM invoices WHERE is_near_duplicate ORDER BY invoice_number LIMIT 5""")
+FROM invoices WHERE is_near_duplicate""")
 _SPLITS = "(SELECT vendor_id, count(*) AS n, sum(po_cents) AS total, bool_and(po_cents < 10000000) AS below FROM purchase_orders WHERE is_split_po GROUP BY 1)"
 ORACLE["v6_split_labels"] = q(
     " UNION ALL ".join(
@@ -636,7 +636,7 @@ ORACLE["v6_split_labels"] = q(
     )
 )
 ORACLE["v6_split_label_groups"] = q(
-    f"SELECT vendor_id, n, CAST(total AS DOUBLE) / 100 AS total FROM {_SPLITS} WHERE total > 10000000 ORDER BY vendor_id LIMIT 5"
+    f"SELECT vendor_id, n, CAST(total AS DOUBLE) / 100 AS total FROM {_SPLITS} WHERE total > 10000000"
 )
 ORACLE["v7_match_labels"] = q("""
 SELECT count(*) AS labelled, count(*) FILTER (WHERE 20 * abs(cents - po_cents) > po_cents) AS outside_tolerance,
@@ -651,7 +651,7 @@ ORACLE["v9_after_hours_labels"] = q(
 )
 ORACLE["v10_round_labels"] = q("""
 SELECT invoice_number, CAST(invoice_amount AS DOUBLE) AS invoice_amount, count(*) OVER () AS labelled_total
-FROM invoices WHERE is_round_number ORDER BY invoice_number LIMIT 10""")
+FROM invoices WHERE is_round_number""")
 ORACLE["v11_ghost_labels"] = q(f"""
 SELECT count(*) AS labelled_invoices, min({_days('invoice_date', 'vendor_creation_date')}) AS min_days,
        max({_days('invoice_date', 'vendor_creation_date')}) AS max_days, bool_and(payment_terms_days = 15) AS all_15_day_terms,
@@ -746,3 +746,35 @@ SELECT r.invoice_number, coalesce(nullif(concat_ws(' ', t.explanation,
 FROM risk r LEFT JOIN texts t ON t.invoice_number = r.invoice_number AND t.rule_no = {_RULE_NO}""",
     *FULL, TEXTS,
 )
+
+
+# --- facts about results of fitted models -----------------------------------
+
+_N = "CAST((SELECT count(*) FROM invoices) AS BIGINT)"
+ORACLE["x2_seeded_sample"] = q(
+    "SELECT invoice_number, " + ", ".join(f"round({f}, 6) AS {f}" for f in FEATURES)
+    + " FROM feat ORDER BY md5(invoice_number || '42'), invoice_number LIMIT 2000",
+    FEAT,
+)
+ORACLE["m1_forest_facts"] = q(
+    f"SELECT CAST(200 AS BIGINT) AS trees, least(256, {_N}) AS least_root, least(256, {_N}) AS largest_root, CAST(0 AS BIGINT) AS uneven_nodes"
+)
+for _name in ("m2_score_facts", "m6_error_facts"):
+    ORACLE[_name] = q(f"SELECT {_N} AS n, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS outside")
+ORACLE["m3_cut_facts"] = q(f"SELECT {_N} AS n, TRUE AS split_by_score, TRUE AS within_share")
+for _name in ("m4_importance_facts", "x3_importance_facts", "x4_top_case_facts"):
+    ORACLE[_name] = q(" UNION ALL ".join(f"SELECT '{f}' AS feature" for f in FEATURES))
+ORACLE["m5_history_facts"] = q("SELECT TRUE AS every_epoch, CAST(1 AS BIGINT) AS best_epochs, TRUE AS best_is_least")
+for _name in ("m12_ensemble_facts", "x1_additivity_facts"):
+    ORACLE[_name] = q(f"SELECT {_N} AS n, TRUE AS adds_up")
+ORACLE["m14_comparison_facts"] = q(
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS model, {_N} AS n, CAST((SELECT count(*) FROM invoices WHERE anomaly_flag = 1) AS BIGINT) AS positives"
+        for m in ("Isolation Forest", "Autoencoder", "Ensemble")
+    )
+)
+ORACLE["k2_model_risk_facts"] = q(f"SELECT {_N} AS n, CAST(0 AS BIGINT) AS odd_score, CAST(0 AS BIGINT) AS odd_tier")
+ORACLE["k13_model_export_facts"] = q(f"SELECT {_N} AS n, {_N} AS numbers")
+ORACLE["x6_top_cases_facts"] = q("SELECT CAST(5 AS BIGINT) AS n, CAST(5 AS BIGINT) AS numbers")
+for _name in ("x5_sentence_facts", "x7_priority_facts"):
+    ORACLE[_name] = q("SELECT TRUE AS all_cases, TRUE AS each_once, CAST(0 AS BIGINT) AS without_text")

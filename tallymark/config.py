@@ -75,10 +75,8 @@ class AuditConfig:
     seed: int = 42
     weight_forest: float = 0.55
     weight_autoencoder: float = 0.45
-
-    # layout: groups above these sizes are split over several rows or tasks
-    list_chunk: int = 1000
-    hot_cell: int = 2000
+    # rows per model copy in data-parallel training; the number of copies follows the data
+    rows_per_worker: int = 10_000
 
 
 DEFAULT = AuditConfig()

@@ -26,7 +26,6 @@ from tallymark.operators.isolation import feature_cols, hash_unit
 SIZES = (10, 16, 8, 3, 8, 16, 10)
 DROPOUT, RATE, BATCH = 0.1, 1e-3, 64
 EPOCHS, PATIENCE, VALIDATION = 50, 5, 0.15
-ROWS_PER_WORKER, MOST_WORKERS = 10_000, 4096
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-7
 
 SHAPES = [((a, b), (b,)) for a, b in zip(SIZES, SIZES[1:])]
@@ -96,7 +95,7 @@ def _gradient(flat: np.ndarray, x: np.ndarray, rng: np.random.Generator) -> tupl
 
 
 class _Worker:
-    """Adam on one partition's rows, starting from the shared state."""
+    """Adam on one copy's rows, starting from the shared state."""
 
     def __init__(self, state: np.ndarray, step: int, seed: tuple[int, ...]):
         self.w, self.m, self.v = (p.copy() for p in np.split(state, 3))
@@ -122,26 +121,22 @@ class _Worker:
 
 
 def _epoch(data: DataFrame, state: np.ndarray, step: int, epoch: int, seed: int) -> np.ndarray:
-    """Sums over all partitions: weighted state, then rows, loss, validation
+    """Sums over all copies: weighted state, then rows, loss, validation
     loss at the incoming weights, validation rows, steps."""
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        worker, val_loss, val_rows = None, 0.0, 0
+        total = None
         for batch in batches:
-            if not len(batch):
-                continue
-            x = np.stack(batch["scaled"].to_numpy())
-            held = batch["held"].to_numpy()
-            if worker is None:
-                first = int(batch["h"].iloc[0]) & 0x7FFFFFFF
-                worker = _Worker(state, step, (seed, epoch, first))
-            val_loss += row_error(np.split(state, 3)[0], x[held]).sum() if held.any() else 0.0
-            val_rows += int(held.sum())
-            worker.learn(x[~held])
-        if worker is not None:
-            tail = [worker.rows, worker.loss, val_loss, val_rows, (worker.step - step) * worker.rows]
-            values = np.concatenate([worker.sums(), tail])
-            yield pd.DataFrame({"pos": np.arange(len(values), dtype=np.int32), "value": values})
+            for number, flat, flags in zip(batch["worker"], batch["x"], batch["held"]):
+                x, held = np.reshape(flat, (-1, SIZES[0])), np.asarray(flags, dtype=bool)
+                worker = _Worker(state, step, (seed, epoch, int(number)))
+                val_loss = row_error(np.split(state, 3)[0], x[held]).sum() if held.any() else 0.0
+                worker.learn(x[~held])
+                tail = [worker.rows, worker.loss, val_loss, int(held.sum()), (worker.step - step) * worker.rows]
+                values = np.concatenate([worker.sums(), tail])
+                total = values if total is None else total + values
+        if total is not None:
+            yield pd.DataFrame({"pos": np.arange(len(total), dtype=np.int32), "value": total})
 
     sums = data.mapInPandas(train, "pos int, value double").groupBy("pos").agg(F.sum("value").alias("value"))
     out = np.zeros(3 * N_WEIGHTS + 5)
@@ -158,8 +153,16 @@ def fit(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAU
         F.xxhash64(F.col(key), F.lit(seed)).alias("h"),
         (hash_unit(F.col(key), F.lit(seed + 1)) < VALIDATION).alias("held"),
     )
-    workers = min(max(1, -(-rows.count() // ROWS_PER_WORKER)), MOST_WORKERS)
-    data = pin(rows.repartition(workers, "h").sortWithinPartitions("h"), "ae-train")
+    # One stored row per model copy holds its training rows in the order of their
+    # hash, so what a copy sees depends on keys alone and no epoch shuffles. A
+    # copy gets about `rows_per_worker` rows, and copies grow with the data.
+    workers = max(1, -(-rows.count() // cfg.rows_per_worker))
+    own = rows.withColumn("worker", F.pmod(F.xxhash64("h"), F.lit(workers))).groupBy("worker")
+    items = F.sort_array(F.collect_list(F.struct("h", "scaled", "held")))
+    packed = own.agg(items.alias("i")).select(
+        "worker", F.flatten(F.col("i.scaled")).alias("x"), F.col("i.held").alias("held")
+    )
+    data = pin(packed.repartitionByRange(min(workers, 10_000), "worker"), "ae-train")
     state = np.concatenate([initial_weights(seed), np.zeros(2 * N_WEIGHTS)])
     best, best_loss, best_epoch = state, np.inf, 0
     history: list[tuple[int, float, float]] = []

@@ -129,9 +129,10 @@ def long_contributions(explained: DataFrame, *keep: str) -> DataFrame:
 
 
 def sample(df: DataFrame, n: int = 2000, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """n rows without replacement, the same ones on every run. The limit leaves
-    them in one partition, so they are dealt out again for the work to come."""
-    picked = df.orderBy(F.xxhash64("invoice_number", F.lit(cfg.seed)), "invoice_number").limit(n)
+    """n rows without replacement, the same ones on every run and in every
+    engine. The limit leaves them in one partition, so they are dealt out again
+    for the work to come."""
+    picked = df.orderBy(F.md5(F.concat("invoice_number", F.lit(str(cfg.seed)))), "invoice_number").limit(n)
     return picked.repartition(max(1, -(-n // ROWS_AT_ONCE)), "invoice_number")
 
 

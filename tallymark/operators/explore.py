@@ -183,7 +183,7 @@ def top_vendors(invoices: DataFrame, vendors: DataFrame, n: int = 15) -> DataFra
         .limit(n)
         .select(
             "vendor_id",
-            F.substring("vendor_name", 1, 30).alias("vendor_name"),
+            "vendor_name",
             (money(F.col("total_invoiced")) / 1e6).alias("total_millions"),
             "is_ghost_vendor",
         )

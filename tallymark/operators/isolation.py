@@ -64,21 +64,24 @@ def fit_forest(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig
     trees, size, seed = cfg.forest_trees, cfg.forest_sample, cfg.seed
     rows = scaled.select(F.col(key).alias("key"), F.col("scaled").alias("x"))
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
-    share = F.lit(4.0 * trees * size) / total
-    pool = pin(rows.filter(hash_unit(F.col("key"), F.lit(seed)) < share), "pool")
-    pool_size = pool.agg(F.count(F.lit(1)).alias("n")).scalar()
-    chance = F.lit(2.0 * size) / pool_size
+    # Draws: each row takes part in so many, and each draw that is taken names a
+    # tree, so that a tree expects twice its sample from all rows. Small tables
+    # need several draws a row, up to every row in every tree; large ones one.
+    wanted = F.lit(2.0 * trees * size) / total
+    draws = F.least(F.greatest(F.ceil(wanted), F.lit(1)), F.lit(trees)).cast("int")
+    every = F.lit(2.0 * size) / total >= 1.0
+    drawn = F.transform(
+        F.sequence(F.lit(0), F.col("_draws") - 1),
+        lambda d: F.when(F.col("_every"), d).when(
+            hash_unit(F.col("key"), d, F.lit(seed)) < F.col("_share"),
+            F.floor(hash_unit(F.col("key"), d, F.lit(seed), F.lit("tree")) * trees).cast("int"),
+        ),
+    )
     picked = (
-        pool.withColumn("_chance", chance)
-        .withColumn(
-            "tree",
-            F.explode(
-                F.filter(
-                    F.sequence(F.lit(0), F.lit(trees - 1)),
-                    lambda t: hash_unit(F.col("key"), t, F.lit(seed)) < F.col("_chance"),
-                )
-            ),
-        )
+        rows.withColumn("_draws", draws)
+        .withColumn("_every", every)
+        .withColumn("_share", wanted / F.col("_draws"))
+        .withColumn("tree", F.explode(F.array_distinct(F.array_compact(drawn))))
         .withColumn("h", F.xxhash64("key", "tree", F.lit(seed)))
     )
     order = Window.partitionBy("tree").orderBy("h", "key")

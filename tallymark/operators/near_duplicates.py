@@ -1,26 +1,18 @@
 """Near-duplicate invoices: same vendor, at most 30 elapsed days apart, other
 reference, amounts within 2% of the earlier one but not equal.
 
-Copies of one posting (vendor, reference, amount, 31-day slot) are first folded
-into one *cell*; they never match each other, and cells of other postings match
-them alike. Two results are offered:
-
-`near_duplicate_pairs`  every qualifying pair, as many rows as there are pairs.
-`near_duplicates`       one row per flagged invoice, with a chosen partner. It
-                        never lists pairs of rows: for a cell it is enough to
-                        know the earliest matching posting in its own slot and
-                        the latest one in the slot before.
-
-Where a zone (vendor, slot, amount band) holds more than `cfg.hot_cell` cells,
-even pairs of cells would be too many. Those cells look up their amount range
-in a table of binary intervals instead (each range splits into at most two
-intervals per level), which is exact and needs no pair at all.
+The result has one row per flagged invoice, with a chosen partner; pairs are
+never listed. Copies of one posting (vendor, reference, amount, 31-day slot) are
+first folded into one *cell*; they never match each other, and cells of other
+postings match them alike. For a cell it is enough to know the earliest matching
+posting in its own slot and the latest one in the slot before. Cells look up
+their amount range in a table of binary intervals (each range splits into at
+most two intervals per level), which is exact and needs no pair at all, however
+many postings of a vendor lie close together.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +21,6 @@ from tallymark.functions.expressions import MICROS_PER_DAY, micros
 from tallymark.functions.ordering import pin
 
 CELL = ["vendor_id", "ref", "cents", "slot"]
-ZONE = ["vendor_id", "slot", "band"]
 
 
 def _slot_micros(cfg: AuditConfig) -> int:
@@ -37,13 +28,6 @@ def _slot_micros(cfg: AuditConfig) -> int:
     return (cfg.dup_date_window_days + 1) * MICROS_PER_DAY
 
 
-def _band(cents: Column, cfg: AuditConfig) -> Column:
-    """Amount band slightly wider than the tolerance: partners are in the same
-    band or a neighbouring one."""
-    width = -math.log(1.0 - float(cfg.dup_amount_tolerance)) * 1.05
-    return F.floor(F.log(cents.cast("double")) / F.lit(width)).cast("bigint")
-
-
 def _rows(invoices: DataFrame, cfg: AuditConfig) -> DataFrame:
     """Rows that can match at all. A NULL reference equals no other one."""
     t = micros(F.col("invoice_date"))
@@ -64,79 +48,6 @@ def _cells(rows: DataFrame, cfg: AuditConfig) -> DataFrame:
     return (
         rows.groupBy(*CELL)
         .agg(F.min(post).alias("first"), F.max(post).alias("last"))
-        .withColumn("band", _band(F.col("cents"), cfg))
-    )
-
-
-def _close(earlier: Column, later: Column, cfg: AuditConfig) -> Column:
-    gap = F.abs(later - earlier).cast("decimal(20,0)")
-    return (later != earlier) & (gap <= F.lit(cfg.dup_amount_tolerance) * earlier.cast("decimal(20,0)"))
-
-
-def _cell_pairs(
-    later: DataFrame, earlier: DataFrame, cfg: AuditConfig, crowded: DataFrame | None = None
-) -> DataFrame:
-    """Matching cells: `j_*` the later posting, `i_*` the earlier one.
-
-    Only the later side is copied to its six neighbouring zones, so a pair of
-    cells meets exactly once. With `crowded` (zone, n), the work of a large
-    zone is dealt to several tasks: its earlier cells are copied to each, its
-    later cells go to one of them.
-    """
-    asks = (
-        later.select(*[F.col(c).alias(f"j_{c}") for c in [*CELL, "band"]])
-        .withColumn("_back", F.explode(F.array(F.lit(0), F.lit(1))))
-        .withColumn("_side", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-        .withColumn("z_slot", F.col("j_slot") - F.col("_back"))
-        .withColumn("z_band", F.col("j_band") + F.col("_side"))
-        .drop("_side", "j_band")
-    )
-    has = earlier.select(*[F.col(c).alias(f"i_{c}") for c in [*CELL, "band", "first", "last"]])
-    if crowded is None:
-        asks, has = asks.withColumn("j_salt", F.lit(0)), has.withColumn("i_salt", F.lit(0))
-    else:
-        salts = F.ceil(F.col("n") / F.lit(float(max(cfg.hot_cell, 1)))).cast("int")
-        deal = crowded.select(*ZONE, salts.alias("_salts"))
-        asks = asks.join(
-            deal.toDF("j_vendor_id", "z_slot", "z_band", "_salts"), ["j_vendor_id", "z_slot", "z_band"], "left"
-        ).withColumn(
-            "j_salt", F.pmod(F.xxhash64("j_ref", "j_cents"), F.coalesce("_salts", F.lit(1))).cast("int")
-        ).drop("_salts")
-        has = has.join(
-            deal.toDF("i_vendor_id", "i_slot", "i_band", "_salts"), ["i_vendor_id", "i_slot", "i_band"], "left"
-        ).withColumn(
-            "i_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
-        ).drop("_salts")
-    return asks.join(
-        has,
-        (F.col("j_salt") == F.col("i_salt"))
-        & (F.col("j_vendor_id") == F.col("i_vendor_id"))
-        & (F.col("z_slot") == F.col("i_slot"))
-        & (F.col("z_band") == F.col("i_band"))
-        & (F.col("j_ref") != F.col("i_ref"))
-        & _close(F.col("i_cents"), F.col("j_cents"), cfg),
-    )
-
-
-def near_duplicate_pairs(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """Every pair: invoice_number (the later), matched_invoice, amounts, days."""
-    rows = _rows(invoices, cfg)
-    cells = pin(_cells(rows, cfg), "cells")
-    met = _cell_pairs(cells, cells, cfg, _crowded_zones(cells, cfg)).select(
-        *[f"j_{c}" for c in CELL], *[f"i_{c}" for c in CELL]
-    )
-    side_i = rows.select(*[F.col(c).alias(f"i_{c}") for c in [*CELL, "t", "num"]])
-    side_j = rows.select(*[F.col(c).alias(f"j_{c}") for c in [*CELL, "t", "num"]])
-    pairs = met.join(side_i, [f"i_{c}" for c in CELL]).join(side_j, [f"j_{c}" for c in CELL])
-    in_order = F.struct("i_t", "i_num") < F.struct("j_t", "j_num")
-    near = F.col("j_t") - F.col("i_t") < F.lit(_slot_micros(cfg))
-    return pairs.filter(in_order & near).select(
-        F.col("j_num").alias("invoice_number"),
-        F.col("i_num").alias("matched_invoice"),
-        F.col("j_vendor_id").alias("vendor_id"),
-        _amount("j_cents").alias("invoice_amount"),
-        _amount("i_cents").alias("matched_amount"),
-        _days(F.col("j_t") - F.col("i_t")).alias("days_apart"),
     )
 
 
@@ -152,41 +63,6 @@ def _posting(of: str, side: str) -> Column:
     return F.struct(F.col(f"{of}.t"), F.col(f"{of}.num"), F.col(f"{side}cents").alias("cents"))
 
 
-def _best(matches: DataFrame) -> DataFrame:
-    """Per later cell: earliest match in its slot, latest in the slot before."""
-    return matches.groupBy(*[f"j_{c}" for c in CELL]).agg(
-        F.min(F.when(F.col("_back") == 0, _posting("i_first", "i_"))).alias("own"),
-        F.max(F.when(F.col("_back") == 1, _posting("i_last", "i_"))).alias("before"),
-    )
-
-
-# --- dense zones ------------------------------------------------------------
-
-
-def _crowded_zones(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
-    return cells.groupBy(*ZONE).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cfg.hot_cell)
-
-
-def _dense_zones(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Zones of later cells that would meet a crowded zone."""
-    return (
-        _crowded_zones(cells, cfg)
-        .withColumn("slot", F.explode(F.array("slot", F.col("slot") + 1)))
-        .withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-        .select(*ZONE)
-        .distinct()
-    )
-
-
-def _touched_zones(dense: DataFrame) -> DataFrame:
-    """Zones that a later cell of a dense zone may look into."""
-    return (
-        dense.withColumn("slot", F.explode(F.array("slot", F.col("slot") - 1)))
-        .withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
-        .distinct()
-    )
-
-
 def _intervals_of(cents: Column, cfg: AuditConfig) -> Column:
     """All binary intervals that hold an amount, up to the widest one a range
     around it can use."""
@@ -221,15 +97,16 @@ def _cover(low: Column, end: Column) -> Column:
     return F.flatten(F.transform(levels, at))
 
 
-def _dense_matches(later: DataFrame, earlier: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Matches through interval lookups, at most two rows per interval asked.
+def _matches(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """Per later cell the earliest match in its slot and the latest in the slot
+    before, through interval lookups: at most two rows per interval asked.
 
     Two postings with different references suffice per interval: whatever the
     asking reference is, one of them differs from it.
     """
     at = ["vendor_id", "slot", "level", "node"]
     stored = (
-        earlier.withColumn("_iv", F.explode(_intervals_of(F.col("cents"), cfg)))
+        cells.withColumn("_iv", F.explode(_intervals_of(F.col("cents"), cfg)))
         .select("vendor_id", "slot", "_iv.level", "_iv.node", "ref",
                 _posting("first", "").alias("lo"), _posting("last", "").alias("hi"))
         .groupBy(*at, "ref")
@@ -249,7 +126,7 @@ def _dense_matches(later: DataFrame, earlier: DataFrame, cfg: AuditConfig) -> Da
     low = F.ceil(cents / F.lit(one + cfg.dup_amount_tolerance)).cast("bigint")
     high = F.floor(cents / F.lit(one - cfg.dup_amount_tolerance)).cast("bigint")
     parts = F.concat(_cover(low, F.col("cents")), _cover(F.col("cents") + 1, high + 1))
-    asked = later.withColumn("_iv", F.explode(parts)).select(
+    asked = cells.withColumn("_iv", F.explode(parts)).select(
         *[F.col(c).alias(f"j_{c}") for c in CELL], "vendor_id", "slot", "_iv.level", "_iv.node"
     )
     found = asked.join(best, at).filter(F.col("ref") != F.col("j_ref"))
@@ -263,18 +140,8 @@ def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFram
     """One row per flagged invoice with one partner: the earliest match in the
     invoice's own 31-day slot, else the latest one of the slot before."""
     rows = _rows(invoices, cfg)
-    cells = pin(_cells(rows, cfg), "cells")  # read up to five times below
-    dense = pin(_dense_zones(cells, cfg), "dense-zones")
-    if dense.isEmpty():
-        found = _best(_cell_pairs(cells, cells, cfg))
-    else:
-        marked = cells.join(dense.withColumn("_dense", F.lit(True)), ZONE, "left")
-        sparse = marked.filter(F.col("_dense").isNull())
-        crowded = marked.filter(F.col("_dense"))
-        near_crowd = cells.join(_touched_zones(dense), ZONE, "left_semi")
-        found = _best(_cell_pairs(sparse, cells, cfg)).unionByName(
-            _dense_matches(crowded, near_crowd, cfg)
-        )
+    cells = pin(_cells(rows, cfg), "cells")  # read twice below
+    found = _matches(cells, cfg)
     placed = rows.select(*[F.col(c).alias(f"j_{c}") for c in CELL], "t", "num").join(
         found, [f"j_{c}" for c in CELL]
     )

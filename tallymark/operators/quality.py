@@ -118,15 +118,12 @@ def labelled_duplicates(invoices: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicate_labels(invoices: DataFrame, limit: int = 5) -> DataFrame:
-    """Listing of the first labelled near-duplicates, with their total count."""
+def near_duplicate_labels(invoices: DataFrame, limit: int | None = None) -> DataFrame:
+    """Listing of the labelled near-duplicates, with their total count."""
     labelled = invoices.filter("is_near_duplicate")
     total = labelled.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        labelled.orderBy("invoice_number")
-        .limit(limit)
-        .select("invoice_number", "vendor_id", "invoice_amount", total.alias("labelled_total"))
-    )
+    listed = labelled.select("invoice_number", "vendor_id", "invoice_amount", total.alias("labelled_total"))
+    return listed if limit is None else listed.orderBy("invoice_number").limit(limit)
 
 
 def split_labels(purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
@@ -147,15 +144,14 @@ def split_labels(purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT) -> Data
     )
 
 
-def split_label_groups(purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT, limit: int = 5) -> DataFrame:
-    return (
+def split_label_groups(purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT, limit: int | None = None) -> DataFrame:
+    groups = (
         purchase_orders.filter("is_split_po")
         .groupBy("vendor_id")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("total_po_value").alias("total"))
         .filter(F.col("total") > F.lit(cfg.approval_threshold))
-        .orderBy("vendor_id")
-        .limit(limit)
     )
+    return groups if limit is None else groups.orderBy("vendor_id").limit(limit)
 
 
 def match_labels(
@@ -190,14 +186,11 @@ def after_hours_labels(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataF
     )
 
 
-def round_labels(invoices: DataFrame, limit: int = 10) -> DataFrame:
+def round_labels(invoices: DataFrame, limit: int | None = None) -> DataFrame:
     labelled = invoices.filter("is_round_number")
     total = labelled.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        labelled.orderBy("invoice_number")
-        .limit(limit)
-        .select("invoice_number", "invoice_amount", total.alias("labelled_total"))
-    )
+    listed = labelled.select("invoice_number", "invoice_amount", total.alias("labelled_total"))
+    return listed if limit is None else listed.orderBy("invoice_number").limit(limit)
 
 
 def ghost_labels(invoices: DataFrame, vendors: DataFrame) -> DataFrame:

@@ -114,11 +114,6 @@ def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFram
     return _near_exceptions(nd.near_duplicates(invoices, cfg))
 
 
-def near_duplicate_pairs(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """One exception per qualifying pair; flags the later invoice."""
-    return _near_exceptions(nd.near_duplicate_pairs(invoices, cfg))
-
-
 def _split_windows(orders: DataFrame, cfg: AuditConfig) -> DataFrame:
     """First qualifying window per vendor: start, end, number and sum of orders.
 
@@ -274,14 +269,12 @@ def all_exceptions(
     vendors: DataFrame,
     budget: DataFrame,
     cfg: AuditConfig = DEFAULT,
-    per_pair: bool = False,
 ) -> DataFrame:
-    """Exceptions of every rule before deduplication. With `per_pair` rule 2
-    gives one row per pair instead of one per flagged invoice."""
-    second = near_duplicate_pairs if per_pair else near_duplicates
+    """Exceptions of every rule before deduplication; rule 2 gives one per
+    flagged invoice, whatever the number of its partners."""
     parts = [
         exact_duplicates(invoices, cfg),
-        second(invoices, cfg),
+        near_duplicates(invoices, cfg),
         split_orders(purchase_orders, cfg),
         match_failures(invoices, purchase_orders, cfg),
         maverick(invoices, cfg),

@@ -110,10 +110,10 @@ class Audit:
 
     # explanations
     @cached_property
-    def explained_sample(self) -> DataFrame:
-        return pin(
-            explain.add_contributions(explain.sample(self.scaled, cfg=self.cfg), self.forest), "sample"
-        )
+    def explained(self) -> DataFrame:
+        """Every invoice with its contributions."""
+        found = explain.add_contributions(self.scaled, self.forest)
+        return pin(found.select("invoice_number", "contributions", "base_value"), "explained")
 
     @cached_property
     def explained_cases(self) -> DataFrame:

@@ -81,7 +81,7 @@ def _csv_sink(a: Audit) -> DataFrame:
 
 
 def _append_load(a: Audit) -> DataFrame:
-    """Purchase orders and then invoices, appended in two halves."""
+    """Invoices appended in two halves."""
     path = new_path(a.spark, "append")
     half = F.col("invoice_status") == "Paid"
     loading.append_load(a.inv.filter(half), "invoices", path)
@@ -124,7 +124,6 @@ CONTROLS: dict[str, Query] = {
 
 RULES: dict[str, Query] = {
     "r1_exact_duplicates": lambda a: _hits(rules.exact_duplicates(a.inv)),
-    "r2_near_duplicate_pairs": lambda a: nd.near_duplicate_pairs(a.inv),
     "r2_near_duplicates": lambda a: nd.near_duplicates(a.inv),
     "r3_split_orders": lambda a: _hits(rules.split_orders(a.po)),
     "r4_match_failures": lambda a: _hits(rules.match_failures(a.inv, a.po)),
@@ -141,7 +140,7 @@ RULES: dict[str, Query] = {
     "r12_tier_totals": lambda a: rules.tier_totals(a.report),
     "r13_evaluation": lambda a: rules.evaluate(a.inv, a.report),
     "r14_rule_counts": lambda a: rules.rule_counts(
-        rules.all_exceptions(a.inv, a.po, a.ven, a.bud, per_pair=True)
+        rules.all_exceptions(a.inv, a.po, a.ven, a.bud)
     ),
 }
 
@@ -334,9 +333,9 @@ MODELS: dict[str, Query] = {
         "composite_risk_score", "risk_tier",
     ),
     "k13_model_export": lambda a: rk.master_export(a.risk, a.po),
-    "x1_contributions": lambda a: explain.long_contributions(a.explained_cases),
-    "x2_seeded_sample": lambda a: explain.sample(a.features).select("invoice_number", *FEATURES),
-    "x3_global_importance": lambda a: explain.importance(a.explained_sample),
+    "x1_contributions": lambda a: explain.long_contributions(a.explained),
+    "x2_seeded_sample": lambda a: _rounded(explain.sample(a.features).select("invoice_number", *FEATURES), *FEATURES),
+    "x3_global_importance": lambda a: explain.importance(a.explained),
     "x4_top_case": lambda a: explain.long_contributions(
         explain.top_cases(a.explained_top, 1), "composite_risk_score"
     ).orderBy(F.desc(F.abs("contribution")), "feature"),
@@ -350,7 +349,118 @@ MODELS: dict[str, Query] = {
     ),
 }
 
+
+
+def _score_facts(df: DataFrame, score: str, most: float) -> DataFrame:
+    """Rows, and scores that are missing or out of range."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(score).isNull() | F.isnan(score)).alias("missing"),
+        F.count_if((F.col(score) < 0) | (F.col(score) > most)).alias("outside"),
+    )
+
+
+def _cut_facts(a: Audit, score: str, prediction: str) -> DataFrame:
+    """Rows, and whether the cut splits them by score and flags no more than its share."""
+    flagged = F.col(prediction) == 1
+    return a.scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.min(F.when(flagged, F.col(score))) > F.max(F.when(~flagged, F.col(score)))).alias("split_by_score"),
+        (F.count_if(flagged) <= F.ceil(F.count(F.lit(1)) * a.cfg.contamination)).alias("within_share"),
+    )
+
+
+def _forest_facts(a: Audit) -> DataFrame:
+    """Trees, the rows at their roots, and nodes whose children don't add up."""
+    nodes = a.forest_nodes
+    kids = nodes.filter("feature >= 0 and left != right").select("tree", "n", F.explode(F.array("left", "right")).alias("node"), F.col("node").alias("up"))
+    sums = kids.join(nodes.select("tree", "node", F.col("n").alias("m")), ["tree", "node"]).groupBy("tree", "up").agg(
+        F.first("n").alias("n"), F.sum("m").alias("m")
+    )
+    odd = sums.filter("n != m").agg(F.count(F.lit(1)).alias("n")).scalar()
+    roots = nodes.filter("node = 0")
+    return roots.agg(
+        F.count(F.lit(1)).alias("trees"), F.min("n").cast("bigint").alias("least_root"), F.max("n").cast("bigint").alias("largest_root")
+    ).withColumn("uneven_nodes", odd)
+
+
+def _ensemble_facts(a: Audit) -> DataFrame:
+    """Largest gap between the ensemble and the weighted scores it is made of."""
+    iso, ae = (metrics.minmax(a.scored, c) for c in ("iso_score", "ae_score"))
+    own = a.cfg.weight_forest * iso + a.cfg.weight_autoencoder * ae
+    return a.scored.select(F.abs(own - F.col("ensemble_score")).alias("gap")).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("gap") < 1e-9).alias("adds_up")
+    )
+
+
+def _risk_facts(risk: DataFrame, cfg) -> DataFrame:
+    """Rows, and those whose score or tier disagrees with its parts."""
+    own = (
+        cfg.weight_ml * F.col("ml_component") + cfg.weight_rule * F.col("rule_component")
+        + cfg.weight_value * F.col("value_component")
+    )
+    s = F.col("composite_risk_score")
+    tier = (
+        F.when(s >= cfg.tier_critical, "Critical").when(s >= cfg.tier_high, "High").when(s >= cfg.tier_medium, "Medium").otherwise("Low")
+    )
+    return risk.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.abs(own - s) > 0.0501).alias("odd_score"),
+        F.count_if(F.col("risk_tier") != tier).alias("odd_tier"),
+    )
+
+
+def _cases_facts(a: Audit, text: str) -> DataFrame:
+    """Whether the cases are all Critical and High invoices, each once and with a text."""
+    wanted = a.risk.filter(F.col("risk_tier").isin("Critical", "High")).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return a.explained_cases.agg(
+        (F.count(F.lit(1)) == wanted).alias("all_cases"),
+        (F.countDistinct("invoice_number") == wanted).alias("each_once"),
+        F.count_if(F.coalesce(F.length(text), F.lit(0)) == 0).alias("without_text"),
+    )
+
+
+def _additivity_facts(a: Audit) -> DataFrame:
+    """Contributions and base against the forest's mean path length, over all invoices."""
+    total = F.aggregate("contributions", F.col("base_value"), lambda s, x: s + x)
+    scores = isolation.add_score(a.scaled, a.forest).select("invoice_number", "iso_score")
+    gap = F.abs(total - F.log2("iso_score") * F.lit(float(a.forest.norm)))
+    return a.explained.join(scores, "invoice_number").agg(
+        F.count(F.lit(1)).alias("n"), (F.max(gap) < 1e-6).alias("adds_up")
+    )
+
+
+#: What SQL can state of results that come from fitted models.
+FACTS: dict[str, Query] = {
+    "m1_forest_facts": _forest_facts,
+    "m2_score_facts": lambda a: _score_facts(a.scored, "iso_score", 1.0),
+    "m3_cut_facts": lambda a: _cut_facts(a, "iso_score", "iso_prediction"),
+    "m4_importance_facts": lambda a: isolation.permutation_importance(a.scaled, a.forest, "anomaly_flag").select("feature"),
+    "m5_history_facts": lambda a: autoencoder.history_frame(a.scaled, a.autoencoder).agg(
+        (F.count(F.lit(1)) == F.max("epoch")).alias("every_epoch"),
+        F.count_if("is_best").alias("best_epochs"),
+        (F.min("val_loss") == F.min(F.when(F.col("is_best"), F.col("val_loss")))).alias("best_is_least"),
+    ),
+    "m6_error_facts": lambda a: _score_facts(a.scored, "ae_score", float("inf")),
+    "m12_ensemble_facts": _ensemble_facts,
+    "m14_comparison_facts": lambda a: metrics.compare_models(a.scored, "anomaly_flag", ensemble.MODELS).select(
+        "model", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n"), (F.col("fn") + F.col("tp")).alias("positives")
+    ),
+    "k2_model_risk_facts": lambda a: _risk_facts(a.risk, a.cfg),
+    "k13_model_export_facts": lambda a: rk.master_export(a.risk, a.po).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("invoice_number").alias("numbers")
+    ),
+    "x1_additivity_facts": _additivity_facts,
+    "x3_importance_facts": lambda a: explain.importance(a.explained).select("feature"),
+    "x4_top_case_facts": lambda a: explain.long_contributions(explain.top_cases(a.explained_top, 1), "composite_risk_score").select("feature"),
+    "x5_sentence_facts": lambda a: _cases_facts(a, "shap_explanation"),
+    "x6_top_cases_facts": lambda a: a.explained_top.agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("invoice_number").alias("numbers")
+    ),
+    "x7_priority_facts": lambda a: _cases_facts(a, "full_explanation"),
+}
+
 ALL: dict[str, Query] = {
     **SOURCES, **CONTROLS, **RULES, **FEATURE_QUERIES, **METRICS, **RISK, **EXPLORE, **QUALITY,
-    **MODELS,
+    **MODELS, **FACTS,
 }

@@ -117,14 +117,32 @@ def test_gradient_matches_differences(monkeypatch):
 
 def test_autoencoder_learns(tiny, monkeypatch):
     monkeypatch.setattr(autoencoder, "EPOCHS", 6)
-    monkeypatch.setattr(autoencoder, "ROWS_PER_WORKER", 300)  # several workers
-    fitted = autoencoder.fit(tiny.scaled.filter("anomaly_flag = 0"))
+    several = replace(DEFAULT, rows_per_worker=300)
+    fitted = autoencoder.fit(tiny.scaled.filter("anomaly_flag = 0"), cfg=several)
     losses = [v for _, _, v in fitted.history]
     assert len(losses) == 6 and min(losses) < losses[0]
     assert fitted.best_epoch == int(np.argmin(losses)) + 1
     assert len(fitted.weights) == 685
 
 
+def test_autoencoder_weights_do_not_depend_on_layout(spark, monkeypatch):
+    monkeypatch.setattr(autoencoder, "EPOCHS", 2)
+    x = [(F.xxhash64("id", F.lit(i)) % 1000 / 500.0).alias(f"x{i}") for i in range(len(FEATURES))]
+    rows = spark.range(60_000).select(F.concat(F.lit("I"), "id").alias("invoice_number"), F.array(*x).alias("scaled"))
+    found = []
+    for cost, partitions in (("4194304", "8"), ("1", "8"), ("4194304", "2")):
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            found.append(autoencoder.fit(rows))
+        finally:
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for other in found[1:]:
+        assert np.abs(other.weights - found[0].weights).max() < 1e-9
+        assert np.abs(np.array(other.history) - np.array(found[0].history)).max() < 1e-9
+
+
 def test_ensemble(tiny):
     low, high = tiny.scored.agg(F.min("ensemble_score"), F.max("ensemble_score")).first()
     assert 0 <= low < high <= 1

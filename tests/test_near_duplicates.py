@@ -1,13 +1,11 @@
 """Banded and interval search against brute force, also under heavy skew."""
 
 import random
-from dataclasses import replace
 from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
 
-from tallymark.config import DEFAULT
 from tallymark.operators import near_duplicates as nd
 from tests.tables import invoice, keys, table
 
@@ -52,18 +50,14 @@ def random_rows(n: int, seed: int) -> list[dict]:
     return rows
 
 
-@pytest.mark.parametrize("hot_cell", [0, 3, 2000])
-def test_matches_brute_force(spark, hot_cell):
+def test_matches_brute_force(spark):
     rows = random_rows(400, 11)
     expected = brute(rows)
-    cfg = replace(DEFAULT, hot_cell=hot_cell)
     inv = table(spark, "invoices", rows)
-    flagged = nd.near_duplicates(inv, cfg)
+    flagged = nd.near_duplicates(inv)
     got = keys(flagged, "invoice_number", "matched_invoice")
     assert {j for j, _ in got} == {j for j, _ in expected}
     assert got <= expected
-    if hot_cell:  # also with crowded zones dealt to several tasks
-        assert keys(nd.near_duplicate_pairs(inv, cfg), "invoice_number", "matched_invoice") == expected
 
 
 EDGES = [
@@ -81,14 +75,13 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("hot_cell", [0, 2000])
 @pytest.mark.parametrize("refs", [("X", "Y"), (None, None)])
-def test_edges(spark, hot_cell, refs):
+def test_edges(spark, refs):
     rows = []
     for n, (a, b, when, _) in enumerate(EDGES):
         rows.append(invoice(f"E{n}a", "2020-01-01T10:00:00", a, vendor=f"V{n}", ref=refs[0]))
         rows.append(invoice(f"E{n}b", when, b, vendor=f"V{n}", ref=refs[1]))
-    got = keys(nd.near_duplicates(table(spark, "invoices", rows), replace(DEFAULT, hot_cell=hot_cell)))
+    got = keys(nd.near_duplicates(table(spark, "invoices", rows)))
     assert got == {f"E{n}b" for n, e in enumerate(EDGES) if e[3]}
 
 
@@ -97,8 +90,18 @@ def test_copies_of_one_posting_never_pair(spark):
     rows = [invoice(f"C{k}", f"2020-01-0{1 + k % 9}T10:00:00", "500.00", ref="SAME") for k in range(1000)]
     inv = table(spark, "invoices", rows)
     assert nd.near_duplicates(inv).count() == 0
-    assert nd.near_duplicate_pairs(inv).count() == 0
     extra = table(spark, "invoices", [invoice("D", "2020-01-20T10:00:00", "505.00", ref="OTHER")])
     both = inv.unionByName(extra)
     assert keys(nd.near_duplicates(both)) == {"D"}
-    assert nd.near_duplicate_pairs(both).count() == 1000
+
+
+def test_two_postings_copied_many_times_give_a_row_each_at_most(spark):
+    """10,000 copies of each of two matching postings would be 100 million pairs."""
+    from pyspark.sql import functions as F
+
+    one = table(spark, "invoices", [invoice("A", "2020-01-06T10:00:00", "500.00", ref="X")])
+    two = table(spark, "invoices", [invoice("B", "2020-01-07T10:00:00", "505.00", ref="Y")])
+    many = spark.range(10_000).withColumnRenamed("id", "n")
+    rows = one.unionByName(two).crossJoin(many)
+    rows = rows.withColumn("invoice_number", F.concat("invoice_number", F.col("n").cast("string"))).drop("n")
+    assert nd.near_duplicates(rows).count() == 10_000

@@ -113,8 +113,7 @@ def test_quality_finds_planted_faults(spark, tiny):
     assert quality.flag_consistency(tables.invoices).first()["no_flag"] == 1
 
 
-@pytest.mark.parametrize("name,expected", [("r1_exact_duplicates", 9), ("r2_near_duplicate_pairs", 30),
-                                           ("r2_near_duplicates", 29), ("r3_split_orders", 24)])
+@pytest.mark.parametrize("name,expected", [("r1_exact_duplicates", 9), ("r2_near_duplicates", 29), ("r3_split_orders", 24)])
 def test_control_counts(tiny, name, expected):
     from tallymark.plans.registry import ALL
 

@@ -142,16 +142,18 @@ def test_every_explanation_is_complete(tiny):
         assert re.search(PATTERNS[r["rule_triggered"]], r["explanation"]), r
 
 
-def test_long_member_lists_are_split_not_cut(spark):
-    from dataclasses import replace
-
-    rows = [invoice(f"M{k:03d}", "2020-01-06T10:00:00", "10") for k in range(57)]
-    got = controls.same_amount_month(table(spark, "invoices", rows), replace(DEFAULT, list_chunk=10)).collect()
-    assert len(got) > 1 and {r["invoice_count"] for r in got} == {57}
-    assert sorted(n for r in got for n in r["invoice_numbers"]) == [f"M{k:03d}" for k in range(57)]
+@pytest.mark.parametrize("n", [900, 5000])
+def test_groups_of_any_size_give_one_row_per_member(spark, n):
+    rows = [invoice(f"M{k:04d}", "2020-01-06T10:00:00", "10") for k in range(n)]
+    for limit in (30, None):
+        got = controls.same_amount_month(table(spark, "invoices", rows), limit=limit)
+        assert got.columns == ["group_rank", "vendor_id", "invoice_amount", "invoice_month", "invoice_count", "invoice_number"]
+        found = got.collect()
+        assert {(r["group_rank"], r["invoice_count"]) for r in found} == {(1, n)}
+        assert sorted(r["invoice_number"] for r in found) == [r["invoice_number"] for r in rows]
 
 
 def test_null_vendor_forms_a_group_in_the_listing(spark):
     rows = [invoice(n, "2020-01-06T10:00:00", "10", vendor=None) for n in "ab"]
-    got = controls.same_amount_month(table(spark, "invoices", rows)).first()
-    assert (got["vendor_id"], got["invoice_count"], got["invoice_numbers"]) == (None, 2, ["a", "b"])
+    got = controls.same_amount_month(table(spark, "invoices", rows)).collect()
+    assert sorted((r["vendor_id"], r["invoice_count"], r["invoice_number"]) for r in got) == [(None, 2, "a"), (None, 2, "b")]
