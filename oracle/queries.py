@@ -195,6 +195,14 @@ ORACLE["s5_row_counts"] = q(
 )
 
 
+ORACLE["s5_ordered_load"] = q(
+    " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS BIGINT) AS load_order, '{t}' AS \"table\", count(*) AS n, CAST(0 AS BIGINT) AS n_absent FROM {t}"
+        for i, t in enumerate(TABLES)
+    )
+)
+
+
 def _check(check: str, subject: str, measure: str, value: str, source: str) -> str:
     return (
         f"SELECT '{check}' AS \"check\", '{subject}' AS subject, '{measure}' AS measure, "

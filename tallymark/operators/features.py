@@ -57,7 +57,7 @@ def assemble(
     with_order = left_lookup(
         with_vendor, purchase_orders.select("po_number", "total_po_value"), "po_number", "invoice_number"
     )
-    return with_order.join(centre, "cost_centre", "left").drop("_month", "_vendor")
+    return left_lookup(with_order, centre, "cost_centre", "invoice_number").drop("_month", "_vendor")
 
 
 def add_features(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import ANOMALY_FLAGS, DEFAULT, AuditConfig
 from tallymark.functions.expressions import days_floor, deviates, deviation_pct, is_after_hours
+from tallymark.functions.joins import left_lookup
 from tallymark.sources.schemas import CHECKS, FOREIGN_KEYS, NOT_NULL, UNIQUE_KEYS, ErpTables
 
 
@@ -158,8 +159,8 @@ def match_labels(
     invoices: DataFrame, purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT
 ) -> DataFrame:
     """One row: labelled rows, rows truly outside the tolerance, range, status."""
-    rows = invoices.filter("is_match_failure").join(
-        purchase_orders.select("po_number", "total_po_value"), "po_number", "left"
+    rows = left_lookup(
+        invoices.filter("is_match_failure"), purchase_orders.select("po_number", "total_po_value"), "po_number", "invoice_number"
     )
     a, b = F.col("invoice_amount"), F.col("total_po_value")
     return rows.agg(

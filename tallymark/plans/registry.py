@@ -96,6 +96,17 @@ def _append_load(a: Audit) -> DataFrame:
     )
 
 
+def _ordered_load(a: Audit) -> DataFrame:
+    """All six tables from CSV, parents first, and from a folder without files."""
+    source, target = new_path(a.spark, "csv-all"), new_path(a.spark, "load-all")
+    for name, df in a.tables.items():
+        loading.write_csv(df, f"{source}/{name}.csv")
+    loaded = loading.load_all(a.spark, source, target)
+    absent = loading.load_all(a.spark, f"{source}/none", target)
+    rows = [(i + 1, t, n, absent[t]) for i, (t, n) in enumerate(loaded.items())]
+    return a.spark.createDataFrame(rows, 'load_order int, `table` string, n long, n_absent long')
+
+
 VENDOR_SPEND_SQL = """
 SELECT v.vendor_category, count(*) AS n, sum(i.invoice_amount) AS total
 FROM invoices i JOIN vendors v ON i.vendor_id = v.vendor_id
@@ -108,6 +119,7 @@ SOURCES: dict[str, Query] = {
     "s2_csv_sink": _csv_sink,
     "s3_append_load": _append_load,
     "s4_sql_over_tables": lambda a: loading.run_sql(a.spark, a.tables, VENDOR_SPEND_SQL, floor=1000),
+    "s5_ordered_load": _ordered_load,
     "s5_row_counts": lambda a: quality.row_counts(a.tables),
     "s6_constraint_violations": lambda a: quality.constraint_violations(a.tables),
 }

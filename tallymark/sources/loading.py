@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,9 +62,10 @@ def load_table(spark: SparkSession, source_csv: str, table: str, target: str) ->
     """Append one CSV to its table and return the rows read; 0 if absent."""
     if not _exists(spark, source_csv):
         return 0
-    rows = read_csv(spark, source_csv, SCHEMAS[table])
+    counted = Observation()  # counts while the rows are written
+    rows = read_csv(spark, source_csv, SCHEMAS[table]).observe(counted, F.count(F.lit(1)).alias("n"))
     append_load(rows, table, target)
-    return rows.count()
+    return counted.get["n"]
 
 
 def load_all(spark: SparkSession, source_dir: str, target_dir: str) -> dict[str, int]:
