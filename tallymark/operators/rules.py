@@ -166,13 +166,12 @@ def split_orders(purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT) -> Data
     return _exceptions(hits, 3, "po_number", 7, text, "total_po_value")
 
 
-def match_failures(
-    invoices: DataFrame, purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT
-) -> DataFrame:
-    """Invoice differs from its order by more than 5%; above 20% scores higher."""
-    hits = invoices.join(
-        purchase_orders.select("po_number", "total_po_value"), "po_number"
-    ).filter(deviates(F.col("invoice_amount"), F.col("total_po_value"), cfg.match_tolerance))
+# Rules that a single invoice row decides, once its order's value and its vendor's
+# creation are at hand: (condition, score, explanation).
+Terms = tuple[Column, Column, Column]
+
+
+def _match_terms(cfg: AuditConfig) -> Terms:
     gap = F.col("invoice_amount") - F.col("total_po_value")
     severe = deviates(F.col("invoice_amount"), F.col("total_po_value"), cfg.match_severe)
     pct = F.abs(gap).cast("double") * 100 / F.abs(F.col("total_po_value")).cast("double")
@@ -182,20 +181,19 @@ def match_failures(
         fixed(pct, 1), "% ", F.when(over, "OVER").otherwise("UNDER"), " the order value ",
         _amt("total_po_value"), f", beyond the {cfg.match_tolerance:.0%} tolerance.",
     )
-    return _exceptions(hits, 4, "invoice_number", F.when(severe, 7).otherwise(5), text, "invoice_amount")
+    beyond = deviates(F.col("invoice_amount"), F.col("total_po_value"), cfg.match_tolerance)
+    return beyond, F.when(severe, 7).otherwise(5), text
 
 
-def maverick(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+def _maverick_terms(cfg: AuditConfig) -> Terms:
     text = _say(
         "Invoice ", F.col("invoice_number"), " for ", _amt("invoice_amount"), " of vendor ",
         F.col("vendor_id"), " refers to no purchase order.",
     )
-    return _exceptions(
-        invoices.filter(F.col("po_number").isNull()), 5, "invoice_number", 5, text, "invoice_amount"
-    )
+    return F.col("po_number").isNull(), F.lit(5), text
 
 
-def after_hours(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+def _after_hours_terms(cfg: AuditConfig) -> Terms:
     day, hour = F.weekday("invoice_date"), F.hour("invoice_date")
     clock = F.concat(F.lit("at "), F.date_format("invoice_date", "HH"), F.lit(":00 "))
     timing = (
@@ -208,8 +206,98 @@ def after_hours(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
         "Invoice ", F.col("invoice_number"), " for ", _amt("invoice_amount"), " was posted ", timing,
         f"; business hours are {cfg.biz_hour_start:02d}:00-{cfg.biz_hour_end:02d}:00 on weekdays.",
     )
-    hits = invoices.filter(is_after_hours(F.col("invoice_date"), cfg))
-    return _exceptions(hits, 6, "invoice_number", 4, text, "invoice_amount")
+    return is_after_hours(F.col("invoice_date"), cfg), F.lit(4), text
+
+
+def _round_terms(cfg: AuditConfig) -> Terms:
+    text = _say(
+        "Invoice ", F.col("invoice_number"), " has the round amount ", _amt("invoice_amount"),
+        "; real deliveries seldom come to full thousands.",
+    )
+    return is_round(F.col("invoice_amount"), cfg), F.lit(3), text
+
+
+def _new_vendor_terms(cfg: AuditConfig) -> Terms:
+    age = days_floor(F.col("invoice_date"), F.col("vendor_creation_date"))
+    ghost = F.coalesce(F.col("is_ghost_vendor"), F.lit(False))
+    text = _say(
+        "Invoice ", F.col("invoice_number"), " for ", _amt("invoice_amount"), " of vendor ",
+        F.col("vendor_id"), " came ", age.cast("string"),
+        " days after the vendor was created",
+        F.when(ghost, " (POTENTIAL GHOST VENDOR)").otherwise(""), ".",
+    )
+    return age <= cfg.new_vendor_days, F.when(ghost, 9).otherwise(6), text
+
+
+def _single(df: DataFrame, rule: int, terms: Terms) -> DataFrame:
+    condition, score, text = terms
+    return _exceptions(df.filter(condition), rule, "invoice_number", score, text, "invoice_amount")
+
+
+def match_failures(
+    invoices: DataFrame, purchase_orders: DataFrame, cfg: AuditConfig = DEFAULT
+) -> DataFrame:
+    """Invoice differs from its order by more than 5%; above 20% scores higher."""
+    return _single(invoices.join(_order_values(purchase_orders), "po_number"), 4, _match_terms(cfg))
+
+
+def maverick(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+    return _single(invoices, 5, _maverick_terms(cfg))
+
+
+def after_hours(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+    return _single(invoices, 6, _after_hours_terms(cfg))
+
+
+def round_amounts(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+    return _single(invoices, 8, _round_terms(cfg))
+
+
+def new_vendors(invoices: DataFrame, vendors: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+    """Invoice within 7 days of the vendor's creation, or before it."""
+    return _single(invoices.join(_vendor_ages(vendors), "vendor_id"), 9, _new_vendor_terms(cfg))
+
+
+def _order_values(purchase_orders: DataFrame) -> DataFrame:
+    return purchase_orders.select("po_number", "total_po_value")
+
+
+def _vendor_ages(vendors: DataFrame) -> DataFrame:
+    return vendors.select("vendor_id", "vendor_creation_date", "is_ghost_vendor")
+
+
+def strongest_of_row(
+    invoices: DataFrame, purchase_orders: DataFrame, vendors: DataFrame, cfg: AuditConfig = DEFAULT
+) -> DataFrame:
+    """The strongest of rules 4, 5, 6, 8 and 9 for every invoice that breaks
+    one, from a single pass over the invoices; explanations are written for the
+    chosen rule only."""
+    terms = {
+        4: _match_terms(cfg), 5: _maverick_terms(cfg), 6: _after_hours_terms(cfg),
+        8: _round_terms(cfg), 9: _new_vendor_terms(cfg),
+    }
+    joined = left_lookup(invoices, _order_values(purchase_orders), "po_number", "invoice_number")
+    joined = left_lookup(joined, _vendor_ages(vendors), "vendor_id", "invoice_number")
+    # one number orders score (high first), then rule
+    codes = [F.when(broken, -100 * score + rule) for rule, (broken, score, _) in terms.items()]
+    chosen = joined.withColumn("_code", F.array_min(F.array(*codes))).filter(F.col("_code").isNotNull())
+    chosen = chosen.withColumn("_rule", F.pmod("_code", F.lit(100)))
+
+    def of_rule(values: dict[int, Column]) -> Column:
+        out = F.lit(None)
+        for rule, value in values.items():
+            out = F.when(F.col("_rule") == rule, value).otherwise(out)
+        return out
+
+    return chosen.select(
+        "invoice_number",
+        F.col("_rule").cast("int").alias("rule_no"),
+        of_rule({r: F.lit(RULE_NAMES[r]) for r in terms}).alias("rule_triggered"),
+        F.expr("(_rule - _code) / 100").cast("int").alias("risk_score"),
+        of_rule({r: t[2] for r, t in terms.items()}).alias("explanation"),
+        of_rule({r: F.lit(ACTIONS[r]) for r in terms}).alias("recommended_action"),
+        F.round(F.col("invoice_amount"), 2).cast("decimal(17,2)").alias("financial_value"),
+    )
 
 
 def budget_overruns(budget: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
@@ -232,34 +320,6 @@ def budget_overruns(budget: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     return _exceptions(hits, 7, key, F.when(severe, 6).otherwise(4), text, "overrun")
 
 
-def round_amounts(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    text = _say(
-        "Invoice ", F.col("invoice_number"), " has the round amount ", _amt("invoice_amount"),
-        "; real deliveries seldom come to full thousands.",
-    )
-    hits = invoices.filter(is_round(F.col("invoice_amount"), cfg))
-    return _exceptions(hits, 8, "invoice_number", 3, text, "invoice_amount")
-
-
-def new_vendors(invoices: DataFrame, vendors: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """Invoice within 7 days of the vendor's creation, or before it."""
-    known = vendors.select("vendor_id", "vendor_creation_date", "is_ghost_vendor")
-    age = days_floor(F.col("invoice_date"), F.col("vendor_creation_date"))
-    hits = (
-        invoices.join(known, "vendor_id")
-        .withColumn("age", age)
-        .filter(F.col("age") <= cfg.new_vendor_days)
-    )
-    ghost = F.coalesce(F.col("is_ghost_vendor"), F.lit(False))
-    text = _say(
-        "Invoice ", F.col("invoice_number"), " for ", _amt("invoice_amount"), " of vendor ",
-        F.col("vendor_id"), " came ", F.col("age").cast("string"),
-        " days after the vendor was created",
-        F.when(ghost, " (POTENTIAL GHOST VENDOR)").otherwise(""), ".",
-    )
-    return _exceptions(hits, 9, "invoice_number", F.when(ghost, 9).otherwise(6), text, "invoice_amount")
-
-
 # --- report over all rules --------------------------------------------------
 
 
@@ -314,7 +374,16 @@ def exceptions_report(
     budget: DataFrame,
     cfg: AuditConfig = DEFAULT,
 ) -> DataFrame:
-    return with_rule_tier(strongest(all_exceptions(invoices, purchase_orders, vendors, budget, cfg)))
+    """The strongest exception per key with its tier. Rules that one row decides
+    are settled in a single pass before the rest is added."""
+    parts = [
+        exact_duplicates(invoices, cfg),
+        near_duplicates(invoices, cfg),
+        split_orders(purchase_orders, cfg),
+        budget_overruns(budget, cfg),
+        strongest_of_row(invoices, purchase_orders, vendors, cfg),
+    ]
+    return with_rule_tier(strongest(reduce(DataFrame.unionByName, parts)))
 
 
 def tier_totals(report: DataFrame) -> DataFrame:

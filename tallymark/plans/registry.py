@@ -144,9 +144,7 @@ RULES: dict[str, Query] = {
     "r7_budget_overruns": lambda a: _hits(rules.budget_overruns(a.bud)),
     "r8_round_amounts": lambda a: _hits(rules.round_amounts(a.inv)),
     "r9_new_vendors": lambda a: _hits(rules.new_vendors(a.inv, a.ven)),
-    "r10_exceptions_report": lambda a: _hits(
-        rules.strongest(rules.all_exceptions(a.inv, a.po, a.ven, a.bud))
-    ),
+    "r10_exceptions_report": lambda a: _hits(rules.exceptions_report(a.inv, a.po, a.ven, a.bud)),
     "r10_exceptions_with_text": lambda a: a.report,
     "r11_rule_tier": lambda a: a.report.select("invoice_number", "risk_score", "risk_tier"),
     "r12_tier_totals": lambda a: rules.tier_totals(a.report),

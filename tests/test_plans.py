@@ -49,3 +49,8 @@ def test_no_cross_join_in_any_query(tiny):
 
     odd = [n for n, query in ALL.items() if "CartesianProduct" in (text := plan(query(tiny))) or "BroadcastNestedLoopJoin" in text]
     assert not odd
+
+
+def test_one_pass_report_equals_all_rules(tiny):
+    every = rules.with_rule_tier(rules.strongest(rules.all_exceptions(tiny.inv, tiny.po, tiny.ven, tiny.bud)))
+    assert same(every, tiny.report.select(*every.columns))
