@@ -1,18 +1,25 @@
 """Exact quantiles with linear interpolation, and histogram bins.
 
-Spark's `percentile` gathers all distinct values of a group in one task. Here
-equal values are first counted (map-side combined), the counts are laid out in
-value order and the wanted positions are read off running totals.
+Spark's `percentile` gathers all distinct values of a group in one task. Here a
+mergeable sketch of fixed size first brackets every wanted position; a second
+pass counts the rows below each bracket and keeps only equal-value counts inside
+it. What is left to be put in order is a few thousandths of the values.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.ordering import running_totals
 
 
+#: The sketch's rank error is one part in so many; brackets reach four such parts to either side.
+ACCURACY = 10_000
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -22,30 +29,82 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group: `n` and a column per entry of `probs`."""
     group = list(group)
+    rows = df.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_v"))
+    reach = 4.0 / ACCURACY
+    edges = [min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-reach, reach)]
+    sketch = rows.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("_v", edges, ACCURACY).alias("_edges")
+    )
+    brackets = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"), F.lit(float(p)).alias("p"),
+                F.get("_edges", F.lit(2 * i)).alias("lo"), F.get("_edges", F.lit(2 * i + 1)).alias("hi"),
+            )
+            for i, (name, p) in enumerate(probs.items())
+        ]
+    )
+    boxed = sketch.withColumn("_b", brackets).drop("_edges")
+    if group:
+        same = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group])
+        placed = rows.alias("r").join(boxed.alias("s"), same).select(*[f"r.{g}" for g in group], "_v", "n", "_b")
+    else:
+        placed = rows.withColumns(
+            {c: boxed.agg(F.first(c).alias(c)).scalar() for c in ("n", "_b")}
+        )
+    # per bracket: rows below it, the nearest values outside, and counts of the values inside
+    sides = placed.groupBy(*group, "n").agg(
+        *[
+            measure.alias(f"_{what}_{name}")
+            for i, name in enumerate(probs)
+            for what, measure in (
+                ("below", F.count_if(F.col("_v") < _bracket(i, "lo"))),
+                ("prev", F.max(F.when(F.col("_v") < _bracket(i, "lo"), F.col("_v")))),
+                ("next", F.min(F.when(F.col("_v") > _bracket(i, "hi"), F.col("_v")))),
+            )
+        ]
+    )
+    inside = F.filter("_b", lambda b: F.col("_v").between(b["lo"], b["hi"]))
     counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, value)
+        placed.select(*group, "_v", F.explode(F.transform(inside, lambda b: b["name"])).alias("_name"))
+        .groupBy(*group, "_name", "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    run = running_totals(counts, [value], ["_n"], tuple(group), chunks)
-    placed = run.withColumn("_upto", F.col("before__n") + F.col("_n")).withColumnRenamed("total__n", "n")
+    run = running_totals(counts, ["_v"], ["_n"], (*group, "_name"), chunks)
+    listed = run.withColumn("_upto", F.col("before__n") + F.col("_n"))
+    on = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
+    joined = listed.alias("a").join(sides.alias("b"), reduce(lambda a, b: a & b, on)) if on else listed.alias("a").withColumns(
+        {c: sides.agg(F.first(c).alias(c)).scalar() for c in sides.columns}
+    )
     aggs: list[Column] = []
     for name, p in probs.items():
-        pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
-        low = F.floor(pos).cast("bigint")
+        low = F.floor((F.col("n") - 1).cast("double") * F.lit(float(p))).cast("bigint")
         high = F.least(low + 1, F.col("n") - 1)
-        aggs.append(F.min(F.when(F.col("_upto") > low, F.col(value))).alias(f"_lo_{name}"))
-        aggs.append(F.min(F.when(F.col("_upto") > high, F.col(value))).alias(f"_hi_{name}"))
-    picked = placed.groupBy(*group).agg(F.max("n").alias("n"), *aggs)
+        own, below = F.col("_name") == name, F.col(f"_below_{name}")
+        for side, rank in (("lo", low), ("hi", high)):
+            aggs.append(F.min(F.when(own & (below + F.col("_upto") > rank), F.col("_v"))).alias(f"_in_{side}_{name}"))
+            aggs.append(F.first(below > rank).alias(f"_before_{side}_{name}"))
+        aggs += [F.first(f"_prev_{name}").alias(f"_prev_{name}"), F.first(f"_next_{name}").alias(f"_next_{name}")]
+    picked = joined.groupBy(*[F.col(f"a.{g}").alias(g) for g in group]).agg(F.first("n").alias("n"), *aggs)
     out = []
     for name, p in probs.items():
         pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
         frac = pos - F.floor(pos)
-        lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+        # positions round differently in the sketch, so one may lie just outside its bracket
+        lo, hi = (
+            F.when(F.col(f"_before_{side}_{name}"), F.col(f"_prev_{name}"))
+            .otherwise(F.coalesce(f"_in_{side}_{name}", f"_next_{name}"))
+            .cast("double")
+            for side in ("lo", "hi")
+        )
         out.append((lo + (hi - lo) * frac).alias(name))
     return picked.select(*group, "n", *out)
 
 
+def _bracket(i: int, side: str) -> Column:
+    return F.get("_b", F.lit(i))[side]
+
+
 def bin_index(value: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based bin of equal width; the last bin is closed at `high`."""
     width = (high - low) / F.lit(float(bins))

@@ -60,6 +60,22 @@ def test_quantiles_match_numpy(spark):
     assert whole["p95"] == pytest.approx(np.percentile(np.concatenate([a, b, [4.0]]), 95))
 
 
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+def test_quantiles_from_narrow_brackets(spark, monkeypatch, accuracy):
+    """Coarse and fine sketches leave few values to order and give the same, also with ties."""
+    from tallymark.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    rng = np.random.default_rng(accuracy)
+    groups = {"n": rng.normal(size=20_001), "t": rng.integers(0, 40, 15_000) / 4.0, "s": rng.normal(size=7), "two": np.array([1.0, 9.0])}
+    df = spark.createDataFrame([(g, float(x)) for g, v in groups.items() for x in v], "g string, x double")
+    probs = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95, "p100": 1.0}
+    got = {r["g"]: r for r in exact_quantiles(df, "x", probs, ("g",)).collect()}
+    for g, values in groups.items():
+        for name, p in probs.items():
+            assert got[g][name] == pytest.approx(np.percentile(values, p * 100), abs=1e-12), (g, name)
+
+
 def test_histogram_closes_last_bin(spark):
     df = spark.createDataFrame([(float(x),) for x in (0, 1, 5, 9.9, 10)], "x double")
     got = {r["bin"]: r["n"] for r in histogram(df, "x", 5).collect()}
