@@ -40,6 +40,15 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "tallymark", app, f"{label}-{uuid.uuid4().hex}")
 
 
+def remove_stored(spark: SparkSession) -> None:
+    """Delete all that this application has written to the shared folder; results
+    that still read from there can't be evaluated afterwards."""
+    jvm = spark.sparkContext._jvm
+    root = os.path.join(shared_dir(spark), "tallymark", spark.sparkContext.applicationId)
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def pin(df: DataFrame, label: str = "pin") -> DataFrame:
     """Write `df` once to the shared folder and read it back."""
     spark = df.sparkSession

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
-from tallymark.functions.ordering import pin
+from tallymark.functions.ordering import pin, remove_stored
 from tallymark.operators import autoencoder, ensemble, explain, isolation
 from tallymark.operators import features as feat
 from tallymark.operators import risk as rk
 from tallymark.operators import rules
 from tallymark.plans.shipping import ship_package
+from tallymark.sources import erp_views
 from tallymark.sources.erp_views import stored_tables
 from tallymark.sources.schemas import ErpTables
 
@@ -131,6 +132,16 @@ class Audit:
 _audits: dict[tuple[str, str], Audit] = {}
 
 
+def close_audits(spark: SparkSession) -> None:
+    """End of an audit: forget this application's audits and delete their
+    intermediate tables. Collect or write the results before."""
+    app = spark.sparkContext.applicationId
+    for known in (_audits, erp_views.stored):
+        for key in [k for k in known if k[0] == app]:
+            del known[key]
+    remove_stored(spark)
+
+
 def audit(spark: SparkSession, sf_dir: str) -> Audit:
     """The audit over the tables derived from one data folder."""
     key = (spark.sparkContext.applicationId, sf_dir)

@@ -370,18 +370,18 @@ def erp_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
     )
 
 
-_stored: dict[tuple[str, str], ErpTables] = {}
+stored: dict[tuple[str, str], ErpTables] = {}
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> ErpTables:
     """The six tables written once per application to the shared folder, so
     that every later query prunes columns and pushes filters down to them."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
+    if key not in stored:
         root = new_path(spark, "erp")
         views = erp_tables(spark, sf_dir).items()
         with ThreadPoolExecutor(len(views)) as pool:  # independent jobs, one per table
             list(pool.map(lambda item: item[1].write.parquet(f"{root}/{item[0]}"), views))
-        _stored[key] = open_tables(spark, root)
+        stored[key] = open_tables(spark, root)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return _stored[key]
+    return stored[key]

@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -118,3 +122,21 @@ def test_control_counts(tiny, name, expected):
     from tallymark.plans.registry import ALL
 
     assert ALL[name](tiny).count() == expected
+
+
+def test_closing_deletes_intermediate_tables(sf_dir, tmp_path):
+    """In a session of its own, as other tests still read their tables."""
+    code = f"""
+import os
+from pyspark.sql import SparkSession
+from tallymark.plans.pipeline import audit, close_audits
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+assert audit(spark, {sf_dir!r}).report.count() > 0
+root = os.path.join({str(tmp_path)!r}, "tallymark")
+assert os.listdir(os.path.join(root, spark.sparkContext.applicationId))
+close_audits(spark)
+assert not os.listdir(root)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=300)
