@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, RULE_NAMES, AuditConfig
@@ -28,7 +28,7 @@ from tallymark.functions.expressions import (
     whole,
 )
 from tallymark.functions.joins import left_lookup
-from tallymark.functions.ordering import previous_row
+from tallymark.functions.ordering import previous_row, running_totals
 from tallymark.operators import near_duplicates as nd
 
 ACTIONS = {
@@ -114,29 +114,31 @@ def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFram
     return _near_exceptions(nd.near_duplicates(invoices, cfg))
 
 
-def _split_windows(orders: DataFrame, cfg: AuditConfig) -> DataFrame:
+def _split_windows(orders: DataFrame, cfg: AuditConfig, chunks: int | None = None) -> DataFrame:
     """First qualifying window per vendor: start, end, number and sum of orders.
 
-    Orders of one vendor and instant are summed first. Each sum is placed in
-    its own (window + 1 day) slot and, as look-ahead, in the slot before, so a
-    window task holds at most two slots of one vendor instead of a vendor.
+    Orders of one vendor and instant are summed first. Every instant is also
+    asked about `split_window_days` later; running totals along (vendor, time)
+    over instants and questions give what lies before either, and a window is
+    the difference. A vendor of any size is cut across chunks.
     """
-    span = cfg.split_window_days * MICROS_PER_DAY
-    slot_width = float(span + MICROS_PER_DAY)
     instants = orders.groupBy("vendor_id", F.col("po_date").alias("start")).agg(
         F.sum("total_po_value").alias("value"), F.count(F.lit(1)).alias("n")
+    ).withColumn("t", micros(F.col("start")))
+    span = F.lit(cfg.split_window_days * MICROS_PER_DAY)
+    asked = instants.select(
+        "vendor_id", "start", F.lit(None).cast(instants.schema["value"].dataType).alias("value"),
+        F.lit(0).cast("bigint").alias("n"), (F.col("t") + span).alias("t"), F.lit(1).alias("kind"),
     )
-    placed = (
-        instants.withColumn("t", micros(F.col("start")))
-        .withColumn("own", F.floor(F.col("t").cast("double") / F.lit(slot_width)).cast("bigint"))
-        .withColumn("slot", F.explode(F.array("own", F.col("own") - 1)))
+    points = instants.select("vendor_id", "start", "value", "n", "t", F.lit(0).alias("kind")).unionByName(asked)
+    run = running_totals(points, ["t", "kind", "start"], ["value", "n"], ("vendor_id",), chunks)
+    ends = F.col("kind") == 1
+    sums = run.groupBy("vendor_id", "start").agg(
+        *[
+            (F.max(F.when(ends, F.col(f"before_{c}"))) - F.max(F.when(~ends, F.col(f"before_{c}")))).alias(name)
+            for c, name in (("n", "group_size"), ("value", "group_value"))
+        ]
     )
-    ahead = Window.partitionBy("vendor_id", "slot").orderBy("t").rangeBetween(0, span)
-    sums = placed.select(
-        "vendor_id", "start", "own", "slot",
-        F.sum("n").over(ahead).alias("group_size"),
-        F.sum("value").over(ahead).alias("group_value"),
-    ).filter(F.col("slot") == F.col("own"))
     return (
         sums.filter((F.col("group_size") >= 2) & (F.col("group_value") > F.lit(cfg.approval_threshold)))
         .groupBy("vendor_id")

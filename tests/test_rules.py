@@ -142,6 +142,33 @@ def test_every_explanation_is_complete(tiny):
         assert re.search(PATTERNS[r["rule_triggered"]], r["explanation"]), r
 
 
+@pytest.mark.parametrize("chunks", [1, 7])
+def test_split_windows_of_one_vendor_cut_across_chunks(spark, chunks):
+    """All orders belong to one vendor; windows as a plain scan finds them."""
+    import random
+    from datetime import datetime, timedelta
+
+    from tallymark.config import DEFAULT
+
+    rnd = random.Random(chunks)
+    for _ in range(3):
+        times = sorted(datetime(2020, 1, 1) + timedelta(hours=rnd.randint(0, 24 * 400)) for _ in range(60))
+        values = [rnd.randint(1, 60_000) for _ in times]
+        rows = [
+            {"po_number": f"P{i}", "vendor_id": "V", "po_date": t, "total_po_value": v}
+            for i, (t, v) in enumerate(zip(times, values))
+        ]
+        found = rules._split_windows(table(spark, "purchase_orders", rows), DEFAULT, chunks).collect()
+        expected = None
+        for start in times:
+            inside = [v for t, v in zip(times, values) if start <= t <= start + timedelta(days=30)]
+            if len(inside) >= 2 and sum(inside) > DEFAULT.approval_threshold:
+                expected = (start, len(inside), sum(inside))
+                break
+        got = [(r["start"], r["group_size"], int(r["group_value"])) for r in found]
+        assert got == ([expected] if expected else [])
+
+
 @pytest.mark.parametrize("n", [900, 5000])
 def test_groups_of_any_size_give_one_row_per_member(spark, n):
     rows = [invoice(f"M{k:04d}", "2020-01-06T10:00:00", "10") for k in range(n)]
