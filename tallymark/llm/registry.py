@@ -6,6 +6,7 @@ from tallymark.llm.decontamination import op10_decontamination
 from tallymark.llm.language import op3_language
 from tallymark.llm.minhash import op9_minhash
 from tallymark.llm.mixing import op5_mixing
+from tallymark.llm.oracle import OP9_MINHASH, OP10_DECONTAMINATION
 from tallymark.llm.pages import op4_main_text
 from tallymark.llm.secrets import op1_secrets
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
@@ -25,4 +26,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_minhash": OP9_MINHASH, "op10_decontamination": OP10_DECONTAMINATION}
