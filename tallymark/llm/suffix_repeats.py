@@ -244,11 +244,14 @@ def repeated_passages(
         _list_anchors(length),
         f"id {kind}, text_key long, string long, run binary, start long, n_windows int, offset int",
     )
-    again = (
+    counted = (
         base.select("text").mapInArrow(_list_strings(length), "string long")
         .groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string")
     )
-    shared = stored(listed.join(again, "string"), "anchors")
+    # stored, so that both sides of the join come from a shuffle of their own and a
+    # string that many places share can be split over tasks
+    again = stored(counted, "strings")
+    shared = stored(listed.join(again.hint("merge"), "string"), "anchors")
     detail = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start", "n_windows", "offset")
     runs = stored(
         shared.groupBy("string", "run").agg(F.count(F.lit(1)).alias("size"), F.min(detail).alias("first")), "runs"
