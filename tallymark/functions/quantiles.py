@@ -49,9 +49,8 @@ def exact_quantiles(
         same = reduce(lambda a, b: a & b, [F.col(f"r.{g}").eqNullSafe(F.col(f"s.{g}")) for g in group])
         placed = rows.alias("r").join(boxed.alias("s"), same).select(*[f"r.{g}" for g in group], "_v", "n", "_b")
     else:
-        placed = rows.withColumns(
-            {c: boxed.agg(F.first(c).alias(c)).scalar() for c in ("n", "_b")}
-        )
+        one = boxed.select(F.struct("n", "_b").alias("one")).scalar()
+        placed = rows.withColumn("_one", one).select("_v", "_one.*")
     # per bracket: rows below it, the nearest values outside, and counts of the values inside
     sides = placed.groupBy(*group, "n").agg(
         *[
@@ -73,9 +72,11 @@ def exact_quantiles(
     run = running_totals(counts, ["_v"], ["_n"], (*group, "_name"), chunks)
     listed = run.withColumn("_upto", F.col("before__n") + F.col("_n"))
     on = [F.col(f"a.{g}").eqNullSafe(F.col(f"b.{g}")) for g in group]
-    joined = listed.alias("a").join(sides.alias("b"), reduce(lambda a, b: a & b, on)) if on else listed.alias("a").withColumns(
-        {c: sides.agg(F.first(c).alias(c)).scalar() for c in sides.columns}
-    )
+    if on:
+        joined = listed.alias("a").join(sides.alias("b"), reduce(lambda a, b: a & b, on))
+    else:
+        one = sides.agg(F.first(F.struct(*sides.columns)).alias("one")).scalar()
+        joined = listed.drop("n").withColumn("_one", one).select("*", "_one.*")
     aggs: list[Column] = []
     for name, p in probs.items():
         low = F.floor((F.col("n") - 1).cast("double") * F.lit(float(p))).cast("bigint")
