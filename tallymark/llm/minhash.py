@@ -234,6 +234,14 @@ def near_duplicates(
     never name a component unless all its ids are null (then it is null);
     repeated rows are copies of each other. Other columns are not read.
     """
+    return _with_roots(documents, width, similarity, id_col, text).drop("root")
+
+
+def _with_roots(
+    documents: DataFrame, width: int = 5, similarity: int = 80, id_col: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """near_duplicates with `root`, the set_id that stands for the component
+    whatever ids its rows have; null for texts without words."""
     prepare(documents.sparkSession)
     renamed, _, new = positional(documents)
     base = renamed.select(
@@ -286,7 +294,7 @@ def near_duplicates(
     )
     named = named.select("set_id", "first_id", F.coalesce("root", "set_id").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_class = named.join(smallest, "root").select("set_id", "component_id")
+    of_class = named.join(smallest, "root").select("set_id", "component_id", "root")
     out = signed.join(of_class, "set_id", "left")
     component = F.when(F.col("set_id").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(
@@ -296,18 +304,20 @@ def near_duplicates(
         "set_id",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
+        "root",
     )
 
 
 def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: int = 80) -> DataFrame:
     """`documents` with one row of each group of near-duplicates: the smallest
     id (nulls last), then the smallest text hash; one of exactly repeated rows.
-    Rows without words all stay."""
-    found = near_duplicates(documents, width, similarity)
+    Rows without words all stay. Groups are told by their links alone: different
+    texts stay also where they share an id or have none."""
+    found = _with_roots(documents, width, similarity)
     alone = F.col("set_id").isNull()
     names = (
         found.filter(~alone)
-        .groupBy(F.coalesce("component_id", "doc_id").alias("component"))
+        .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), "text_key")).alias("first"))
         .select("first.id", "first.text_key", F.lit(False).alias("all_stay"))
     )

@@ -116,6 +116,16 @@ def test_edge_rows(spark, docs, clashing, empty, benchmark, tmp_path, name):
         assert all(r.copies in (0, 1, 2) for r in got) and taken["c"] <= 2 * size["c"]
 
 
+def test_near_duplicates_stay_where_only_ids_are_shared_or_missing(spark):
+    def words(a):
+        return " ".join(f"w{a}x{i}" for i in range(30))
+
+    rows = [(None, words(1)), (None, words(2)), (None, words(2) + " "), (4, words(3)), (4, words(4)), (5, words(4)), (None, None)]
+    got = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = Counter((r.doc_id, r.text and r.text.strip()) for r in got)
+    assert kept == Counter([(None, words(1)), (None, words(2)), (4, words(3)), (4, words(4)), (None, None)])
+
+
 def test_pages_on_edge_rows(spark):
     rows = [(1, None, None), (2, "http://a.example/x", ""), (3, "nonsense", "<p>One &amp; two<p>three"), (3, "nonsense", "<p>One &amp; two<p>three")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").select("*", F.lit(1).alias("TEXT"))
