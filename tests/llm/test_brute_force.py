@@ -141,6 +141,22 @@ def test_op3_rejects_random_letters(spark, sf_dir):
     assert not [i for i in kept if i < 0] and len(kept) == table.count()
 
 
+def test_op3_sets_a_level_for_every_language(spark, monkeypatch):
+    monkeypatch.setattr(language, "CALIBRATION_TEXTS", 20)
+    rng = random.Random(5)
+    rows = [("big", " ".join(rng.choices(["lorem", "ipsum", "dolor", "amet"], k=20))) for _ in range(900)]
+    rows += [("big", "one copied text " * 4)] * 600
+    rows += [("small", " ".join(rng.choices(["kuusi", "palaa", "talo", "yksi"], k=20))) for _ in range(3)]
+    model = language.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(model.limits) == {"big", "small"}
+    # without a level, what is no better than random letters is rejected all the same
+    monkeypatch.setattr(language, "_calibrate", lambda *_: None)
+    odd = "".join(rng.choices("bcdfghjqvwxz", k=300))
+    frame = spark.createDataFrame([(*r, True) for r in rows] + [(None, odd, False)], "lang string, text string, seen boolean")
+    got = language.identify(frame, F.col("seen")).filter("not seen or lang = 'small'").collect()
+    assert [r.rejected for r in got] == [not r.seen for r in got]
+
+
 def test_op4_reads_articles(spark, sf_dir):
     import html
 
