@@ -31,6 +31,8 @@ OVERLAP = 4
 #: Out-degree, candidates and slack of robust pruning; beam of the greedy search; what the widening goes through.
 DEGREE, CANDIDATES, ALPHA, BEAM, SLACK = 24, 64, 1.2, 16, 0.06
 AUDIT_QUERIES, LEAST_RECALL = 200, 0.98
+#: Queries from which on the audit takes those of similar numbers of links for themselves.
+LEAST_BAND = 10
 
 _log = logging.getLogger(__name__)
 
@@ -151,8 +153,7 @@ def _search(least: float):
         keys, node, home = t["key"].combine_chunks(), t["node"].to_numpy(), t["home"].to_numpy(zero_copy_only=False)
         times, block, low, high = (t[c].to_numpy() for c in ("times", "block", "lo", "hi"))
         lists = t["near"].combine_chunks()
-        counts: list[tuple[int, int]] = []
-        hang: list[tuple[np.ndarray, np.ndarray]] = []
+        rows: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             x, own = _matrix(t["unit"], slice(lo, hi)), node[lo:hi]
             order = np.argsort(own)
@@ -173,20 +174,32 @@ def _search(least: float):
                 if cross:
                     found = found[block[lo + found] != block[lo + q]]
                 if len(found):
-                    counts.append((lo + int(q), int(times[lo + found].sum())))
                     left.append(np.full(len(found), q))
                     right.append(found)
-            if left:
-                root = union_find(hi - lo, np.concatenate(left), np.concatenate(right))
-                leaf = np.flatnonzero(root != np.arange(hi - lo))
-                hang.append((lo + leaf, lo + root[leaf]))
-        if not counts:
+            if not left:
+                continue
+            a, b = np.concatenate(left), np.concatenate(right)
+            root = union_find(hi - lo, a, b)
+            leaf = np.flatnonzero(root != np.arange(hi - lo))
+            rows.append((lo + leaf, lo + root[leaf], np.zeros(len(leaf), np.int64), np.zeros(len(leaf), np.int64)))
+            # a pair at home here is met in no other task: counted at both ends at once
+            inner = home[lo + b]
+            pair = np.unique(np.minimum(a, b)[inner] * (hi - lo) + np.maximum(a, b)[inner])
+            u, v = pair // (hi - lo), pair % (hi - lo)
+            total = np.zeros(hi - lo, np.int64)
+            np.add.at(total, u, times[lo + v])
+            np.add.at(total, v, times[lo + u])
+            own_count = np.flatnonzero(total)
+            rows.append((lo + own_count, np.full(len(own_count), -1), total[own_count], np.zeros(len(own_count), np.int64)))
+            # others may be found from either home: written as pairs, counted once later
+            u, v = lo + a[~inner], lo + b[~inner]
+            rows.append((u, v, times[v], times[u]))
+        if not rows:
             return None
-        a = np.concatenate([[c[0] for c in counts], *[h[0] for h in hang]]).astype(np.int64)
-        b = np.concatenate([np.full(len(counts), -1), *[h[1] for h in hang]]).astype(np.int64)
-        n = np.concatenate([[c[1] for c in counts], *[np.zeros(len(h[0])) for h in hang]]).astype(np.int64)
+        a, b, n, m = (np.concatenate(c).astype(np.int64) for c in zip(*rows, strict=True))
         return pa.RecordBatch.from_arrays(
-            [keys.take(pa.array(a)), keys.take(pa.array(np.where(b < 0, None, b), pa.int64())), pa.array(n)], ["a", "b", "n"]
+            [keys.take(pa.array(a)), keys.take(pa.array(np.where(b < 0, None, b), pa.int64())), pa.array(n), pa.array(m)],
+            ["a", "b", "n", "m"],
         )
 
     return work
@@ -221,8 +234,40 @@ def _assign(centroids, overlap: int):
     return run
 
 
+def _link_counts(found: DataFrame) -> DataFrame:
+    """(key, found): rows linked with each class, every found pair counted at
+    both its ends, whichever end it was found from. In `found`, rows without b
+    are counts of a home shard, those with n > 0 pairs of different homes."""
+    forward = F.col("a") < F.col("b")
+    across = (
+        found.filter("b is not null and n > 0")
+        .select(
+            F.when(forward, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(forward, F.col("b")).otherwise(F.col("a")).alias("v"),
+            F.when(forward, F.col("n")).otherwise(F.col("m")).alias("of_u"), F.when(forward, F.col("m")).otherwise(F.col("n")).alias("of_v"),
+        )
+        .distinct()
+    )
+    ends = F.explode(F.array(F.struct(F.col("u").alias("key"), F.col("of_u").alias("n")), F.struct(F.col("v").alias("key"), F.col("of_v").alias("n"))))
+    both = across.select(ends.alias("end")).select("end.key", "end.n")
+    inner = found.filter("b is null").select(F.col("a").alias("key"), "n")
+    return inner.unionByName(both).groupBy("key").agg(F.sum("n").alias("found"))
+
+
+def _recall(of_query: list[tuple[int, int]]) -> float:
+    """Recall from (links, links found) of queries: their mean over queries of
+    similar numbers of links (the same power of two), and of these the lowest,
+    so that a large group does not hide what is missed in small ones."""
+    bands: dict[int, list[float]] = {}
+    for links, got in of_query:
+        if links > 0:
+            bands.setdefault(links.bit_length(), []).append(min(got, links) / links)
+    means = [sum(b) / len(b) for b in bands.values() if len(b) >= LEAST_BAND]
+    every = [x for b in bands.values() for x in b]
+    return min([*means, sum(every) / len(every)]) if every else 1.0
+
+
 def _audit(classes: DataFrame, found: DataFrame, least: float) -> float:
-    """Share of the links of a bounded set of queries, by brute force over all classes, that were found."""
+    """Recall of a bounded set of queries, by brute force over all classes; see _recall."""
     spark = classes.sparkSession
     n = classes.count()
     every = max(1, n // AUDIT_QUERIES)
@@ -249,17 +294,14 @@ def _audit(classes: DataFrame, found: DataFrame, least: float) -> float:
 
     true = classes.select("unit", "dim", "times").mapInArrow(count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
     true = true.join(classes.select("key", "times"), "key").join(found, "key", "left")
-    row = true.agg(
-        F.sum(F.col("n") - F.col("times")).alias("all"), F.sum(F.least(F.coalesce("found", F.lit(0)), F.col("n") - F.col("times"))).alias("got")
-    ).first()
-    return 1.0 if not row["all"] else row["got"] / row["all"]
+    return _recall([(r["n"] - r["times"], r["found"] or 0) for r in true.select("n", "times", "found").collect()])
 
 
 def near_vectors(
     vectors: DataFrame, id_col: str = "vec_id", column: str = "embedding", least: float = COSINE, overlap: int = OVERLAP
 ) -> DataFrame:
-    """One row per row of `vectors`: id, n_links (other rows at a cosine of
-    `least` or more), component_id (smallest id reachable), kept.
+    """One row per row of `vectors`: id, n_links (other rows found at a cosine of
+    `least` or more, from either end), component_id (smallest id reachable), kept.
 
     Null, empty and zero vectors and those with null or non-finite components
     link with nothing and are their own component. Vectors of different lengths
@@ -302,16 +344,16 @@ def near_vectors(
         near = grouped_stream(members.select("shard", "lo", "hi", "node", "unit"), ["shard", "lo", "hi"], "node long, near array<long>", _build)
         united = near.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
         found = stored(
-            grouped_stream(members.join(united, "node"), ["shard", "lo", "hi"], "a binary, b binary, n long", _search(least)),
+            grouped_stream(members.join(united, "node"), ["shard", "lo", "hi"], "a binary, b binary, n long, m long", _search(least)),
             "vector-links",
         )
-        counts = found.filter("b is null").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("found"))
+        counts = stored(_link_counts(found), "vector-counts")
         recall = _audit(classes, counts, least)
         _log.info("recall %.4f at overlap %d", recall, overlap)
         if recall >= LEAST_RECALL or overlap >= most:
             break
         overlap = min(most, 2 * overlap)
-    linked = components(found.filter("b is not null"))
+    linked = components(found.filter("b is not null and n = 0"))
     linked = linked.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     named = classes.join(linked, F.col("key") == F.col("_node"), "left")
     named = named.select("key", "first_id", "times", F.coalesce("_root", "key").alias("root"))

@@ -280,6 +280,27 @@ def test_op7_blocks_of_a_large_group(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and sum(r.n_links for r in got) >= 0.97 * 200 * 199
 
 
+def test_op7_links_count_at_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "PER_CENTROID", 8)
+    monkeypatch.setattr(vectors, "_audit", lambda *_: 1.0)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 6))[rng.integers(60, size=240)] + 0.12 * rng.normal(size=(240, 6))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in vectors.near_vectors(frame, overlap=2).collect()}
+    alone = {}
+    for r in got.values():
+        alone.setdefault(r.component_id, []).append(r.n_links)
+    # every found link has two ends, so no member of a component is without one and pairs agree
+    assert all(min(n) >= 1 for n in alone.values() if len(n) > 1)
+    assert all(n == [1, 1] for n in alone.values() if len(n) == 2)
+    assert sum(r.n_links for r in got.values()) % 2 == 0
+
+
+def test_op7_audit_is_not_hidden_by_a_large_group():
+    assert vectors._recall([(5000, 5000)] * 40 + [(1, 0)] * 20 + [(1, 1)] * 20) == 0.5
+    assert vectors._recall([(0, 0)]) == 1.0 and vectors._recall([(4, 4), (5000, 5000)]) == 1.0
+
+
 @pytest.mark.parametrize("large", [256, 1])
 def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs, large, monkeypatch):
     monkeypatch.setattr(suffix_repeats, "LARGE_GROUP", large)
