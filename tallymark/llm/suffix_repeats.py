@@ -26,9 +26,8 @@ from tallymark.llm.common import buffers, grouped_stream, mix, positional, power
 
 LENGTH = 200
 K = 64
-#: Strings with more runs than this are split by window offset and by content.
+#: The windows of strings with more runs than this are compared by digest.
 LARGE_GROUP = 256
-OFFSET_CHUNK = 32
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -129,8 +128,8 @@ def _list_strings(length: int):
 
 
 def _list_contexts(length: int):
-    """Bytes of the runs' windows; those of large groups in chunks of offsets,
-    keyed by the bytes that all windows of the chunk share."""
+    """Bytes of the runs' windows; for strings with many runs, no bytes but the
+    windows' digests one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,18 +137,14 @@ def _list_contexts(length: int):
             for id_, key, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 raw = (text or "").encode()
                 for w in wanted:
-                    s, n, a = w["start"], w["n_windows"], w["start"] + w["offset"]
+                    s, n = w["start"], w["n_windows"]
+                    content, digests = raw[s : s + n + length - 1], None
                     if w["large"]:
-                        # window start p has offset a - p from start to anchor
-                        for chunk in range((a - (s + n - 1)) // OFFSET_CHUNK, (a - s) // OFFSET_CHUNK + 1):
-                            p0, p1 = max(s, a - chunk * OFFSET_CHUNK - OFFSET_CHUNK + 1), min(s + n - 1, a - chunk * OFFSET_CHUNK)
-                            core = raw[a - chunk * OFFSET_CHUNK : a - chunk * OFFSET_CHUNK - OFFSET_CHUNK + 1 + length]
-                            part = int.from_bytes(hashlib.blake2b(core, digest_size=8, salt=chunk.to_bytes(2, "little")).digest(), "little", signed=True)
-                            rows.append((id_, key, w["string"], part, p0, w["size"], raw[p0 : p1 + length]))
-                    else:
-                        rows.append((id_, key, w["string"], 0, s, w["size"], raw[s : s + n + length - 1]))
-            names = ["id", "text_key", "string", "part", "start", "size", "bytes"]
-            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                        digests = [hashlib.blake2b(content[i : i + length], digest_size=16).digest() for i in range(n)]
+                        content = None
+                    rows.append((id_, key, w["string"], s, w["size"], content, digests))
+            names = ["id", "text_key", "string", "start", "size", "bytes", "digests"]
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names
             )
@@ -157,6 +152,25 @@ def _list_contexts(length: int):
     return run
 
 
+def _equal_windows(contexts: DataFrame, keep_first: bool) -> DataFrame:
+    """(id, text_key, start, n_windows) of windows, one a row, whose digest
+    other runs have, too; with keep_first those after the first place. Equal
+    digests combine before the shuffle, so that no task holds a group."""
+    windows = contexts.filter("digests is not null").select(
+        "id", "text_key", "start", "size", F.posexplode("digests").alias("i", "digest")
+    )
+    windows = windows.withColumn("start", F.col("start") + F.col("i")).drop("i")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start")
+    repeated = stored(
+        windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n"),
+        "windows",
+    )
+    # the digest of a window that many places share is split over tasks by the join
+    both = windows.join(repeated.hint("merge"), "digest")
+    both = both.filter(place != F.col("first")) if keep_first else both.filter("size = 1")
+    return both.select("id", "text_key", "start", F.lit(1).cast("long").alias("n_windows"))
+
+
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
     return list(zip(edge[::2].tolist(), (edge[1::2] - edge[::2]).tolist(), strict=True))
@@ -276,13 +290,16 @@ def repeated_passages(
         # the lists grow with the corpus: never broadcast
         return left.join(other.hint("merge"), on, how).drop("_id", "_text_key")
 
-    contexts = with_text(wanted, "inner").mapInArrow(
-        _list_contexts(length), f"id {kind}, text_key long, string long, part long, start long, size long, bytes binary"
+    contexts = stored(
+        with_text(wanted, "inner").mapInArrow(
+            _list_contexts(length), f"id {kind}, text_key long, string long, start long, size long, bytes binary, digests array<binary>"
+        ),
+        "contexts",
     )
     ordered = stored(
         grouped_stream(
-            contexts,
-            ["string", "part"],
+            contexts.filter("digests is null").drop("digests"),
+            ["string"],
             f"id {kind}, text_key long, start long, n_windows long, later boolean",
             _order_suffixes(length),
         ),
@@ -295,7 +312,7 @@ def repeated_passages(
         whole = whole.filter(place != of_first)
     found = whole.select("id", "text_key", "start", F.col("n_windows").cast("long")).unionByName(
         ordered.filter(F.col("later") == F.lit(keep_first)).drop("later")
-    )
+    ).unionByName(_equal_windows(contexts, keep_first))
     found = found.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "n_windows")).alias("found"))
     left = carried.select("*", F.col(id_name).alias("id"), F.xxhash64(text_name).alias("text_key"))
     joined = with_text(found, "left", left).select(*names, F.col(text_name).alias("text"), "found")

@@ -321,6 +321,41 @@ def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs, large, monkeypa
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_op8_a_large_group_reaches_no_task_whole(spark, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "LARGE_GROUP", 8)
+    seen = spark.sparkContext.accumulator(0)
+    order = suffix_repeats._order_suffixes
+
+    def counting(length):
+        work = order(length)
+
+        def run(t, starts):
+            seen.add(int((np.diff(starts) > 8).sum()))
+            return work(t, starts)
+
+        return run
+
+    monkeypatch.setattr(suffix_repeats, "_order_suffixes", counting)
+    rng = random.Random(10)
+    passage = "".join(rng.choices("abcdefgh ", k=330))
+    rows = [(i, "".join(rng.choices("ijklmnop ", k=150)) + passage + "".join(rng.choices("qrstuv ", k=150))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    count, first = Counter(), {}
+    for doc, t in rows:
+        for i in range(len(t) - 199):
+            count[t[i : i + 200]] += 1
+            first.setdefault(t[i : i + 200], (doc, i))
+    for keep_first in (True, False):
+        for r in suffix_repeats.repeated_passages(frame, keep_first).collect():
+            gone = bytearray(len(r.text))
+            for i in range(len(r.text) - 199):
+                window = r.text[i : i + 200]
+                if count[window] > 1 and not (keep_first and first[window] == (r.doc_id, i)):
+                    gone[i : i + 200] = b"\1" * 200
+            assert r.kept == bytes(x for x, g in zip(r.text.encode(), gone) if not g)
+    assert seen.value == 0
+
+
 def test_op8_first_copies_stay(spark):
     rng = random.Random(9)
     passage = "".join(rng.choices("abcdefgh ", k=900))
