@@ -181,6 +181,22 @@ def test_op4_deduces_template_texts_and_slots(spark, monkeypatch):
     assert {r.page_id: r.text for r in pages.extract_text(frame).collect()} == wanted
 
 
+@pytest.mark.parametrize("held", [100_000, 0])
+def test_op4_keeps_all_slots_with_text(spark, monkeypatch, held):
+    monkeypatch.setattr(pages, "HELD_ROWS", held)
+    rows, wanted = [], {}
+    for i in range(8):
+        rows.append((i, f"http://site.example/{i}", f"""<html><body><div class=links><a href=/>Home</a> <a href=/x>More {i}</a></div>
+            <div class=intro><p>Short {i}</p></div><div class=details><p>The long details of number {i} go on and on.</p><p><a href=/s>Source {i}</a></p>
+            <ul><li><a href=/y>See {i}</a></ul></div><div class=foot><p>Same on all pages</p></div></body></html>"""))
+        wanted[i] = f"Short {i}\nThe long details of number {i} go on and on.\nSource {i}\nSee {i}"
+        rows.append((100 + i, f"http://other.example/{i}", f"""<html><body><div class=content><h1>Title {i}</h1><p>Lede {i}</p>
+            <div class=body><p>The body of number {i} has far more text than its title.</p></div></div></body></html>"""))
+        wanted[100 + i] = f"Title {i}\nLede {i}\nThe body of number {i} has far more text than its title."
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in pages.extract_text(frame).collect()} == wanted
+
+
 def test_op5_targets_and_copies(spark, sf_dir, docs):
     size = {d: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for d, t, _ in docs}
     total = Counter()
