@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import positional, prepare, table
+from tallymark.llm.common import positional, prepare, stored, table
 
 # Fixed patterns of the base kinds, with the group whose length counts and the least length.
 _KEYWORDS = ("password", "passwd", "secret", "token", "api_?key")
@@ -44,8 +44,13 @@ BASE = {
 ORDER = {kind: i for i, kind in enumerate(BASE)}
 
 CANDIDATE = re.compile("[A-Za-z0-9+/_.=-]{16,}")
-#: Most frequent formats a kind's automaton is fitted on; longer ones than this are left out of the fit.
-FORMATS, LONGEST_FORMAT = 3000, 160
+#: Prefix-tree states of a kind that the driver merges at most: those with the most arrivals. Their number
+#: bounds the automaton's structure; its probabilities and levels count every format of any length.
+TREE_STATES = 50_000
+#: Depth of the prefix tree that the first pass counts; each further pass doubles it where states go on.
+FIRST_DEPTH = 16
+#: Levels are read off histograms of this step, in nats a character.
+STEP = 0.001
 #: A kind needs so many labelled values.
 LEAST_LABELLED = 20
 #: Confidence of the merge test, and the least gain over ordinary runs, in nats a character.
@@ -67,10 +72,11 @@ def char_format(value: str) -> str:
 
 
 class _State:
-    __slots__ = ("arrivals", "ends", "counts", "next")
+    __slots__ = ("arrivals", "ends", "counts", "next", "cut")
 
     def __init__(self):
         self.arrivals, self.ends = 0, 0
+        self.cut = False  # too few arrivals to be told from other states: what follows isn't known
         self.counts: dict[str, int] = {}
         self.next: dict[str, _State] = {}
 
@@ -88,9 +94,18 @@ class Automaton:
                 state = state.next.setdefault(c, _State())
                 state.arrivals += weight
             state.ends += weight
+        self._merge(root, alpha)
+
+    @classmethod
+    def of_tree(cls, root: _State, alpha: float = ALPHA) -> Automaton:
+        out = cls.__new__(cls)
+        out._merge(root, alpha)
+        return out
+
+    def _merge(self, root: _State, alpha: float) -> None:
         self._spread = math.sqrt(0.5 * math.log(2 / alpha))
         kept = [root]
-        border = [(root, c) for c in sorted(root.next)]
+        border = [(root, c) for c in sorted(root.next) if not root.next[c].cut]
         while border:
             parent, c = border.pop(0)
             state = parent.next[c]
@@ -99,13 +114,13 @@ class Automaton:
                 parent.next[c] = match
                 self._fold(match, state)
                 known = set(map(id, kept))
-                border = [(k, x) for k in kept for x in sorted(k.next) if id(k.next[x]) not in known]
+                border = [(k, x) for k in kept for x in sorted(k.next) if not k.next[x].cut and id(k.next[x]) not in known]
             else:
                 kept.append(state)
-                border += [(state, x) for x in sorted(state.next)]
+                border += [(state, x) for x in sorted(state.next) if not state.next[x].cut]
         number = {id(k): i for i, k in enumerate(kept)}
         self.steps = [
-            {c: (math.log(n / k.arrivals), number[id(k.next[c])]) for c, n in k.counts.items()} for k in kept
+            {c: (math.log(n / k.arrivals), number.get(id(k.next[c]), 0)) for c, n in k.counts.items()} for k in kept
         ]
         self.ends = [math.log(k.ends / k.arrivals) if k.ends else _FLOOR for k in kept]
 
@@ -116,6 +131,8 @@ class Automaton:
         todo = [(a, b)]
         while todo:
             x, y = todo.pop()
+            if x.cut or y.cut:
+                continue
             if self._far(x.ends, x.arrivals, y.ends, y.arrivals):
                 return False
             for c in x.counts.keys() | y.counts.keys():
@@ -134,10 +151,32 @@ class Automaton:
             x.ends += y.ends
             for c, n in y.counts.items():
                 x.counts[c] = x.counts.get(c, 0) + n
-                if c in x.next:
-                    todo.append((x.next[c], y.next[c]))
-                else:
+                if c not in x.next or x.next[c].cut:
                     x.next[c] = y.next[c]
+                elif not y.next[c].cut:
+                    todo.append((x.next[c], y.next[c]))
+
+    def count(self, text: str, n: int, into: Counter) -> None:
+        """Add the visits of (state, sign), the end being the empty sign."""
+        state = 0
+        for c in text:
+            into[state, c] += n
+            state = self.steps[state].get(c, (_FLOOR, 0))[1]
+        into[state, ""] += n
+
+    def reweigh(self, visits: dict[tuple[int, str], int]) -> None:
+        """Probabilities from such visits of all strings; the structure stays."""
+        arrivals: Counter = Counter()
+        for (state, _), n in visits.items():
+            arrivals[state] += n
+        old, self.steps = self.steps, [{} for _ in self.steps]
+        self.ends = [_FLOOR] * len(self.steps)
+        for (state, c), n in visits.items():
+            log = math.log(n / arrivals[state])
+            if c:
+                self.steps[state][c] = (log, old[state].get(c, (_FLOOR, 0))[1])
+            else:
+                self.ends[state] = log
 
     def likelihood(self, text: str) -> float:
         """Log-likelihood a character, the end counting as one."""
@@ -151,20 +190,8 @@ class Automaton:
 class Formats:
     """Automata of the labelled kinds and of ordinary runs, with the levels to pass."""
 
-    def __init__(self, counted: dict[str, dict[str, int]]):
-        ordinary = counted.get("ordinary") or {}
-        self.ordinary = Automaton(ordinary) if ordinary else None
-        self.kinds: dict[str, tuple[Automaton, float, float]] = {}
-        for kind in BASE:
-            own = counted.get(kind) or {}
-            if sum(own.values()) < LEAST_LABELLED:
-                continue
-            automaton = Automaton(own)
-            usual = sorted((automaton.likelihood(t), n) for t, n in own.items())
-            gains = sorted(
-                ((automaton.likelihood(t) - self.ordinary.likelihood(t), n) for t, n in ordinary.items()), reverse=True
-            )
-            self.kinds[kind] = (automaton, _level(usual, 0.01), max(MARGIN, _level(gains, 0.001) if gains else 0.0))
+    def __init__(self, ordinary: Automaton | None, kinds: dict[str, tuple[Automaton, float, float]]):
+        self.ordinary, self.kinds = ordinary, kinds
 
     def best(self, form: str) -> tuple[str, float] | None:
         """The kind that a candidate's format passes for, with its gain."""
@@ -209,8 +236,12 @@ def candidates(text: str, base: list[tuple[int, int, str, str]]) -> Iterator[tup
 
 
 def learn_formats(documents: DataFrame, text: str = "text") -> Formats:
-    """Formats counted over all documents; each kind's automaton is fitted on
-    its FORMATS most frequent ones, which bounds what the driver gathers."""
+    """Automata of the formats of all documents.
+
+    Spark counts the formats and the states of their prefix trees. The driver
+    merges each kind's states with the most arrivals, TREE_STATES at most (the
+    merge test can't tell states with few arrivals apart); then all formats run
+    through the automaton, in Spark, for its probabilities, and again for the levels."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,24 +250,148 @@ def learn_formats(documents: DataFrame, text: str = "text") -> Formats:
                 base = base_spans(value or "")
                 seen.update((s[2], char_format(s[3])) for s in base)
                 seen.update(("ordinary", f) for _, _, f in candidates(value or "", base))
-            rows = [(k, f, n) for (k, f), n in seen.items() if len(f) <= LONGEST_FORMAT]
+            rows = [(k, f, n) for (k, f), n in seen.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))],
                 ["kind", "format", "n"],
             )
 
     counts = documents.select(text).mapInArrow(count, "kind string, format string, n long")
-    counts = counts.groupBy("kind", "format").agg(F.sum("n").alias("n"))
-    tops = [
-        counts.filter(F.col("kind") == k).orderBy(F.desc("n"), "format").limit(FORMATS) for k in (*BASE, "ordinary")
-    ]
-    every = tops[0]
-    for top in tops[1:]:
-        every = every.unionByName(top)
-    out: dict[str, dict[str, int]] = {}
-    for kind, form, n in every.collect():
-        out.setdefault(kind, {})[form] = n
-    return Formats(out)
+    counts = stored(counts.groupBy("kind", "format").agg(F.sum("n").alias("n")), "formats")
+    sizes = counts.groupBy("kind").agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.length("format") + 1)).alias("signs")).collect()
+    total = {r["kind"]: r["n"] for r in sizes}
+    fewest = {
+        r["kind"]: max(2, -(-r["signs"] // TREE_STATES)) for r in sizes if r["kind"] == "ordinary" or r["n"] >= LEAST_LABELLED
+    }
+    automata = {kind: Automaton.of_tree(root) for kind, root in _trees(counts, fewest).items()}
+    visits: dict[str, dict[tuple[int, str], int]] = {}
+    for kind, state, sign, n in _summed(counts, _visits(automata), "kind string, state long, sign string", ["kind", "state", "sign"]):
+        visits.setdefault(kind, {})[state, sign] = n
+    for kind, automaton in automata.items():
+        automaton.reweigh(visits[kind])
+    levels: dict[tuple[str, str], list[tuple[int, int]]] = {}
+    for what, kind, step, n in _summed(counts, _steps(automata), "what string, kind string, step long", ["what", "kind", "step"]):
+        levels.setdefault((what, kind), []).append((step, n))
+    kinds = {}
+    for kind in BASE:
+        if kind in automata and total[kind] >= LEAST_LABELLED:
+            gains = sorted(levels.get(("gain", kind), []), reverse=True)
+            margin = max(MARGIN, _level(gains, 0.001) * STEP) if gains else MARGIN
+            kinds[kind] = (automata[kind], _level(sorted(levels["usual", kind]), 0.01) * STEP, margin)
+    return Formats(automata.get("ordinary"), kinds)
+
+
+def _summed(counts: DataFrame, rows_of, schema: str, keys: list[str]) -> list:
+    """Keys with their sums of n; `rows_of(kind, format, n, into)` adds to a Counter of key tuples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64() if c.endswith("long") else pa.string() for c in schema.split(", ")]
+        for batch in batches:
+            into: Counter = Counter()
+            for kind, form, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows_of(kind, form, n, into)
+            columns = [pa.array([k[i] for k in into], t) for i, t in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(list(into.values()), pa.int64())], [*keys, "n"])
+
+    return counts.mapInArrow(run, f"{schema}, n long").groupBy(*keys).agg(F.sum("n").alias("n")).collect()
+
+
+def _visits(automata: dict[str, Automaton]):
+    def rows_of(kind, form, n, into):
+        if kind in automata:
+            own: Counter = Counter()
+            automata[kind].count(form, n, own)
+            for (state, sign), m in own.items():
+                into[kind, state, sign] += m
+
+    return rows_of
+
+
+def _steps(automata: dict[str, Automaton]):
+    """Labelled formats by likelihood, ordinary ones by their gain in each kind; rounded down, so that who sets a level passes it."""
+
+    def rows_of(kind, form, n, into):
+        if kind != "ordinary":
+            if kind in automata:
+                into["usual", kind, math.floor(automata[kind].likelihood(form) / STEP)] += n
+            return
+        other = automata[kind].likelihood(form)
+        for name, automaton in automata.items():
+            if name != kind:
+                into["gain", name, math.floor((automaton.likelihood(form) - other) / STEP)] += n
+
+    return rows_of
+
+
+def _child(key: int, sign: str) -> int:
+    """Key of a state's follower, a 64-bit hash along the prefix."""
+    x = ((key ^ ord(sign)) * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    return x ^ (x >> 32)
+
+
+def _trees(counts: DataFrame, fewest: dict[str, int]) -> dict[str, _State]:
+    """Prefix trees of the kinds down to states with fewer arrivals than
+    `fewest`, which are cut. Counted in Spark, some depths a pass."""
+    roots = {kind: i + 1 for i, kind in enumerate(sorted(fewest))}
+    nodes: dict[int, dict[str, int]] = {}
+    low, high, open_ = 0, FIRST_DEPTH, set(roots.values())
+    while open_:
+
+        def states(batches: Iterator[pa.RecordBatch], low=low, high=high, open_=frozenset(open_)) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: Counter = Counter()
+                for kind, form, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if kind not in roots or len(form) < low:
+                        continue
+                    key = roots[kind]
+                    for c in form[:low]:
+                        key = _child(key, c)
+                    if key not in open_:
+                        continue
+                    for c in form[low:high]:
+                        seen[kind, key, c] += n
+                        key = _child(key, c)
+                    if len(form) < high:
+                        seen[kind, key, ""] += n
+                columns = [
+                    pa.array([k[0] for k in seen], pa.string()),
+                    pa.array([k[1] - (1 << 63) for k in seen], pa.int64()),
+                    pa.array([k[2] for k in seen], pa.string()),
+                    pa.array(list(seen.values()), pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "sign", "n"])
+
+        signs = counts.mapInArrow(states, "kind string, key long, sign string, n long")
+        signs = signs.groupBy("kind", "key", "sign").agg(F.sum("n").alias("n"))
+        found = signs.groupBy("kind", "key").agg(F.sum("n").alias("arrivals"), F.collect_list(F.struct("sign", "n")).alias("signs"))
+        least = F.create_map(*[F.lit(x) for pair in fewest.items() for x in pair])[F.col("kind")]
+        fresh = {}
+        for r in found.filter(F.col("arrivals") >= least).collect():
+            fresh[r["key"] + (1 << 63)] = (r["kind"], {s["sign"]: s["n"] for s in r["signs"]})
+        nodes.update({key: own for key, (_, own) in fresh.items()})
+        open_ = {
+            child for key, (kind, own) in fresh.items() for c, n in own.items()
+            if c and n >= fewest[kind] and (child := _child(key, c)) not in nodes
+        }
+        low, high = high, 2 * high
+    out = {}
+    for kind, root in roots.items():
+        out[kind] = _State()
+        todo = [(out[kind], root)]
+        while todo:
+            state, key = todo.pop()
+            own = nodes.get(key)
+            if own is None:
+                state.cut = True
+                continue
+            state.arrivals, state.ends = sum(own.values()), own.get("", 0)
+            for c in sorted(own):
+                if c:
+                    state.counts[c] = own[c]
+                    state.next[c] = _State()
+                    todo.append((state.next[c], _child(key, c)))
+    return out
 
 
 SECRETS = "array<struct<start:long,end:long,kind:string,base:boolean,gain:double>>"

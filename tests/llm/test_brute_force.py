@@ -55,6 +55,21 @@ def test_op1_automata_find_formats_of_labelled_credentials(spark):
     assert [(s.kind, s.start, s.end, s.base) for s in found.secrets] == [("format_assign", 12, 12 + len(bare), False)]
 
 
+def test_op1_learns_from_all_formats(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "TREE_STATES", 200)  # far fewer than the formats have
+    rng = random.Random(4)
+    rows = [(i, "AKIA" + "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=16))) for i in range(6000)]
+    rows += [(10_000 + i, "a_word_" + "".join(rng.choices("ghijklmnop", k=10 + i % 7))) for i in range(500)]
+    rows.append((20_000, "token=" + "0" * 500))
+    formats = secrets.learn_formats(spark.createDataFrame(rows, "doc_id long, text string"))
+    mine = [formats.kinds["access"][0].likelihood(secrets.char_format(t)) for i, t in rows[:6000]]
+    least = formats.kinds["access"][1]
+    assert 0.95 < sum(m >= least for m in mine) / 6000 < 1.0  # whatever they begin with
+    letters = [m for (i, t), m in zip(rows, mine) if not t[4:8].isdigit()]
+    assert sum(m >= least for m in letters) >= 0.95 * len(letters)
+    assert "assign" not in formats.kinds and len(formats.kinds["access"][0].steps) <= 200
+
+
 def test_op1_state_merging_recovers_a_language():
     strings = {"ab" * k: 2048 >> k for k in range(1, 12)}  # as likely to stop after every pair
     automaton = secrets.Automaton(strings)
