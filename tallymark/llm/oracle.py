@@ -31,3 +31,63 @@ l AS (SELECT x, y FROM e UNION ALL SELECT y AS x, x AS y FROM e),
 r(id, other) AS (SELECT doc_id AS id, doc_id AS other FROM d UNION SELECT r.id, l.y AS other FROM r JOIN l ON l.x = r.other)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id, d.doc_id = m.component_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(other) AS component_id FROM r GROUP BY id) m ON m.id = d.doc_id"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a short ASCII string."""
+    code = f"list_transform(range(1, length({text}) + 1), lambda i: CAST(ascii(substr({text}, i, 1)) AS BIGINT))"
+    bits = "[CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0]"
+    byte = f"list_reduce(list_concat([xor(c, b)], {bits}[1:8]), lambda x, z: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))"
+    return f"xor(CAST(4294967295 AS BIGINT), list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {code}), lambda c, b: {byte}))"
+
+
+_BLANK = "\\x20\\x09-\\x0D"
+OP11_CONVERSATION_REPAIR = f"""
+WITH RECURSIVE o AS MATERIALIZED (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS f FROM conversations),
+d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS c FROM o WHERE f <> 0),
+r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || ':' || text), c) AS p FROM d),
+q AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) AS nth FROM r),
+m AS MATERIALIZED (SELECT *, CASE WHEN NOT regexp_matches(text, '[^{_BLANK}]') THEN 1 WHEN nth > 1 THEN 2
+        WHEN NOT regexp_matches(text, '[.!?][{_BLANK}]*$') THEN 3 ELSE 0 END AS fault, substr(role, 1, 1) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS before FROM q),
+b(conv_id, p, b0, b1, b2, b3) AS (
+    SELECT DISTINCT conv_id, n + 1, 0, 6, 3, 0 FROM m
+    UNION ALL
+    SELECT conv_id, p, least(d0, 3 + least(d2, 3 + d3)), least(d1, 3 + least(d2, 3 + d3)), least(d2, 3 + d3), least(d3, 3 + d2)
+    FROM (SELECT m.conv_id, m.p,
+        least(4 + b0, e + 3 + b2, e + CASE i WHEN 's' THEN b1 WHEN 'u' THEN b2 ELSE 99 + b0 END) AS d0,
+        least(4 + b1, e + 3 + b2, e + CASE i WHEN 'u' THEN b2 ELSE 99 + b0 END) AS d1,
+        least(4 + b2, e + 3 + b3, e + CASE i WHEN 'a' THEN b3 ELSE 99 + b0 END) AS d2,
+        least(4 + b3, e + 3 + b2, e + CASE i WHEN 'u' THEN b2 ELSE 99 + b0 END) AS d3
+      FROM b JOIN (SELECT *, CASE WHEN fault IN (1, 2) THEN 1000000000 WHEN fault = 3 THEN 3 ELSE 0 END AS e FROM m) m
+        ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.p = b.p - 1)),
+v AS MATERIALIZED (SELECT b.conv_id, b.p, [b0, b1, b2, b3] AS v, m.role, m.text, m.i, m.n, m.fault IN (1, 2) AS gone, CASE WHEN fault = 3 THEN 3 ELSE 0 END AS e
+    FROM b LEFT JOIN m ON m.conv_id IS NOT DISTINCT FROM b.conv_id AND m.p = b.p),
+w AS MATERIALIZED (SELECT a.*, z.v AS nv FROM v a LEFT JOIN v z ON z.conv_id IS NOT DISTINCT FROM a.conv_id AND z.p = a.p + 1),
+t(conv_id, p, s, audit, said, cost, step, done) AS (
+    SELECT conv_id, CAST(1 AS BIGINT), 0, '', CAST([] AS VARCHAR[]), v[1], 0, false FROM v WHERE p = 1
+    UNION ALL
+    SELECT conv_id, CASE WHEN l IN ('D', 'K', 'R') THEN p + 1 ELSE p END,
+        CASE l WHEN 'D' THEN s WHEN '' THEN s WHEN 'K' THEN CASE WHEN i = 's' THEN 1 WHEN i = 'u' THEN 2 ELSE 3 END ELSE nxt END,
+        audit || l,
+        CASE l WHEN 'I' THEN list_append(said, put || ':') WHEN 'K' THEN list_append(said, role || ':' || text)
+               WHEN 'R' THEN list_append(said, put || ':' || text) ELSE said END,
+        cost, step + 1, l = ''
+    FROM (SELECT t.*, w.role, w.text, w.i, CASE WHEN s = 2 THEN 3 ELSE 2 END AS nxt, CASE WHEN s = 2 THEN 'assistant' ELSE 'user' END AS put,
+            CASE WHEN w.nv IS NULL THEN CASE WHEN w.v[s + 1] = 0 THEN '' ELSE 'I' END
+                 WHEN 4 + w.nv[s + 1] = w.v[s + 1] THEN 'D'
+                 WHEN 3 + w.v[CASE WHEN s = 2 THEN 4 ELSE 3 END] = w.v[s + 1] THEN 'I'
+                 WHEN NOT gone AND ((i = 's' AND s = 0) OR (i = 'u' AND s <> 2) OR (i = 'a' AND s = 2))
+                    AND e + w.nv[CASE WHEN i = 's' THEN 2 WHEN i = 'u' THEN 3 ELSE 4 END] = w.v[s + 1] THEN 'K' ELSE 'R' END AS l
+          FROM t JOIN w ON w.conv_id IS NOT DISTINCT FROM t.conv_id AND w.p = t.p WHERE NOT t.done)),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+    count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND (before || i) NOT IN ('su', 'ua', 'au')) AS illegal FROM m GROUP BY conv_id),
+a AS (SELECT conv_id, cost, audit, sha256(array_to_string(said, chr(10))) AS sha FROM t WHERE done)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+    CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+    coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM o) o LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id"""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from tallymark.llm.conversations import op11_conversation_repair
 from tallymark.llm.decontamination import op10_decontamination
 from tallymark.llm.language import op3_language
 from tallymark.llm.minhash import op9_minhash
 from tallymark.llm.mixing import op5_mixing
-from tallymark.llm.oracle import OP9_MINHASH, OP10_DECONTAMINATION
+from tallymark.llm.oracle import OP9_MINHASH, OP10_DECONTAMINATION, OP11_CONVERSATION_REPAIR
 from tallymark.llm.pages import op4_main_text
 from tallymark.llm.secrets import op1_secrets
 from tallymark.llm.suffix_repeats import op8_suffix_repeats
@@ -24,6 +25,11 @@ QUERIES = {
     "op8_suffix_repeats": op8_suffix_repeats,
     "op9_minhash": op9_minhash,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
-ORACLE: dict[str, str] = {"op9_minhash": OP9_MINHASH, "op10_decontamination": OP10_DECONTAMINATION}
+ORACLE: dict[str, str] = {
+    "op9_minhash": OP9_MINHASH,
+    "op10_decontamination": OP10_DECONTAMINATION,
+    "op11_conversation_repair": OP11_CONVERSATION_REPAIR,
+}
