@@ -91,3 +91,23 @@ SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
     CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
     coalesce(audit, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM o) o LEFT JOIN g ON g.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM o.conv_id"""
+OP12_PREFIX_TRIE = f"""
+WITH o AS (SELECT conv_id, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS t, length(coalesce(text, '')) AS n, turn
+    FROM conversations WHERE conv_id IS NOT NULL),
+p AS MATERIALIZED (SELECT conv_id, t, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS p FROM o),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM p)),
+r AS (SELECT c.conv_id, p.p, 0 AS own, t, n FROM c JOIN p ON p.conv_id = c.base AND p.p <= h
+    UNION ALL SELECT c.conv_id, p.p, 1 AS own, t, n FROM c JOIN p ON p.conv_id = c.conv_id AND p.p > h),
+s AS (SELECT conv_id, list(t ORDER BY own, p) AS ts, list(n ORDER BY own, p) AS ns FROM r GROUP BY conv_id),
+m AS MATERIALIZED (SELECT conv_id, d, md5(array_to_string(ts[1:d], '')) AS k, md5(array_to_string(ts[1:d - 1], '')) AS up, ns[d] AS n, d = len(ts) AS last
+    FROM (SELECT *, unnest(range(1, len(ts) + 1)) AS d FROM s)
+    UNION ALL SELECT c.conv_id, 0, md5(''), NULL, 0, s.conv_id IS NULL FROM c LEFT JOIN s ON s.conv_id = c.conv_id),
+g AS MATERIALIZED (SELECT k, any_value(up) AS up, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+    string_agg(CASE WHEN last THEN conv_id END, ',' ORDER BY conv_id) AS ends FROM m GROUP BY k),
+k AS (SELECT up, count(*) AS n_children FROM g GROUP BY up),
+w AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k ON k.up = g.k),
+a AS (SELECT m.k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * w.n) AS saved
+    FROM w JOIN m ON m.conv_id = w.conv_id AND m.d <= w.d GROUP BY m.k)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, z.conv_id AS parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+    CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN a ON a.k = w.k LEFT JOIN g z ON z.k = w.up"""
