@@ -111,3 +111,14 @@ a AS (SELECT m.k, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, s
 SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, z.conv_id AS parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children,
     CAST(a.n_leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
 FROM w JOIN a ON a.k = w.k LEFT JOIN g z ON z.k = w.up"""
+_FIVE = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, {10 * (i // 8) + 1}, 10) AS BIGINT) >> {5 * (7 - i % 8)}) & 31 AS INTEGER), 1)"
+    for i in range(32)
+)
+OP13_WARC = f"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+n AS (SELECT *, row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS nth,
+    first_value(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST, url DESC NULLS LAST) AS top FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_FIVE} AS payload_digest,
+    CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN nth > 1 THEN top END AS refers_to, true AS intact
+FROM n"""
