@@ -242,7 +242,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
     own = F.when(F.col("record_type") == "response", F.concat(F.lit("sha1:"), base32(F.col("payload_sha1"))))
     digest = F.regexp_replace(F.coalesce(own, F.col("told_digest")), "^sha1:", "")
-    return records.join(answers, "refers_to_id", "left").select(
+    # Responses refer to nothing and stay out of the join, where they would share one key.
+    nothing = {"answer_bytes": F.lit(None).cast("bigint"), "refers_to": F.lit(None).cast("string")}
+    referring = records.filter("refers_to_id is not null").join(answers, "refers_to_id", "left")
+    return referring.unionByName(records.filter("refers_to_id is null").withColumns(nothing)).select(
         "file", "at", "record_type", "record_id", "url", "page_id", F.coalesce("payload_bytes", "answer_bytes").alias("payload_bytes"),
         digest.alias("payload_digest"), F.coalesce(own == F.col("told_digest"), F.lit(True)).alias("intact"), "refers_to_id", "refers_to",
     )
