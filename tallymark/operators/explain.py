@@ -6,14 +6,16 @@ base + contributions = -(mean path length).
 
 A leaf is a box in feature space. For a row, o says per feature whether the row
 lies in the box and z is the share of training rows that the path's splits on
-that feature let through. The Shapley sum over feature subsets equals
-(o_f - z_f) * integral over t of prod_{g != f} (t o_g + (1 - t) z_g), a
-polynomial integrated exactly by a few Gauss points.
+that feature let through. A leaf's part in a row's values depends on the set of its features
+that hold the row alone. So each leaf gets a table over the subsets of its features: the
+weights of single subsets, summed over all subsets of a set at once by a fast
+subset-sum transform. A row looks its sets up.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, FEATURES, AuditConfig
 from tallymark.functions.expressions import fixed
-from tallymark.operators.isolation import Forest, feature_cols
+from tallymark.operators.isolation import Forest, forest_cols
 
 # Display names of the features.
 FEATURE_LABELS = {
@@ -37,7 +39,8 @@ FEATURE_LABELS = {
     "feat_round_number": "Round Number Amount",
     "feat_benford_dev": "Benford's Law Deviation",
 }
-ROWS_AT_ONCE = 64
+#: Rows of a sample that a task gets, and rows looked up at a time.
+ROWS_AT_ONCE, LOOKED_UP = 64, 512
 
 
 @dataclass(frozen=True)
@@ -80,37 +83,74 @@ def base_value(boxes: list[Boxes]) -> float:
     return float(np.mean([(b.value * b.share.prod(axis=1)).sum() for b in boxes]))
 
 
-def attribute(boxes: list[Boxes], depth: int, x: np.ndarray) -> np.ndarray:
+def subset_values(share: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """(leaf, set, feature) values of leaves with equally many features: `share` is
+    (leaf, feature), sets are bit masks of the features whose range holds the row."""
+    leaves, d = share.shape
+    sets = np.arange(1 << d)
+    size = sum((sets >> j) & 1 for j in range(d))
+    outside = np.ones((leaves, 1 << d))
+    for j in range(d):
+        outside *= np.where((sets >> j) & 1, 1.0, share[:, j : j + 1])
+    out = np.zeros((leaves, 1 << d, d))
+    for f in range(d):
+        without = ((sets >> f) & 1) == 0
+        weight = np.array([factorial(k) * factorial(d - 1 - k) / factorial(d) if k < d else 0.0 for k in size])
+        sums = np.where(without, weight * outside / share[:, f : f + 1], 0.0)
+        for j in range(d):
+            if j != f:
+                halves = sums.reshape(leaves, -1, 2, 1 << j)
+                halves[:, :, 1] += halves[:, :, 0]
+        sums[:, ~without] = sums[:, without]
+        out[:, :, f] = value[:, None] * sums * (np.where(without, 0.0, 1.0) - share[:, f : f + 1])
+    return out
+
+
+def _lookup(b: Boxes) -> tuple[np.ndarray, np.ndarray, list]:
+    """A tree's table (one row per leaf and set, all features wide), where each leaf
+    begins in it, and per feature the leaves that split on it with their bit."""
+    used = b.share < 1
+    count = used.sum(axis=1)
+    begin = np.concatenate([[0], np.cumsum(1 << count)])
+    table = np.zeros((begin[-1], used.shape[1]))
+    bit = np.cumsum(used, axis=1) - 1
+    for d in set(count.tolist()) - {0}:
+        of = np.flatnonzero(count == d)
+        features = np.nonzero(used[of])[1].reshape(len(of), d)
+        values = subset_values(np.take_along_axis(b.share[of], features, 1), b.value[of])
+        rows = begin[of][:, None] + np.arange(1 << d)
+        for j in range(d):
+            table[rows, features[:, j : j + 1]] = values[:, :, j]
+    split = [(f, np.flatnonzero(used[:, f])) for f in range(used.shape[1]) if used[:, f].any()]
+    return table, begin[:-1], [(f, at, (1 << bit[at, f])[:, None]) for f, at in split]
+
+
+def attribute(boxes: list[Boxes], x: np.ndarray) -> np.ndarray:
     """Contributions, one row per row of `x`."""
-    points, weights = np.polynomial.legendre.leggauss(max(1, (depth + 1) // 2))
-    points, weights = (points + 1) / 2, weights / 2
     out = np.zeros(x.shape)
-    for start in range(0, len(x), ROWS_AT_ONCE):
-        part = x[start : start + ROWS_AT_ONCE, None, :]
-        acc = np.zeros((part.shape[0], x.shape[1]))
-        for b in boxes:
-            inside = ((part > b.low) & (part <= b.high)).astype(float)
-            gain = np.zeros(inside.shape)
-            for t, w in zip(points, weights):
-                factor = t * inside + (1 - t) * b.share
-                gain += (w * factor.prod(axis=2))[:, :, None] / factor
-            acc += np.einsum("rlf,l->rf", gain * (inside - b.share), b.value)
-        out[start : start + ROWS_AT_ONCE] = acc / len(boxes)
-    return out
+    for b in boxes:
+        table, begin, split = _lookup(b)
+        for start in range(0, len(x), LOOKED_UP):
+            part = x[start : start + LOOKED_UP]
+            at = np.repeat(begin[:, None], len(part), axis=1)
+            for f, leaves, bit in split:
+                v = part[:, f]
+                at[leaves] += bit * ((v > b.low[leaves, f, None]) & (v <= b.high[leaves, f, None]))
+            out[start : start + LOOKED_UP] += table[at].sum(axis=0)
+    return out / len(boxes)
 
 
 def add_contributions(scaled: DataFrame, forest: Forest) -> DataFrame:
     """Add array `contributions` (feature order) and `base_value`. Filter the
     cases before calling: this is the most expensive step per row."""
     boxes = leaf_boxes(forest)
-    shared = scaled.sparkSession.sparkContext.broadcast((boxes, forest.depth))
+    shared = scaled.sparkSession.sparkContext.broadcast(boxes)
 
     @F.pandas_udf("array<double>")
     def contributions(*cols: pd.Series) -> pd.Series:
-        leaves, depth = shared.value
-        return pd.Series(list(attribute(leaves, depth, np.column_stack(cols))))
+        return pd.Series(list(attribute(shared.value, np.column_stack(cols))))
 
-    return scaled.withColumn("contributions", contributions(*feature_cols())).withColumn(
+    return scaled.withColumn("contributions", contributions(*forest_cols())).withColumn(
         "base_value", F.lit(base_value(boxes))
     )
 

@@ -1,9 +1,11 @@
 """Isolation forest (Liu, Ting, Zhou 2008) fitted and scored on Spark.
 
-Fit: a bounded pool is drawn by key hash, each tree takes the 256 pool rows
-with the smallest hash for that tree, and trees grow in parallel, one group per
-tree. The forest is a node table whose size depends on its parameters only, so
-it may be broadcast. Score: an Arrow-batched function over the feature columns.
+Fit: each tree takes the rows with the smallest hash for that tree, and all trees grow
+level by level at once: one pass over (tree, node) gives every open node its size and
+the range of each feature, a hash of (seed, tree, node) draws feature and cut. The
+forest depends on keys, values and the seed alone. It is a node table whose size depends
+on its parameters only, so it may be broadcast. Score: an Arrow-batched function over
+the feature columns.
 """
 
 from __future__ import annotations
@@ -20,47 +22,24 @@ from tallymark.config import DEFAULT, FEATURES, AuditConfig
 from tallymark.functions.ordering import global_rank, pin
 from tallymark.operators.metrics import roc_auc
 
-NODE_SCHEMA = (
-    "tree int, node int, feature int, threshold double, left int, right int, n int, depth int"
-)
-
-
-def hash_unit(*cols: Column) -> Column:
-    """A number in [0, 1) that depends on the values only."""
-    bits = F.xxhash64(*cols).bitwiseAND(F.lit(2**31 - 1))
-    return bits.cast("double") / F.lit(float(2**31))
-
-
-def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Random splits until a node is pure, single or at the depth limit."""
-    nodes: list[list] = []
-    pending = [(np.arange(len(x)), 0, -1, 0)]
-    while pending:
-        idx, depth, parent, side = pending.pop()
-        me = len(nodes)
-        nodes.append([me, -1, 0.0, me, me, len(idx), depth])
-        if parent >= 0:
-            nodes[parent][3 + side] = me
-        if depth >= max_depth or len(idx) < 2:
-            continue
-        part = x[idx]
-        low, high = part.min(axis=0), part.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if not len(usable):
-            continue
-        f = int(rng.choice(usable))
-        cut = float(rng.uniform(low[f], high[f]))
-        goes_left = part[:, f] <= cut
-        if goes_left.all():  # cut fell on the maximum
-            continue
-        nodes[me][1:3] = [f, cut]
-        pending.append((idx[~goes_left], depth + 1, me, 1))
-        pending.append((idx[goes_left], depth + 1, me, 0))
-    return nodes
+WIDTH = len(FEATURES)
+#: Values are compared on a grid of so many steps to one, so that sums taken in another order decide alike.
+GRID = 1e6
+ROOT = 1  # the children of node k are 2k (at most the cut) and 2k + 1
 
 
-def fit_forest(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """The forest as a node table. `scaled` has `key` and array `scaled`."""
+def on_grid(value: Column) -> Column:
+    return F.rint(value * F.lit(GRID)) / F.lit(GRID)
+
+
+def hash_unit(*parts: Column | str | int) -> Column:
+    """A number in [0, 1) that depends on the values only: 32 bits of an md5."""
+    text = F.concat_ws(":", *[(p if isinstance(p, Column) else F.lit(p)).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
+
+
+def draw_samples(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAULT) -> DataFrame:
+    """(tree, key, x): the rows each tree grows from."""
     trees, size, seed = cfg.forest_trees, cfg.forest_sample, cfg.seed
     rows = scaled.select(F.col(key).alias("key"), F.col("scaled").alias("x"))
     total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -71,10 +50,10 @@ def fit_forest(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig
     draws = F.least(F.greatest(F.ceil(wanted), F.lit(1)), F.lit(trees)).cast("int")
     every = F.lit(2.0 * size) / total >= 1.0
     drawn = F.transform(
-        F.sequence(F.lit(0), F.col("_draws") - 1),
+        F.sequence(F.lit(0), F.when(F.col("_every"), trees).otherwise(F.col("_draws")) - 1),
         lambda d: F.when(F.col("_every"), d).when(
-            hash_unit(F.col("key"), d, F.lit(seed)) < F.col("_share"),
-            F.floor(hash_unit(F.col("key"), d, F.lit(seed), F.lit("tree")) * trees).cast("int"),
+            hash_unit(F.col("key"), d, seed) < F.col("_share"),
+            F.floor(hash_unit(F.col("key"), d, seed, "tree") * trees).cast("int"),
         ),
     )
     picked = (
@@ -82,23 +61,55 @@ def fit_forest(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig
         .withColumn("_every", every)
         .withColumn("_share", wanted / F.col("_draws"))
         .withColumn("tree", F.explode(F.array_distinct(F.array_compact(drawn))))
-        .withColumn("h", F.xxhash64("key", "tree", F.lit(seed)))
+        .withColumn("h", F.md5(F.concat_ws(":", F.col("key"), F.col("tree").cast("string"), F.lit(str(seed)))))
     )
     order = Window.partitionBy("tree").orderBy("h", "key")
-    samples = picked.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= size)
-    max_depth = max(1, math.ceil(math.log2(max(size, 2))))
+    return picked.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= size).select(
+        "tree", "key", F.transform("x", on_grid).alias("x")
+    )
+
 
-    def build(sample: pd.DataFrame) -> pd.DataFrame:
-        sample = sample.sort_values("key")
-        tree = int(sample["tree"].iloc[0])
-        x = np.stack(sample["x"].to_numpy())
-        nodes = _grow(x, np.random.default_rng([seed, tree]), max_depth)
-        cols = ["node", "feature", "threshold", "left", "right", "n", "depth"]
-        out = pd.DataFrame(nodes, columns=cols)
-        out.insert(0, "tree", tree)
-        return out
+def _draw_text(seed: int, what: str) -> str:
+    """`hash_unit` of (seed, tree, node, what) as SQL text."""
+    return f"CAST(conv(substring(md5(concat_ws(':', {seed}, tree, node, '{what}')), 1, 8), 16, 10) AS DOUBLE) / {2**32}D"
 
-    return samples.select("tree", "key", "x").groupBy("tree").applyInPandas(build, NODE_SCHEMA)
+
+def _grow(rows: DataFrame, xs: list[str], depth: int, last: bool, seed: int) -> DataFrame:
+    """One level: every row's node is recorded as `at<depth>` and split. Rows of a
+    leaf go on with node NULL."""
+    kept = ["tree", *xs, *[f"at{d}" for d in range(depth)]]
+    here = "OVER (PARTITION BY tree, node)"
+    spread = "" if last else ", ".join(f"struct({i} AS i, min({x}) {here} AS lo, max({x}) {here} AS hi, {x} AS x)" for i, x in enumerate(xs))
+    sized = rows.selectExpr(*kept, "node", f"CAST(count(1) {here} AS INT) AS n", f"array({spread}) AS spread")
+    if last:
+        leaf = "IF(node IS NULL, NULL, named_struct('node', node, 'n', n, 'feature', -1, 'threshold', 0.0D, 'depth', {0}))".format(depth)
+        return sized.selectExpr(*kept, f"{leaf} AS at{depth}")
+    usable = sized.selectExpr(*kept, "node", "n", "filter(spread, s -> s.hi > s.lo) AS usable")
+    drawn = usable.selectExpr(
+        *kept, "node", "n", f"get(usable, CAST(floor({_draw_text(seed, 'feature')} * size(usable)) AS INT)) AS one", f"{_draw_text(seed, 'cut')} AS u"
+    ).selectExpr(*kept, "node", "n", "one.i AS feature", "one.x AS x", "one.hi AS hi", "one.lo + u * (one.hi - one.lo) AS cut")
+    # rounding may put the cut on the maximum
+    split = drawn.selectExpr(*kept, "node", "n", "feature", "x", "cut", "coalesce(cut < hi, false) AND node IS NOT NULL AS splits")
+    entry = f"named_struct('node', node, 'n', n, 'feature', IF(splits, feature, -1), 'threshold', IF(splits, cut, 0.0D), 'depth', {depth})"
+    return split.selectExpr(*kept, f"IF(node IS NULL, NULL, {entry}) AS at{depth}", "IF(splits, 2 * node + CAST(x > cut AS INT), NULL) AS node")
+
+
+def fit_forest(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAULT) -> DataFrame:
+    """The forest as a node table: tree, node, feature (-1 at leaves), threshold, left, right,
+    n, depth. `scaled` has `key` and array `scaled`. A node whose feature ranges are all
+    empty is a leaf."""
+    depths = max(1, math.ceil(math.log2(max(cfg.forest_sample, 2))))
+    xs = [f"x{i}" for i in range(WIDTH)]
+    rows = draw_samples(scaled, key, cfg).selectExpr("tree", *[f"x[{i}] AS x{i}" for i in range(WIDTH)], f"{ROOT} AS node")
+    for depth in range(depths + 1):
+        rows = _grow(rows, xs, depth, depth == depths, cfg.seed)
+    levels = ", ".join(f"at{d}" for d in range(depths + 1))
+    nodes = rows.selectExpr("tree", f"explode(array({levels})) AS at").filter("at.node IS NOT NULL").select("tree", "at.*").distinct()
+    inner = F.col("feature") >= 0
+    return nodes.select(
+        "tree", "node", "feature", "threshold", F.when(inner, 2 * F.col("node")).otherwise(F.col("node")).alias("left"),
+        F.when(inner, 2 * F.col("node") + 1).otherwise(F.col("node")).alias("right"), "n", "depth",
+    )
 
 
 def expected_path(n: np.ndarray) -> np.ndarray:
@@ -141,12 +152,13 @@ def load_forest(nodes: DataFrame, cfg: AuditConfig = DEFAULT) -> Forest:
         raise ValueError("node table is larger than the forest's parameters allow")
     trees = []
     for _, t in pdf.sort_values(["tree", "node"]).groupby("tree"):
+        node = t["node"].to_numpy()
         trees.append(
             Tree(
                 feature=np.maximum(t["feature"].to_numpy(), 0),
                 threshold=t["threshold"].to_numpy(),
-                left=t["left"].to_numpy(),
-                right=t["right"].to_numpy(),
+                left=np.searchsorted(node, t["left"].to_numpy()),
+                right=np.searchsorted(node, t["right"].to_numpy()),
                 n=t["n"].to_numpy(),
                 length=t["depth"].to_numpy() + expected_path(t["n"].to_numpy()),
             )
@@ -169,7 +181,12 @@ def anomaly_score(forest: Forest, x: np.ndarray) -> np.ndarray:
 
 
 def feature_cols(array: str = "scaled") -> list[Column]:
-    return [F.get(array, F.lit(i)) for i in range(len(FEATURES))]
+    return [F.get(array, F.lit(i)) for i in range(WIDTH)]
+
+
+def forest_cols(array: str = "scaled") -> list[Column]:
+    """The feature values as the forest compares them."""
+    return [on_grid(c) for c in feature_cols(array)]
 
 
 def add_score(scaled: DataFrame, forest: Forest, name: str = "iso_score") -> DataFrame:
@@ -177,9 +194,9 @@ def add_score(scaled: DataFrame, forest: Forest, name: str = "iso_score") -> Dat
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
-        return pd.Series(anomaly_score(shared.value, np.column_stack(cols)))
+        return pd.Series(np.round(anomaly_score(shared.value, np.column_stack(cols)), 9))
 
-    return scaled.withColumn(name, score(*feature_cols()))
+    return scaled.withColumn(name, score(*forest_cols()))
 
 
 def permutation_importance(
@@ -194,7 +211,7 @@ def permutation_importance(
     """
     ranked = global_rank(
         scaled.select(F.col(key).alias("key"), F.col(label).alias("label"), "scaled").withColumn(
-            "h", F.xxhash64("key", F.lit(cfg.seed))
+            "h", F.md5(F.concat_ws(":", "key", F.lit(str(cfg.seed))))
         ),
         ["h", "key"], "rank", chunks,
     )

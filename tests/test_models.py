@@ -81,7 +81,7 @@ def shapley(tree, x: np.ndarray) -> np.ndarray:
 def test_contributions_equal_shapley_values(tiny, forest):
     one = isolation.Forest(forest.trees[:1], forest.norm, forest.depth)
     x = matrix(tiny.scaled)[::200]
-    got = explain.attribute(explain.leaf_boxes(one), one.depth, x)
+    got = explain.attribute(explain.leaf_boxes(one), x)
     for row, phi in zip(x, got):
         assert phi == pytest.approx(shapley(one.trees[0], row), abs=1e-9)
 
@@ -89,7 +89,7 @@ def test_contributions_equal_shapley_values(tiny, forest):
 def test_contributions_add_up(tiny, forest):
     x = matrix(tiny.scaled)[:150]
     boxes = explain.leaf_boxes(forest)
-    total = explain.base_value(boxes) + explain.attribute(boxes, forest.depth, x).sum(axis=1)
+    total = explain.base_value(boxes) + explain.attribute(boxes, x).sum(axis=1)
     score = isolation.anomaly_score(forest, x)
     assert total == pytest.approx(np.log2(score) * forest.norm, abs=1e-8)
 
