@@ -106,11 +106,11 @@ boxes AS (SELECT tree, leaf, feature, coalesce(max(CASE WHEN side = 1 THEN thres
     coalesce(min(CASE WHEN side = 0 THEN threshold END), 'infinity'::DOUBLE) AS hi, product(share) AS z FROM sides GROUP BY tree, leaf, feature),
 listed AS MATERIALIZED (SELECT tree, leaf, list(feature ORDER BY feature) AS fs, list(z ORDER BY feature) AS zs, list(lo ORDER BY feature) AS los, list(hi ORDER BY feature) AS his FROM boxes GROUP BY tree, leaf),
 masks AS (SELECT l.tree, l.leaf, fs, zs, len(fs) AS d, value, unnest(range(1 << len(fs))) AS mask FROM listed l JOIN leafs v ON v.tree = l.tree AND v.leaf = l.leaf),
-parts AS (SELECT tree, leaf, d, value, mask, fs[i] AS feature, zs[i] AS z, (mask >> (i - 1)) & 1 AS o,
+alone AS (SELECT tree, leaf, d, value, mask, fs[i] AS feature, zs[i] AS z, (mask >> (i - 1)) & 1 AS o,
     list_filter(zs, lambda z, j: j <> i AND ((mask >> CAST(j - 1 AS BIGINT)) & 1) = 1) AS has,
     list_product(list_concat([1.0::DOUBLE], list_filter(zs, lambda z, j: j <> i AND ((mask >> CAST(j - 1 AS BIGINT)) & 1) = 0))) AS rest
   FROM (SELECT *, unnest(range(1, d + 1)) AS i FROM masks)),
-sums AS (SELECT *, {_ONE} AS e FROM parts),
+sums AS (SELECT *, {_ONE} AS e FROM alone),
 gains AS MATERIALIZED (SELECT tree, leaf, mask, feature, value * (o - z) * rest * list_sum(list_transform(range(0, len(has) + 1), lambda k: {_weights()}[d][k + 1] * e[len(has) - k + 1])) AS phi FROM sums),
 wide AS MATERIALIZED (SELECT tree, leaf, mask, {', '.join(f'coalesce(sum(phi) FILTER (feature = {f}), 0.0) AS p{f}' for f in range(WIDTH))} FROM gains GROUP BY tree, leaf, mask),
 bounds AS MATERIALIZED (SELECT tree, leaf, {', '.join(f"coalesce(los[list_position(fs, {f})], '-infinity'::DOUBLE) AS lo{f}, coalesce(his[list_position(fs, {f})], 'infinity'::DOUBLE) AS hi{f}, coalesce(1 << (list_position(fs, {f}) - 1), 0) AS b{f}" for f in range(WIDTH))} FROM listed),

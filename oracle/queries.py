@@ -3,8 +3,10 @@ plain self-joins, windows and quantile functions over the same views."""
 
 from __future__ import annotations
 
+from oracle import forest as grown
 from oracle.views import q
 from tallymark.config import RULE_NAMES
+from tallymark.operators.explain import FEATURE_LABELS
 from tallymark.operators.risk import TIER_ACTION, TIER_MEANING
 from tallymark.operators.rules import ACTIONS
 
@@ -786,3 +788,90 @@ ORACLE["k13_model_export_facts"] = q(f"SELECT {_N} AS n, {_N} AS numbers")
 ORACLE["x6_top_cases_facts"] = q("SELECT CAST(5 AS BIGINT) AS n, CAST(5 AS BIGINT) AS numbers")
 for _name in ("x5_sentence_facts", "x7_priority_facts"):
     ORACLE[_name] = q("SELECT TRUE AS all_cases, TRUE AS each_once, CAST(0 AS BIGINT) AS without_text")
+
+
+# --- forest, scores and contributions by value ------------------------------
+
+_FOREST = (FEAT, SCALER, grown.inputs(FEATURES), grown.GROWN)
+ORACLE["m1_forest_nodes"] = q(
+    """SELECT CAST(tree AS BIGINT) AS tree, CAST(node AS BIGINT) AS node, CAST(feature AS BIGINT) AS feature, round(threshold, 6) AS threshold,
+       CAST(CASE WHEN feature >= 0 THEN 2 * node ELSE node END AS BIGINT) AS "left", CAST(CASE WHEN feature >= 0 THEN 2 * node + 1 ELSE node END AS BIGINT) AS "right",
+       CAST(n AS BIGINT) AS n, CAST(depth AS BIGINT) AS depth FROM nodes""",
+    *_FOREST,
+)
+ORACLE["m2_anomaly_score"] = q("SELECT key AS invoice_number, round(iso_score, 6) AS iso_score FROM iso", *_FOREST, *grown.scores())
+ORACLE["m3_contamination_cut"] = q(
+    """SELECT key AS invoice_number, round(iso_score, 6) AS iso_score,
+       CAST(iso_score > (SELECT quantile_cont(iso_score, 0.95) FROM iso) AS BIGINT) AS iso_prediction FROM iso""",
+    *_FOREST, *grown.scores(),
+)
+# A feature's values are taken from the row half the table ahead in the order of a hash.
+_MOVED = f"""mixed AS (SELECT *, row_number() OVER (ORDER BY md5(key || ':42'), key) AS r, count(*) OVER () AS n FROM fx),
+moved AS MATERIALIZED (SELECT a.key, a.label, run, list_transform(range(1, {len(FEATURES)} + 1), lambda i: CASE WHEN i = run THEN b.x[i] ELSE a.x[i] END) AS x
+  FROM mixed a JOIN mixed b ON b.r = (a.r - 1 + a.n // 2) % a.n + 1 CROSS JOIN (SELECT unnest(range({len(FEATURES)} + 1)) AS run))"""
+ORACLE["m4_permutation_importance"] = q(
+    f"""SELECT [{', '.join(repr(f) for f in FEATURES)}][f] AS feature, round((SELECT auc FROM aucs WHERE run = 0) - auc, 6) AS auc_drop FROM (SELECT *, run AS f FROM aucs) WHERE run > 0""",
+    *_FOREST, _MOVED, *grown.scores("moved", "key, label, run"),
+    """aucs AS (SELECT run, (sum(CASE WHEN label = 1 THEN r ELSE 0 END) - CAST(sum(label) AS DOUBLE) * (sum(label) + 1) / 2) / (CAST(sum(label) AS DOUBLE) * sum(1 - label)) AS auc
+      FROM (SELECT run, label, rank() OVER (PARTITION BY run ORDER BY iso_score) + (count(*) OVER (PARTITION BY run, iso_score) - 1) / 2.0 AS r FROM iso) GROUP BY run)""",
+)
+_LONG = "unnest([" + ", ".join(f"{{'feature': '{f}', 'label': {_sql(FEATURE_LABELS[f])}, 'c': p{i}}}" for i, f in enumerate(FEATURES)) + "], recursive := true)"
+ORACLE["x1_contributions"] = q(
+    f"""SELECT key AS invoice_number, round((SELECT base_value FROM baseline), 6) AS base_value, feature, label, round(c, 6) AS contribution
+    FROM (SELECT key, {_LONG} FROM phi)""",
+    *_FOREST, grown.CONTRIBUTIONS, grown.contributions("fx"),
+)
+ORACLE["x3_global_importance"] = q(
+    f"""SELECT feature, label, round(avg(abs(c)), 6) AS mean_abs_contribution FROM (SELECT key, {_LONG} FROM phi) GROUP BY feature, label""",
+    *_FOREST, grown.CONTRIBUTIONS, grown.contributions("fx"),
+)
+
+# Cases as the forest alone ranks them.
+_ISO_SCORED = "scored AS (SELECT f.*, iso_score AS score FROM feat f JOIN iso ON iso.key = f.invoice_number)"
+_FOREST_RISK = (*ALL_RULES, *_FOREST, *grown.scores(), _ISO_SCORED, RISK)
+_FOREST_TOP = "ranked AS (SELECT *, row_number() OVER (ORDER BY composite_risk_score DESC, invoice_number) AS place FROM risk)"
+_FOREST_CASES = (
+    *_FOREST_RISK, _FOREST_TOP,
+    "asked AS MATERIALIZED (SELECT fx.* FROM fx JOIN ranked ON key = invoice_number WHERE risk_tier IN ('Critical', 'High') OR place <= 5)",
+    grown.CONTRIBUTIONS, grown.contributions("asked"),
+)
+_SAID = {
+    "feat_amount_zscore": f"'its amount lies ' || {_f('feat_amount_zscore')} || ' standard deviations from the vendor''s average'",
+    "feat_invoice_to_po_ratio": f"""'its amount is ' || {_f('abs((feat_invoice_to_po_ratio - 1) * 100)', 0)} || '% '
+        || CASE WHEN (feat_invoice_to_po_ratio - 1) * 100 > 0 THEN 'above' ELSE 'below' END || ' the order value'""",
+    "feat_vendor_age_days": f"'the vendor was only ' || {_f('feat_vendor_age_days', 0)} || ' days old'",
+    "feat_days_to_payment": "CAST(NULL AS VARCHAR)",
+    "feat_vendor_monthly_freq": f"'the vendor sent ' || {_f('feat_vendor_monthly_freq', 0)} || ' invoices in that month'",
+    "feat_pct_of_cc_budget": f"'it takes ' || {_f('feat_pct_of_cc_budget * 100')} || '% of the cost centre''s budget'",
+    "feat_after_hours": "CASE WHEN feat_after_hours = 1 THEN 'it was posted outside business hours' END",
+    "feat_no_po": "CASE WHEN feat_no_po = 1 THEN 'it refers to no purchase order' END",
+    "feat_round_number": "CASE WHEN feat_round_number = 1 THEN 'its amount is a round number' END",
+    "feat_benford_dev": "'its first digit is unusual under Benford''s law'",
+}
+_SENTENCES = f"""reasons AS (SELECT invoice_number, unnest([{', '.join(f"{{'i': {i}, 'c': p{i}, 'said': {_SAID[f]}}}" for i, f in enumerate(FEATURES))}], recursive := true)
+  FROM ranked JOIN phi ON key = invoice_number),
+told AS (SELECT invoice_number, string_agg(said, '; and ' ORDER BY abs(c) DESC, i) AS said FROM (
+    SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY abs(c) DESC, i) AS place FROM reasons) WHERE place <= 3 AND c > 0 AND said IS NOT NULL GROUP BY 1),
+cases AS (SELECT r.*, CASE WHEN said IS NULL THEN 'No single risk factor stands out.' ELSE 'Flagged mainly because ' || said || '.' END AS shap_explanation
+  FROM ranked r JOIN asked ON key = r.invoice_number LEFT JOIN told t ON t.invoice_number = r.invoice_number)"""
+ORACLE["k2_forest_risk"] = q(
+    "SELECT invoice_number, round(ml_component, 4) AS ml_component, composite_risk_score, risk_tier FROM risk", *_FOREST_RISK
+)
+ORACLE["x4_forest_top_case"] = q(
+    f"""SELECT invoice_number, composite_risk_score, round((SELECT base_value FROM baseline), 6) AS base_value, feature, label, round(c, 6) AS contribution
+    FROM (SELECT invoice_number, composite_risk_score, {_LONG} FROM phi JOIN ranked ON key = invoice_number WHERE place = 1)""",
+    *_FOREST_CASES,
+)
+ORACLE["x5_forest_sentences"] = q(f"SELECT invoice_number, shap_explanation FROM cases WHERE {_PRIORITY}", *_FOREST_CASES, _SENTENCES)
+ORACLE["x6_forest_top_cases"] = q(
+    "SELECT invoice_number, composite_risk_score AS risk_score, shap_explanation FROM cases WHERE place <= 5", *_FOREST_CASES, _SENTENCES
+)
+_EXPLAINED = f"""coalesce(nullif(concat_ws(' ', t.explanation,
+    CASE WHEN ml_component > 70 THEN 'The models see a strong outlier (ensemble score in the top ' || {_f('CAST(100 AS DOUBLE) - ml_component', 0)} || '% of its range).' END), ''),
+    'No rule hit and no strong model signal; kept for completeness.')"""
+ORACLE["x7_forest_priority_cases"] = q(
+    f"""SELECT r.invoice_number, vendor_id, CAST(invoice_amount AS DOUBLE) AS invoice_amount, composite_risk_score, risk_tier, rule_triggered,
+       {_EXPLAINED} AS full_explanation, shap_explanation
+    FROM cases r LEFT JOIN texts t ON t.invoice_number = r.invoice_number AND t.rule_no = {_RULE_NO} WHERE {_PRIORITY}""",
+    *_FOREST_CASES, _SENTENCES, TEXTS,
+)

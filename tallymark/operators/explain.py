@@ -255,5 +255,7 @@ def top_cases(risk: DataFrame, n: int) -> DataFrame:
     return risk.orderBy(F.desc("composite_risk_score"), "invoice_number").limit(n)
 
 
-def priority_cases(risk: DataFrame) -> DataFrame:
-    return risk.filter(F.col("risk_tier").isin("Critical", "High"))
+def priority_cases(risk: DataFrame, others: bool = False) -> DataFrame:
+    """Critical and High cases, or all others."""
+    found = F.col("risk_tier").isin("Critical", "High")
+    return risk.filter(~found if others else found)

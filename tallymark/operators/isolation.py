@@ -180,6 +180,11 @@ def anomaly_score(forest: Forest, x: np.ndarray) -> np.ndarray:
     return np.exp2(-total / len(forest.trees) / forest.norm)
 
 
+def rounded_score(forest: Forest, x: np.ndarray) -> np.ndarray:
+    """Scores to nine digits, so that equal ones compare equal whatever the order of sums."""
+    return np.round(anomaly_score(forest, x), 9)
+
+
 def feature_cols(array: str = "scaled") -> list[Column]:
     return [F.get(array, F.lit(i)) for i in range(WIDTH)]
 
@@ -194,7 +199,7 @@ def add_score(scaled: DataFrame, forest: Forest, name: str = "iso_score") -> Dat
 
     @F.pandas_udf("double")
     def score(*cols: pd.Series) -> pd.Series:
-        return pd.Series(np.round(anomaly_score(shared.value, np.column_stack(cols)), 9))
+        return pd.Series(rounded_score(shared.value, np.column_stack(cols)))
 
     return scaled.withColumn(name, score(*forest_cols()))
 
@@ -225,14 +230,14 @@ def permutation_importance(
     @F.pandas_udf("array<double>")
     def scores(own: pd.Series, other: pd.Series) -> pd.Series:
         x, y = np.stack(own.to_numpy()), np.stack(other.to_numpy())
-        out = [anomaly_score(shared.value, x)]
+        out = [rounded_score(shared.value, x)]
         for f in range(x.shape[1]):
             moved = x.copy()
             moved[:, f] = y[:, f]
-            out.append(anomaly_score(shared.value, moved))
+            out.append(rounded_score(shared.value, moved))
         return pd.Series(list(np.column_stack(out)))
 
-    long = paired.select("label", F.posexplode(scores("scaled", "other")).alias("run", "score"))
+    long = paired.select("label", F.posexplode(scores(F.transform("scaled", on_grid), F.transform("other", on_grid))).alias("run", "score"))
     auc = roc_auc(pin(long, "permuted"), "label", "score", ("run",), chunks)
     pairs = F.map_from_entries(F.collect_list(F.struct("run", "auc")))
     table = auc.agg(pairs.alias("auc"))

@@ -109,6 +109,26 @@ class Audit:
     def risk(self) -> DataFrame:
         return pin(rk.risk_frame(self.scored, self.report, self.cfg), "risk")
 
+    # risk with the forest alone in the place of the ensemble
+    @cached_property
+    def forest_scored(self) -> DataFrame:
+        """Features with the forest's score as ensemble_score."""
+        scored = isolation.add_score(self.scaled, self.forest)
+        return pin(scored.withColumn("ensemble_score", F.col("iso_score")), "scored-forest")
+
+    @cached_property
+    def forest_risk(self) -> DataFrame:
+        return pin(rk.risk_frame(self.forest_scored, self.report, self.cfg), "risk-forest")
+
+    @cached_property
+    def forest_cases(self) -> DataFrame:
+        """Critical, High and the five highest cases by `forest_risk`, explained."""
+        top = explain.top_cases(self.forest_risk, 5).select("invoice_number")
+        cases = explain.priority_cases(self.forest_risk).unionByName(
+            explain.priority_cases(self.forest_risk, others=True).join(F.broadcast(top), "invoice_number", "left_semi")
+        )
+        return pin(explain.add_sentence(explain.add_contributions(cases, self.forest)), "cases-forest")
+
     # explanations
     @cached_property
     def explained(self) -> DataFrame:

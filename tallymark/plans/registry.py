@@ -320,11 +320,13 @@ QUALITY: dict[str, Query] = {
 }
 
 MODELS: dict[str, Query] = {
-    "m1_forest_nodes": lambda a: a.forest_nodes,
-    "m2_anomaly_score": lambda a: isolation.add_score(a.scaled, a.forest).select("invoice_number", "iso_score"),
-    "m3_contamination_cut": lambda a: a.scored.select("invoice_number", "iso_score", "iso_prediction"),
-    "m4_permutation_importance": lambda a: isolation.permutation_importance(
-        a.scaled, a.forest, "anomaly_flag"
+    "m1_forest_nodes": lambda a: _rounded(a.forest_nodes, "threshold"),
+    "m2_anomaly_score": lambda a: _rounded(
+        isolation.add_score(a.scaled, a.forest).select("invoice_number", "iso_score"), "iso_score"
+    ),
+    "m3_contamination_cut": lambda a: _rounded(a.scored.select("invoice_number", "iso_score", "iso_prediction"), "iso_score"),
+    "m4_permutation_importance": lambda a: _rounded(
+        isolation.permutation_importance(a.scaled, a.forest, "anomaly_flag"), "auc_drop"
     ),
     "m5_training_history": lambda a: autoencoder.history_frame(a.scaled, a.autoencoder),
     "m6_reconstruction_error": lambda a: autoencoder.add_error(a.scaled, a.autoencoder.weights).select(
@@ -343,9 +345,24 @@ MODELS: dict[str, Query] = {
         "composite_risk_score", "risk_tier",
     ),
     "k13_model_export": lambda a: rk.master_export(a.risk, a.po),
-    "x1_contributions": lambda a: explain.long_contributions(a.explained),
+    "x1_contributions": lambda a: _rounded(explain.long_contributions(a.explained), "base_value", "contribution"),
     "x2_seeded_sample": lambda a: _rounded(explain.sample(a.features).select("invoice_number", *FEATURES), *FEATURES),
-    "x3_global_importance": lambda a: explain.importance(a.explained),
+    "x3_global_importance": lambda a: _rounded(explain.importance(a.explained), "mean_abs_contribution"),
+    # the same with the forest alone choosing the cases, which SQL can follow
+    "k2_forest_risk": lambda a: _rounded(
+        a.forest_risk.select("invoice_number", "ml_component", "composite_risk_score", "risk_tier"), "ml_component", digits=4
+    ),
+    "x4_forest_top_case": lambda a: _rounded(
+        explain.long_contributions(explain.top_cases(a.forest_cases, 1), "composite_risk_score"), "base_value", "contribution"
+    ),
+    "x5_forest_sentences": lambda a: explain.priority_cases(a.forest_cases).select("invoice_number", "shap_explanation"),
+    "x6_forest_top_cases": lambda a: explain.top_cases(a.forest_cases, 5).select(
+        "invoice_number", F.col("composite_risk_score").alias("risk_score"), "shap_explanation"
+    ),
+    "x7_forest_priority_cases": lambda a: explain.priority_cases(a.forest_cases).select(
+        "invoice_number", "vendor_id", "invoice_amount", "composite_risk_score", "risk_tier",
+        "rule_triggered", "full_explanation", "shap_explanation",
+    ),
     "x4_top_case": lambda a: explain.long_contributions(
         explain.top_cases(a.explained_top, 1), "composite_risk_score"
     ).orderBy(F.desc(F.abs("contribution")), "feature"),
@@ -388,7 +405,7 @@ def _forest_facts(a: Audit) -> DataFrame:
         F.first("n").alias("n"), F.sum("m").alias("m")
     )
     odd = sums.filter("n != m").agg(F.count(F.lit(1)).alias("n")).scalar()
-    roots = nodes.filter("node = 0")
+    roots = nodes.filter(F.col("node") == isolation.ROOT)
     return roots.agg(
         F.count(F.lit(1)).alias("trees"), F.min("n").cast("bigint").alias("least_root"), F.max("n").cast("bigint").alias("largest_root")
     ).withColumn("uneven_nodes", odd)
