@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from tallymark.plans.pipeline import audit  # noqa: E402
 from tallymark.plans.registry import ALL, present  # noqa: E402
 
-STAGES = ("report", "features", "zscore_risk", "scaled", "forest", "autoencoder", "scored", "risk",
+STAGES = ("near", "report", "features", "zscore_risk", "scaled", "forest", "autoencoder", "scored", "risk",
           "explained_cases")
 HEADLINE = (
     "q1_po_deviation", "q2_same_amount_month", "q3_split_orders_by_month", "q7_early_first_use",

@@ -281,7 +281,11 @@ HAVING CAST(min(invoice_date) AS DATE) - vendor_creation_date <= 7 ORDER BY days
 # rules
 _HITS = "SELECT invoice_number, rule_triggered, risk_score, financial_value FROM "
 ORACLE["r1_exact_duplicates"] = q(_HITS + "r1", R1)
-ORACLE["r2_near_duplicates"] = q("SELECT * FROM near", PAIRS, NEAR)
+ORACLE["r2_near_duplicates"] = q(
+    "SELECT near.*, n_partners FROM near JOIN (SELECT invoice_number, count(*) AS n_partners FROM pairs GROUP BY 1) p ON p.invoice_number = near.invoice_number",
+    PAIRS, NEAR,
+)
+ORACLE["r2_pair_totals"] = q("SELECT count(DISTINCT invoice_number) AS n_invoices, count(*) AS n_pairs FROM pairs", PAIRS)
 for _n, _name, _cte in (
     (3, "split_orders", R3), (4, "match_failures", R4), (5, "maverick", R5), (6, "after_hours", R6),
     (7, "budget_overruns", R7), (8, "round_amounts", R8), (9, "new_vendors", R9),

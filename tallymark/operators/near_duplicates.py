@@ -1,27 +1,36 @@
 """Near-duplicate invoices: same vendor, at most 30 elapsed days apart, other
 reference, amounts within 2% of the earlier one but not equal.
 
-The result has one row per flagged invoice, with a chosen partner; pairs are
-never listed. Copies of one posting (vendor, reference, amount, 31-day slot) are
-first folded into one *cell*; they never match each other, and cells of other
-postings match them alike. For a cell it is enough to know the earliest matching
-posting in its own slot and the latest one in the slot before. Cells look up
-their amount range in a table of binary intervals (each range splits into at
-most two intervals per level), which is exact and needs no pair at all, however
-many postings of a vendor lie close together.
+The result has one row per flagged invoice, with a chosen partner and, if asked for, the
+number of its partners; pairs are never listed. Copies of one posting (vendor, reference,
+amount, 31-day slot) are first folded into one *cell*; they never match each other, and
+cells of other postings match them alike. For a cell it is enough to know the earliest
+matching posting in its own slot and the latest one in the slot before.
+
+Cells of a vendor and slot are dealt to buckets of slightly over 2% of the amount, so an
+amount range lies in three buckets. Only buckets that hold another amount in range and
+another reference are asked. In them amounts count by their rank: postings are kept per block
+of 2^k ranks, and a range is made up of at most two blocks a level. A bucket of one amount has
+one block; rows grow with the logarithm of a bucket's distinct amounts, however close
+together the postings of a vendor lie. Partners are counted along time and amount at once
+(`functions.dominance`), less those of equal reference.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
+from tallymark.functions.dominance import blocks_of_range, blocks_of_rank, count_dominated, prefix_ranks
 from tallymark.functions.expressions import MICROS_PER_DAY, micros
 from tallymark.functions.ordering import pin
 
 CELL = ["vendor_id", "ref", "cents", "slot"]
-
+#: Where postings are looked up: a vendor's bucket of amounts in a slot.
+PLACE = ["vendor_id", "g_slot", "bucket"]
 
 def _slot_micros(cfg: AuditConfig) -> int:
     """Two rows of one slot are at most `dup_date_window_days` whole days apart."""
@@ -59,104 +68,145 @@ def _days(span: Column) -> Column:
     return F.floor(span.cast("double") / F.lit(float(MICROS_PER_DAY))).cast("int")
 
 
-def _posting(of: str, side: str) -> Column:
-    return F.struct(F.col(f"{of}.t"), F.col(f"{of}.num"), F.col(f"{side}cents").alias("cents"))
+def _bucket(cents: Column, cfg: AuditConfig) -> Column:
+    """Buckets are wider than the tolerance, so a range around an amount lies in the
+    amount's own bucket and the two beside it, also where logarithms round at a border."""
+    width = -math.log(1 - float(cfg.dup_amount_tolerance)) * 1.05
+    return F.floor(F.ln(cents.cast("double")) / F.lit(width)).cast("bigint")
 
 
-def _intervals_of(cents: Column, cfg: AuditConfig) -> Column:
-    """All binary intervals that hold an amount, up to the widest one a range
-    around it can use."""
-    reach = F.lit(4.0 * float(cfg.dup_amount_tolerance)) * cents.cast("double")
-    top = F.greatest(F.ceil(F.log2(F.greatest(reach, F.lit(2.0)))), F.lit(1)).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), top),
-        lambda k: F.struct(k.alias("level"), _halve(cents, k).alias("node")),
+def _asked(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """(cell as j_*, place, back, the ranges [low, cents) and [cents + 1, end)): a cell and a
+    place in its own slot or the one before (`back` = 1) that may hold partners."""
+    places = cells.groupBy("vendor_id", F.col("slot").alias("g_slot"), "bucket").agg(
+        F.min("cents").alias("least"), F.max("cents").alias("most"), F.min("ref").alias("ref_1"), F.max("ref").alias("ref_2")
     )
+    near = F.array(*[F.struct(F.lit(b).alias("back"), F.lit(d).alias("by")) for b in (0, 1) for d in (-1, 0, 1)])
+    # later = (1 +- tolerance) * earlier, so earlier lies in later / (1 +- tolerance)
+    cents = F.col("cents").cast("decimal(20,0)")
+    one = 1
+    looking = cells.select(
+        "vendor_id", *[F.col(c).alias(f"j_{c}") for c in ("ref", "cents", "slot")],
+        F.ceil(cents / F.lit(one + cfg.dup_amount_tolerance)).cast("bigint").alias("low"),
+        (F.floor(cents / F.lit(one - cfg.dup_amount_tolerance)).cast("bigint") + 1).alias("end"),
+        "bucket", F.explode(near).alias("near"),
+    ).select(
+        "*", (F.col("j_slot") - F.col("near.back")).alias("g_slot"), F.col("near.back").alias("back"),
+    ).withColumn("bucket", F.col("bucket") + F.col("near.by")).drop("near")
+    in_range = (F.col("least") < F.col("end")) & (F.col("most") >= F.col("low"))
+    other_amount = (F.col("least") != F.col("j_cents")) | (F.col("most") != F.col("j_cents"))
+    other_ref = (F.col("ref_1") != F.col("j_ref")) | (F.col("ref_2") != F.col("j_ref"))
+    return looking.join(places, PLACE).filter(in_range & other_amount & other_ref).drop("least", "most", "ref_1", "ref_2")
 
 
-def _halve(value: Column, times: Column) -> Column:
-    return F.floor(value.cast("double") / F.pow(F.lit(2.0), times)).cast("bigint")
-
-
-def _cover(low: Column, end: Column) -> Column:
-    """Binary intervals whose disjoint union is [low, end), two per level at most."""
-    width = F.greatest(end - low, F.lit(1)).cast("double")
-    levels = F.sequence(F.lit(0), F.floor(F.log2(width)).cast("int"))
-
-    def at(k: Column) -> Column:
-        left = -_halve(-low, k)  # rounded up
-        right = _halve(end, k)
-        room = left < right
-        return F.array_compact(
-            F.array(
-                F.when(room & (left % 2 == 1), F.struct(k.alias("level"), left.alias("node"))),
-                F.when(room & (right % 2 == 1), F.struct(k.alias("level"), (right - 1).alias("node"))),
-            )
-        )
-
-    return F.flatten(F.transform(levels, at))
+def _ranges() -> Column:
+    own = F.col("j_cents")
+    return F.array(F.struct(F.col("low").alias("from"), own.alias("to")), F.struct((own + 1).alias("from"), F.col("end").alias("to")))
 
 
-def _matches(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Per later cell the earliest match in its slot and the latest in the slot
-    before, through interval lookups: at most two rows per interval asked.
+def _matches(cells: DataFrame, asked: DataFrame) -> DataFrame:
+    """Per later cell the earliest match in its slot and the latest in the slot before.
 
-    Two postings with different references suffice per interval: whatever the
+    Two postings with different references suffice per block of ranks: whatever the
     asking reference is, one of them differs from it.
     """
-    at = ["vendor_id", "slot", "level", "node"]
-    stored = (
-        cells.withColumn("_iv", F.explode(_intervals_of(F.col("cents"), cfg)))
-        .select("vendor_id", "slot", "_iv.level", "_iv.node", "ref",
-                _posting("first", "").alias("lo"), _posting("last", "").alias("hi"))
-        .groupBy(*at, "ref")
-        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    held = cells.withColumnRenamed("slot", "g_slot").join(asked.select(*PLACE).distinct(), PLACE, "left_semi")
+    amounts = held.select(*PLACE, F.col("cents").alias("value")).distinct()
+    asking = ["j_ref", "j_cents", "j_slot", "back", "part", "end_of"]
+    borders = asked.select("*", F.posexplode(_ranges()).alias("part", "range")).select(
+        *PLACE, "j_ref", "j_cents", "j_slot", "back", "part", F.explode(F.array(*[F.struct(F.lit(i).alias("end_of"), F.col(f"range.{c}").alias("value")) for i, c in enumerate(("from", "to"))])).alias("at"),
+    ).select(*PLACE, *asking[:-1], "at.*")
+    ranked, placed = prefix_ranks(amounts, borders, PLACE, ["value"])
+    blocks = ranked.withColumnRenamed("value", "cents").join(held, [*PLACE, "cents"]).select(
+        *PLACE, F.explode(blocks_of_rank(F.col("rank"), F.col("size"))).alias("at"), "ref", "cents",
+        F.struct("first.t", "first.num", "cents").alias("lo"), F.struct("last.t", "last.num", "cents").alias("hi"),
+    ).select(*PLACE, "at.*", "ref", "lo", "hi")
+    node = [*PLACE, "level", "node"]
+    ends = pin(blocks.groupBy(*node, "ref").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")), "blocks")
+    first, last = F.struct("lo", "ref"), F.struct("hi", "ref")
+    best = ends.groupBy(*node).agg(F.min(first).alias("lo_1"), F.max(last).alias("hi_1"))
+    others = ends.join(best, node).groupBy(*node, "lo_1", "hi_1").agg(
+        F.min(F.when(F.col("ref") != F.col("lo_1.ref"), first)).alias("lo_2"),
+        F.max(F.when(F.col("ref") != F.col("hi_1.ref"), last)).alias("hi_2"),
     )
-    by_first = Window.partitionBy(*at).orderBy("lo")
-    by_last = Window.partitionBy(*at).orderBy(F.desc("hi"))
-    firsts = stored.withColumn("_rn", F.row_number().over(by_first)).filter("_rn <= 2")
-    lasts = stored.withColumn("_rn", F.row_number().over(by_last)).filter("_rn <= 2")
-    best = firsts.select(*at, F.lit(0).alias("_back"), "ref", F.col("lo").alias("post")).unionByName(
-        lasts.select("vendor_id", (F.col("slot") + 1).alias("slot"), "level", "node",
-                     F.lit(1).alias("_back"), "ref", F.col("hi").alias("post"))
+    spans = placed.groupBy(*PLACE, *asking[:-1]).agg(
+        F.min(F.when(F.col("end_of") == 0, F.col("rank"))).alias("low"), F.min(F.when(F.col("end_of") == 1, F.col("rank"))).alias("to")
+    ).filter("low < to")
+    sought = spans.select(*PLACE, "j_ref", "j_cents", "j_slot", "back", F.explode(blocks_of_range(F.col("low"), F.col("to"))).alias("at")).select(
+        *PLACE, "j_ref", "j_cents", "j_slot", "back", "at.*"
     )
-    # later = (1 +- tolerance) * earlier, so earlier lies in later / (1 +- tolerance)
-    cents = F.col("cents").cast("decimal(20,0)")
-    one = 1
-    low = F.ceil(cents / F.lit(one + cfg.dup_amount_tolerance)).cast("bigint")
-    high = F.floor(cents / F.lit(one - cfg.dup_amount_tolerance)).cast("bigint")
-    parts = F.concat(_cover(low, F.col("cents")), _cover(F.col("cents") + 1, high + 1))
-    asked = cells.withColumn("_iv", F.explode(parts)).select(
-        *[F.col(c).alias(f"j_{c}") for c in CELL], "vendor_id", "slot", "_iv.level", "_iv.node"
+    found = sought.join(others, node)
+
+    def other(side: str) -> Column:
+        return F.when(F.col(f"{side}_1.ref") != F.col("j_ref"), F.col(f"{side}_1.{side}")).otherwise(F.col(f"{side}_2.{side}"))
+
+    return found.groupBy(F.col("vendor_id").alias("j_vendor_id"), "j_ref", "j_cents", "j_slot").agg(
+        F.min(F.when(F.col("back") == 0, other("lo"))).alias("own"),
+        F.max(F.when(F.col("back") == 1, other("hi"))).alias("before"),
     )
-    found = asked.join(best, at).filter(F.col("ref") != F.col("j_ref"))
-    return found.groupBy(*[f"j_{c}" for c in CELL]).agg(
-        F.min(F.when(F.col("_back") == 0, F.col("post"))).alias("own"),
-        F.max(F.when(F.col("_back") == 1, F.col("post"))).alias("before"),
+
+
+def _partner_counts(rows: DataFrame, flagged: DataFrame, asked: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """(id, n): earlier invoices that match a flagged one. Along time those in front of it
+    in its own slot, and in the slot before all less those over 30 days back; along the
+    amount those below the end of a range less those below its beginning; all that less
+    the ones with the invoice's own reference."""
+    places = asked.select(*PLACE).distinct()
+    of = rows.withColumn("g_slot", F.col("slot")).withColumn("bucket", _bucket(F.col("cents"), cfg)).join(places, PLACE, "left_semi")
+    everyone = F.array(F.lit(""), F.concat(F.lit("="), F.col("ref")))
+    points = of.select(*PLACE, F.explode(everyone).alias("of_ref"), "t", "num", F.col("cents").alias("value"))
+    cell = ["vendor_id", "j_ref", "j_cents", "j_slot"]
+    terms = []
+    for ref_sign, of_ref in ((1, F.lit("")), (-1, F.concat(F.lit("="), F.col("j_ref")))):
+        for end, end_sign in (("to", 1), ("from", -1)):
+            for back, all_of, sign in ((0, False, 1), (1, True, 1), (1, False, -1)):
+                terms.append(
+                    F.struct(F.lit(back).alias("when_back"), of_ref.alias("of_ref"), F.col(f"range.{end}").alias("value"), F.lit(all_of).alias("all"), F.lit(ref_sign * end_sign * sign).alias("sign"))
+                )
+    asking = (
+        flagged.join(asked.withColumn("range", F.explode(_ranges())), cell)
+        .select(*PLACE, "back", "f_t", "f_num", F.explode(F.array(*terms)).alias("term"))
+        .filter("term.when_back = back")
+    )
+    # Far ago comes behind the last posting of that instant, a posting in front of itself.
+    queries = asking.select(
+        *PLACE, "term.of_ref", F.when(F.col("back") == 0, F.col("f_t")).otherwise(F.col("f_t") - F.lit(_slot_micros(cfg))).alias("t"),
+        F.when(F.col("back") == 0, F.col("f_num")).alias("num"), "term.value", "term.all", "term.sign", F.col("f_num").alias("id"),
     )
+    return count_dominated(points, queries, [*PLACE, "of_ref"], ["t", F.asc_nulls_last("num")], "value")
 
 
-def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT, counted: bool = False) -> DataFrame:
     """One row per flagged invoice with one partner: the earliest match in the
-    invoice's own 31-day slot, else the latest one of the slot before."""
+    invoice's own 31-day slot, else the latest one of the slot before. With `counted` also
+    n_partners, the number of earlier invoices that match it."""
     rows = _rows(invoices, cfg)
-    cells = pin(_cells(rows, cfg), "cells")  # read twice below
-    found = _matches(cells, cfg)
+    cells = pin(_cells(rows, cfg).withColumn("bucket", _bucket(F.col("cents"), cfg)), "cells")
+    asked = pin(_asked(cells, cfg), "asked")
+    found = _matches(cells, asked)
     placed = rows.select(*[F.col(c).alias(f"j_{c}") for c in CELL], "t", "num").join(
         found, [f"j_{c}" for c in CELL]
     )
     own_ok = F.col("own").isNotNull() & (F.struct("own.t", "own.num") < F.struct("t", "num"))
     before_ok = F.col("t") - F.col("before.t") < F.lit(_slot_micros(cfg))
     partner = F.when(own_ok, F.col("own")).when(before_ok, F.col("before"))
-    return (
-        placed.withColumn("partner", partner)
-        .filter(F.col("partner").isNotNull())
-        .select(
-            F.col("num").alias("invoice_number"),
-            F.col("partner.num").alias("matched_invoice"),
-            F.col("j_vendor_id").alias("vendor_id"),
-            _amount("j_cents").alias("invoice_amount"),
-            _amount("partner.cents").alias("matched_amount"),
-            _days(F.col("t") - F.col("partner.t")).alias("days_apart"),
-        )
-    )
+    hits = placed.withColumn("partner", partner).filter(F.col("partner").isNotNull())
+    shown = [
+        F.col("num").alias("invoice_number"),
+        F.col("partner.num").alias("matched_invoice"),
+        F.col("j_vendor_id").alias("vendor_id"),
+        _amount("j_cents").alias("invoice_amount"),
+        _amount("partner.cents").alias("matched_amount"),
+        _days(F.col("t") - F.col("partner.t")).alias("days_apart"),
+    ]
+    if not counted:
+        return hits.select(*shown)
+    kept = pin(hits, "flagged")
+    flagged = kept.select(F.col("j_vendor_id").alias("vendor_id"), "j_ref", "j_cents", "j_slot", F.col("t").alias("f_t"), F.col("num").alias("f_num"))
+    counts = _partner_counts(rows, flagged, asked, cfg).select(F.col("id").alias("num"), F.col("n").alias("n_partners"))
+    return kept.join(counts, "num").select(*shown, "n_partners")
+
+
+def pair_totals(counted: DataFrame) -> DataFrame:
+    """One row: flagged invoices, and pairs of an invoice and an earlier match."""
+    return counted.agg(F.count(F.lit(1)).alias("n_invoices"), F.coalesce(F.sum("n_partners"), F.lit(0)).cast("bigint").alias("n_pairs"))

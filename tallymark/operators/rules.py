@@ -109,9 +109,10 @@ def _near_exceptions(found: DataFrame) -> DataFrame:
     return _exceptions(found, 2, "invoice_number", 6, text, "invoice_amount")
 
 
-def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
-    """One exception per flagged invoice (what the report keeps)."""
-    return _near_exceptions(nd.near_duplicates(invoices, cfg))
+def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT, near: DataFrame | None = None) -> DataFrame:
+    """One exception per flagged invoice (what the report keeps). `near` is the result of
+    rule 2's search where it is known already."""
+    return _near_exceptions(nd.near_duplicates(invoices, cfg) if near is None else near)
 
 
 def _split_windows(orders: DataFrame, cfg: AuditConfig, chunks: int | None = None) -> DataFrame:
@@ -268,18 +269,27 @@ def _vendor_ages(vendors: DataFrame) -> DataFrame:
     return vendors.select("vendor_id", "vendor_creation_date", "is_ghost_vendor")
 
 
+def _row_terms(cfg: AuditConfig) -> dict[int, tuple]:
+    """The rules that one row with its order and vendor decides."""
+    return {
+        4: _match_terms(cfg), 5: _maverick_terms(cfg), 6: _after_hours_terms(cfg),
+        8: _round_terms(cfg), 9: _new_vendor_terms(cfg),
+    }
+
+
+def _with_lookups(invoices: DataFrame, purchase_orders: DataFrame, vendors: DataFrame) -> DataFrame:
+    joined = left_lookup(invoices, _order_values(purchase_orders), "po_number", "invoice_number")
+    return left_lookup(joined, _vendor_ages(vendors), "vendor_id", "invoice_number")
+
+
 def strongest_of_row(
     invoices: DataFrame, purchase_orders: DataFrame, vendors: DataFrame, cfg: AuditConfig = DEFAULT
 ) -> DataFrame:
     """The strongest of rules 4, 5, 6, 8 and 9 for every invoice that breaks
     one, from a single pass over the invoices; explanations are written for the
     chosen rule only."""
-    terms = {
-        4: _match_terms(cfg), 5: _maverick_terms(cfg), 6: _after_hours_terms(cfg),
-        8: _round_terms(cfg), 9: _new_vendor_terms(cfg),
-    }
-    joined = left_lookup(invoices, _order_values(purchase_orders), "po_number", "invoice_number")
-    joined = left_lookup(joined, _vendor_ages(vendors), "vendor_id", "invoice_number")
+    terms = _row_terms(cfg)
+    joined = _with_lookups(invoices, purchase_orders, vendors)
     # one number orders score (high first), then rule
     codes = [F.when(broken, -100 * score + rule) for rule, (broken, score, _) in terms.items()]
     chosen = joined.withColumn("_code", F.array_min(F.array(*codes))).filter(F.col("_code").isNotNull())
@@ -331,12 +341,13 @@ def all_exceptions(
     vendors: DataFrame,
     budget: DataFrame,
     cfg: AuditConfig = DEFAULT,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """Exceptions of every rule before deduplication; rule 2 gives one per
     flagged invoice, whatever the number of its partners."""
     parts = [
         exact_duplicates(invoices, cfg),
-        near_duplicates(invoices, cfg),
+        near_duplicates(invoices, cfg, near),
         split_orders(purchase_orders, cfg),
         match_failures(invoices, purchase_orders, cfg),
         maverick(invoices, cfg),
@@ -375,12 +386,13 @@ def exceptions_report(
     vendors: DataFrame,
     budget: DataFrame,
     cfg: AuditConfig = DEFAULT,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """The strongest exception per key with its tier. Rules that one row decides
     are settled in a single pass before the rest is added."""
     parts = [
         exact_duplicates(invoices, cfg),
-        near_duplicates(invoices, cfg),
+        near_duplicates(invoices, cfg, near),
         split_orders(purchase_orders, cfg),
         budget_overruns(budget, cfg),
         strongest_of_row(invoices, purchase_orders, vendors, cfg),
@@ -401,6 +413,29 @@ def rule_counts(exceptions: DataFrame) -> DataFrame:
     return exceptions.groupBy("rule_triggered").agg(F.count(F.lit(1)).alias("n"))
 
 
+def rule_totals(
+    invoices: DataFrame,
+    purchase_orders: DataFrame,
+    vendors: DataFrame,
+    budget: DataFrame,
+    cfg: AuditConfig = DEFAULT,
+    near: DataFrame | None = None,
+) -> DataFrame:
+    """`rule_counts` of all exceptions without writing them: the rules that one row
+    decides are counted in a single pass over the invoices."""
+    terms = _row_terms(cfg)
+    passed = _with_lookups(invoices, purchase_orders, vendors).agg(
+        *[F.count_if(F.coalesce(broken, F.lit(False))).alias(f"r{rule}") for rule, (broken, _, _) in terms.items()]
+    )
+    entries = [F.struct(F.lit(RULE_NAMES[r]).alias("rule_triggered"), F.col(f"r{r}").alias("n")) for r in terms]
+    counted = passed.select(F.inline(F.array(*entries)))
+    rest = [
+        exact_duplicates(invoices, cfg), near_duplicates(invoices, cfg, near), split_orders(purchase_orders, cfg),
+        budget_overruns(budget, cfg),
+    ]
+    return counted.filter("n > 0").unionByName(rule_counts(reduce(DataFrame.unionByName, rest)))
+
+
 def confusion(df: DataFrame, label: str, predicted: str, by: tuple[str, ...] = ()) -> DataFrame:
     """Confusion counts with precision, recall and F1 (0 where undefined)."""
     y, p = F.col(label) == 1, F.col(predicted) == 1

@@ -16,6 +16,7 @@ from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin, remove_stored
 from tallymark.operators import autoencoder, ensemble, explain, isolation
 from tallymark.operators import features as feat
+from tallymark.operators import near_duplicates as nd
 from tallymark.operators import risk as rk
 from tallymark.operators import rules
 from tallymark.plans.shipping import ship_package
@@ -47,11 +48,16 @@ class Audit:
         return self.tables.budget
 
     # rules
+    @cached_property
+    def near(self) -> DataFrame:
+        """Near duplicates with the number of their partners."""
+        return pin(nd.near_duplicates(self.inv, self.cfg, counted=True), "near")
+
     @cached_property
     def report(self) -> DataFrame:
         """Deduplicated exceptions with tier."""
         return pin(
-            rules.exceptions_report(self.inv, self.po, self.ven, self.bud, self.cfg), "report"
+            rules.exceptions_report(self.inv, self.po, self.ven, self.bud, self.cfg, self.near), "report"
         )
 
     # features

@@ -136,7 +136,8 @@ CONTROLS: dict[str, Query] = {
 
 RULES: dict[str, Query] = {
     "r1_exact_duplicates": lambda a: _hits(rules.exact_duplicates(a.inv)),
-    "r2_near_duplicates": lambda a: nd.near_duplicates(a.inv),
+    "r2_near_duplicates": lambda a: a.near,
+    "r2_pair_totals": lambda a: nd.pair_totals(a.near),
     "r3_split_orders": lambda a: _hits(rules.split_orders(a.po)),
     "r4_match_failures": lambda a: _hits(rules.match_failures(a.inv, a.po)),
     "r5_maverick": lambda a: _hits(rules.maverick(a.inv)),
@@ -144,14 +145,12 @@ RULES: dict[str, Query] = {
     "r7_budget_overruns": lambda a: _hits(rules.budget_overruns(a.bud)),
     "r8_round_amounts": lambda a: _hits(rules.round_amounts(a.inv)),
     "r9_new_vendors": lambda a: _hits(rules.new_vendors(a.inv, a.ven)),
-    "r10_exceptions_report": lambda a: _hits(rules.exceptions_report(a.inv, a.po, a.ven, a.bud)),
+    "r10_exceptions_report": lambda a: _hits(rules.exceptions_report(a.inv, a.po, a.ven, a.bud, near=a.near)),
     "r10_exceptions_with_text": lambda a: a.report,
     "r11_rule_tier": lambda a: a.report.select("invoice_number", "risk_score", "risk_tier"),
     "r12_tier_totals": lambda a: rules.tier_totals(a.report),
     "r13_evaluation": lambda a: rules.evaluate(a.inv, a.report),
-    "r14_rule_counts": lambda a: rules.rule_counts(
-        rules.all_exceptions(a.inv, a.po, a.ven, a.bud)
-    ),
+    "r14_rule_counts": lambda a: rules.rule_totals(a.inv, a.po, a.ven, a.bud, near=a.near),
 }
 
 

@@ -1,6 +1,7 @@
 """Banded and interval search against brute force, also under heavy skew."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -54,10 +55,13 @@ def test_matches_brute_force(spark):
     rows = random_rows(400, 11)
     expected = brute(rows)
     inv = table(spark, "invoices", rows)
-    flagged = nd.near_duplicates(inv)
-    got = keys(flagged, "invoice_number", "matched_invoice")
+    flagged = nd.near_duplicates(inv, counted=True).collect()
+    got = {(r.invoice_number, r.matched_invoice) for r in flagged}
     assert {j for j, _ in got} == {j for j, _ in expected}
     assert got <= expected
+    assert {r.invoice_number: r.n_partners for r in flagged} == Counter(j for j, _ in expected)
+    totals = nd.pair_totals(nd.near_duplicates(inv, counted=True)).first()
+    assert (totals.n_invoices, totals.n_pairs) == (len(got), len(expected))
 
 
 EDGES = [
@@ -104,4 +108,6 @@ def test_two_postings_copied_many_times_give_a_row_each_at_most(spark):
     many = spark.range(10_000).withColumnRenamed("id", "n")
     rows = one.unionByName(two).crossJoin(many)
     rows = rows.withColumn("invoice_number", F.concat("invoice_number", F.col("n").cast("string"))).drop("n")
-    assert nd.near_duplicates(rows).count() == 10_000
+    found = nd.near_duplicates(rows, counted=True)
+    assert found.count() == 10_000
+    assert nd.pair_totals(found).first().n_pairs == 100_000_000
