@@ -1,4 +1,4 @@
-"""Repeated passages by suffix order and longest-previous-factor arrays.
+"""Repeated passages by suffix order, refined level by level.
 
 Sorting all suffixes of a corpus would move many times its bytes, so the suffix
 order is taken where it decides: every window of `LENGTH` bytes names an anchor,
@@ -7,9 +7,14 @@ their anchors at the same offset, so suffixes can only match over a whole window
 if their anchors' K-byte strings are equal. Anchors whose string is unique drop
 out; the rest are ordered string by string. Suffixes that stay equal over all
 windows of an anchor are one run of the suffix order, kept as its size and its
-first place. Where a string has several runs, the suffixes of their windows are
-sorted, adjacent common prefixes measured, and the previous and next smaller
-positions in that order give the longest previous factor of each.
+first place: that place is where its longest previous factors begin.
+
+Where a string has several runs, these are refined: anchors are taken again with strings of
+about half the way to `LENGTH` (64, 132, 166, ... 199, 200 bytes), runs are cut where the anchor
+moves, strings that have become unique drop out, and runs that have become equal are folded
+to their size and first place. At `LENGTH` bytes a run is one window and nothing is left to
+tell apart. The same steps serve a string of two runs and one of millions: a passage in N
+different surroundings keeps a few runs per occurrence and level, and no task holds a string.
 """
 
 from __future__ import annotations
@@ -22,25 +27,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import buffers, grouped_stream, mix, positional, powers, prefix_hash, prepare, slices, stored, table
+from tallymark.llm.common import buffers, mix, positional, powers, prefix_hash, prepare, slices, stored, table
 
 LENGTH = 200
 K = 64
-#: The windows of strings with more runs than this are compared by digest.
-LARGE_GROUP = 256
 
 _LOW = np.uint64(0xFFFFFFFF)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int = K) -> tuple[np.ndarray, ...]:
     """First window start, number of consecutive windows, anchor place and
     anchor string hash; windows lie within one text each."""
     if len(data) < length:
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64)
-    width = length - K + 1
+    width = length - k + 1
     c = prefix_hash(data)
-    hashed = mix((c[K:] - c[:-K]) * powers(len(data) - K + 1, inverse=True))
+    hashed = mix((c[k:] - c[:-k]) * powers(len(data) - k + 1, inverse=True))
     low = (hashed & ~_LOW) | np.arange(len(hashed), dtype=np.uint64)
     n = len(low) - width + 1
     span = 1
@@ -58,31 +61,17 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return first, count, at[first], hashed[at[first]]
 
 
-def longest_previous_factor(keys: list[bytes], position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For equal-length suffix keys: the longest common prefix of each with one
-    at a smaller position, and with any other one."""
-    n = len(keys)
-    order = sorted(range(n), key=keys.__getitem__)
-    rows = np.frombuffer(b"".join([keys[i] for i in order]), np.uint8).reshape(n, -1)
-    common = np.zeros(n + 1, np.int64)  # common[i]: between the suffixes of rank i-1 and i
-    differ = rows[1:] != rows[:-1]
-    common[1:n] = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
-    best = np.maximum(common[:-1], common[1:])
-    previous = np.zeros(n, np.int64)
-    where = position[order].tolist()
-    for ranks, gap in ((range(n), 0), (range(n - 1, -1, -1), 1)):
-        stack: list[tuple[int, int]] = []  # position, shortest prefix to the next on the stack
-        prefix = common.tolist()
-        for i in ranks:
-            shortest = prefix[i + gap]
-            while stack and stack[-1][0] >= where[i]:
-                shortest = min(shortest, stack.pop()[1])
-            if stack:
-                previous[i] = max(previous[i], shortest)
-            stack.append((where[i], shortest))
-    out_previous, out_best = np.empty(n, np.int64), np.empty(n, np.int64)
-    out_previous[order], out_best[order] = previous, best
-    return out_previous, out_best
+def levels(length: int, k: int = K) -> list[int]:
+    """String lengths of the refinements: half the way to `length` each time."""
+    out = []
+    while k < length:
+        k = (k + length + 1) // 2
+        out.append(k)
+    return out
+
+
+def _run_digest(content: bytes, offset: int) -> bytes:
+    return hashlib.blake2b(content, digest_size=16, salt=offset.to_bytes(4, "little")).digest()
 
 
 def _list_anchors(length: int):
@@ -95,8 +84,7 @@ def _list_anchors(length: int):
                 row = np.searchsorted(own, first, side="right") - 1
                 offset = at - first
                 same = [
-                    hashlib.blake2b(raw[s : s + n + length - 1], digest_size=16, salt=o.to_bytes(4, "little")).digest()
-                    for s, n, o in zip(first.tolist(), count.tolist(), offset.tolist(), strict=True)
+                    _run_digest(raw[s : s + n + length - 1], o) for s, n, o in zip(first.tolist(), count.tolist(), offset.tolist(), strict=True)
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -127,48 +115,53 @@ def _list_strings(length: int):
     return run
 
 
-def _list_contexts(length: int):
-    """Bytes of the runs' windows; for strings with many runs, no bytes but the
-    windows' digests one after the other."""
+def _list_contexts(length: int, of_items: bool):
+    """Bytes of the wanted runs, from texts or (`of_items`) from the runs they lie in."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            ids, keys, raw, wanted = (batch.column(i).to_pylist() for i in range(4))
+            begins = batch.column(4).to_pylist() if of_items else [0] * len(ids)
             rows = []
-            for id_, key, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                raw = (text or "").encode()
-                for w in wanted:
-                    s, n = w["start"], w["n_windows"]
-                    content, digests = raw[s : s + n + length - 1], None
-                    if w["large"]:
-                        digests = [hashlib.blake2b(content[i : i + length], digest_size=16).digest() for i in range(n)]
-                        content = None
-                    rows.append((id_, key, w["string"], s, w["size"], content, digests))
-            names = ["id", "text_key", "string", "start", "size", "bytes", "digests"]
-            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary())]
+            for id_, key, text, runs, begin in zip(ids, keys, raw, wanted, begins, strict=True):
+                text = text.encode() if isinstance(text, str) else text or b""
+                for w in runs:
+                    s = w["start"] - begin
+                    rows.append((id_, key, w["start"], w["size"], text[s : s + w["n_windows"] + length - 1]))
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names
+                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)],
+                ["id", "text_key", "item", "size", "bytes"],
             )
 
     return run
 
 
-def _equal_windows(contexts: DataFrame, keep_first: bool) -> DataFrame:
-    """(id, text_key, start, n_windows) of windows, one a row, whose digest
-    other runs have, too; with keep_first those after the first place. Equal
-    digests combine before the shuffle, so that no task holds a group."""
-    windows = contexts.filter("digests is not null").select(
-        "id", "text_key", "start", "size", F.posexplode("digests").alias("i", "digest")
-    )
-    windows = windows.withColumn("start", F.col("start") + F.col("i")).drop("i")
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start")
-    repeated = stored(
-        windows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n"),
-        "windows",
-    )
-    # the digest of a window that many places share is split over tasks by the join
-    both = windows.join(repeated.hint("merge"), "digest")
-    both = both.filter(place != F.col("first")) if keep_first else both.filter("size = 1")
-    return both.select("id", "text_key", "start", F.lit(1).cast("long").alias("n_windows"))
+def _cut_runs(length: int, k: int):
+    """Items cut where the anchor of `k` bytes moves: string, digest, start, windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column(4))
+            items = batch.column(2).to_numpy()
+            for lo, hi, part, own in slices(data, offsets):
+                first, count, at, hashed = anchors(part, own, length, k)
+                raw = part.tobytes()
+                row = np.searchsorted(own, first, side="right") - 1
+                same = [
+                    _run_digest(raw[s : s + n + length - 1], o)
+                    for s, n, o in zip(first.tolist(), count.tolist(), (at - first).tolist(), strict=True)
+                ]
+                of = pa.array(lo + row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(i).take(of) for i in range(4)], pa.array(hashed.view(np.int64)), pa.array(same, pa.binary()),
+                        pa.array(items[lo + row] + first - own[row]), pa.array(count.astype(np.int64)),
+                    ],
+                    ["id", "text_key", "item", "size", "string", "run", "start", "n_windows"],
+                )
+
+    return run
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -176,37 +169,64 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - edge[::2]).tolist(), strict=True))
 
 
-def _order_suffixes(length: int):
-    def work(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
-        ids, keys = t["id"].to_pylist(), t["text_key"].to_pylist()
-        begin, size, raw = t["start"].to_numpy(), t["size"].to_numpy(), t["bytes"].to_pylist()
-        rows = []
-        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
-            if hi - lo < 2:
-                continue
-            texts = {d: i for i, d in enumerate(sorted({(ids[i] is None, ids[i] or 0, keys[i]) for i in range(lo, hi)}))}
-            suffixes, place, counts = [], [], []
-            for i in range(lo, hi):
-                n = len(raw[i]) - length + 1
-                counts.append(n)
-                suffixes += [raw[i][j : j + length] for j in range(n)]
-                place.append((texts[(ids[i] is None, ids[i] or 0, keys[i])] << 40) + begin[i] + np.arange(n))
-            previous, best = longest_previous_factor(suffixes, np.concatenate(place))
-            at = 0
-            for i, n in zip(range(lo, hi), counts, strict=True):
-                if size[i] == 1:
-                    rows += [(ids[i], keys[i], begin[i] + s, m, False) for s, m in _runs(best[at : at + n] >= length)]
-                rows += [(ids[i], keys[i], begin[i] + s, m, True) for s, m in _runs(previous[at : at + n] >= length)]
-                at += n
-        if not rows:
-            return None
-        kinds = [t.schema.field("id").type, pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-            ["id", "text_key", "start", "n_windows", "later"],
-        )
+PLACE = ("no_id", "id", "text_key", "start")
+
+
+def _place():
+    """Order of places: id with nulls last, hash of the text, byte."""
+    return F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start")
+
+
+def _folded(runs: DataFrame, *more: str) -> DataFrame:
+    """Equal runs as one: how many places they have, and the first of them with `more`."""
+    detail = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start", *more)
+    return runs.groupBy("string", "run").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("parts"), F.min(detail).alias("first"))
+
+
+def _several(folded: DataFrame) -> DataFrame:
+    """The runs of strings that have more than one."""
+    many = folded.groupBy("string").agg(F.count(F.lit(1)).alias("n_runs")).filter("n_runs > 1").select("string")
+    # stored frames on both sides: a string with many runs can be split over tasks
+    return folded.join(stored(many, "several").hint("merge"), "string")
+
+
+def _newly_equal(runs: DataFrame, folded: DataFrame, keep_first: bool) -> DataFrame:
+    """Places of runs that turn out to have an equal one: those after the first
+    place, or all that were single so far."""
+    both = runs.withColumnRenamed("size", "own").join(folded.filter("parts > 1").hint("merge"), ["string", "run"])
+    first = F.struct(*[f"first.{c}" for c in PLACE])
+    both = both.filter(_place() != first) if keep_first else both.filter("own = 1")
+    return both.select("id", "text_key", "start", F.col("n_windows").cast("long").alias("n_windows"))
 
-    return work
+
+def _refine(items: DataFrame, kind: str, length: int, keep_first: bool, with_runs) -> list[DataFrame]:
+    """Repeated windows of `items`, runs with their bytes in strings that have several:
+    one frame a level."""
+    found = []
+    for k in levels(length):
+        if items.isEmpty():
+            break
+        runs = stored(
+            items.mapInArrow(
+                _cut_runs(length, k), f"id {kind}, text_key long, item long, size long, string long, run binary, start long, n_windows long"
+            ),
+            "cut-runs",
+        )
+        folded = stored(_folded(runs, "item", "n_windows"), "folded-runs")
+        found.append(_newly_equal(runs, folded, keep_first))
+        if k == length:
+            break
+        wanted = _several(folded).select(
+            F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"), F.col("first.item").alias("item"),
+            F.struct("size", "first.start", "first.n_windows").alias("wanted"),
+        ).groupBy("id", "text_key", "item").agg(F.collect_list("wanted").alias("wanted"))
+        items = stored(
+            with_runs(wanted, "inner", items, ("item",)).select("id", "text_key", "bytes", "wanted", "item").mapInArrow(
+                _list_contexts(length, True), f"id {kind}, text_key long, item long, size long, bytes binary"
+            ),
+            "contexts",
+        )
+    return found
 
 
 def _cut(length: int, n_columns: int):
@@ -266,53 +286,30 @@ def repeated_passages(
     # string that many places share can be split over tasks
     again = stored(counted, "strings")
     shared = stored(listed.join(again.hint("merge"), "string"), "anchors")
-    detail = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start", "n_windows", "offset")
-    runs = stored(
-        shared.groupBy("string", "run").agg(F.count(F.lit(1)).alias("size"), F.min(detail).alias("first")), "runs"
-    )
-    several = runs.groupBy("string").agg(F.count(F.lit(1)).alias("n_runs")).filter("n_runs > 1")
-    wanted = (
-        runs.join(several, "string")
-        .select(
-            F.col("first.id").alias("id"),
-            F.col("first.text_key").alias("text_key"),
-            F.struct(
-                "string", "size", "first.start", "first.n_windows", "first.offset", (F.col("n_runs") > LARGE_GROUP).alias("large")
-            ).alias("wanted"),
-        )
-        .groupBy("id", "text_key")
-        .agg(F.collect_list("wanted").alias("wanted"))
-    )
-
-    def with_text(other: DataFrame, how: str, left: DataFrame = base) -> DataFrame:
-        other = other.withColumnsRenamed({"id": "_id", "text_key": "_text_key"})
+    shared = shared.withColumn("size", F.lit(1).cast("long"))
+    folded = stored(_folded(shared, "n_windows"), "runs")
+    wanted = _several(folded).select(
+        F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"),
+        F.struct("size", "first.start", "first.n_windows").alias("wanted"),
+    ).groupBy("id", "text_key").agg(F.collect_list("wanted").alias("wanted"))
+
+    def with_text(other: DataFrame, how: str, left: DataFrame = base, more: tuple[str, ...] = ()) -> DataFrame:
+        other = other.withColumnsRenamed({c: f"_{c}" for c in ("id", "text_key", *more)})
         on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))
+        for c in more:
+            on = on & (F.col(c) == F.col(f"_{c}"))
         # the lists grow with the corpus: never broadcast
-        return left.join(other.hint("merge"), on, how).drop("_id", "_text_key")
+        return left.join(other.hint("merge"), on, how).drop("_id", "_text_key", *[f"_{c}" for c in more])
 
     contexts = stored(
         with_text(wanted, "inner").mapInArrow(
-            _list_contexts(length), f"id {kind}, text_key long, string long, start long, size long, bytes binary, digests array<binary>"
+            _list_contexts(length, False), f"id {kind}, text_key long, item long, size long, bytes binary"
         ),
         "contexts",
     )
-    ordered = stored(
-        grouped_stream(
-            contexts.filter("digests is null").drop("digests"),
-            ["string"],
-            f"id {kind}, text_key long, start long, n_windows long, later boolean",
-            _order_suffixes(length),
-        ),
-        "factors",
-    )
-    whole = shared.join(runs.filter("size > 1"), ["string", "run"])
-    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key", "start")
-    if keep_first:
-        of_first = F.struct("first.no_id", "first.id", "first.text_key", "first.start")
-        whole = whole.filter(place != of_first)
-    found = whole.select("id", "text_key", "start", F.col("n_windows").cast("long")).unionByName(
-        ordered.filter(F.col("later") == F.lit(keep_first)).drop("later")
-    ).unionByName(_equal_windows(contexts, keep_first))
+    found = _newly_equal(shared, folded, keep_first)
+    for more in _refine(contexts, kind, length, keep_first, with_text):
+        found = found.unionByName(more)
     found = found.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "n_windows")).alias("found"))
     left = carried.select("*", F.col(id_name).alias("id"), F.xxhash64(text_name).alias("text_key"))
     joined = with_text(found, "left", left).select(*names, F.col(text_name).alias("text"), "found")

@@ -332,9 +332,7 @@ def test_op7_audit_is_not_hidden_by_a_large_group():
     assert vectors._recall([(0, 0)]) == 1.0 and vectors._recall([(4, 4), (5000, 5000)]) == 1.0
 
 
-@pytest.mark.parametrize("large", [256, 1])
-def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs, large, monkeypatch):
-    monkeypatch.setattr(suffix_repeats, "LARGE_GROUP", large)
+def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs):
     got = {r.doc_id: r for r in suffix_repeats.op8_suffix_repeats(spark, sf_dir).collect()}
     count = Counter()
     for _, t, _ in docs:
@@ -352,24 +350,20 @@ def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs, large, monkeypa
         assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
-def test_op8_a_large_group_reaches_no_task_whole(spark, monkeypatch):
-    monkeypatch.setattr(suffix_repeats, "LARGE_GROUP", 8)
-    seen = spark.sparkContext.accumulator(0)
-    order = suffix_repeats._order_suffixes
-
-    def counting(length):
-        work = order(length)
-
-        def run(t, starts):
-            seen.add(int((np.diff(starts) > 8).sum()))
-            return work(t, starts)
-
-        return run
-
-    monkeypatch.setattr(suffix_repeats, "_order_suffixes", counting)
+def test_op8_rows_of_a_passage_in_many_surroundings_are_linear(spark, monkeypatch):
+    """Also where a string has as many runs as documents; each level keeps a few of each."""
     rng = random.Random(10)
     passage = "".join(rng.choices("abcdefgh ", k=330))
     rows = [(i, "".join(rng.choices("ijklmnop ", k=150)) + passage + "".join(rng.choices("qrstuv ", k=150))) for i in range(60)]
+    sizes = []
+    refine = suffix_repeats._several
+
+    def counting(folded):
+        out = refine(folded)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_repeats, "_several", counting)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     count, first = Counter(), {}
     for doc, t in rows:
@@ -377,6 +371,7 @@ def test_op8_a_large_group_reaches_no_task_whole(spark, monkeypatch):
             count[t[i : i + 200]] += 1
             first.setdefault(t[i : i + 200], (doc, i))
     for keep_first in (True, False):
+        sizes.clear()
         for r in suffix_repeats.repeated_passages(frame, keep_first).collect():
             gone = bytearray(len(r.text))
             for i in range(len(r.text) - 199):
@@ -384,7 +379,21 @@ def test_op8_a_large_group_reaches_no_task_whole(spark, monkeypatch):
                 if count[window] > 1 and not (keep_first and first[window] == (r.doc_id, i)):
                     gone[i : i + 200] = b"\1" * 200
             assert r.kept == bytes(x for x, g in zip(r.text.encode(), gone) if not g)
-    assert seen.value == 0
+        assert len(sizes) == len(suffix_repeats.levels(200)) and max(sizes) <= 8 * len(rows)
+
+
+@pytest.mark.parametrize("unit", ["a", "ab", "abcdefg", "x" * 199 + "y"])
+def test_op8_periodic_texts(spark, unit):
+    rows = [(1, (unit * 900)[:700]), (2, unit * 2), (3, "z" + (unit * 900)[:450])]
+    count = Counter()
+    for _, t in rows:
+        count.update(t[i : i + 200] for i in range(len(t) - 199))
+    for r in suffix_repeats.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), False).collect():
+        gone = bytearray(len(r.text))
+        for i in range(len(r.text) - 199):
+            if count[r.text[i : i + 200]] > 1:
+                gone[i : i + 200] = b"\1" * 200
+        assert r.kept == bytes(x for x, g in zip(r.text.encode(), gone) if not g)
 
 
 def test_op8_first_copies_stay(spark):
@@ -404,15 +413,6 @@ def test_op8_first_copies_stay(spark):
         assert r.kept == bytes(x for x, g in zip(r.text.encode(), gone) if not g)
 
 
-def test_op8_longest_previous_factor():
-    text = b"abracadabra" * 2 + b"$" * 11
-    keys = [text[i : i + 11] for i in range(22)]
-    previous, best = suffix_repeats.longest_previous_factor(keys, np.arange(22))
-    for i in range(22):
-        common = [next((n for n in range(11) if keys[i][n] != keys[j][n]), 11) for j in range(22)]
-        assert previous[i] == max(common[:i], default=0) and best[i] == max(common[:i] + common[i + 1 :])
-
-
 def sets_of(docs, width):
     out = {}
     for doc, text, _ in docs:
