@@ -4,10 +4,15 @@ Spark's `percentile` gathers all distinct values of a group in one task. Here a
 mergeable sketch of fixed size first brackets every wanted position; a second
 pass counts the rows below each bracket and keeps only equal-value counts inside
 it. What is left to be put in order is a few thousandths of the values.
+
+`column_quantiles` does so for many columns at once: both passes are one aggregate
+over all of them, values equal to a bracket's end are counted in place, and only values strictly
+inside a bracket whose rank is asked for become rows.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -102,6 +107,87 @@ def exact_quantiles(
     return picked.select(*group, "n", *out)
 
 
+def column_quantiles(
+    df: DataFrame, wanted: dict[str, tuple[Column, dict[str, float]]], chunks: int | None = None
+) -> dict[str, dict[str, float | None]]:
+    """Exact quantiles of several columns of `df`: per name a column and its
+    probabilities by label, NULLs left out. The result has the same labels and `n`; None where
+    a column has no value. The driver receives a few numbers per probability."""
+    reach = 4.0 / ACCURACY
+    values = df.select(*[column.cast("double").alias(f"v{i}") for i, (column, _) in enumerate(wanted.values())])
+    sketch = []
+    for i, (_, probs) in enumerate(wanted.values()):
+        edges = [min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-reach, reach)]
+        sketch += [F.count(f"v{i}").alias(f"n{i}"), F.percentile_approx(f"v{i}", edges, ACCURACY).alias(f"e{i}")]
+    seen = values.agg(*sketch).first()
+    brackets = {}  # (column, label): ends, and the two ranks between which the quantile lies
+    for i, (_, probs) in enumerate(wanted.values()):
+        for j, (label, p) in enumerate(probs.items()):
+            n = seen[f"n{i}"]
+            if n:
+                position = (n - 1) * float(p)
+                low = math.floor(position)
+                brackets[i, label] = (*seen[f"e{i}"][2 * j : 2 * j + 2], (low, min(low + 1, n - 1)), position - low)
+    measures = []
+    for k, ((i, _), (lo, hi, _, _)) in enumerate(brackets.items()):
+        v = F.col(f"v{i}")
+        measures += [
+            F.struct(
+                F.count_if(v < lo).alias("below"), F.count_if(v == lo).alias("at_lo"), F.count_if((v == hi) & F.lit(hi > lo)).alias("at_hi"),
+                F.count_if(v > hi).alias("above"), F.max(F.when(v < lo, v)).alias("before"), F.min(F.when(v > hi, v)).alias("after"),
+            ).alias(f"b{k}")
+        ]
+    counted = values.agg(*measures).first() if brackets else None
+    found: dict[tuple, float] = {}
+    inside = []  # (bracket, rank among the values strictly inside, which rank)
+    for k, ((i, _), (lo, hi, ranks, _)) in enumerate(brackets.items()):
+        b, n = counted[f"b{k}"], seen[f"n{i}"]
+        for side, rank in enumerate(ranks):
+            if rank < b["below"]:
+                found[k, side] = b["before"]
+            elif rank < b["below"] + b["at_lo"]:
+                found[k, side] = lo
+            elif rank >= n - b["above"]:
+                found[k, side] = b["after"]
+            elif rank >= n - b["above"] - b["at_hi"]:
+                found[k, side] = hi
+            else:
+                inside.append((k, rank - b["below"] - b["at_lo"], side))
+    for k, side, value in _inside(values, brackets, inside, chunks):
+        found[k, side] = value
+    out: dict[str, dict[str, float | None]] = {}
+    number = {key: k for k, key in enumerate(brackets)}
+    for i, (name, (_, probs)) in enumerate(wanted.items()):
+        out[name] = {"n": seen[f"n{i}"]}
+        for label in probs:
+            k = number.get((i, label))
+            if k is None:
+                out[name][label] = None
+                continue
+            low, high, frac = found[k, 0], found[k, 1], brackets[i, label][3]
+            out[name][label] = low + (high - low) * frac
+    return out
+
+
+def _inside(values: DataFrame, brackets: dict, asked: list[tuple[int, int, int]], chunks: int | None) -> list[tuple]:
+    """(bracket, side, value) of ranks among the values strictly inside a bracket."""
+    if not asked:
+        return []
+    of = {k: (i, lo, hi) for k, ((i, _), (lo, hi, _, _)) in enumerate(brackets.items())}
+    entries = []
+    for k in sorted({k for k, _, _ in asked}):
+        i, lo, hi = of[k]
+        v = F.col(f"v{i}")
+        entries.append(F.when((v > lo) & (v < hi), F.struct(F.lit(k).alias("k"), v.alias("v"))))
+    rows = values.select(F.explode(F.array_compact(F.array(*entries))).alias("at")).select("at.*")
+    run = running_totals(rows.groupBy("k", "v").agg(F.count(F.lit(1)).alias("m")), ["v"], ["m"], ("k",), chunks)
+    hits = [
+        F.when((F.col("k") == k) & (F.col("before_m") <= rank) & (F.col("before_m") + F.col("m") > rank), F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"), F.col("v").alias("v")))
+        for k, rank, side in asked
+    ]
+    return [tuple(r) for r in run.select(F.explode(F.array_compact(F.array(*hits))).alias("at")).select("at.*").collect()]
+
+
 def _bracket(i: int, side: str) -> Column:
     return F.get("_b", F.lit(i))[side]
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin
+from tallymark.functions.quantiles import column_quantiles
 from tallymark.operators import autoencoder, isolation
-from tallymark.operators.metrics import above_quantile, minmax
+from tallymark.operators.metrics import minmax, over_cut
 
 # model name -> (score column, flag column)
 MODELS = {
@@ -33,14 +34,20 @@ def score_models(
     """
     top = 1 - cfg.contamination
     scored = pin(autoencoder.add_error(isolation.add_score(scaled, forest), weights), "scores")
-    flagged = scored.withColumn("iso_prediction", above_quantile(scored, "iso_score", top)).withColumn(
-        "ae_prediction", above_quantile(scored, "ae_score", top, scored.filter(train_filter))
+    combined = pin(
+        scored.withColumn(
+            "ensemble_score",
+            F.lit(cfg.weight_forest) * minmax(scored, "iso_score")
+            + F.lit(cfg.weight_autoencoder) * minmax(scored, "ae_score"),
+        ),
+        "combined",
     )
-    combined = flagged.withColumn(
-        "ensemble_score",
-        F.lit(cfg.weight_forest) * minmax(scored, "iso_score")
-        + F.lit(cfg.weight_autoencoder) * minmax(scored, "ae_score"),
-    )
-    return combined.withColumn(
-        "ensemble_prediction", above_quantile(combined, "ensemble_score", top)
+    cuts = column_quantiles(
+        combined,
+        {
+            "iso": (F.col("iso_score"), {"cut": top}),
+            "ae": (F.when(F.expr(train_filter), F.col("ae_score")), {"cut": top}),
+            "ensemble": (F.col("ensemble_score"), {"cut": top}),
+        },
     )
+    return combined.withColumns({f"{m}_prediction": over_cut(f"{m}_score", cuts[m]["cut"]) for m in cuts})

@@ -16,7 +16,7 @@ from tallymark.functions.expressions import (
     month,
 )
 from tallymark.functions.joins import left_lookup, spread_key
-from tallymark.functions.quantiles import exact_quantiles
+from tallymark.functions.quantiles import column_quantiles
 
 
 def vendor_profile(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
@@ -106,15 +106,13 @@ def build_features(
 def scaler(features: DataFrame, chunks: int | None = None) -> DataFrame:
     """Median, quartiles and scale per feature, fitted on all rows.
 
-    All features are quantiled in one pass over (feature, value) counts. A
-    feature without spread keeps scale 1.
+    All features are quantiled at once, without a row per feature. A feature without spread
+    keeps scale 1.
     """
-    long = features.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("value")) for f in FEATURES])
-        ).alias("fv")
-    ).select("fv.*")
-    q = exact_quantiles(long, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ("feature",), chunks)
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    found = column_quantiles(features, {f: (F.col(f), quartiles) for f in FEATURES}, chunks)
+    rows = [(f, found[f]["n"], *[found[f][q] for q in quartiles]) for f in FEATURES if found[f]["n"]]
+    q = features.sparkSession.createDataFrame(rows, "feature string, n bigint, p25 double, p50 double, p75 double")
     iqr = F.col("p75") - F.col("p25")
     return q.withColumn("scale", F.when(iqr == 0, F.lit(1.0)).otherwise(iqr))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.ordering import running_totals
-from tallymark.functions.quantiles import exact_quantiles
+from tallymark.functions.quantiles import column_quantiles
 from tallymark.operators.rules import confusion
 
 
@@ -67,8 +67,12 @@ def minmax(df: DataFrame, col: str, factor: float = 1.0):
 def above_quantile(df: DataFrame, score: str, p: float, fit_on: DataFrame | None = None):
     """1 where the score exceeds the exact p-quantile, as a column over `df`."""
     source = df if fit_on is None else fit_on
-    cut = exact_quantiles(source.select(score), score, {"cut": p}).select("cut").scalar()
-    return (F.col(score) > cut).cast("int")
+    return over_cut(score, column_quantiles(source, {score: (F.col(score), {"cut": p})})[score]["cut"])
+
+
+def over_cut(score: str, cut: float | None):
+    """1 where the score exceeds `cut`; NULL without one."""
+    return (F.col(score) > F.lit(cut).cast("double")).cast("int")
 
 
 def long_scores(df: DataFrame, label: str, models: dict[str, tuple[str, str]]) -> DataFrame:
