@@ -9,12 +9,15 @@ out; the rest are ordered string by string. Suffixes that stay equal over all
 windows of an anchor are one run of the suffix order, kept as its size and its
 first place: that place is where its longest previous factors begin.
 
-Where a string has several runs, these are refined: anchors are taken again with strings of
-about half the way to `LENGTH` (64, 132, 166, ... 199, 200 bytes), runs are cut where the anchor
-moves, strings that have become unique drop out, and runs that have become equal are folded
-to their size and first place. At `LENGTH` bytes a run is one window and nothing is left to
-tell apart. The same steps serve a string of two runs and one of millions: a passage in N
-different surroundings keeps a few runs per occurrence and level, and no task holds a string.
+Where a string has several runs that a task can hold, the suffixes of their windows are sorted,
+adjacent common prefixes measured, and the previous and next smaller positions in that order
+give the longest previous factor of each. A string with more runs is refined first: anchors are
+taken again with longer strings (166, 192, 198, 200 of 200 bytes), runs are cut where the anchor
+moves, strings that have become unique drop out, runs that have become equal are folded to
+their size and first place, and what a task can hold by then is sorted. At `LENGTH` bytes a run is
+one window and nothing is left to tell apart. Either way gives the same spans; a passage in N
+different surroundings keeps a few runs per occurrence and level, and no task holds more
+than `TASK_RUNS` runs of a string.
 """
 
 from __future__ import annotations
@@ -27,10 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import buffers, mix, positional, powers, prefix_hash, prepare, slices, stored, table
+from tallymark.llm.common import buffers, grouped_stream, mix, positional, powers, prefix_hash, prepare, slices, stored, table
 
 LENGTH = 200
 K = 64
+#: Runs of one string that a task sorts; strings with more are refined by longer anchors.
+TASK_RUNS = 256
 
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -61,11 +66,38 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, k: int = K) -> t
     return first, count, at[first], hashed[at[first]]
 
 
+def longest_previous_factor(keys: list[bytes], position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For equal-length suffix keys: the longest common prefix of each with one
+    at a smaller position, and with any other one."""
+    n = len(keys)
+    order = sorted(range(n), key=keys.__getitem__)
+    rows = np.frombuffer(b"".join([keys[i] for i in order]), np.uint8).reshape(n, -1)
+    common = np.zeros(n + 1, np.int64)  # common[i]: between the suffixes of rank i-1 and i
+    differ = rows[1:] != rows[:-1]
+    common[1:n] = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+    best = np.maximum(common[:-1], common[1:])
+    previous = np.zeros(n, np.int64)
+    where = position[order].tolist()
+    for ranks, gap in ((range(n), 0), (range(n - 1, -1, -1), 1)):
+        stack: list[tuple[int, int]] = []  # position, shortest prefix to the next on the stack
+        prefix = common.tolist()
+        for i in ranks:
+            shortest = prefix[i + gap]
+            while stack and stack[-1][0] >= where[i]:
+                shortest = min(shortest, stack.pop()[1])
+            if stack:
+                previous[i] = max(previous[i], shortest)
+            stack.append((where[i], shortest))
+    out_previous, out_best = np.empty(n, np.int64), np.empty(n, np.int64)
+    out_previous[order], out_best[order] = previous, best
+    return out_previous, out_best
+
+
 def levels(length: int, k: int = K) -> list[int]:
-    """String lengths of the refinements: half the way to `length` each time."""
+    """String lengths of the refinements: three quarters of the way to `length` each time."""
     out = []
     while k < length:
-        k = (k + length + 1) // 2
+        k = length - (length - k) // 4
         out.append(k)
     return out
 
@@ -127,11 +159,11 @@ def _list_contexts(length: int, of_items: bool):
                 text = text.encode() if isinstance(text, str) else text or b""
                 for w in runs:
                     s = w["start"] - begin
-                    rows.append((id_, key, w["start"], w["size"], text[s : s + w["n_windows"] + length - 1]))
-            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+                    rows.append((id_, key, w["start"], w["size"], text[s : s + w["n_windows"] + length - 1], w["string"], w["large"]))
+            kinds = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)],
-                ["id", "text_key", "item", "size", "bytes"],
+                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)],
+                ["id", "text_key", "item", "size", "bytes", "string", "large"],
             )
 
     return run
@@ -169,6 +201,39 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - edge[::2]).tolist(), strict=True))
 
 
+def _order_suffixes(length: int):
+    def work(t: pa.Table, starts: np.ndarray) -> pa.RecordBatch | None:
+        ids, keys = t["id"].to_pylist(), t["text_key"].to_pylist()
+        begin, size, raw = t["item"].to_numpy(), t["size"].to_numpy(), t["bytes"].to_pylist()
+        rows = []
+        for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+            if hi - lo < 2:
+                continue
+            texts = {d: i for i, d in enumerate(sorted({(ids[i] is None, ids[i] or 0, keys[i]) for i in range(lo, hi)}))}
+            suffixes, place, counts = [], [], []
+            for i in range(lo, hi):
+                n = len(raw[i]) - length + 1
+                counts.append(n)
+                suffixes += [raw[i][j : j + length] for j in range(n)]
+                place.append((texts[(ids[i] is None, ids[i] or 0, keys[i])] << 40) + begin[i] + np.arange(n))
+            previous, best = longest_previous_factor(suffixes, np.concatenate(place))
+            at = 0
+            for i, n in zip(range(lo, hi), counts, strict=True):
+                if size[i] == 1:
+                    rows += [(ids[i], keys[i], begin[i] + s, m, False) for s, m in _runs(best[at : at + n] >= length)]
+                rows += [(ids[i], keys[i], begin[i] + s, m, True) for s, m in _runs(previous[at : at + n] >= length)]
+                at += n
+        if not rows:
+            return None
+        kinds = [t.schema.field("id").type, pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+            ["id", "text_key", "start", "n_windows", "later"],
+        )
+
+    return work
+
+
 PLACE = ("no_id", "id", "text_key", "start")
 
 
@@ -183,11 +248,16 @@ def _folded(runs: DataFrame, *more: str) -> DataFrame:
     return runs.groupBy("string", "run").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("parts"), F.min(detail).alias("first"))
 
 
-def _several(folded: DataFrame) -> DataFrame:
-    """The runs of strings that have more than one."""
-    many = folded.groupBy("string").agg(F.count(F.lit(1)).alias("n_runs")).filter("n_runs > 1").select("string")
+def _wanted(folded: DataFrame, *item: str) -> DataFrame:
+    """The runs of strings that have several, listed per text (and item)."""
+    many = folded.groupBy("string").agg(F.count(F.lit(1)).alias("n_runs")).filter("n_runs > 1")
     # stored frames on both sides: a string with many runs can be split over tasks
-    return folded.join(stored(many, "several").hint("merge"), "string")
+    several = folded.join(stored(many, "several").hint("merge"), "string")
+    run = F.struct("string", "size", "first.start", "first.n_windows", (F.col("n_runs") > TASK_RUNS).alias("large"))
+    names = ["id", "text_key", *item]
+    return several.select(*[F.col(f"first.{c}").alias(c) for c in names], run.alias("wanted")).groupBy(*names).agg(
+        F.collect_list("wanted").alias("wanted")
+    )
 
 
 def _newly_equal(runs: DataFrame, folded: DataFrame, keep_first: bool) -> DataFrame:
@@ -199,36 +269,41 @@ def _newly_equal(runs: DataFrame, folded: DataFrame, keep_first: bool) -> DataFr
     return both.select("id", "text_key", "start", F.col("n_windows").cast("long").alias("n_windows"))
 
 
-def _refine(items: DataFrame, kind: str, length: int, keep_first: bool, with_runs) -> list[DataFrame]:
+def _settle(items: DataFrame, kind: str, length: int, keep_first: bool, with_runs) -> list[DataFrame]:
     """Repeated windows of `items`, runs with their bytes in strings that have several:
-    one frame a level."""
+    those that a task can hold by suffix order, the others refined level by level."""
     found = []
-    for k in levels(length):
-        if items.isEmpty():
-            break
-        runs = stored(
-            items.mapInArrow(
-                _cut_runs(length, k), f"id {kind}, text_key long, item long, size long, string long, run binary, start long, n_windows long"
-            ),
-            "cut-runs",
-        )
-        folded = stored(_folded(runs, "item", "n_windows"), "folded-runs")
-        found.append(_newly_equal(runs, folded, keep_first))
-        if k == length:
-            break
-        wanted = _several(folded).select(
-            F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"), F.col("first.item").alias("item"),
-            F.struct("size", "first.start", "first.n_windows").alias("wanted"),
-        ).groupBy("id", "text_key", "item").agg(F.collect_list("wanted").alias("wanted"))
-        items = stored(
-            with_runs(wanted, "inner", items, ("item",)).select("id", "text_key", "bytes", "wanted", "item").mapInArrow(
-                _list_contexts(length, True), f"id {kind}, text_key long, item long, size long, bytes binary"
-            ),
-            "contexts",
+    for k in [0, *levels(length)]:
+        if k:
+            large = items.filter("large")
+            if large.isEmpty():
+                break
+            runs = stored(
+                large.mapInArrow(
+                    _cut_runs(length, k), f"id {kind}, text_key long, item long, size long, string long, run binary, start long, n_windows long"
+                ),
+                "cut-runs",
+            )
+            folded = stored(_folded(runs, "item", "n_windows"), "folded-runs")
+            found.append(_newly_equal(runs, folded, keep_first))
+            if k == length:
+                break
+            items = stored(
+                with_runs(_wanted(folded, "item"), "inner", large, ("item",)).select("id", "text_key", "bytes", "wanted", "item").mapInArrow(
+                    _list_contexts(length, True), f"id {kind}, {ITEM}"
+                ),
+                "contexts",
+            )
+        ordered = grouped_stream(
+            items.filter("not large"), ["string"], f"id {kind}, text_key long, start long, n_windows long, later boolean", _order_suffixes(length)
         )
+        found.append(stored(ordered, "factors").filter(F.col("later") == F.lit(keep_first)).drop("later"))
     return found
 
 
+ITEM = "text_key long, item long, size long, bytes binary, string long, large boolean"
+
+
 def _cut(length: int, n_columns: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -288,11 +363,6 @@ def repeated_passages(
     shared = stored(listed.join(again.hint("merge"), "string"), "anchors")
     shared = shared.withColumn("size", F.lit(1).cast("long"))
     folded = stored(_folded(shared, "n_windows"), "runs")
-    wanted = _several(folded).select(
-        F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"),
-        F.struct("size", "first.start", "first.n_windows").alias("wanted"),
-    ).groupBy("id", "text_key").agg(F.collect_list("wanted").alias("wanted"))
-
     def with_text(other: DataFrame, how: str, left: DataFrame = base, more: tuple[str, ...] = ()) -> DataFrame:
         other = other.withColumnsRenamed({c: f"_{c}" for c in ("id", "text_key", *more)})
         on = F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_text_key"))
@@ -302,13 +372,11 @@ def repeated_passages(
         return left.join(other.hint("merge"), on, how).drop("_id", "_text_key", *[f"_{c}" for c in more])
 
     contexts = stored(
-        with_text(wanted, "inner").mapInArrow(
-            _list_contexts(length, False), f"id {kind}, text_key long, item long, size long, bytes binary"
-        ),
+        with_text(_wanted(folded), "inner").mapInArrow(_list_contexts(length, False), f"id {kind}, {ITEM}"),
         "contexts",
     )
     found = _newly_equal(shared, folded, keep_first)
-    for more in _refine(contexts, kind, length, keep_first, with_text):
+    for more in _settle(contexts, kind, length, keep_first, with_text):
         found = found.unionByName(more)
     found = found.groupBy("id", "text_key").agg(F.collect_list(F.struct("start", "n_windows")).alias("found"))
     left = carried.select("*", F.col(id_name).alias("id"), F.xxhash64(text_name).alias("text_key"))

@@ -332,7 +332,9 @@ def test_op7_audit_is_not_hidden_by_a_large_group():
     assert vectors._recall([(0, 0)]) == 1.0 and vectors._recall([(4, 4), (5000, 5000)]) == 1.0
 
 
-def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs):
+@pytest.mark.parametrize("task_runs", [256, 1])
+def test_op8_against_a_count_of_all_strings(spark, sf_dir, docs, task_runs, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "TASK_RUNS", task_runs)
     got = {r.doc_id: r for r in suffix_repeats.op8_suffix_repeats(spark, sf_dir).collect()}
     count = Counter()
     for _, t, _ in docs:
@@ -355,15 +357,16 @@ def test_op8_rows_of_a_passage_in_many_surroundings_are_linear(spark, monkeypatc
     rng = random.Random(10)
     passage = "".join(rng.choices("abcdefgh ", k=330))
     rows = [(i, "".join(rng.choices("ijklmnop ", k=150)) + passage + "".join(rng.choices("qrstuv ", k=150))) for i in range(60)]
+    monkeypatch.setattr(suffix_repeats, "TASK_RUNS", 8)
     sizes = []
-    refine = suffix_repeats._several
+    wanted = suffix_repeats._wanted
 
-    def counting(folded):
-        out = refine(folded)
-        sizes.append(out.count())
+    def counting(folded, *item):
+        out = wanted(folded, *item)
+        sizes.append(out.select(F.sum(F.size("wanted"))).first()[0])
         return out
 
-    monkeypatch.setattr(suffix_repeats, "_several", counting)
+    monkeypatch.setattr(suffix_repeats, "_wanted", counting)
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     count, first = Counter(), {}
     for doc, t in rows:
@@ -382,8 +385,10 @@ def test_op8_rows_of_a_passage_in_many_surroundings_are_linear(spark, monkeypatc
         assert len(sizes) == len(suffix_repeats.levels(200)) and max(sizes) <= 8 * len(rows)
 
 
-@pytest.mark.parametrize("unit", ["a", "ab", "abcdefg", "x" * 199 + "y"])
-def test_op8_periodic_texts(spark, unit):
+@pytest.mark.parametrize("task_runs", [256, 1])
+@pytest.mark.parametrize("unit", ["a", "ab", "x" * 199 + "y"])
+def test_op8_periodic_texts(spark, unit, task_runs, monkeypatch):
+    monkeypatch.setattr(suffix_repeats, "TASK_RUNS", task_runs)
     rows = [(1, (unit * 900)[:700]), (2, unit * 2), (3, "z" + (unit * 900)[:450])]
     count = Counter()
     for _, t in rows:
@@ -413,6 +418,15 @@ def test_op8_first_copies_stay(spark):
         assert r.kept == bytes(x for x, g in zip(r.text.encode(), gone) if not g)
 
 
+def test_op8_longest_previous_factor():
+    text = b"abracadabra" * 2 + b"$" * 11
+    keys = [text[i : i + 11] for i in range(22)]
+    previous, best = suffix_repeats.longest_previous_factor(keys, np.arange(22))
+    for i in range(22):
+        common = [next((n for n in range(11) if keys[i][n] != keys[j][n]), 11) for j in range(22)]
+        assert previous[i] == max(common[:i], default=0) and best[i] == max(common[:i] + common[i + 1 :])
+
+
 def sets_of(docs, width):
     out = {}
     for doc, text, _ in docs:
