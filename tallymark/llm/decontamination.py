@@ -29,7 +29,7 @@ class TestSuffixes:
     """The benchmark's windows: its suffixes cut to the length that counts as a
     match, as keys of word numbers, with the items and places they come from."""
 
-    def __init__(self, item_ids: list[str], texts: list[str | None], window: int):
+    def __init__(self, item_ids: list[str | None], texts: list[str | None], window: int):
         data, offsets = buffers(pa.array(texts, pa.string()))
         _, _, hashed, first = words(data, offsets, WORD_BYTES)
         self.vocabulary = np.unique(hashed)
@@ -117,7 +117,7 @@ def _search(data, offsets, tests: TestSuffixes):
                     for item, j in places[w]:
                         found.append((int(doc), item, int(p - j), int(p), length))
         # consecutive windows on one diagonal are one longest match
-        found.sort()
+        found.sort(key=lambda m: (m[0], m[1] is None, m[1] or "", *m[2:]))
         for doc, item, diagonal, p, length in found:
             own = matches[doc]
             start = p - int(first[doc])
@@ -141,8 +141,9 @@ def find_matches(
 
     Every task builds suffix arrays over its texts (shards of about a megabyte,
     always whole texts) and looks all test suffixes up by binary search. Null or
-    wordless texts have no words; null or wordless items never match; repeated
-    items each count; columns of these names in the input are replaced.
+    wordless texts have no words; null or wordless item texts never match; an item without id
+    matches like any other and has a null item_id; repeated items each count; columns of
+    these names in the input are replaced.
     Benchmarks above MAX_BENCHMARK_BYTES are refused, as all tasks hold them.
     """
     spark = documents.sparkSession
@@ -150,7 +151,7 @@ def find_matches(
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     if size > MAX_BENCHMARK_BYTES:
         raise ValueError(f"split the benchmark: {size} bytes, the bound is {MAX_BENCHMARK_BYTES}")
-    items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").filter("i is not null").collect()
+    items = benchmark.select(F.col("item_id").cast("string").alias("i"), "text").collect()
     tests = spark.sparkContext.broadcast(TestSuffixes([r[0] for r in items], [r[1] for r in items], window))
     renamed, kept, new = positional(documents, ("n_words", "n_hit", "matches"))
     names = renamed.columns
@@ -180,13 +181,16 @@ def is_contaminated():
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of `documents` of whose words less than a twentieth lies in matches."""
+    """Rows of `documents` of whose words less than a twentieth lies in matches. Rows
+    without words stay, repeated rows fare alike, an empty table or benchmark removes nothing."""
     renamed, columns, new = positional(documents)
     found = find_matches(renamed, benchmark, new["text"])
     return found.filter(~is_contaminated()).select(*renamed.columns).toDF(*columns)
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` against `benchmark`. Items without id count as one in n_items and have no name in
+    the digest; null and wordless texts have no words."""
     found = find_matches(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["item_id"])))
     return found.select(

@@ -6,26 +6,12 @@ import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
 
-import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tallymark.llm import conversations, prefix_trie
-from tallymark.llm.registry import ORACLE, QUERIES
-from tests.compare import oracle_rows, spark_rows
 
 SCHEMA = "conv_id long, turn long, role string, text string"
-NEW = ("op11_conversation_repair", "op12_prefix_trie", "op13_warc")
-
-
-@pytest.mark.parametrize("name", NEW)
-def test_same_as_oracle(spark, sf_dir, name):
-    con = duckdb.connect()
-    for t in ("conversations", "pages"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
-    assert spark_rows(QUERIES[name](spark, sf_dir)) == oracle_rows(con, ORACLE[name])
-
-
 def random_turns(seed, long=60):
     rng = random.Random(seed)
     rows = []
