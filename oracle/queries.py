@@ -352,11 +352,13 @@ SELECT round(sum(rank_sum - p * (p + 1) / 2.0) / (sum(p) * sum(n)), 6) AS auc FR
          CAST(sum(anomaly_flag) AS DOUBLE) AS p, CAST(sum(1 - anomaly_flag) AS DOUBLE) AS n
   FROM (SELECT anomaly_flag, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS r FROM scored))"""
 ORACLE["m8_roc_auc"] = q(_AUC, FEAT, SCORE)
+_STEPS = """steps AS (SELECT score, CAST(sum(anomaly_flag) AS BIGINT) AS pos, CAST(sum(1 - anomaly_flag) AS BIGINT) AS neg FROM scored GROUP BY score),
+curve AS (SELECT *, row_number() OVER (ORDER BY score DESC) AS place, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
+    CAST(sum(neg) OVER w AS DOUBLE) / CAST(sum(neg) OVER () AS DOUBLE) AS fpr, CAST(sum(pos) OVER w AS DOUBLE) / CAST(sum(pos) OVER () AS DOUBLE) AS tpr
+    FROM steps WINDOW w AS (ORDER BY score DESC))"""
 ORACLE["m9_roc_points"] = q("""
-SELECT DISTINCT score AS threshold,
-  CAST(sum(1 - anomaly_flag) OVER (ORDER BY score DESC) AS DOUBLE) / CAST(sum(1 - anomaly_flag) OVER () AS DOUBLE) AS fpr,
-  CAST(sum(anomaly_flag) OVER (ORDER BY score DESC) AS DOUBLE) / CAST(sum(anomaly_flag) OVER () AS DOUBLE) AS tpr
-FROM scored""", FEAT, SCORE)
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT score, fpr, tpr FROM curve WHERE place = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg""", FEAT, SCORE, _STEPS)
 _FLAG = "CAST(CASE WHEN score > (SELECT quantile_cont(score, 0.95) FROM scored) THEN 1 ELSE 0 END AS BIGINT)"
 ORACLE["m10_confusion"] = q(_confusion(f"SELECT anomaly_flag AS y, {_FLAG} AS p FROM scored"), FEAT, SCORE)
 ORACLE["m11_minmax"] = q(

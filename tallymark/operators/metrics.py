@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.ordering import running_totals
+from tallymark.functions.ordering import previous_row, running_totals
 from tallymark.functions.quantiles import column_quantiles
 from tallymark.operators.rules import confusion
 
@@ -47,14 +47,26 @@ def roc_auc(
 def roc_points(
     df: DataFrame, label: str, score: str, by: tuple[str, ...] = (), chunks: int | None = None
 ) -> DataFrame:
-    """False and true positive rate at every distinct score, highest first."""
+    """The corners of the ROC curve: threshold, false and true positive rate.
+
+    The curve starts at (0, 0), which no threshold reaches (NULL), and has a point per
+    distinct score, highest first. A point whose step is the same as the next one's lies on
+    the line between its neighbours and is left out; the first and last score stay. Steps
+    are compared along the global order, also across chunks."""
     run = _ranked(df, label, score, by, chunks)
-    return run.select(
+    steps = previous_row(run, list(by), ["score"], ["pos", "neg"], chunks)  # the row with the next lower score
+    first = (F.col("before_pos") == 0) & (F.col("before_neg") == 0)
+    bends = F.col("prev").isNull() | (F.col("prev.pos") != F.col("pos")) | (F.col("prev.neg") != F.col("neg"))
+    corners = steps.filter(first | bends).select(
         *by,
         F.col("score").alias("threshold"),
         F.try_divide(F.col("upto_neg").cast("double"), F.col("total_neg").cast("double")).alias("fpr"),
         F.try_divide(F.col("upto_pos").cast("double"), F.col("total_pos").cast("double")).alias("tpr"),
     )
+    origin = run.filter(first).select(
+        *by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    )
+    return origin.unionByName(corners)
 
 
 def minmax(df: DataFrame, col: str, factor: float = 1.0):

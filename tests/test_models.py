@@ -55,6 +55,26 @@ def test_auc_equals_library_evaluator(tiny):
     assert ours == pytest.approx(lib, abs=1e-9)
 
 
+@pytest.mark.parametrize("chunks", [None, 5])
+def test_roc_corners_equal_a_plain_reduction(spark, chunks):
+    rng = np.random.default_rng(6)
+    rows = [(m, int(rng.random() < 0.3), float(rng.integers(0, 150) if m == "a" else rng.integers(0, 4))) for m in "aab" for _ in range(300)]
+    rows += [("only", 1, 1.0), ("line", 1, 3.0), ("line", 1, 2.0), ("line", 1, 1.0), ("line", 0, 0.0)]
+    got = metrics.roc_points(spark.createDataFrame(rows, "m string, y int, s double"), "y", "s", ("m",), chunks).collect()
+    for model in ("a", "b", "only", "line"):
+        mine = [(y, s) for m, y, s in rows if m == model]
+        scores = sorted({s for _, s in mine}, reverse=True)
+        tp, fp = ([sum(1 for y, t in mine if y == want and t >= s) for s in scores] for want in (1, 0))
+        bent = np.ones(len(scores), bool)
+        if len(scores) > 2:
+            bent[1:-1] = (np.diff(tp, 2) != 0) | (np.diff(fp, 2) != 0)
+        wanted = [(None, 0.0, 0.0)] + [
+            (s, f / fp[-1] if fp[-1] else None, t / tp[-1] if tp[-1] else None) for s, f, t, keep in zip(scores, fp, tp, bent) if keep
+        ]
+        found = sorted(((r.threshold, r.fpr, r.tpr) for r in got if r.m == model), key=lambda r: (r[0] is not None, -(r[0] or 0)))
+        assert found == wanted
+
+
 def shapley(tree, x: np.ndarray) -> np.ndarray:
     """Subset sum over the path-dependent expectation, straight from the definition."""
 
