@@ -811,6 +811,13 @@ ORACLE["m3_contamination_cut"] = q(
        CAST(iso_score > (SELECT quantile_cont(iso_score, 0.95) FROM iso) AS BIGINT) AS iso_prediction FROM iso""",
     *_FOREST, *grown.scores(),
 )
+ORACLE["m14_forest_comparison"] = q(
+    f"""SELECT 'Isolation Forest' AS model, c.tn, c.fp, c.fn, c.tp, round(c.precision, 6) AS precision, round(c.recall, 6) AS recall, round(c.f1, 6) AS f1,
+      round((SELECT (sum(CASE WHEN label = 1 THEN r ELSE 0 END) - CAST(sum(label) AS DOUBLE) * (sum(label) + 1) / 2) / (CAST(sum(label) AS DOUBLE) * sum(1 - label))
+        FROM (SELECT label, rank() OVER (ORDER BY iso_score) + (count(*) OVER (PARTITION BY iso_score) - 1) / 2.0 AS r FROM iso)), 6) AS auc
+    FROM ({_confusion("SELECT label AS y, CAST(iso_score > (SELECT quantile_cont(iso_score, 0.95) FROM iso) AS INT) AS p FROM iso")}) c""",
+    *_FOREST, *grown.scores(),
+)
 # A feature's values are taken from the row half the table ahead in the order of a hash.
 _MOVED = f"""mixed AS (SELECT *, row_number() OVER (ORDER BY md5(key || ':42'), key) AS r, count(*) OVER () AS n FROM fx),
 moved AS MATERIALIZED (SELECT a.key, a.label, run, list_transform(range(1, {len(FEATURES)} + 1), lambda i: CASE WHEN i = run THEN b.x[i] ELSE a.x[i] END) AS x

@@ -64,43 +64,78 @@ def row_counts(tables: ErpTables) -> DataFrame:
     )
 
 
-def duplicate_keys(tables: ErpTables) -> DataFrame:
-    """Surplus rows per single-column key, counted by grouping."""
+def _violations(name: str) -> dict[str, Column]:
+    """What breaks a NOT NULL or CHECK constraint of a table."""
+    broken = {f"not_null.{c}": F.col(c).isNull() for c in NOT_NULL[name]}
+    return broken | {f"check.{n}": ~F.expr(sql) for n, sql in CHECKS.get(name, {}).items()}
+
+
+def integrity(tables: ErpTables) -> DataFrame:
+    """Duplicate keys, orphans, and violations of NOT NULL, CHECK and UNIQUE, as
+    (check, subject, measure, value).
+
+    One scan a table gives a stream of tagged keys: own keys, non-NULL foreign keys, and a row
+    per violated constraint. Equal ones combine before the only shuffle, so a hot foreign key
+    costs a row per task; a grouped pass then settles all constraints."""
+    names = [name for name, _ in tables.items()]
+    tags = [(name, None) for name in names] + [(child, col) for child, col, _, _ in FOREIGN_KEYS]
+    violated = len(tags)
     parts = []
+    for name, df in tables.items():
+        keys = UNIQUE_KEYS[name]
+        own = F.col(keys[0]).cast("string") if len(keys) == 1 else F.to_json(F.struct(*keys))
+        entries = [_tagged(names.index(name), own, tags.index((name, None)))]
+        for child, col, parent, _ in FOREIGN_KEYS:
+            if child == name:
+                entries.append(F.when(F.col(col).isNotNull(), _tagged(names.index(parent), F.col(col).cast("string"), tags.index((child, col)))))
+        entries += [F.when(broken, _tagged(-1, F.lit(f"{name}/{m}"), violated)) for m, broken in _violations(name).items()]
+        parts.append(df.select(F.inline(F.array_compact(F.array(*entries)))))
+    settled = _stack(parts).groupBy("domain", "key").agg(
+        *[F.count_if(F.col("tag") == i).alias(f"t{i}") for i in range(violated + 1)]
+    )
+
+    def total(where: Column, count: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, count)), F.lit(0))
+
+    measures: list[tuple[str, str, str, Column]] = []
+    surplus = {
+        name: total(F.col("domain") == i, F.greatest(F.col(f"t{tags.index((name, None))}") - 1, F.lit(0))) for i, name in enumerate(names)
+    }
     for name, keys in UNIQUE_KEYS.items():
-        if len(keys) > 1:
-            continue
-        grouped = getattr(tables, name).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        surplus = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-        parts.append(_measure(grouped, "duplicate_key", f"{name}.{keys[0]}", {"duplicates": surplus}))
-    return _stack(parts)
+        if len(keys) == 1:
+            measures.append(("duplicate_key", f"{name}.{keys[0]}", "duplicates", surplus[name]))
+    for child, col, parent, _ in FOREIGN_KEYS:
+        unknown = (F.col("domain") == names.index(parent)) & (F.col(f"t{tags.index((parent, None))}") == 0)
+        measures.append(("orphan", f"{child}.{col}", "orphans", total(unknown, F.col(f"t{tags.index((child, col))}"))))
+    for name in names:
+        for m in _violations(name):
+            measures.append(("constraint", name, m, total((F.col("domain") == -1) & (F.col("key") == f"{name}/{m}"), F.col(f"t{violated}"))))
+        measures.append(("constraint", name, "unique." + ",".join(UNIQUE_KEYS[name]), surplus[name]))
+    row = settled.agg(*[value.cast("bigint").alias(f"m{i}") for i, (*_, value) in enumerate(measures)])
+    entries = [
+        F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"), F.lit(m).alias("measure"), F.col(f"m{i}").alias("value"))
+        for i, (check, subject, m, _) in enumerate(measures)
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
 
+def _tagged(domain: int, key: Column, tag: int) -> Column:
+    return F.struct(F.lit(domain).alias("domain"), key.alias("key"), F.lit(tag).alias("tag"))
 
-def orphans(tables: ErpTables) -> DataFrame:
+
+def duplicate_keys(tables: ErpTables, found: DataFrame | None = None) -> DataFrame:
+    """Surplus rows per single-column key. `found` is `integrity` where known already."""
+    return (integrity(tables) if found is None else found).filter(F.col("check") == "duplicate_key")
+
+
+def orphans(tables: ErpTables, found: DataFrame | None = None) -> DataFrame:
     """Rows whose non-NULL foreign key has no parent."""
-    parts = []
-    for child, col, parent, key in FOREIGN_KEYS:
-        named = getattr(tables, child).filter(F.col(col).isNotNull()).select(F.col(col).alias("_k"))
-        known = getattr(tables, parent).select(F.col(key).alias("_k"))
-        lost = named.join(known, "_k", "left_anti")
-        parts.append(_measure(lost, "orphan", f"{child}.{col}", {"orphans": F.count(F.lit(1))}))
-    return _stack(parts)
+    return (integrity(tables) if found is None else found).filter(F.col("check") == "orphan")
 
 
-def constraint_violations(tables: ErpTables) -> DataFrame:
+def constraint_violations(tables: ErpTables, found: DataFrame | None = None) -> DataFrame:
     """Violations of NOT NULL, CHECK and UNIQUE constraints."""
-    parts = []
-    for name, df in tables.items():
-        aggs = {f"not_null.{c}": F.count_if(F.col(c).isNull()) for c in NOT_NULL[name]}
-        aggs |= {f"check.{n}": F.count_if(~F.expr(sql)) for n, sql in CHECKS.get(name, {}).items()}
-        parts.append(_measure(df, "constraint", name, aggs))
-        keys = UNIQUE_KEYS[name]
-        grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-        label = "unique." + ",".join(keys)
-        parts.append(
-            _measure(grouped, "constraint", name, {label: F.coalesce(F.sum(F.col("n") - 1), F.lit(0))})
-        )
-    return _stack(parts)
+    return (integrity(tables) if found is None else found).filter(F.col("check") == "constraint")
 
 
 def labelled_duplicates(invoices: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin, remove_stored
-from tallymark.operators import autoencoder, ensemble, explain, isolation
+from tallymark.operators import autoencoder, ensemble, explain, isolation, quality
 from tallymark.operators import features as feat
 from tallymark.operators import near_duplicates as nd
 from tallymark.operators import risk as rk
@@ -60,6 +60,12 @@ class Audit:
             rules.exceptions_report(self.inv, self.po, self.ven, self.bud, self.cfg, self.near), "report"
         )
 
+    # data quality
+    @cached_property
+    def integrity(self) -> DataFrame:
+        """Keys and constraints of all tables, checked together."""
+        return pin(quality.integrity(self.tables), "integrity")
+
     # features
     @cached_property
     def features(self) -> DataFrame:

@@ -81,12 +81,12 @@ def _csv_sink(a: Audit) -> DataFrame:
 
 
 def _append_load(a: Audit) -> DataFrame:
-    """Invoices appended in two halves."""
+    """Invoices appended in two halves, the first of them twice."""
     path = new_path(a.spark, "append")
     half = F.col("invoice_status") == "Paid"
-    loading.append_load(a.inv.filter(half), "invoices", path)
-    loading.append_load(a.inv.filter(~half), "invoices", path)
-    loaded = a.spark.read.schema(SCHEMAS["invoices"]).parquet(path)
+    for load_id, part in (("paid", half), ("others", ~half), ("paid", half)):
+        loading.append_load(a.inv.filter(part), "invoices", path, load_id)
+    loaded = loading.read_loaded(a.spark, "invoices", path)
     return loaded.agg(
         F.count(F.lit(1)).alias("n"),
         *[
@@ -121,7 +121,7 @@ SOURCES: dict[str, Query] = {
     "s4_sql_over_tables": lambda a: loading.run_sql(a.spark, a.tables, VENDOR_SPEND_SQL, floor=1000),
     "s5_ordered_load": _ordered_load,
     "s5_row_counts": lambda a: quality.row_counts(a.tables),
-    "s6_constraint_violations": lambda a: quality.constraint_violations(a.tables),
+    "s6_constraint_violations": lambda a: quality.constraint_violations(a.tables, a.integrity),
 }
 
 CONTROLS: dict[str, Query] = {
@@ -301,8 +301,8 @@ EXPLORE: dict[str, Query] = {
 
 QUALITY: dict[str, Query] = {
     "v1_shape_and_nulls": lambda a: _rounded(quality.shape_and_nulls(a.tables), "pct"),
-    "v2_duplicate_keys": lambda a: quality.duplicate_keys(a.tables),
-    "v3_orphans": lambda a: quality.orphans(a.tables),
+    "v2_duplicate_keys": lambda a: quality.duplicate_keys(a.tables, a.integrity),
+    "v3_orphans": lambda a: quality.orphans(a.tables, a.integrity),
     "v4_labelled_duplicates": lambda a: quality.labelled_duplicates(a.inv),
     "v5_near_duplicate_labels": lambda a: quality.near_duplicate_labels(a.inv),
     "v6_split_labels": lambda a: quality.split_labels(a.po),
@@ -336,6 +336,10 @@ MODELS: dict[str, Query] = {
         "invoice_number", "iso_score", "ae_score", "ensemble_score", "ensemble_prediction"
     ),
     "m14_model_comparison": lambda a: metrics.compare_models(a.scored, "anomaly_flag", ensemble.MODELS),
+    "m14_forest_comparison": lambda a: _rounded(
+        metrics.compare_models(a.scored, "anomaly_flag", {"Isolation Forest": ensemble.MODELS["Isolation Forest"]}),
+        "precision", "recall", "f1", "auc",
+    ),
     "m14_model_roc_points": lambda a: metrics.roc_points(
         metrics.long_scores(a.scored, "anomaly_flag", ensemble.MODELS), "label", "score", ("model",)
     ),

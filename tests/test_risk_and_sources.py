@@ -90,12 +90,39 @@ def test_csv_load(spark, tiny, tmp_path):
             loading.write_csv(df, f"{source}/{name}.csv")
     counts = loading.load_all(spark, source, target)
     assert list(counts) == list(LOAD_ORDER) and counts["users"] == 0
-    back = spark.read.schema(SCHEMAS["invoices"]).parquet(f"{target}/invoices")
+    back = loading.read_loaded(spark, "invoices", f"{target}/invoices")
     assert back.exceptAll(tiny.inv).count() == 0 and counts["invoices"] == tiny.inv.count()
-    loading.load_table(spark, f"{source}/invoices.csv", "invoices", f"{target}/invoices")
+    again = loading.load_table(spark, f"{source}/invoices.csv", "invoices", f"{target}/invoices")
+    assert again == counts["invoices"] and loading.read_loaded(spark, "invoices", f"{target}/invoices").count() == again
+    loading.load_table(spark, f"{source}/invoices.csv", "invoices", f"{target}/invoices", "second")
     assert spark.read.parquet(f"{target}/invoices").count() == 2 * counts["invoices"]
 
 
+@pytest.mark.parametrize("fails", ["before", "after"])
+def test_a_load_that_crashes_is_there_once_after_a_rerun(spark, tiny, tmp_path, monkeypatch, fails):
+    source, target = str(tmp_path / "in" / "vendors.csv"), str(tmp_path / "out")
+    loading.write_csv(tiny.ven, source)
+    publish = loading._publish
+
+    def crash(*args):
+        if fails == "after":
+            publish(*args)
+        raise OSError("lost")
+
+    monkeypatch.setattr(loading, "_publish", crash)
+    with pytest.raises(OSError):
+        loading.load_table(spark, source, "vendors", target)
+    assert len(loading.published_loads(spark, target)) == (fails == "after")
+    monkeypatch.setattr(loading, "_publish", publish)
+    n = tiny.ven.count()
+    for _ in range(2):
+        assert loading.load_table(spark, source, "vendors", target) == n
+    assert loading.read_loaded(spark, "vendors", target).count() == n
+    loading.write_csv(tiny.ven.limit(3), source)  # a changed source is another load
+    assert loading.load_table(spark, source, "vendors", target) == 3
+    assert len(loading.published_loads(spark, target)) == 2 and loading.read_loaded(spark, "vendors", target).count() == n + 3
+
+
 def test_contract_fills_defaults_and_drops_nan(spark):
     df = spark.createDataFrame([("V", float("nan"))], "vendor_id string, anomaly_flag double")
     row = loading.apply_contract(df, "vendors").first()
@@ -117,6 +144,12 @@ def test_quality_finds_planted_faults(spark, tiny):
     assert quality.flag_consistency(tables.invoices).first()["no_flag"] == 1
 
 
+def test_keys_of_all_tables_take_one_scan_each_and_one_shuffle(tiny):
+    plan = quality.integrity(tiny.tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 6
+    assert plan.count("Exchange hashpartitioning(domain") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("name,expected", [("r1_exact_duplicates", 9), ("r2_near_duplicates", 29), ("r3_split_orders", 24)])
 def test_control_counts(tiny, name, expected):
     from tallymark.plans.registry import ALL
