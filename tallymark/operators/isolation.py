@@ -185,6 +185,77 @@ def rounded_score(forest: Forest, x: np.ndarray) -> np.ndarray:
     return np.round(anomaly_score(forest, x), 9)
 
 
+@dataclass(frozen=True)
+class LeafMasks:
+    """A tree as bit vectors: leaves are numbered from left to right, and a row above a
+    node's threshold can't reach the leaves to its left. Per feature the thresholds in order, and
+    for each number of them that lie below a value the leaves that stay; a row ends at the first leaf that
+    all features leave."""
+
+    features: tuple[int, ...]
+    thresholds: tuple[np.ndarray, ...]
+    stay: tuple[np.ndarray, ...]  # (thresholds + 1, words of 64 leaves)
+    length: np.ndarray
+
+
+def leaf_masks(tree: Tree) -> LeafMasks:
+    order, spans, pending = [], {}, [(0, False)]
+    while pending:
+        at, done = pending.pop()
+        if tree.left[at] == at:
+            order.append(at)
+        elif done:
+            spans[at] = (spans[at], len(order))
+        else:
+            spans[at] = len(order)
+            # behind its left subtree a node knows the leaves it bars
+            pending += [(tree.right[at], False), (at, True), (tree.left[at], False)]
+    every = (1 << len(order)) - 1
+    words = -(-len(order) // 64)
+    by_feature: dict[int, list] = {}
+    for at, (lo, hi) in spans.items():
+        by_feature.setdefault(int(tree.feature[at]), []).append((float(tree.threshold[at]), every & ~(((1 << (hi - lo)) - 1) << lo)))
+    thresholds, stay = [], []
+    for _, nodes in sorted(by_feature.items()):
+        nodes.sort()
+        left, rows = every, [every]
+        for _, mask in nodes:
+            left &= mask
+            rows.append(left)
+        thresholds.append(np.array([t for t, _ in nodes]))
+        stay.append(np.array([[(r >> (64 * w)) & (2**64 - 1) for w in range(words)] for r in rows], np.uint64))
+    return LeafMasks(tuple(sorted(by_feature)), tuple(thresholds), tuple(stay), tree.length[order])
+
+
+def _first_leaf(masks: np.ndarray) -> np.ndarray:
+    word, skipped = masks[:, 0], np.zeros(len(masks), np.int64)
+    for w in range(1, masks.shape[1]):
+        none = word == 0
+        word, skipped = np.where(none, masks[:, w], word), np.where(none, 64 * w, skipped)
+    return skipped + np.bitwise_count((word & (~word + np.uint64(1))) - np.uint64(1))
+
+
+def permuted_scores(trees: list[LeafMasks], norm: float, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """(row, 1 + features): scores of `x`, and of `x` with one feature taken from `y`. Only that
+    feature's leaves are looked up anew; those of the features before and after it are ANDed once."""
+    total = np.zeros((len(x), 1 + x.shape[1]))
+    for t in trees:
+        own = [s[np.searchsorted(c, x[:, f])] for f, c, s in zip(t.features, t.thresholds, t.stay)]
+        behind = [None] * len(own)
+        for j in range(len(own) - 2, -1, -1):
+            behind[j] = own[j + 1] if behind[j + 1] is None else own[j + 1] & behind[j + 1]
+        before = None
+        lengths = np.repeat(t.length[_first_leaf(own[0] if behind[0] is None else own[0] & behind[0])][:, None], total.shape[1], axis=1) if own else t.length[0]
+        for j, (f, c, s) in enumerate(zip(t.features, t.thresholds, t.stay)):
+            masks = s[np.searchsorted(c, y[:, f])]
+            for others in (before, behind[j]):
+                masks = masks if others is None else masks & others
+            lengths[:, 1 + f] = t.length[_first_leaf(masks)]
+            before = own[j] if before is None else before & own[j]
+        total += lengths
+    return np.round(np.exp2(-total / len(trees) / norm), 9)
+
+
 def feature_cols(array: str = "scaled") -> list[Column]:
     return [F.get(array, F.lit(i)) for i in range(WIDTH)]
 
@@ -212,7 +283,7 @@ def permutation_importance(
 
     Rows are ranked by key hash; the partner is the row half the table ahead
     in that random order, so every value moves exactly once. One join serves
-    all features; the scores of all permutations come from one pass.
+    all features; the scores of all permutations come from one pass over bit vectors of leaves.
     """
     ranked = global_rank(
         scaled.select(F.col(key).alias("key"), F.col(label).alias("label"), "scaled").withColumn(
@@ -225,17 +296,12 @@ def permutation_importance(
     partner = F.pmod(F.col("rank") - 1 + half, n) + 1
     others = ranked.select(F.col("rank").alias("partner"), F.col("scaled").alias("other"))
     paired = ranked.withColumn("partner", partner).join(others, "partner")
-    shared = scaled.sparkSession.sparkContext.broadcast(forest)
+    shared = scaled.sparkSession.sparkContext.broadcast(([leaf_masks(t) for t in forest.trees], forest.norm))
 
     @F.pandas_udf("array<double>")
     def scores(own: pd.Series, other: pd.Series) -> pd.Series:
-        x, y = np.stack(own.to_numpy()), np.stack(other.to_numpy())
-        out = [rounded_score(shared.value, x)]
-        for f in range(x.shape[1]):
-            moved = x.copy()
-            moved[:, f] = y[:, f]
-            out.append(rounded_score(shared.value, moved))
-        return pd.Series(list(np.column_stack(out)))
+        masks, norm = shared.value
+        return pd.Series(list(permuted_scores(masks, norm, np.stack(own.to_numpy()), np.stack(other.to_numpy()))))
 
     long = paired.select("label", F.posexplode(scores(F.transform("scaled", on_grid), F.transform("other", on_grid))).alias("run", "score"))
     auc = roc_auc(pin(long, "permuted"), "label", "score", ("run",), chunks)

@@ -121,6 +121,17 @@ def test_permutation_importance(tiny, forest):
     assert max(drops.values()) > 0.005
 
 
+def test_bit_vectors_agree_with_paths(tiny, forest):
+    x = matrix(tiny.scaled)[:300]
+    y = x[::-1]
+    got = isolation.permuted_scores([isolation.leaf_masks(t) for t in forest.trees], forest.norm, x, y)
+    assert (got[:, 0] == isolation.rounded_score(forest, x)).all()
+    for f in range(x.shape[1]):
+        moved = x.copy()
+        moved[:, f] = y[:, f]
+        assert (got[:, 1 + f] == isolation.rounded_score(forest, moved)).all()
+
+
 def test_gradient_matches_differences(monkeypatch):
     monkeypatch.setattr(autoencoder, "DROPOUT", 0.0)
     rng = np.random.default_rng(1)
