@@ -849,23 +849,23 @@ _FOREST_CASES = (
     grown.CONTRIBUTIONS, grown.contributions("asked"),
 )
 _SAID = {
-    "feat_amount_zscore": f"'its amount lies ' || {_f('feat_amount_zscore')} || ' standard deviations from the vendor''s average'",
-    "feat_invoice_to_po_ratio": f"""'its amount is ' || {_f('abs((feat_invoice_to_po_ratio - 1) * 100)', 0)} || '% '
-        || CASE WHEN (feat_invoice_to_po_ratio - 1) * 100 > 0 THEN 'above' ELSE 'below' END || ' the order value'""",
-    "feat_vendor_age_days": f"'the vendor was only ' || {_f('feat_vendor_age_days', 0)} || ' days old'",
+    "feat_amount_zscore": f"{_f('feat_amount_zscore')} || ' sample deviations from the mean of the vendor''s invoices'",
+    "feat_invoice_to_po_ratio": f"""{_f('abs((feat_invoice_to_po_ratio - 1) * 100)', 0)}
+        || CASE WHEN (feat_invoice_to_po_ratio - 1) * 100 > 0 THEN '% more than ordered' ELSE '% less than ordered' END""",
+    "feat_vendor_age_days": f"{_f('feat_vendor_age_days', 0)} || ' days between the vendor''s creation and the invoice'",
     "feat_days_to_payment": "CAST(NULL AS VARCHAR)",
-    "feat_vendor_monthly_freq": f"'the vendor sent ' || {_f('feat_vendor_monthly_freq', 0)} || ' invoices in that month'",
-    "feat_pct_of_cc_budget": f"'it takes ' || {_f('feat_pct_of_cc_budget * 100')} || '% of the cost centre''s budget'",
-    "feat_after_hours": "CASE WHEN feat_after_hours = 1 THEN 'it was posted outside business hours' END",
-    "feat_no_po": "CASE WHEN feat_no_po = 1 THEN 'it refers to no purchase order' END",
-    "feat_round_number": "CASE WHEN feat_round_number = 1 THEN 'its amount is a round number' END",
-    "feat_benford_dev": "'its first digit is unusual under Benford''s law'",
+    "feat_vendor_monthly_freq": f"{_f('feat_vendor_monthly_freq', 0)} || ' invoices of the vendor in the calendar month'",
+    "feat_pct_of_cc_budget": f"'amount equal to ' || {_f('feat_pct_of_cc_budget * 100')} || '% of the cost centre''s approved budgets'",
+    "feat_after_hours": "CASE WHEN feat_after_hours = 1 THEN 'time stamp on a weekend or off the business hours' END",
+    "feat_no_po": "CASE WHEN feat_no_po = 1 THEN 'order number missing' END",
+    "feat_round_number": "CASE WHEN feat_round_number = 1 THEN 'amount in full thousands' END",
+    "feat_benford_dev": "'first digit with an expected share far from one ninth'",
 }
 _SENTENCES = f"""reasons AS (SELECT invoice_number, unnest([{', '.join(f"{{'i': {i}, 'c': p{i}, 'said': {_SAID[f]}}}" for i, f in enumerate(FEATURES))}], recursive := true)
   FROM ranked JOIN phi ON key = invoice_number),
-told AS (SELECT invoice_number, string_agg(said, '; and ' ORDER BY abs(c) DESC, i) AS said FROM (
+told AS (SELECT invoice_number, string_agg(said, '; ' ORDER BY abs(c) DESC, i) AS said FROM (
     SELECT *, row_number() OVER (PARTITION BY invoice_number ORDER BY abs(c) DESC, i) AS place FROM reasons) WHERE place <= 3 AND c > 0 AND said IS NOT NULL GROUP BY 1),
-cases AS (SELECT r.*, CASE WHEN said IS NULL THEN 'No single risk factor stands out.' ELSE 'Flagged mainly because ' || said || '.' END AS shap_explanation
+cases AS (SELECT r.*, CASE WHEN said IS NULL THEN 'Score raised by nothing that has words.' ELSE 'Score raised by: ' || said || '.' END AS shap_explanation
   FROM ranked r JOIN asked ON key = r.invoice_number LEFT JOIN told t ON t.invoice_number = r.invoice_number)"""
 ORACLE["k2_forest_risk"] = q(
     "SELECT invoice_number, round(ml_component, 4) AS ml_component, composite_risk_score, risk_tier FROM risk", *_FOREST_RISK

@@ -196,32 +196,20 @@ def importance(explained: DataFrame) -> DataFrame:
 def _phrases() -> dict[str, Column]:
     """What to say when a feature pushes toward the anomaly; NULL says nothing."""
     v = {f: F.col(f) for f in FEATURES}
-    ratio = (v["feat_invoice_to_po_ratio"] - 1) * 100
+    off = (v["feat_invoice_to_po_ratio"] - 1) * 100
     return {
-        "feat_amount_zscore": F.concat(
-            F.lit("its amount lies "), fixed(v["feat_amount_zscore"], 1),
-            F.lit(" standard deviations from the vendor's average"),
-        ),
+        "feat_amount_zscore": F.concat(fixed(v["feat_amount_zscore"], 1), F.lit(" sample deviations from the mean of the vendor's invoices")),
         "feat_invoice_to_po_ratio": F.concat(
-            F.lit("its amount is "), fixed(F.abs(ratio), 0), F.lit("% "),
-            F.when(ratio > 0, "above").otherwise("below"), F.lit(" the order value"),
-        ),
-        "feat_vendor_age_days": F.concat(
-            F.lit("the vendor was only "), fixed(v["feat_vendor_age_days"], 0), F.lit(" days old"),
+            fixed(F.abs(off), 0), F.when(off > 0, "% more than ordered").otherwise("% less than ordered")
         ),
+        "feat_vendor_age_days": F.concat(fixed(v["feat_vendor_age_days"], 0), F.lit(" days between the vendor's creation and the invoice")),
         "feat_days_to_payment": F.lit(None).cast("string"),
-        "feat_vendor_monthly_freq": F.concat(
-            F.lit("the vendor sent "), fixed(v["feat_vendor_monthly_freq"], 0),
-            F.lit(" invoices in that month"),
-        ),
-        "feat_pct_of_cc_budget": F.concat(
-            F.lit("it takes "), fixed(v["feat_pct_of_cc_budget"] * 100, 1),
-            F.lit("% of the cost centre's budget"),
-        ),
-        "feat_after_hours": F.when(v["feat_after_hours"] == 1, "it was posted outside business hours"),
-        "feat_no_po": F.when(v["feat_no_po"] == 1, "it refers to no purchase order"),
-        "feat_round_number": F.when(v["feat_round_number"] == 1, "its amount is a round number"),
-        "feat_benford_dev": F.lit("its first digit is unusual under Benford's law"),
+        "feat_vendor_monthly_freq": F.concat(fixed(v["feat_vendor_monthly_freq"], 0), F.lit(" invoices of the vendor in the calendar month")),
+        "feat_pct_of_cc_budget": F.concat(F.lit("amount equal to "), fixed(v["feat_pct_of_cc_budget"] * 100, 1), F.lit("% of the cost centre's approved budgets")),
+        "feat_after_hours": F.when(v["feat_after_hours"] == 1, "time stamp on a weekend or off the business hours"),
+        "feat_no_po": F.when(v["feat_no_po"] == 1, "order number missing"),
+        "feat_round_number": F.when(v["feat_round_number"] == 1, "amount in full thousands"),
+        "feat_benford_dev": F.lit("first digit with an expected share far from one ninth"),
     }
 
 
@@ -244,9 +232,9 @@ def add_sentence(explained: DataFrame, top: int = 3) -> DataFrame:
     )
     largest = F.slice(F.sort_array(reasons, asc=False), 1, top)
     said = F.filter(largest, lambda r: (r["c"] > 0) & r["text"].isNotNull())
-    joined = F.array_join(F.transform(said, lambda r: r["text"]), "; and ")
-    sentence = F.when(F.size(said) == 0, F.lit("No single risk factor stands out.")).otherwise(
-        F.concat(F.lit("Flagged mainly because "), joined, F.lit("."))
+    joined = F.array_join(F.transform(said, lambda r: r["text"]), "; ")
+    sentence = F.when(F.size(said) == 0, F.lit("Score raised by nothing that has words.")).otherwise(
+        F.concat(F.lit("Score raised by: "), joined, F.lit("."))
     )
     return explained.withColumn("shap_explanation", sentence)
 

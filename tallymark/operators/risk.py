@@ -13,17 +13,26 @@ from tallymark.functions.joins import left_lookup
 from tallymark.functions.ordering import global_rank
 from tallymark.operators.metrics import minmax
 
-TIER_MEANING = {
-    "Critical": "Unusual in the data, in breach of a named control and of high value: investigate at once.",
-    "High": "A strong model signal or a confirmed rule hit of notable value: investigate this week.",
-    "Medium": "Some signal without support from a second source: review in the normal cycle.",
-    "Low": "Ordinary in the data and free of rule hits: kept for the audit trail.",
-}
+
+
+def tier_meaning(cfg: AuditConfig = DEFAULT) -> dict[str, str]:
+    """What a score in each tier's range says about its parts, from weights and limits."""
+    ml, rule, value = (round(100 * w) for w in (cfg.weight_ml, cfg.weight_rule, cfg.weight_value))
+    top, high, medium = (f"{t:g}" for t in (cfg.tier_critical, cfg.tier_high, cfg.tier_medium))
+    return {
+        "Critical": f"{top} points or more out of {ml} for the models, {rule} for rules and {value} for the amount: at most one of the three can be small.",
+        "High": f"{high} to under {top} points: more than any one of models, rules and amount can give.",
+        "Medium": f"{medium} to under {high} points: models or rules alone can give as much.",
+        "Low": f"Under {medium} points: what the amount alone can give, or traces of several parts.",
+    }
+
+
+TIER_MEANING = tier_meaning()
 TIER_ACTION = {
-    "Critical": "Hold the payment and inform AP management and internal audit within two days.",
-    "High": "Review with priority and inform the cost centre owner within five working days.",
-    "Medium": "Add to the period's audit sample; no hold.",
-    "Low": "None; keep in the audit trail.",
+    "Critical": "Front of the queue; left out of payment runs until someone has cleared it.",
+    "High": "Next in the queue by score; compare with order, receipt and earlier invoices.",
+    "Medium": "Look at it where a vendor or cost centre has several of these.",
+    "Low": "Stays in the table and is scored again with the next run.",
 }
 
 # Columns of the wide export, in order.

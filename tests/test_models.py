@@ -189,8 +189,8 @@ def test_sentences(tiny):
     cases = tiny.explained_cases.collect()
     assert cases
     for r in cases:
-        assert r["shap_explanation"].startswith(("Flagged mainly because ", "No single"))
-        if "no purchase order" in r["shap_explanation"]:
+        assert r["shap_explanation"].startswith(("Score raised by: ", "Score raised by nothing"))
+        if "order number missing" in r["shap_explanation"]:
             assert r["feat_no_po"] == 1
 
 
