@@ -333,5 +333,7 @@ def drop_near_duplicates(documents: DataFrame, width: int = 5, similarity: int =
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of `documents` by two-word shingles, a row per row; edge cases as in
+    `near_duplicates` (texts without words link with nothing)."""
     found = near_duplicates(table(spark, sf_dir, "documents"), width=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")

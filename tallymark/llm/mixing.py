@@ -187,7 +187,8 @@ def mix_copies(documents: DataFrame, id_col: str = "doc_id", source: str = "sour
 
 
 def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:
-    """`documents` with every row as often as the mix takes it (0, 1 or 2 times)."""
+    """`documents` with every row as often as the mix takes it (0, 1 or 2 times). Null texts, sources and
+    ids and repeated rows as in `mix_copies`; all columns stay as they are; an empty table stays empty."""
     copies = (
         mix_copies(documents, seed=seed)
         .filter("copies > 0")
@@ -209,5 +210,7 @@ def mix_documents(documents: DataFrame, seed: int = 7) -> DataFrame:
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of `documents`, a row per row; edge cases as in `mix_copies` (null texts have size 0, a null
+    source is a source of its own, the last one)."""
     mixed = mix_copies(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

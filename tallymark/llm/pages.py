@@ -274,5 +274,7 @@ def extract_text(pages: DataFrame, url: str = "url", page: str = "html") -> Data
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of `pages`, a row per row; edge cases as in `extract_text` (empty for null and empty
+    html, repeated rows alike)."""
     found = extract_text(table(spark, sf_dir, "pages"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -439,6 +439,8 @@ def find_secrets(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans in `documents`, a row per row; edge cases as in `find_secrets` (null and empty texts
+    have no spans and the digest of nothing, repeated rows have a row each)."""
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
     def written(spans):

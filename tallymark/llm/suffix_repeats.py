@@ -388,6 +388,8 @@ def repeated_passages(
 
 
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats within `documents`, a row per row, all copies cut; edge cases as in `repeated_passages`
+    (null and short texts lose nothing, repeated rows are copies of each other)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeated_passages(docs, keep_first=False).select(
         "doc_id",

@@ -328,4 +328,5 @@ def packing_vocabulary() -> tuple[bytes, str]:
 
 
 def op6_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed rows of all `documents`; edge cases as in `pack_documents`."""
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), *packing_vocabulary())

@@ -372,4 +372,6 @@ def near_vectors(
 
 
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all `embeddings`, a row per row; edge cases as in `near_vectors` (null, zero and
+    non-finite vectors link with nothing)."""
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
