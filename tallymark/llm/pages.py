@@ -1,29 +1,43 @@
-"""Main text of web pages by names of elements and texts repeated over pages of one host.
-
-A page is a line of tokens: container tags with their place in the page, and text
-blocks. Texts that enough pages of a host share belong to its template; fixed tag
-and class names tell menus, notices and the like. Of the other slots the
-article's is kept or, without an article element, all but those of links. Tokens
-are counted with hashed occurrence vectors, sums over pages that combine before
-the shuffle, so a host of any size costs a row per token and task. Classes of
-equal vectors are listed with their sizes and mean places; they decide nothing.
+"""Main text of web pages by templates deduced from the pages of each host.
+
+A page is a line of tokens: container tags with their place in the page, opened and
+closed, and text blocks. Tokens of a host with one occurrence vector (how often on which
+page) form an equivalence class. A class is valid where its tokens come in one order on
+its pages and lie in one gap of the more frequent classes; tokens that break either rule
+leave it. The valid classes, nested, are the host's template; the gaps between its tokens
+are slots. What fills the slots over all pages of the host decides: repeated text is
+template, the article lies in the innermost container with nearly all other text.
+
+Vectors are sums of page hashes that combine before the shuffle, as do counts of broken
+orders, gaps and slot contents, so a host of any size costs a row per token and task.
+Elements that HTML names for the purpose (nav, footer, article ...) and fixed class names
+of comments, forms and the like are left out of the comparison of slots, and alone decide
+on hosts with one page, which have no template.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import positional, prepare, stored, table
 
-#: A text is template text on hosts of at least so many pages if at least this share of them has it.
+#: A text is template text if this share of the host's pages has it; on hosts of fewer pages than this, if all have.
 LEAST_PAGES, LEAST_SHARE = 5, 0.6
+#: Containers on a smaller share of a host's pages stay out of its template.
+LEAST_LAYOUT = 0.1
+#: Share of a token's pages that must keep to the order and the gap of its class (broken markup breaks some).
+HOLDS = 0.9
+#: The main container is the innermost one with this share of the text that is neither linked nor template.
+MAIN_SHARE = 0.9
 #: Template rows up to this number are held by every task; more are joined by host.
 HELD_ROWS = 100_000
 
@@ -37,6 +51,8 @@ _TOKEN = re.compile(
 )
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile(r"[a-z]+")
+_DIGITS = re.compile(r"\d+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 
 # Fixed names of HTML.
 CONTAINERS = frozenset(
@@ -65,31 +81,51 @@ def host_of(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
+def _folded(text: str) -> int | None:
+    """Token of a text with its numbers made alike, for texts with a number and three words."""
+    if _DIGITS.search(text) is None or len(_LETTERS.findall(text)) < 3:
+        return None
+    return _hash("fold:" + _DIGITS.sub("0", text))
+
+
 class Block:
-    __slots__ = ("text", "linked", "slot", "side", "main")
+    """`chain`: tokens of the open containers; `head`: aside only for lying in a page's header."""
 
-    def __init__(self, text: str, linked: int, slot: str, side: bool, main: bool):
-        self.text, self.linked, self.slot, self.side, self.main = text, linked, slot, side, main
+    __slots__ = ("text", "linked", "slot", "side", "head", "main", "title", "chain", "at")
 
+    def __init__(self, text: str, linked: int, top: tuple, title: bool, at: int):
+        self.text, self.linked, self.title, self.at = text, linked, title, at
+        _, self.slot, self.side, self.head, self.main, self.chain, _ = top
 
-def read_page(page: str | None) -> tuple[list[Block], list[str]]:
-    """Blocks of a page and its container tokens (places) in page order."""
+
+def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]]:
+    """Blocks of a page and its container tokens (token, depth, position), both in page order."""
     blocks: list[Block] = []
-    tokens: list[str] = []
-    stack: list[tuple[str, str, bool, bool]] = []  # tag, place, side, main
+    tokens: list[tuple[int, int, int]] = []
+    # tag, place, aside, aside for its header only, in the article, chain of tokens, children seen
+    root = ("", "", False, False, False, (), {})
+    stack: list[tuple] = []
     words: list[str] = []
-    linked = link_depth = 0
+    linked = link_depth = at = 0
+    title = False
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, at
         if words:
             text = " ".join(html.unescape("".join(words)).split())
             if text:
-                place, side, main = stack[-1][1:] if stack else ("", False, False)
-                blocks.append(Block(text, min(linked, len(text)), place, side, main))
+                blocks.append(Block(text, min(linked, len(text)), stack[-1] if stack else root, title, at))
+                at += 1
             words.clear()
         linked = 0
 
+    def close(start: int) -> None:
+        nonlocal at
+        for entry in reversed(stack[start:]):
+            tokens.append((_hash("close:" + entry[1]), len(entry[5]), at))
+            at += 1
+        del stack[start:]
+
     for m in _TOKEN.finditer(page or ""):
         text = m.group("text")
         if text is not None:
@@ -107,121 +143,358 @@ def read_page(page: str | None) -> tuple[list[Block], list[str]]:
             words.append(" ")
         elif tag in BLOCKS:
             flush()
+            title = tag == "h1" and not closing
             if tag not in CONTAINERS:
                 continue
             link_depth = 0
             if closing:
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if at is not None:
-                    del stack[at:]
+                start = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+                if start is not None:
+                    close(start)
                 continue
             names = [next((x for x in n[1:] if x), "") for n in _NAME.findall(m.group("attrs") or "")]
             known = {w for n in names for w in _WORDS.findall(n.lower())}
             if tag in MAIN_TAGS and not known & SIDE_NAMES:
-                while stack and stack[-1][2] and not stack[-1][3]:  # a menu or advert left open ends here
-                    stack.pop()
+                while stack and stack[-1][2] and not stack[-1][4]:  # a menu or advert left open ends here
+                    close(len(stack) - 1)
             elif tag == "body":
-                stack[:] = [s for s in stack if s[0] == "html"]
-            before = stack[-1] if stack else ("", "", False, False)
-            inside = before[3]
-            side = before[2] or (tag in SIDE_TAGS and not (tag == "header" and inside)) or bool(known & SIDE_NAMES)
-            side = side or (not inside and bool(known & PAGE_HEAD_NAMES))
-            main = inside or (tag in MAIN_TAGS and not side)
-            place = f"{before[1]}/{tag}" + "".join(f".{w}" for w in sorted(known))
-            stack.append((tag, place, side, main))
-            tokens.append(place)
+                close(next((i for i, e in enumerate(stack) if e[0] != "html"), len(stack)))
+            _, above, aside, in_head, inside, chain, children = stack[-1] if stack else root
+            header = not inside and (tag == "header" or bool(known & PAGE_HEAD_NAMES))
+            other = (tag in SIDE_TAGS and tag != "header") or bool(known & SIDE_NAMES)
+            main = inside or (tag in MAIN_TAGS and not (aside or other or header))
+            name = tag + "".join(f".{w}" for w in sorted(known))
+            children[name] = children.get(name, 0) + 1
+            place = f"{above}/{name}" + (f":{children[name]}" if not known and children[name] > 1 else "")
+            token = _hash(place)
+            only_head = not other and ((header and not aside) or in_head)
+            stack.append((tag, place, aside or other or header, only_head, main, (*chain, token), {}))
+            tokens.append((token, len(chain) + 1, at))
+            at += 1
     flush()
     return blocks, tokens
 
 
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per host and token: pages, hashed occurrence vector, order, and the text in the slot."""
-    seen: dict[tuple[str, int], list[int]] = {}
+def _text_tokens(block: Block) -> list[tuple[int, int]]:
+    """(kind, token) of a block's text: 1 as it is, 2 with its numbers made alike."""
+    fold = _folded(block.text)
+    return [(1, _hash("text:" + block.text)), *([] if fold is None else [(2, fold)])]
+
 
-    def batch_of() -> pa.RecordBatch:
-        columns = [list(c) for c in zip(*[(*k, *v) for k, v in seen.items()], strict=True)]
-        kinds = [pa.string(), *[pa.int64()] * 7]
-        names = ["host", "token", "is_text", "n_pages", "vector", "place", "chars", "linked"]
-        seen.clear()
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+_COUNTED = [("host", "string"), *((c, "long") for c in "token kind depth n_pages low high place lo hi".split())]
+_CHECKED = [("host", "string"), *((c, "long") for c in "token gap n_pages broken".split())]
+_FILLED = [("host", "string"), *((c, "long") for c in "token depth chars linked fresh".split())]
 
+
+def _ddl(columns: list[tuple[str, str]]) -> str:
+    return ", ".join(f"{n} {t}" for n, t in columns)
+
+
+def _batch(seen: dict, columns: list[tuple[str, str]]) -> pa.RecordBatch:
+    values = [list(c) for c in zip(*[(*k, *v) for k, v in seen.items()], strict=True)]
+    kinds = {"string": pa.string(), "long": pa.int64()}
+    seen.clear()
+    arrays = [pa.array(c, kinds[t]) for c, (_, t) in zip(values, columns, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, [n for n, _ in columns])
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per host and token: pages, hashed occurrence vector (two words), mean place, and the
+    least and greatest digest of the two longest texts on pages with it."""
+    seen: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             host = host_of(url)
             blocks, tokens = read_page(page)
-            own: dict[int, list[int]] = {0: [0, 1, 0, 0, 0]}  # is text, times, place, chars, linked
-            for i, t in enumerate(tokens):
-                row = own.setdefault(_hash(t), [0, 0, i, 0, 0])
-                row[1] += 1
-            for i, b in enumerate(blocks):
-                row = own.setdefault(_hash("text:" + b.text), [1, 0, i, 0, 0])
-                row[1] += 1
-                if (slot := own.get(_hash(b.slot))) is not None:
-                    slot[3] += len(b.text)
-                    slot[4] += b.linked
+            longest = heapq.nlargest(2, {b.text for b in blocks}, key=lambda t: (len(t), t))
+            content = _hash("\n".join(longest))
+            own: dict[int, list[int]] = {0: [0, 0, 1, 0]}  # kind, depth, times, place
+            for token, depth, at in tokens:
+                own.setdefault(token, [0, depth, 0, at])[2] += 1
+            for b in blocks:
+                for kind, token in _text_tokens(b):
+                    own.setdefault(token, [kind, 0, 0, b.at])[2] += 1
             number = _hash(f"{url}\n{page or ''}")
-            for token, (is_text, times, place, chars, linked) in own.items():
-                total = seen.setdefault((host, token), [is_text, 0, 0, 0, 0, 0])
-                total[1] += 1
-                total[2] = (total[2] + (hash((number, times)) & 0xFFFFFFFF)) & 0x7FFFFFFFFFFFFFFF
-                total[3] += place
-                total[4] += chars
-                total[5] += linked
+            for token, (kind, depth, times, place) in own.items():
+                page_hash = hash((number, times))
+                low, high = page_hash & 0xFFFFFFFF, page_hash >> 32 & 0xFFFFFFFF
+                total = seen.get((host, token))
+                if total is None:
+                    seen[(host, token)] = [kind, depth, 1, low, high, place, content, content]
+                    continue
+                total[2] += 1
+                total[3] += low
+                total[4] += high
+                total[5] += place
+                total[6], total[7] = min(total[6], content), max(total[7], content)
         if len(seen) > 50_000:
-            yield batch_of()
+            yield _batch(seen, _COUNTED)
     if seen:
-        yield batch_of()
+        yield _batch(seen, _COUNTED)
+
+
+def out_of_order(ranks: list[int]) -> set[int]:
+    """Positions of `ranks` outside its longest rising subsequence (the first found)."""
+    ends: list[int] = []
+    at: list[int] = []
+    before: list[int] = []
+    for i, r in enumerate(ranks):
+        k = bisect_left(ends, r)
+        before.append(at[k - 1] if k else -1)
+        if k == len(ends):
+            ends.append(r)
+            at.append(i)
+        else:
+            ends[k], at[k] = r, i
+    kept, i = set(), at[-1] if at else -1
+    while i >= 0:
+        kept.add(i)
+        i = before[i]
+    return set(range(len(ranks))) - kept
+
+
+def _broken(page: str | None, classes: dict[int, tuple[int, int, int, int, int]]) -> dict[int, tuple[int, bool]]:
+    """token -> (gap, breaks its class's order) on a page. `classes`: token -> (class, rank, size, pages, kind)."""
+    blocks, tokens = read_page(page)
+    line = [(at, t) for t, _, at in tokens] + [(b.at, t) for b in blocks for _, t in _text_tokens(b)]
+    line = [(at, t) for at, t in sorted(line, key=lambda x: x[0]) if t in classes]
+    members: dict[int, list[int]] = {}
+    found: dict[int, tuple[int, bool]] = {}
+    last: dict[int, tuple[int, int]] = {}  # pages of a class -> its latest token and that token's number on the page
+    for i, (_, t) in enumerate(line):
+        number, _, _, n_pages, _ = classes[t]
+        members.setdefault(number, []).append(t)
+        if t not in found:
+            larger = [v for n, v in last.items() if n > n_pages]
+            found[t] = (max(larger)[1] if larger else 0, False)
+        last[n_pages] = (i, t)
+    for sequence in members.values():
+        size = classes[sequence[0]][2]
+        for start in range(0, len(sequence), size):  # one round of the class
+            part = sequence[start : start + size]
+            for i in _misplaced([classes[t][1] for t in part], [classes[t][4] > 0 for t in part]):
+                found[part[i]] = (found[part[i]][0], True)
+    return found
+
+
+def _misplaced(ranks: list[int], is_text: list[bool]) -> set[int]:
+    """Positions that break the order: containers against each other, then texts against the
+    containers that keep it and against each other."""
+    holders = [i for i, x in enumerate(is_text) if not x]
+    lost = {holders[k] for k in out_of_order([ranks[i] for i in holders])}
+    above, before = 0, []
+    for i, r in enumerate(ranks):
+        before.append(above)
+        if not is_text[i] and i not in lost:
+            above = r
+    below, texts = len(ranks) + max(ranks, default=0), []
+    for i in range(len(ranks) - 1, -1, -1):
+        if not is_text[i]:
+            below = below if i in lost else ranks[i]
+        elif before[i] < ranks[i] < below:
+            texts.append(i)
+        else:
+            lost.add(i)
+    texts.reverse()
+    return lost | {texts[k] for k in out_of_order([ranks[i] for i in texts])}
+
+
+def _gaps(blocks: list[Block], tokens: list[tuple[int, int, int]], template: dict) -> list[int]:
+    """The slot of each block: the template's container token before it."""
+    line = [(at, t) for t, _, at in tokens if t in template]
+    out, i, gap = [], 0, 0
+    for b in blocks:
+        while i < len(line) and line[i][0] < b.at:
+            gap = line[i][1]
+            i += 1
+        out.append(gap)
+    return out
+
+
+def _repeated(block: Block, gap: int, template: dict) -> bool:
+    """Whether the block is template text. Texts told by all pages of a small host, or but for
+    their numbers, are so only outside the article and the host's fullest slot."""
+    outside = not (block.main or block.title or template.get(gap, _NONE)[4])
+    return any((row := template.get(t)) is not None and row[0] and (row[0] == 1 or outside) for _, t in _text_tokens(block))
+
+
+#: Template row of a token: text (1 everywhere, 2 outside the article), characters, linked characters, main, fullest slot.
+_NONE = (0, 0, 0, 0, 0)
+
+
+def _per_page(pages: DataFrame, url: str, page: str, rows: DataFrame, columns: list[str], work, schema: str) -> DataFrame:
+    """`work` (batches and a function giving each page its host's `rows` as {token: values}) over pages.
+
+    Up to HELD_ROWS rows are held by every task, more are joined by host; both give the same."""
+    spark = pages.sparkSession
+    names = pages.columns
+    url_at, page_at = names.index(url), names.index(page)
+    if rows.count() <= HELD_ROWS:
+        held: dict[str, dict[int, tuple]] = {}
+        for r in rows.select("host", "token", *columns).collect():
+            held.setdefault(r[0], {})[r[1]] = tuple(r[2:])
+        shared = spark.sparkContext.broadcast(held)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def each():
+                for b in batches:
+                    urls = b.column(url_at).to_pylist()
+                    yield b, urls, b.column(page_at).to_pylist(), [shared.value.get(host_of(u), {}) for u in urls]
+
+            yield from work(each())
+
+        return pages.mapInArrow(run, schema)
+
+    per_host = rows.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("token", *columns)).alias("_template"))
+    url_col = F.coalesce(F.col(url), F.lit(""))
+    host = F.lower(F.regexp_extract(url_col, r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    joined = pages.withColumn("_host", host).join(per_host, "_host", "left").select(*names, "_template")
+
+    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each():
+            for b in batches:
+                found = [{t["token"]: tuple(t[c] for c in columns) for t in r or ()} for r in b.column(len(names)).to_pylist()]
+                own = pa.RecordBatch.from_arrays(b.columns[: len(names)], names)
+                yield own, b.column(url_at).to_pylist(), b.column(page_at).to_pylist(), found
+
+        yield from work(each())
+
+    return joined.mapInArrow(run_joined, schema)
+
+
+def _check_work(parts) -> Iterator[pa.RecordBatch]:
+    seen: dict[tuple[str, int, int], list[int]] = {}
+    for _, urls, htmls, found in parts:
+        for url, page, classes in zip(urls, htmls, found, strict=True):
+            host = host_of(url)
+            for token, (gap, broken) in _broken(page, classes).items() if classes else ():
+                total = seen.setdefault((host, token, gap), [0, 0])
+                total[0] += 1
+                total[1] += broken
+        if len(seen) > 50_000:
+            yield _batch(seen, _CHECKED)
+    if seen:
+        yield _batch(seen, _CHECKED)
+
+
+def _fill_work(parts) -> Iterator[pa.RecordBatch]:
+    seen: dict[tuple[str, int], list[int]] = {}
+    for _, urls, htmls, found in parts:
+        for url, page, rows in zip(urls, htmls, found, strict=True):
+            if not rows:
+                continue
+            host, template = host_of(url), {t: (kind, 0, 0, 0, 0) for t, (kind,) in rows.items()}
+            blocks, tokens = read_page(page)
+            for b, gap in zip(blocks, _gaps(blocks, tokens, template), strict=True):
+                if b.side or any(template.get(t, _NONE)[0] == 1 for _, t in _text_tokens(b)):
+                    continue
+                slot = seen.setdefault((host, gap), [0, 0, 0, 0])
+                slot[1] += len(b.text)
+                slot[2] += b.linked
+                for depth, t in enumerate((0, *b.chain)):
+                    if t == 0 or t in template:
+                        whole = seen.setdefault((host, t), [0, 0, 0, 0])
+                        whole[0] = depth
+                        whole[3] += len(b.text) - b.linked
+        if len(seen) > 50_000:
+            yield _batch(seen, _FILLED)
+    if seen:
+        yield _batch(seen, _FILLED)
+
+
+def deduce_classes(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
+    """Equivalence classes of hosts with two or more pages and their validity:
+    (host, token, kind, depth, n_pages, host_pages, low, high, rank, class_size, kept_order, kept_gap).
+
+    kind 0 is a container's opening or closing, 1 a text, 2 a text with its numbers made alike.
+    `low` and `high` hash the occurrence vector, `rank` is the place in the class,
+    `kept_order` and `kept_gap` are the shares of the token's pages that keep to the order and
+    to one gap of the more frequent classes. Texts always seen with the same two longest texts
+    belong to copies of a page and stay out."""
+    counted = pages.select(F.col(url).cast("string"), F.col(page).cast("string")).mapInArrow(_occurrences, _ddl(_COUNTED))
+    sums = [F.sum(c).alias(c) for c in ("n_pages", "low", "high", "place")]
+    tokens = counted.groupBy("host", "token").agg(
+        F.max("kind").alias("kind"), F.max("depth").alias("depth"), *sums, F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    tokens = stored(tokens.filter("n_pages > 1"), "page-tokens")
+    hosts = tokens.filter("token = 0").select("host", F.col("n_pages").alias("host_pages"))
+    share = F.col("n_pages") / F.col("host_pages")
+    text = F.when(F.col("host_pages") >= LEAST_PAGES, share >= LEAST_SHARE).otherwise(share == 1) & (F.col("lo") != F.col("hi"))
+    frequent = tokens.filter("token != 0").join(hosts, "host").filter(F.when(F.col("kind") == 0, share >= LEAST_LAYOUT).otherwise(text))
+    whole = Window.partitionBy("host", "n_pages", "low", "high")
+    frequent = frequent.select(
+        "host", "token", "kind", "depth", "n_pages", "host_pages", "low", "high",
+        F.row_number().over(whole.orderBy(F.col("place") / F.col("n_pages"), "token")).alias("rank"),
+        F.count(F.lit(1)).over(whole).alias("class_size"),
+        F.min("token").over(whole).alias("class"),
+    )
+    frequent = stored(frequent, "page-classes")
+    checked = _per_page(pages, url, page, frequent, ["class", "rank", "class_size", "n_pages", "kind"], _check_work, _ddl(_CHECKED))
+    gaps = checked.groupBy("host", "token", "gap").agg(F.sum("n_pages").alias("n"), F.sum("broken").alias("broken"))
+    kept = gaps.groupBy("host", "token").agg(
+        (1 - F.sum("broken") / F.sum("n")).alias("kept_order"), (F.max("n") / F.sum("n")).alias("kept_gap")
+    )
+    return frequent.join(kept, ["host", "token"]).drop("class")
 
 
 def deduce_templates(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(host, token, is_text, n_pages, host_pages, class_size, place, chars, linked):
-    tokens on at least two pages and, for texts, on LEAST_SHARE of at least
-    LEAST_PAGES pages; `class_size` counts the tokens with the same occurrence
-    vector, `place` is the mean order. Neither is a condition."""
-    counted = pages.select(F.col(url).cast("string"), F.col(page).cast("string")).mapInArrow(
-        _occurrences,
-        "host string, token long, is_text long, n_pages long, vector long, place long, chars long, linked long",
+    """(host, token, is_text, chars, linked, is_main, is_fullest): tokens of valid classes.
+
+    is_text: 1 template text, 2 template text outside the article only, 0 a container token with
+    the characters of its slot over all pages; is_main marks the container of the article, is_fullest
+    the slot with most text. Token 0 is the part of pages before any template token."""
+    classes = deduce_classes(pages, url, page).filter((F.col("kept_order") >= HOLDS) & (F.col("kept_gap") >= HOLDS))
+    kind = F.when(F.col("kind") == 0, 0).when((F.col("kind") == 1) & (F.col("host_pages") >= LEAST_PAGES), 1).otherwise(2)
+    valid = stored(classes.select("host", "token", kind.cast("long").alias("is_text")), "page-templates")
+    filled = _per_page(pages, url, page, valid, ["is_text"], _fill_work, _ddl(_FILLED))
+    sums = [F.sum(c).alias(c) for c in ("chars", "linked", "fresh")]
+    filled = stored(filled.groupBy("host", "token").agg(F.max("depth").alias("depth"), *sums), "page-slots")
+    totals = filled.groupBy("host").agg(
+        F.max(F.when(F.col("token") == 0, F.col("fresh"))).alias("total"),
+        F.max_by("token", F.struct(F.col("chars") - F.col("linked"), "token")).alias("fullest"),
     )
-    tokens = (
-        counted.groupBy("host", "token")
-        .agg(
-            F.max("is_text").alias("is_text"),
-            F.sum("n_pages").alias("n_pages"),
-            F.sum("vector").alias("vector"),
-            F.sum("place").alias("place"),
-            F.sum("chars").alias("chars"),
-            F.sum("linked").alias("linked"),
+    inner = filled.join(totals, "host").filter((F.col("depth") > 0) & (F.col("fresh") > 0) & (F.col("fresh") >= MAIN_SHARE * F.col("total")))
+    mains = inner.groupBy("host").agg(F.max_by("token", F.struct("depth", "fresh", "token")).alias("main"))
+    return (
+        valid.join(filled.select("host", "token", "chars", "linked"), ["host", "token"], "full")
+        .join(totals.select("host", "fullest"), "host", "left")
+        .join(mains, "host", "left")
+        .select(
+            "host", "token", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("is_text", "chars", "linked")),
+            F.coalesce(F.col("token") == F.col("main"), F.lit(False)).cast("long").alias("is_main"),
+            F.coalesce(F.col("token") == F.col("fullest"), F.lit(False)).cast("long").alias("is_fullest"),
         )
-        .filter("n_pages > 1")
-    )
-    tokens = stored(tokens, "page-tokens")
-    hosts = tokens.filter("token = 0").select("host", F.col("n_pages").alias("host_pages"))
-    classes = tokens.groupBy("host", "n_pages", "vector").agg(F.count(F.lit(1)).alias("class_size"))
-    in_class = tokens.join(classes, ["host", "n_pages", "vector"]).join(hosts, "host").filter("token != 0")
-    enough = (F.col("host_pages") >= LEAST_PAGES) & (F.col("n_pages") >= LEAST_SHARE * F.col("host_pages"))
-    return in_class.filter((F.col("is_text") == 0) | enough).select(
-        "host", "token", "is_text", "n_pages", "host_pages", "class_size",
-        (F.col("place") / F.col("n_pages")).alias("place"), "chars", "linked",
     )
 
 
-def main_text(page: str | None, template: dict[int, tuple[int, int, int]]) -> list[str]:
-    """Blocks of the article. `template`: token -> (is_text, chars, linked) over the host."""
-    blocks, _ = read_page(page)
-    kept = [b for b in blocks if not b.side]
-    kept = [b for b in kept if template.get(_hash("text:" + b.text), (0,))[0] != 1]
-    inside = [b for b in kept if b.main]
-    if inside:
-        return [b.text for b in inside]
+def main_text(page: str | None, template: dict[int, tuple[int, int, int, int, int]]) -> list[str]:
+    """Blocks of the article. `template`: token -> row of the host's template (see `_NONE`)."""
+    blocks, tokens = read_page(page)
+    gaps = _gaps(blocks, tokens, template)
+    kept = [
+        (b, g) for b, g in zip(blocks, gaps, strict=True)
+        if (not b.side or (b.head and b.title and template)) and not _repeated(b, g, template)
+    ]
+    inside = [b.at for b, _ in kept if b.main] or [
+        b.at for b, _ in kept if any(template.get(t, _NONE)[3] for t in b.chain) and not b.side
+    ]
+    if inside:  # the article, from a title before it on
+        first = next((b.at for b, _ in kept if b.title and b.at < inside[0]), inside[0])
+        chosen = set(inside)
+        kept = [(b, g) for b, g in kept if b.at in chosen or first <= b.at < inside[0]]
+    if any(b.main for b, _ in kept):
+        return [b.text for b, _ in kept]
     # no article element: every remaining slot, but those that hold mostly links
     # (over the host if its template knows the slot) and don't lie in a slot with text
-    mass: dict[str, int] = {}
-    for b in kept:
-        _, chars, linked = template.get(_hash(b.slot), (0, 0, 0))
-        mass[b.slot] = chars - 2 * linked if chars else mass.get(b.slot, 0) + len(b.text) - 2 * b.linked
+    mass: dict[tuple[str, int], int] = {}
+    for b, g in kept:
+        _, chars, linked, _, _ = template.get(g, _NONE)
+        slot = (b.slot, g)
+        mass[slot] = chars - 2 * linked if chars and g else mass.get(slot, 0) + len(b.text) - 2 * b.linked
     plain = {s for s, m in mass.items() if m >= 0}
-    around = tuple(s + "/" for s in plain if s and s.rsplit("/", 1)[1].split(".")[0] not in ("html", "body"))
-    return [b.text for b in kept if b.slot in plain or b.slot.startswith(around)]
+    holders = {s for s, _ in plain if s and s.rsplit("/", 1)[1].split(".")[0] not in ("html", "body")}
+    around = tuple(s + "/" for s in holders)
+    return [b.text for b, g in kept if (b.slot, g) in plain or b.slot in holders or b.slot.startswith(around)]
 
 
 def extract_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
@@ -232,45 +505,19 @@ def extract_text(pages: DataFrame, url: str = "url", page: str = "html") -> Data
     elements alone. Copies and repeated rows get the same text; a column named
     `text` is replaced.
     """
-    spark = pages.sparkSession
-    prepare(spark)
+    prepare(pages.sparkSession)
     carried, columns, new = positional(pages, ("text",))
     names = carried.columns
-    template = stored(deduce_templates(carried, new[url], new[page]), "templates").select("host", "token", "is_text", "chars", "linked")
-    url_at, page_at = names.index(new[url]), names.index(new[page])
+    template = stored(deduce_templates(carried, new[url], new[page]), "templates")
     schema = ", ".join(f"{n} {t}" for n, t in carried.dtypes) + ", text string"
 
-    def texts(urls, htmls, find) -> pa.Array:
-        return pa.array(["\n".join(main_text(p, find(u))) for u, p in zip(urls, htmls, strict=True)], pa.string())
+    def work(parts) -> Iterator[pa.RecordBatch]:
+        for b, _, htmls, found in parts:
+            out = pa.array(["\n".join(main_text(p, t)) for p, t in zip(htmls, found, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays([*b.columns, out], [*names, "text"])
 
-    if template.count() <= HELD_ROWS:
-        held: dict[str, dict[int, tuple[int, int, int]]] = {}
-        for r in template.collect():
-            held.setdefault(r.host, {})[r.token] = (r.is_text, r.chars, r.linked)
-        shared = spark.sparkContext.broadcast(held)
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                out = texts(b.column(url_at).to_pylist(), b.column(page_at).to_pylist(), lambda u: shared.value.get(host_of(u), {}))
-                yield pa.RecordBatch.from_arrays([*b.columns, out], [*names, "text"])
-
-        return carried.mapInArrow(run, schema).toDF(*columns, "text")
-
-    per_host = template.groupBy("host").agg(F.collect_list(F.struct("token", "is_text", "chars", "linked")).alias("_template"))
-    url_col = F.coalesce(F.col(names[url_at]), F.lit(""))
-    host = F.lower(F.regexp_extract(url_col, r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    joined = carried.withColumn("_host", host).join(per_host.withColumnRenamed("host", "_host"), "_host", "left")
-
-    def run_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            found = [
-                {t["token"]: (t["is_text"], t["chars"], t["linked"]) for t in rows or ()} for rows in b.column(len(names)).to_pylist()
-            ]
-            each = iter(found)
-            out = texts(b.column(url_at).to_pylist(), b.column(page_at).to_pylist(), lambda u: next(each))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], out], [*names, "text"])
-
-    return joined.select(*names, "_template").mapInArrow(run_joined, schema).toDF(*columns, "text")
+    values = ["is_text", "chars", "linked", "is_main", "is_fullest"]
+    return _per_page(carried, new[url], new[page], template, values, work, schema).toDF(*columns, "text")
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
