@@ -17,14 +17,15 @@ on hosts with one page, which have no template.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +74,12 @@ PAGE_HEAD_NAMES = frozenset(["header", "head"])
 
 
 def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+@lru_cache(maxsize=10_000)
+def _place_hash(place: str) -> int:
+    return _hash(place)
 
 
 def host_of(url: str | None) -> str:
@@ -122,27 +128,29 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
     def close(start: int) -> None:
         nonlocal at
         for entry in reversed(stack[start:]):
-            tokens.append((_hash("close:" + entry[1]), len(entry[5]), at))
+            tokens.append((_place_hash("close:" + entry[1]), len(entry[5]), at))
             at += 1
         del stack[start:]
 
     for m in _TOKEN.finditer(page or ""):
-        text = m.group("text")
-        if text is not None:
+        kind = m.lastgroup
+        if kind == "text":
+            text = m[0]
             words.append(text)
             if link_depth:
                 linked += len(text)
             continue
-        tag = m.group("tag")
-        if tag is None:
+        if kind != "attrs":
             continue
-        tag, closing = tag.lower(), bool(m.group("close"))
+        _, closing, tag, attrs, _ = m.groups()
+        tag = tag.lower()
         if tag == "a":
             link_depth = 0 if closing else 1
         elif tag == "br":
             words.append(" ")
         elif tag in BLOCKS:
-            flush()
+            if words:
+                flush()
             title = tag == "h1" and not closing
             if tag not in CONTAINERS:
                 continue
@@ -152,7 +160,7 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
                 if start is not None:
                     close(start)
                 continue
-            names = [next((x for x in n[1:] if x), "") for n in _NAME.findall(m.group("attrs") or "")]
+            names = [next((x for x in n[1:] if x), "") for n in _NAME.findall(attrs)] if attrs else ()
             known = {w for n in names for w in _WORDS.findall(n.lower())}
             if tag in MAIN_TAGS and not known & SIDE_NAMES:
                 while stack and stack[-1][2] and not stack[-1][4]:  # a menu or advert left open ends here
@@ -166,7 +174,7 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
             name = tag + "".join(f".{w}" for w in sorted(known))
             children[name] = children.get(name, 0) + 1
             place = f"{above}/{name}" + (f":{children[name]}" if not known and children[name] > 1 else "")
-            token = _hash(place)
+            token = _place_hash(place)
             only_head = not other and ((header and not aside) or in_head)
             stack.append((tag, place, aside or other or header, only_head, main, (*chain, token), {}))
             tokens.append((token, len(chain) + 1, at))
@@ -256,7 +264,9 @@ def out_of_order(ranks: list[int]) -> set[int]:
 def _broken(page: str | None, classes: dict[int, tuple[int, int, int, int, int]]) -> dict[int, tuple[int, bool]]:
     """token -> (gap, breaks its class's order) on a page. `classes`: token -> (class, rank, size, pages, kind)."""
     blocks, tokens = read_page(page)
-    line = [(at, t) for t, _, at in tokens] + [(b.at, t) for b in blocks for _, t in _text_tokens(b)]
+    line = [(at, t) for t, _, at in tokens]
+    if any(row[4] for row in classes.values()):
+        line += [(b.at, t) for b in blocks for _, t in _text_tokens(b)]
     line = [(at, t) for at, t in sorted(line, key=lambda x: x[0]) if t in classes]
     members: dict[int, list[int]] = {}
     found: dict[int, tuple[int, bool]] = {}
@@ -311,6 +321,10 @@ def _gaps(blocks: list[Block], tokens: list[tuple[int, int, int]], template: dic
     return out
 
 
+def _has_texts(template: dict) -> bool:
+    return any(row[0] for row in template.values())
+
+
 def _repeated(block: Block, gap: int, template: dict) -> bool:
     """Whether the block is template text. Texts told by all pages of a small host, or but for
     their numbers, are so only outside the article and the host's fullest slot."""
@@ -385,8 +399,9 @@ def _fill_work(parts) -> Iterator[pa.RecordBatch]:
                 continue
             host, template = host_of(url), {t: (kind, 0, 0, 0, 0) for t, (kind,) in rows.items()}
             blocks, tokens = read_page(page)
+            texts = _has_texts(template)
             for b, gap in zip(blocks, _gaps(blocks, tokens, template), strict=True):
-                if b.side or any(template.get(t, _NONE)[0] == 1 for _, t in _text_tokens(b)):
+                if b.side or texts and any(template.get(t, _NONE)[0] == 1 for _, t in _text_tokens(b)):
                     continue
                 slot = seen.setdefault((host, gap), [0, 0, 0, 0])
                 slot[1] += len(b.text)
@@ -471,9 +486,10 @@ def main_text(page: str | None, template: dict[int, tuple[int, int, int, int, in
     """Blocks of the article. `template`: token -> row of the host's template (see `_NONE`)."""
     blocks, tokens = read_page(page)
     gaps = _gaps(blocks, tokens, template)
+    texts = _has_texts(template)
     kept = [
         (b, g) for b, g in zip(blocks, gaps, strict=True)
-        if (not b.side or (b.head and b.title and template)) and not _repeated(b, g, template)
+        if (not b.side or (b.head and b.title and template)) and not (texts and _repeated(b, g, template))
     ]
     inside = [b.at for b, _ in kept if b.main] or [
         b.at for b, _ in kept if any(template.get(t, _NONE)[3] for t in b.chain) and not b.side
