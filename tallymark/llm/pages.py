@@ -21,6 +21,7 @@ import heapq
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -95,22 +96,26 @@ def _folded(text: str) -> int | None:
 
 
 class Block:
-    """`chain`: tokens of the open containers; `head`: aside only for lying in a page's header."""
+    """`node`: number of the innermost open container, `slot` its token; `head`: aside only for lying in a page's header."""
 
-    __slots__ = ("text", "linked", "slot", "side", "head", "main", "title", "chain", "at")
+    __slots__ = ("text", "linked", "slot", "side", "head", "main", "title", "node", "at")
 
     def __init__(self, text: str, linked: int, top: tuple, title: bool, at: int):
         self.text, self.linked, self.title, self.at = text, linked, title, at
-        _, self.slot, self.side, self.head, self.main, self.chain, _ = top
+        _, self.slot, self.side, self.head, self.main, self.node, _ = top
 
 
-def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]]:
-    """Blocks of a page and its container tokens (token, depth, position), both in page order."""
+def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]], list[tuple[int, int, int, str]]]:
+    """Blocks of a page, its container tokens (token, depth, position) and containers
+    (token, number of the one around it or -1, depth, tag), all in page order. A token hashes
+    its element's place, so pages may nest to any depth."""
     blocks: list[Block] = []
     tokens: list[tuple[int, int, int]] = []
-    # tag, place, aside, aside for its header only, in the article, chain of tokens, children seen
-    root = ("", "", False, False, False, (), {})
+    nodes: list[tuple[int, int, int, str]] = []
+    # tag, token, aside, aside for its header only, in the article, node, children seen
+    root = ("", 0, False, False, False, -1, {})
     stack: list[tuple] = []
+    is_open: Counter = Counter()
     words: list[str] = []
     linked = link_depth = at = 0
     title = False
@@ -128,7 +133,8 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
     def close(start: int) -> None:
         nonlocal at
         for entry in reversed(stack[start:]):
-            tokens.append((_place_hash("close:" + entry[1]), len(entry[5]), at))
+            tokens.append((_place_hash(f"close:{entry[1]}"), nodes[entry[5]][2], at))
+            is_open[entry[0]] -= 1
             at += 1
         del stack[start:]
 
@@ -156,9 +162,8 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
                 continue
             link_depth = 0
             if closing:
-                start = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-                if start is not None:
-                    close(start)
+                if is_open[tag]:
+                    close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag))
                 continue
             names = [next((x for x in n[1:] if x), "") for n in _NAME.findall(attrs)] if attrs else ()
             known = {w for n in names for w in _WORDS.findall(n.lower())}
@@ -167,20 +172,29 @@ def read_page(page: str | None) -> tuple[list[Block], list[tuple[int, int, int]]
                     close(len(stack) - 1)
             elif tag == "body":
                 close(next((i for i, e in enumerate(stack) if e[0] != "html"), len(stack)))
-            _, above, aside, in_head, inside, chain, children = stack[-1] if stack else root
+            _, above, aside, in_head, inside, around, children = stack[-1] if stack else root
             header = not inside and (tag == "header" or bool(known & PAGE_HEAD_NAMES))
             other = (tag in SIDE_TAGS and tag != "header") or bool(known & SIDE_NAMES)
             main = inside or (tag in MAIN_TAGS and not (aside or other or header))
             name = tag + "".join(f".{w}" for w in sorted(known))
             children[name] = children.get(name, 0) + 1
-            place = f"{above}/{name}" + (f":{children[name]}" if not known and children[name] > 1 else "")
-            token = _place_hash(place)
+            token = _place_hash(f"{above}/{name}" + (f":{children[name]}" if not known and children[name] > 1 else ""))
             only_head = not other and ((header and not aside) or in_head)
-            stack.append((tag, place, aside or other or header, only_head, main, (*chain, token), {}))
-            tokens.append((token, len(chain) + 1, at))
+            stack.append((tag, token, aside or other or header, only_head, main, len(nodes), {}))
+            is_open[tag] += 1
+            nodes.append((token, around, len(stack), tag))
+            tokens.append((token, len(stack), at))
             at += 1
     flush()
-    return blocks, tokens
+    return blocks, tokens, nodes
+
+
+def _within(nodes: list[tuple[int, int, int, str]], chosen) -> list[bool]:
+    """Per container, and last for none, whether it or one around it is chosen by its token."""
+    out: list[bool] = []
+    for token, around, _, _ in nodes:
+        out.append(chosen(token) or (around >= 0 and out[around]))
+    return [*out, False]
 
 
 def _text_tokens(block: Block) -> list[tuple[int, int]]:
@@ -213,7 +227,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             host = host_of(url)
-            blocks, tokens = read_page(page)
+            blocks, tokens, _ = read_page(page)
             longest = heapq.nlargest(2, {b.text for b in blocks}, key=lambda t: (len(t), t))
             content = _hash("\n".join(longest))
             own: dict[int, list[int]] = {0: [0, 0, 1, 0]}  # kind, depth, times, place
@@ -263,7 +277,7 @@ def out_of_order(ranks: list[int]) -> set[int]:
 
 def _broken(page: str | None, classes: dict[int, tuple[int, int, int, int, int]]) -> dict[int, tuple[int, bool]]:
     """token -> (gap, breaks its class's order) on a page. `classes`: token -> (class, rank, size, pages, kind)."""
-    blocks, tokens = read_page(page)
+    blocks, tokens, _ = read_page(page)
     line = [(at, t) for t, _, at in tokens]
     if any(row[4] for row in classes.values()):
         line += [(b.at, t) for b in blocks for _, t in _text_tokens(b)]
@@ -398,7 +412,8 @@ def _fill_work(parts) -> Iterator[pa.RecordBatch]:
             if not rows:
                 continue
             host, template = host_of(url), {t: (kind, 0, 0, 0, 0) for t, (kind,) in rows.items()}
-            blocks, tokens = read_page(page)
+            blocks, tokens, nodes = read_page(page)
+            fresh = [0] * (len(nodes) + 1)  # the last is the whole page
             texts = _has_texts(template)
             for b, gap in zip(blocks, _gaps(blocks, tokens, template), strict=True):
                 if b.side or texts and any(template.get(t, _NONE)[0] == 1 for _, t in _text_tokens(b)):
@@ -406,11 +421,15 @@ def _fill_work(parts) -> Iterator[pa.RecordBatch]:
                 slot = seen.setdefault((host, gap), [0, 0, 0, 0])
                 slot[1] += len(b.text)
                 slot[2] += b.linked
-                for depth, t in enumerate((0, *b.chain)):
-                    if t == 0 or t in template:
-                        whole = seen.setdefault((host, t), [0, 0, 0, 0])
-                        whole[0] = depth
-                        whole[3] += len(b.text) - b.linked
+                fresh[b.node] += len(b.text) - b.linked
+            for i in range(len(nodes) - 1, -1, -1):
+                token, around, depth, _ = nodes[i]
+                fresh[around] += fresh[i]
+                if fresh[i] and token in template:
+                    whole = seen.setdefault((host, token), [0, 0, 0, 0])
+                    whole[0] = depth
+                    whole[3] += fresh[i]
+            seen.setdefault((host, 0), [0, 0, 0, 0])[3] += fresh[-1]
         if len(seen) > 50_000:
             yield _batch(seen, _FILLED)
     if seen:
@@ -484,16 +503,15 @@ def deduce_templates(pages: DataFrame, url: str = "url", page: str = "html") ->
 
 def main_text(page: str | None, template: dict[int, tuple[int, int, int, int, int]]) -> list[str]:
     """Blocks of the article. `template`: token -> row of the host's template (see `_NONE`)."""
-    blocks, tokens = read_page(page)
+    blocks, tokens, nodes = read_page(page)
     gaps = _gaps(blocks, tokens, template)
     texts = _has_texts(template)
     kept = [
         (b, g) for b, g in zip(blocks, gaps, strict=True)
         if (not b.side or (b.head and b.title and template)) and not (texts and _repeated(b, g, template))
     ]
-    inside = [b.at for b, _ in kept if b.main] or [
-        b.at for b, _ in kept if any(template.get(t, _NONE)[3] for t in b.chain) and not b.side
-    ]
+    in_main = _within(nodes, lambda t: template.get(t, _NONE)[3] == 1)
+    inside = [b.at for b, _ in kept if b.main] or [b.at for b, _ in kept if in_main[b.node] and not b.side]
     if inside:  # the article, from a title before it on
         first = next((b.at for b, _ in kept if b.title and b.at < inside[0]), inside[0])
         chosen = set(inside)
@@ -502,15 +520,16 @@ def main_text(page: str | None, template: dict[int, tuple[int, int, int, int, in
         return [b.text for b, _ in kept]
     # no article element: every remaining slot, but those that hold mostly links
     # (over the host if its template knows the slot) and don't lie in a slot with text
-    mass: dict[tuple[str, int], int] = {}
+    mass: dict[tuple[int, int], int] = {}
     for b, g in kept:
         _, chars, linked, _, _ = template.get(g, _NONE)
         slot = (b.slot, g)
         mass[slot] = chars - 2 * linked if chars and g else mass.get(slot, 0) + len(b.text) - 2 * b.linked
     plain = {s for s, m in mass.items() if m >= 0}
-    holders = {s for s, _ in plain if s and s.rsplit("/", 1)[1].split(".")[0] not in ("html", "body")}
-    around = tuple(s + "/" for s in holders)
-    return [b.text for b, g in kept if (b.slot, g) in plain or b.slot in holders or b.slot.startswith(around)]
+    whole = {token for token, _, _, tag in nodes if tag in ("html", "body")} | {0}
+    holders = {s for s, _ in plain} - whole
+    in_holder = _within(nodes, holders.__contains__)
+    return [b.text for b, g in kept if (b.slot, g) in plain or in_holder[b.node]]
 
 
 def extract_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:

@@ -85,3 +85,11 @@ def test_longest_rising_order():
     assert len(pages.out_of_order([3, 1, 2])) == 1 and pages.out_of_order([3, 1, 2]) == {0}
     assert pages._misplaced([1, 3, 2, 4], [False, True, False, False]) == {1}
     assert pages._misplaced([1, 2, 4, 3], [False, True, False, True]) == {3}
+
+
+def test_deep_and_long_pages(spark):
+    deep = "<div>" * 30_000 + "<p>down here</p>" + "</ul>" * 30_000 + "</div>" * 30_000
+    long = "<article>" + "".join(f"<section><p>part {k}</p></section>" for k in range(20_000)) + "</article>"
+    rows = [(i, f"http://deep.example/{i}", h) for i, h in enumerate((deep, deep, long, None))]
+    got = {r.page_id: r.text for r in pages.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: "down here", 1: "down here", 2: "\n".join(f"part {k}" for k in range(20_000)), 3: ""}
