@@ -20,11 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import buffers, positional, prepare, slices, table
+from tallymark.functions.quantiles import exact_quantiles
+from tallymark.llm.common import buffers, positional, prepare, slices, stored, table
 
 CODE_BITS = 6
 ORDER = 4
-#: Distinct labelled texts of each language that its rejection level is set on, about; all where there are fewer than twice as many.
+#: Rejection levels are set on all distinct labelled texts; the entropies of up to so many go to the driver, more stay with the tasks.
 CALIBRATION_TEXTS = 4000
 #: Rejected above so many times the distance of the 99.9th percentile.
 REJECT_FACTOR = 2.0
@@ -208,11 +209,7 @@ def learn(labelled: DataFrame) -> Model | None:
 
 
 def _calibrate(spark: SparkSession, labelled: DataFrame, model: Model) -> None:
-    distinct = labelled.withColumn("text_key", F.xxhash64("text"))
-    sizes = distinct.groupBy("lang").agg(F.approx_count_distinct("text_key").alias("n")).collect()  # a row per language
-    rates = {r["lang"]: max(1, r["n"] // CALIBRATION_TEXTS) for r in sizes}
-    rate = F.create_map(*[F.lit(x) for pair in rates.items() for x in pair])[F.col("lang")]
-    rows = distinct.filter(F.pmod("text_key", rate) == 0).dropDuplicates(["lang", "text_key"]).select("lang", "text")
+    """Sets the limits of every language from all its distinct labelled texts with a letter."""
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches):
@@ -222,18 +219,36 @@ def _calibrate(spark: SparkSession, labelled: DataFrame, model: Model) -> None:
                 keys, first, _ = gram_keys(part, own)
                 e = shared.value.entropies(keys, first)
                 n = np.diff(first)
-                column = [shared.value.languages.index(x) for x in batch.column(0).slice(lo, hi - lo).to_pylist()]
+                names, digests = (batch.column(i).slice(lo, hi - lo) for i in (0, 2))
+                column = [shared.value.languages.index(x) for x in names.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(e[np.arange(hi - lo), column]), pa.array(n)], ["lang", "e", "n"]
+                    [names, digests, pa.array(e[np.arange(hi - lo), column]), pa.array(n)], ["lang", "digest", "e", "n"]
                 )
 
-    found = rows.mapInArrow(score, "lang string, e double, n long").filter("n > 0").toPandas()
-    for name, own in found.groupby("lang"):
-        usual = float(np.median(own["e"]))
-        above = np.maximum(own["e"] - usual, 0)
-        model.limits[name] = (
-            usual, float(np.quantile(above, 0.999)), float(np.quantile(above * np.sqrt(own["n"]), 0.999))
-        )
+    # texts stay where they are: copies are told by a digest, and a few numbers a text are shuffled
+    digested = labelled.select("lang", "text", F.md5(F.col("text").cast("binary")).alias("digest"))
+    found = digested.mapInArrow(score, "lang string, digest string, e double, n long").filter("n > 0")
+    scored = stored(found.dropDuplicates(["lang", "digest"]).select("lang", "e", "n"), "levels")
+    model.limits.update(_levels(scored))
+
+
+def _levels(scored: DataFrame) -> dict[str, tuple[float, float, float]]:
+    """`Model.limits` from (lang, e, n) rows, over all of them."""
+    held = scored.limit(CALIBRATION_TEXTS + 1).toPandas()
+    if len(held) <= CALIBRATION_TEXTS:
+        out = {}
+        for name, own in held.groupby("lang"):
+            usual = float(np.median(own["e"]))
+            above = np.maximum(own["e"] - usual, 0)
+            out[name] = (usual, float(np.quantile(above, 0.999)), float(np.quantile(above * np.sqrt(own["n"]), 0.999)))
+        return out
+    usual = {r["lang"]: r["usual"] for r in exact_quantiles(scored, "e", {"usual": 0.5}, ("lang",)).collect()}  # a row per language
+    middle = F.create_map(*[F.lit(x) for pair in usual.items() for x in pair])[F.col("lang")]
+    above = F.greatest(F.col("e") - middle, F.lit(0.0))
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), v.alias("v")) for i, v in enumerate((above, above * F.sqrt("n")))])
+    far = exact_quantiles(scored.select("lang", F.inline(kinds)), "v", {"far": 0.999}, ("lang", "kind")).collect()
+    reach = {(r["lang"], r["kind"]): r["far"] for r in far}
+    return {name: (usual[name], reach[name, 0], reach[name, 1]) for name in usual}
 
 
 def identify(

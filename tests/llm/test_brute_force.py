@@ -172,6 +172,26 @@ def test_op3_sets_a_level_for_every_language(spark, monkeypatch):
     assert [r.rejected for r in got] == [not r.seen for r in got]
 
 
+def test_op3_levels_come_from_all_distinct_texts(spark, monkeypatch):
+    rng = random.Random(6)
+    words = ["lorem", "ipsum", "dolor", "amet", "elit", "sed"]
+    rows = [(lang, " ".join(rng.choices(words[at:], k=rng.randint(3, 30)))) for lang, at in (("big", 0), ("mid", 3)) for _ in range(400)]
+    rows += [("big", "one copied text " * 4)] * 300 + [("mid", "1 2 3")]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    model = language.learn(frame)
+    texts = {lang: sorted({t for name, t in rows if name == lang and t != "1 2 3"}) for lang in ("big", "mid")}
+    for most in (10, 100_000):  # with the tasks, and on the driver
+        monkeypatch.setattr(language, "CALIBRATION_TEXTS", most)
+        language._calibrate(spark, frame, model)
+        for lang, own in texts.items():
+            data = np.frombuffer("".join(own).encode(), np.uint8)
+            keys, first, _ = language.gram_keys(data, np.concatenate([[0], np.cumsum([len(t) for t in own])]))
+            e, n = model.entropies(keys, first)[:, model.languages.index(lang)], np.diff(first)
+            above = np.maximum(e - np.median(e), 0)
+            want = (np.median(e), np.quantile(above, 0.999), np.quantile(above * np.sqrt(n), 0.999))
+            assert np.allclose(model.limits[lang], want, rtol=1e-12)
+
+
 def test_op4_reads_articles(spark, sf_dir):
     import html
 
