@@ -9,12 +9,14 @@ lies in the box and z is the share of training rows that the path's splits on
 that feature let through. A leaf's part in a row's values depends on the set of its features
 that hold the row alone. So each leaf gets a table over the subsets of its features: the
 weights of single subsets, summed over all subsets of a set at once by a fast
-subset-sum transform. A row looks its sets up.
+subset-sum transform. Neighbouring leaves of a tree then share one table over the cells their bounds
+cut the features into, so a row looks up a few groups of leaves in each tree.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from math import factorial
 
 import numpy as np
@@ -40,7 +42,9 @@ FEATURE_LABELS = {
     "feat_benford_dev": "Benford's Law Deviation",
 }
 #: Rows of a sample that a task gets, and rows looked up at a time.
-ROWS_AT_ONCE, LOOKED_UP = 64, 512
+ROWS_AT_ONCE, LOOKED_UP = 64, 4096
+#: Rows of the table that neighbouring leaves share.
+STATES = 1024
 
 
 @dataclass(frozen=True)
@@ -125,30 +129,119 @@ def _lookup(b: Boxes) -> tuple[np.ndarray, np.ndarray, list]:
     return table, begin[:-1], [(f, at, (1 << bit[at, f])[:, None]) for f, at in split]
 
 
+@dataclass(frozen=True)
+class Tables:
+    """Leaves in groups that are looked up at once: per feature all thresholds of the forest, and
+    per group its features, what each rank of a value among the thresholds adds to the row of its table, and
+    the table."""
+
+    thresholds: tuple[np.ndarray, ...]
+    groups: tuple[tuple[tuple[int, ...], tuple[np.ndarray, ...], np.ndarray], ...]
+    trees: int
+
+
+def _joined(cells: np.ndarray | None, held: np.ndarray) -> tuple[np.ndarray, int]:
+    """Cells of the ranks after telling apart whether a further leaf holds them, and their number."""
+    pairs = held.astype(np.int64) if cells is None else 2 * cells + held
+    # cells are numbered anew without gaps, few enough for a count
+    number = np.cumsum(np.bincount(pairs) > 0) - 1
+    return number[pairs], int(number[-1]) + 1
+
+
+def _group(members: list, cells: dict[int, np.ndarray], counts: dict[int, int], local: list[np.ndarray], width: int) -> tuple:
+    """Features, steps and table of leaves that share a table: its rows are the combinations of the
+    features' cells, each the sum of what its members give there."""
+    features = sorted(cells)
+    strides = np.cumprod([1, *[counts[f] for f in features]])
+    table = np.zeros((strides[-1], width))
+    for values, held in members:
+        sets = np.zeros(1, np.int64)
+        for f in reversed(features):
+            bits = np.zeros(counts[f], np.int64)
+            if f in held:
+                bit, inside = held[f]
+                bits[cells[f]] = np.where(inside, bit, 0)  # equal for all ranks of a cell
+            sets = (sets[:, None] + bits).ravel()
+        table += values[sets]
+    steps = tuple((cells[f] * stride).astype(np.int16)[local[f]] for f, stride in zip(features, strides))
+    return tuple(features), steps, table
+
+
+def tables(boxes: list[Boxes]) -> Tables:
+    """Neighbouring leaves of a tree share a table while it has at most `STATES` rows (a leaf
+    alone has up to 2^features)."""
+    width = boxes[0].share.shape[1]
+    edges = [np.concatenate([side[:, f] for b in boxes for side in (b.low, b.high)]) for f in range(width)]
+    thresholds = tuple(np.unique(e[np.isfinite(e)]) for e in edges)
+    groups = []
+    for b in boxes:
+        own = [np.unique(e[np.isfinite(e)]) for e in (np.concatenate([b.low[:, f], b.high[:, f]]) for f in range(width))]
+        # the rank among the tree's thresholds for each rank among the forest's
+        local = [np.concatenate([[0], np.searchsorted(t, every, side="right")]) for t, every in zip(own, thresholds)]
+        table, begin, split = _lookup(b)
+        ends = [*begin[1:], len(table)]
+        held: list[dict] = [{} for _ in begin]
+        for f, leaves, bits in split:
+            ranks = np.arange(len(own[f]) + 1)
+            low, high = (np.searchsorted(own[f], side[leaves, f]) for side in (b.low, b.high))
+            low = np.where(np.isneginf(b.low[leaves, f]), -1, low)
+            for leaf, bit, inside in zip(leaves, bits[:, 0], (ranks > low[:, None]) & (ranks <= high[:, None])):
+                held[leaf][f] = int(bit), inside
+        members, cells, counts = [], {}, {}
+        for leaf, of in enumerate(held):
+            joined = {f: _joined(cells.get(f), inside) for f, (_, inside) in of.items()}
+            merged = counts | {f: n for f, (_, n) in joined.items()}
+            if members and np.prod(list(merged.values()), dtype=float) > STATES:
+                groups.append(_group(members, cells, counts, local, width))
+                members, cells, counts = [], {}, {}
+                joined = {f: _joined(None, inside) for f, (_, inside) in of.items()}
+                merged = {f: n for f, (_, n) in joined.items()}
+            cells, counts = cells | {f: c for f, (c, _) in joined.items()}, merged
+            members.append((table[begin[leaf] : ends[leaf]], of))
+        groups.append(_group(members, cells, counts, local, width))
+    return Tables(thresholds, tuple(groups), len(boxes))
+
+
 def attribute(boxes: list[Boxes], x: np.ndarray) -> np.ndarray:
     """Contributions, one row per row of `x`."""
+    return attribute_by(tables(boxes), x)
+
+
+def attribute_by(found: Tables, x: np.ndarray) -> np.ndarray:
+    """`attribute` with tables made before."""
     out = np.zeros(x.shape)
-    for b in boxes:
-        table, begin, split = _lookup(b)
-        for start in range(0, len(x), LOOKED_UP):
-            part = x[start : start + LOOKED_UP]
-            at = np.repeat(begin[:, None], len(part), axis=1)
-            for f, leaves, bit in split:
-                v = part[:, f]
-                at[leaves] += bit * ((v > b.low[leaves, f, None]) & (v <= b.high[leaves, f, None]))
-            out[start : start + LOOKED_UP] += table[at].sum(axis=0)
-    return out / len(boxes)
+    for start in range(0, len(x), LOOKED_UP):
+        part, total = x[start : start + LOOKED_UP], out[start : start + LOOKED_UP]
+        ranks = [np.searchsorted(t, part[:, f]) for f, t in enumerate(found.thresholds)]
+        for features, steps, table in found.groups:
+            at = np.zeros(len(part), np.int16)
+            for f, step in zip(features, steps):
+                at += step[ranks[f]]
+            total += table[at]
+    return out / found.trees
+
+
+@dataclass(frozen=True)
+class _Lookups:
+    """The leaves, small enough to be sent, and the tables a worker process makes of them when
+    it first needs them."""
+
+    boxes: list[Boxes]
+
+    @cached_property
+    def tables(self) -> Tables:
+        return tables(self.boxes)
 
 
 def add_contributions(scaled: DataFrame, forest: Forest) -> DataFrame:
-    """Add array `contributions` (feature order) and `base_value`. Filter the
-    cases before calling: this is the most expensive step per row."""
+    """Add array `contributions` (feature order) and `base_value`. Tables are made once a
+    worker process. Filter the cases before calling: this is the most expensive step per row."""
     boxes = leaf_boxes(forest)
-    shared = scaled.sparkSession.sparkContext.broadcast(boxes)
+    shared = scaled.sparkSession.sparkContext.broadcast(_Lookups(boxes))
 
     @F.pandas_udf("array<double>")
     def contributions(*cols: pd.Series) -> pd.Series:
-        return pd.Series(list(attribute(shared.value, np.column_stack(cols))))
+        return pd.Series(list(attribute_by(shared.value.tables, np.column_stack(cols))))
 
     return scaled.withColumn("contributions", contributions(*forest_cols())).withColumn(
         "base_value", F.lit(base_value(boxes))

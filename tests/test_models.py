@@ -106,6 +106,20 @@ def test_contributions_equal_shapley_values(tiny, forest):
         assert phi == pytest.approx(shapley(one.trees[0], row), abs=1e-9)
 
 
+def test_leaves_share_tables(tiny, forest, monkeypatch):
+    boxes = explain.leaf_boxes(forest)
+    x = matrix(tiny.scaled)[:200]
+    for f, t in enumerate(explain.tables(boxes).thresholds):  # also rows right on a threshold
+        x[: len(t), f] = t[: len(x)]
+    shared = explain.tables(boxes)
+    got = explain.attribute_by(shared, x)
+    assert 4 * len(shared.groups) < sum(len(b.value) for b in boxes)
+    monkeypatch.setattr(explain, "STATES", 1)
+    alone = explain.tables(boxes)
+    assert len(alone.groups) == sum(len(b.value) for b in boxes)
+    assert got == pytest.approx(explain.attribute_by(alone, x), abs=1e-10)
+
+
 def test_contributions_add_up(tiny, forest):
     x = matrix(tiny.scaled)[:150]
     boxes = explain.leaf_boxes(forest)
