@@ -157,12 +157,14 @@ def fit(scaled: DataFrame, key: str = "invoice_number", cfg: AuditConfig = DEFAU
     # hash, so what a copy sees depends on keys alone and no epoch shuffles. A
     # copy gets about `rows_per_worker` rows, and copies grow with the data.
     workers = max(1, -(-rows.count() // cfg.rows_per_worker))
-    own = rows.withColumn("worker", F.pmod(F.xxhash64("h"), F.lit(workers))).groupBy("worker")
+    # The rows are dealt first and each copy's are put together where they lie: lists that are
+    # begun before the shuffle spill once a task sees many copies.
+    dealt = rows.withColumn("worker", F.pmod(F.xxhash64("h"), F.lit(workers))).repartitionByRange(min(workers, 10_000), "worker")
     items = F.sort_array(F.collect_list(F.struct("h", "scaled", "held")))
-    packed = own.agg(items.alias("i")).select(
+    packed = dealt.groupBy("worker").agg(items.alias("i")).select(
         "worker", F.flatten(F.col("i.scaled")).alias("x"), F.col("i.held").alias("held")
     )
-    data = pin(packed.repartitionByRange(min(workers, 10_000), "worker"), "ae-train")
+    data = pin(packed, "ae-train")
     state = np.concatenate([initial_weights(seed), np.zeros(2 * N_WEIGHTS)])
     best, best_loss, best_epoch = state, np.inf, 0
     history: list[tuple[int, float, float]] = []

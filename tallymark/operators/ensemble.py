@@ -10,7 +10,7 @@ from tallymark.config import DEFAULT, AuditConfig
 from tallymark.functions.ordering import pin
 from tallymark.functions.quantiles import column_quantiles
 from tallymark.operators import autoencoder, isolation
-from tallymark.operators.metrics import minmax, over_cut
+from tallymark.operators.metrics import minmax_between, over_cut
 
 # model name -> (score column, flag column)
 MODELS = {
@@ -34,13 +34,12 @@ def score_models(
     """
     top = 1 - cfg.contamination
     scored = pin(autoencoder.add_error(isolation.add_score(scaled, forest), weights), "scores")
-    combined = pin(
-        scored.withColumn(
-            "ensemble_score",
-            F.lit(cfg.weight_forest) * minmax(scored, "iso_score")
-            + F.lit(cfg.weight_autoencoder) * minmax(scored, "ae_score"),
-        ),
-        "combined",
+    # four numbers, so that the ensemble is arithmetic over what is stored and needs no copy of it
+    ends = scored.agg(*[end(m).alias(f"{end.__name__}_{m}") for m in ("iso_score", "ae_score") for end in (F.min, F.max)]).first()
+    combined = scored.withColumn(
+        "ensemble_score",
+        F.lit(cfg.weight_forest) * minmax_between("iso_score", ends["min_iso_score"], ends["max_iso_score"])
+        + F.lit(cfg.weight_autoencoder) * minmax_between("ae_score", ends["min_ae_score"], ends["max_ae_score"]),
     )
     cuts = column_quantiles(
         combined,

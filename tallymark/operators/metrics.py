@@ -76,6 +76,12 @@ def minmax(df: DataFrame, col: str, factor: float = 1.0):
     return unit if factor == 1.0 else unit * F.lit(factor)
 
 
+def minmax_between(col: str, low: float | None, high: float | None):
+    """`minmax` where the ends are known; NULL without them."""
+    low, high = (F.lit(end).cast("double") for end in (low, high))
+    return (F.col(col) - low) / (high - low + F.lit(1e-10))
+
+
 def above_quantile(df: DataFrame, score: str, p: float, fit_on: DataFrame | None = None):
     """1 where the score exceeds the exact p-quantile, as a column over `df`."""
     source = df if fit_on is None else fit_on

@@ -109,12 +109,9 @@ class Audit:
 
     @cached_property
     def scored(self) -> DataFrame:
-        """Invoices with features, both model scores and the ensemble."""
-        return pin(
-            ensemble.score_models(
-                self.scaled, self.forest, self.autoencoder.weights, self.train_filter, self.cfg
-            ),
-            "scored",
+        """Invoices with features, both model scores (stored) and what follows from them by row."""
+        return ensemble.score_models(
+            self.scaled, self.forest, self.autoencoder.weights, self.train_filter, self.cfg
         )
 
     @cached_property

@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, FEATURES
-from tallymark.operators import autoencoder, explain, features, isolation, metrics, rules
+from tallymark.operators import autoencoder, ensemble, explain, features, isolation, metrics, rules
 from tests.tables import day, invoice, table
 
 SMALL = replace(DEFAULT, forest_trees=20, forest_sample=64)
@@ -106,6 +106,26 @@ def test_contributions_equal_shapley_values(tiny, forest):
         assert phi == pytest.approx(shapley(one.trees[0], row), abs=1e-9)
 
 
+def test_rows_are_dealt_to_copies_once(tiny, monkeypatch):
+    plans = []
+    pin = autoencoder.pin
+    monkeypatch.setattr(autoencoder, "EPOCHS", 0)
+    monkeypatch.setattr(autoencoder, "pin", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or pin(df, label))
+    autoencoder.fit(tiny.scaled, cfg=replace(DEFAULT, rows_per_worker=100))
+    assert plans[0].count("Exchange ") == 1
+
+
+def test_scores_are_stored_once(tiny, forest, monkeypatch):
+    labels = []
+    pin = ensemble.pin
+    monkeypatch.setattr(ensemble, "pin", lambda df, label: labels.append(label) or pin(df, label))
+    weights = autoencoder.initial_weights(1)
+    got = ensemble.score_models(tiny.scaled, forest, weights, "anomaly_flag = 0").toPandas()
+    assert labels == ["scores"]
+    unit = [(got[c] - got[c].min()) / (got[c].max() - got[c].min() + 1e-10) for c in ("iso_score", "ae_score")]
+    assert got["ensemble_score"].to_numpy() == pytest.approx((0.55 * unit[0] + 0.45 * unit[1]).to_numpy(), abs=1e-12)
+
+
 def test_leaves_share_tables(tiny, forest, monkeypatch):
     boxes = explain.leaf_boxes(forest)
     x = matrix(tiny.scaled)[:200]
