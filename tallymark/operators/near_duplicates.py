@@ -2,8 +2,14 @@
 reference, amounts within 2% of the earlier one but not equal.
 
 The result has one row per flagged invoice, with a chosen partner and, if asked for, the
-number of its partners; pairs are never listed. Copies of one posting (vendor, reference,
-amount, 31-day slot) are first folded into one *cell*; they never match each other, and
+number of its partners; pairs are never listed. Partners of an invoice lie in its own 31-day
+slot and in the slot before.
+
+Where a vendor has few postings in both slots, as nearly everywhere, they are held against each
+other as they are: one shuffle of the rows, each compared with at most twice `SLOT_ROWS` others.
+
+Crowded slots of any size go by cells and ranks. Copies of one posting (vendor, reference,
+amount, slot) are first folded into one *cell*; they never match each other, and
 cells of other postings match them alike. For a cell it is enough to know the earliest
 matching posting in its own slot and the latest one in the slot before.
 
@@ -20,7 +26,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.config import DEFAULT, AuditConfig
@@ -31,6 +37,9 @@ from tallymark.functions.ordering import pin
 CELL = ["vendor_id", "ref", "cents", "slot"]
 #: Where postings are looked up: a vendor's bucket of amounts in a slot.
 PLACE = ["vendor_id", "g_slot", "bucket"]
+#: A vendor's slot with more postings is crowded: its postings are looked up by rank.
+SLOT_ROWS = 256
+
 
 def _slot_micros(cfg: AuditConfig) -> int:
     """Two rows of one slot are at most `dup_date_window_days` whole days apart."""
@@ -55,7 +64,7 @@ def _rows(invoices: DataFrame, cfg: AuditConfig) -> DataFrame:
 def _cells(rows: DataFrame, cfg: AuditConfig) -> DataFrame:
     post = F.struct("t", "num")
     return (
-        rows.groupBy(*CELL)
+        rows.groupBy(*CELL, "by_rank")
         .agg(F.min(post).alias("first"), F.max(post).alias("last"))
     )
 
@@ -75,21 +84,25 @@ def _bucket(cents: Column, cfg: AuditConfig) -> Column:
     return F.floor(F.ln(cents.cast("double")) / F.lit(width)).cast("bigint")
 
 
+def _ends(cents: Column, cfg: AuditConfig) -> tuple[Column, Column]:
+    """Partners' amounts lie in [low, end)."""
+    # later = (1 +- tolerance) * earlier, so earlier lies in later / (1 +- tolerance)
+    cents, one = cents.cast("decimal(20,0)"), 1
+    low = F.ceil(cents / F.lit(one + cfg.dup_amount_tolerance)).cast("bigint")
+    return low, F.floor(cents / F.lit(one - cfg.dup_amount_tolerance)).cast("bigint") + 1
+
+
 def _asked(cells: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """(cell as j_*, place, back, the ranges [low, cents) and [cents + 1, end)): a cell and a
-    place in its own slot or the one before (`back` = 1) that may hold partners."""
+    """(cell as j_*, place, back, the ranges [low, cents) and [cents + 1, end)): a cell marked
+    `by_rank` and a place in its own slot or the one before (`back` = 1) that may hold partners."""
     places = cells.groupBy("vendor_id", F.col("slot").alias("g_slot"), "bucket").agg(
         F.min("cents").alias("least"), F.max("cents").alias("most"), F.min("ref").alias("ref_1"), F.max("ref").alias("ref_2")
     )
     near = F.array(*[F.struct(F.lit(b).alias("back"), F.lit(d).alias("by")) for b in (0, 1) for d in (-1, 0, 1)])
-    # later = (1 +- tolerance) * earlier, so earlier lies in later / (1 +- tolerance)
-    cents = F.col("cents").cast("decimal(20,0)")
-    one = 1
-    looking = cells.select(
+    low, end = _ends(F.col("cents"), cfg)
+    looking = cells.filter("by_rank").select(
         "vendor_id", *[F.col(c).alias(f"j_{c}") for c in ("ref", "cents", "slot")],
-        F.ceil(cents / F.lit(one + cfg.dup_amount_tolerance)).cast("bigint").alias("low"),
-        (F.floor(cents / F.lit(one - cfg.dup_amount_tolerance)).cast("bigint") + 1).alias("end"),
-        "bucket", F.explode(near).alias("near"),
+        low.alias("low"), end.alias("end"), "bucket", F.explode(near).alias("near"),
     ).select(
         "*", (F.col("j_slot") - F.col("near.back")).alias("g_slot"), F.col("near.back").alias("back"),
     ).withColumn("bucket", F.col("bucket") + F.col("near.by")).drop("near")
@@ -156,6 +169,9 @@ def _partner_counts(rows: DataFrame, flagged: DataFrame, asked: DataFrame, cfg:
     everyone = F.array(F.lit(""), F.concat(F.lit("="), F.col("ref")))
     points = of.select(*PLACE, F.explode(everyone).alias("of_ref"), "t", "num", F.col("cents").alias("value"))
     cell = ["vendor_id", "j_ref", "j_cents", "j_slot"]
+    flagged = flagged.select(
+        "vendor_id", *[F.col(c).alias(f"j_{c}") for c in ("ref", "cents", "slot")], F.col("t").alias("f_t"), F.col("num").alias("f_num")
+    )
     terms = []
     for ref_sign, of_ref in ((1, F.lit("")), (-1, F.concat(F.lit("="), F.col("j_ref")))):
         for end, end_sign in (("to", 1), ("from", -1)):
@@ -176,35 +192,101 @@ def _partner_counts(rows: DataFrame, flagged: DataFrame, asked: DataFrame, cfg:
     return count_dominated(points, queries, [*PLACE, "of_ref"], ["t", F.asc_nulls_last("num")], "value")
 
 
-def near_duplicates(invoices: DataFrame, cfg: AuditConfig = DEFAULT, counted: bool = False) -> DataFrame:
+def _crowding(rows: DataFrame, slot_rows: int) -> DataFrame:
+    """(vendor_id, slot, crowded, by_rank) of crowded slots and those beside them. Postings of a
+    crowded slot and of the one after it are looked up by rank (`by_rank`)."""
+    crowded = rows.groupBy("vendor_id", "slot").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > slot_rows)
+    beside = crowded.select("vendor_id", "slot", F.explode(F.array(*[F.lit(by) for by in (-1, 0, 1)])).alias("by"))
+    return beside.groupBy("vendor_id", (F.col("slot") + F.col("by")).alias("slot")).agg(
+        F.max(F.col("by") == 0).alias("crowded"), F.max(F.col("by") >= 0).alias("by_rank")
+    )
+
+
+def _small_slots(rows: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """Flagged postings (vendor_id, cents, t, num, partner, n), n their partners, whose own slot and
+    the one before are not crowded. `rows` of a vendor are `SLOT_ROWS` a slot at most."""
+    posting = F.struct("t", "num", "cents", "ref")
+    slots = rows.repartition("vendor_id").groupBy("vendor_id", "slot", "by_rank").agg(F.collect_list(posting).alias("own"))
+    along = Window.partitionBy("vendor_id").orderBy("slot")
+    follows = F.lag("slot").over(along) == F.col("slot") - 1
+    asking = slots.withColumn("before", F.when(follows, F.lag("own").over(along))).filter(~F.col("by_rank")).select(
+        "vendor_id", "own", F.coalesce("before", F.array().cast(slots.schema["own"].dataType)).alias("before"),
+        F.explode("own").alias("at"),
+    ).select("*", "at.*", *[x.alias(c) for c, x in zip(("low", "end"), _ends(F.col("at.cents"), cfg))])
+
+    def matches(p: Column) -> Column:
+        return (p.cents >= F.col("low")) & (p.cents < F.col("end")) & (p.cents != F.col("cents")) & (p.ref != F.col("ref"))
+
+    def earlier(p: Column) -> Column:
+        return (p.t < F.col("t")) | ((p.t == F.col("t")) & F.coalesce(p.num < F.col("num"), p.num.isNotNull()))
+
+    def bare(p: Column) -> Column:
+        return F.struct(p.t.alias("t"), p.num.alias("num"), p.cents.alias("cents"))
+
+    found = asking.select(
+        "vendor_id", "cents", "t", "num", F.filter("own", matches).alias("own"),
+        F.filter("before", lambda p: matches(p) & (F.col("t") - p.t < F.lit(_slot_micros(cfg)))).alias("before"),
+    )
+    return found.select(
+        "vendor_id", "cents", "t", "num",
+        _partner(F.array_min(F.transform("own", bare)), F.array_max(F.transform("before", bare)), cfg).alias("partner"),
+        (F.size(F.filter("own", earlier)) + F.size("before")).cast("bigint").alias("n"),
+    ).filter(F.col("partner").isNotNull())
+
+
+def _partner(own: Column, before: Column, cfg: AuditConfig) -> Column:
+    """The earliest match in a posting's own slot if it is earlier than the posting, else the
+    latest one of the slot before if it is near enough."""
+    own_ok = own.isNotNull() & (F.struct(own["t"], own["num"]) < F.struct("t", "num"))
+    before_ok = F.col("t") - before["t"] < F.lit(_slot_micros(cfg))
+    return F.when(own_ok, own).when(before_ok, before)
+
+
+def _by_rank(held: DataFrame, cfg: AuditConfig) -> tuple[DataFrame, DataFrame]:
+    """Flagged postings (vendor_id, ref, cents, slot, t, num, partner) among those marked `by_rank`, and what was asked."""
+    cells = pin(_cells(held, cfg).withColumn("bucket", _bucket(F.col("cents"), cfg)), "cells")
+    asked = pin(_asked(cells, cfg), "asked")
+    found = _matches(cells.drop("by_rank"), asked).withColumnsRenamed({f"j_{c}": c for c in CELL})
+    placed = held.select(*CELL, "t", "num").join(found, CELL)
+    hits = placed.withColumn("partner", _partner(F.col("own"), F.col("before"), cfg)).filter(F.col("partner").isNotNull())
+    return hits.drop("own", "before"), asked
+
+
+def near_duplicates(
+    invoices: DataFrame, cfg: AuditConfig = DEFAULT, counted: bool = False, slot_rows: int = SLOT_ROWS
+) -> DataFrame:
     """One row per flagged invoice with one partner: the earliest match in the
     invoice's own 31-day slot, else the latest one of the slot before. With `counted` also
-    n_partners, the number of earlier invoices that match it."""
+    n_partners, the number of earlier invoices that match it. Slots of more than `slot_rows`
+    postings are looked up by rank."""
     rows = _rows(invoices, cfg)
-    cells = pin(_cells(rows, cfg).withColumn("bucket", _bucket(F.col("cents"), cfg)), "cells")
-    asked = pin(_asked(cells, cfg), "asked")
-    found = _matches(cells, asked)
-    placed = rows.select(*[F.col(c).alias(f"j_{c}") for c in CELL], "t", "num").join(
-        found, [f"j_{c}" for c in CELL]
+    crowding = pin(_crowding(rows, slot_rows), "crowding")
+    marked = rows.join(crowding, ["vendor_id", "slot"], "left")
+    small = _small_slots(
+        marked.filter(F.coalesce(~F.col("crowded"), F.lit(True))).withColumn("by_rank", F.coalesce("by_rank", F.lit(False))), cfg
     )
-    own_ok = F.col("own").isNotNull() & (F.struct("own.t", "own.num") < F.struct("t", "num"))
-    before_ok = F.col("t") - F.col("before.t") < F.lit(_slot_micros(cfg))
-    partner = F.when(own_ok, F.col("own")).when(before_ok, F.col("before"))
-    hits = placed.withColumn("partner", partner).filter(F.col("partner").isNotNull())
     shown = [
         F.col("num").alias("invoice_number"),
         F.col("partner.num").alias("matched_invoice"),
-        F.col("j_vendor_id").alias("vendor_id"),
-        _amount("j_cents").alias("invoice_amount"),
+        F.col("vendor_id"),
+        _amount("cents").alias("invoice_amount"),
         _amount("partner.cents").alias("matched_amount"),
         _days(F.col("t") - F.col("partner.t")).alias("days_apart"),
     ]
+    flagged = ["vendor_id", "cents", "t", "num", "partner"]
+    kept = pin(small, "flagged") if counted else small
+    hits, counts = kept.select(*flagged), kept.select("num", "n") if counted else None
+    if not crowding.isEmpty():
+        held = marked.filter(F.col("crowded").isNotNull())
+        by_rank, asked = _by_rank(held, cfg)
+        by_rank = pin(by_rank, "flagged") if counted else by_rank
+        hits = hits.unionByName(by_rank.select(*flagged))
+        if counted:
+            counts = counts.unionByName(_partner_counts(held, by_rank, asked, cfg).withColumnRenamed("id", "num"))
     if not counted:
         return hits.select(*shown)
-    kept = pin(hits, "flagged")
-    flagged = kept.select(F.col("j_vendor_id").alias("vendor_id"), "j_ref", "j_cents", "j_slot", F.col("t").alias("f_t"), F.col("num").alias("f_num"))
-    counts = _partner_counts(rows, flagged, asked, cfg).select(F.col("id").alias("num"), F.col("n").alias("n_partners"))
-    return kept.join(counts, "num").select(*shown, "n_partners")
+    partners = counts.groupBy("num").agg(F.sum("n").alias("n_partners"))
+    return hits.join(partners, "num").select(*shown, "n_partners")
 
 
 def pair_totals(counted: DataFrame) -> DataFrame:

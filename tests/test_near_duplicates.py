@@ -111,3 +111,29 @@ def test_two_postings_copied_many_times_give_a_row_each_at_most(spark):
     found = nd.near_duplicates(rows, counted=True)
     assert found.count() == 10_000
     assert nd.pair_totals(found).first().n_pairs == 100_000_000
+
+
+@pytest.mark.parametrize("slot_rows", [0, 12])
+def test_crowded_and_other_slots_give_the_same(spark, slot_rows):
+    """By rank throughout, or by both ways side by side, as by comparison throughout; also repeated rows."""
+    rows = random_rows(250, 23)
+    inv = table(spark, "invoices", rows + [r for r in rows if r["invoice_number"].endswith("7")])
+    found = nd.near_duplicates(inv, counted=True, slot_rows=slot_rows)
+    expected = nd.near_duplicates(inv, counted=True)
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, expected.collect()))
+    listed = nd.near_duplicates(inv, slot_rows=slot_rows)
+    assert Counter(map(tuple, listed.collect())) == Counter(map(tuple, found.drop("n_partners").collect()))
+    plain = nd.near_duplicates(table(spark, "invoices", rows), counted=True, slot_rows=slot_rows)
+    assert {r.invoice_number: r.n_partners for r in plain.collect()} == Counter(j for j, _ in brute(rows))
+
+
+def test_slots_with_few_postings_need_no_blocks(spark, monkeypatch):
+    """Nothing is ranked or written per block where no slot is crowded."""
+
+    def fail(*_):
+        raise AssertionError("ranked")
+
+    monkeypatch.setattr(nd, "_matches", fail)
+    rows = random_rows(120, 5)
+    found = nd.near_duplicates(table(spark, "invoices", rows), counted=True)
+    assert {r.invoice_number: r.n_partners for r in found.collect()} == Counter(j for j, _ in brute(rows))
