@@ -30,10 +30,11 @@ def score_models(
     """Scores and flags of both models and the ensemble.
 
     The forest and ensemble flag the top 5% of all rows; the autoencoder flags
-    errors above the 95th percentile of the rows it was trained on.
+    errors above the 95th percentile of the rows it was trained on. `scaled` is left out of what is
+    stored and returned: it follows from the features.
     """
     top = 1 - cfg.contamination
-    scored = pin(autoencoder.add_error(isolation.add_score(scaled, forest), weights), "scores")
+    scored = pin(autoencoder.add_error(isolation.add_score(scaled, forest), weights).drop("scaled"), "scores")
     # four numbers, so that the ensemble is arithmetic over what is stored and needs no copy of it
     ends = scored.agg(*[end(m).alias(f"{end.__name__}_{m}") for m in ("iso_score", "ae_score") for end in (F.min, F.max)]).first()
     combined = scored.withColumn(

@@ -15,9 +15,12 @@ from tallymark.functions.expressions import (
     is_round,
     month,
 )
-from tallymark.functions.joins import left_lookup, spread_key
+from tallymark.functions.joins import left_lookup
 from tallymark.functions.quantiles import column_quantiles
 
+#: Columns that `assemble` looks up in the other tables.
+LOOKED_UP = ("total_po_value", "vendor_creation_date", "vendor_category", "is_ghost_vendor", "cc_budget", "cc_actual")
+
 
 def vendor_profile(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     """One row per vendor seen on invoices: amount statistics and master data.
@@ -35,6 +38,19 @@ def vendor_profile(invoices: DataFrame, vendors: DataFrame) -> DataFrame:
     return stats.join(master, "vendor_id", "left")
 
 
+def _monthly_counts(invoices: DataFrame) -> DataFrame:
+    """(vendor_id, _by_month): a map from calendar month to number of invoices, so that one join by
+    vendor brings them with the vendor's other figures."""
+    counts = (
+        invoices.filter(F.col("vendor_id").isNotNull() & F.col("invoice_date").isNotNull())
+        .groupBy("vendor_id", month(F.col("invoice_date")).alias("_month"))
+        .agg(F.count("invoice_number").alias("_n"))
+    )
+    return counts.groupBy("vendor_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("_month", "_n"))).alias("_by_month")
+    )
+
+
 def assemble(
     invoices: DataFrame, vendors: DataFrame, purchase_orders: DataFrame, budget: DataFrame
 ) -> DataFrame:
@@ -42,22 +58,15 @@ def assemble(
     centre = budget.groupBy("cost_centre").agg(
         F.sum("approved_budget").alias("cc_budget"), F.sum("actual_spend").alias("cc_actual")
     )
-    dated = invoices.withColumn("_month", month(F.col("invoice_date"))).withColumn(
-        "_vendor", spread_key(F.col("vendor_id"), F.col("invoice_number"))
-    )
-    frequency = (
-        dated.filter(F.col("vendor_id").isNotNull())
-        .groupBy("vendor_id", "_month")
-        .agg(F.count("invoice_number").alias("month_count"))
-    )
-    profile = vendor_profile(invoices, vendors).withColumnRenamed("vendor_id", "_vendor")
-    with_vendor = dated.join(profile, "_vendor", "left").join(
-        frequency.withColumnRenamed("vendor_id", "_vendor"), ["_vendor", "_month"], "left"
-    )
+    # the order first, while rows are at their narrowest
     with_order = left_lookup(
-        with_vendor, purchase_orders.select("po_number", "total_po_value"), "po_number", "invoice_number"
+        invoices, purchase_orders.select("po_number", "total_po_value"), "po_number", "invoice_number"
+    )
+    profile = vendor_profile(invoices, vendors).join(_monthly_counts(invoices), "vendor_id", "left")
+    with_vendor = left_lookup(with_order, profile, "vendor_id", "invoice_number").withColumn(
+        "month_count", F.try_element_at("_by_month", month(F.col("invoice_date")))
     )
-    return left_lookup(with_order, centre, "cost_centre", "invoice_number").drop("_month", "_vendor")
+    return left_lookup(with_vendor.drop("_by_month"), centre, "cost_centre", "invoice_number")
 
 
 def add_features(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:

@@ -118,9 +118,14 @@ def add_explanation(df: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     )
 
 
+def rated(scored: DataFrame, report: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
+    """Scored invoices + exceptions report -> scores and tiers."""
+    return add_scores(attach_rules(scored, report), cfg, scored)
+
+
 def risk_frame(scored: DataFrame, report: DataFrame, cfg: AuditConfig = DEFAULT) -> DataFrame:
     """Scored invoices + exceptions report -> scores, tiers and explanation."""
-    return add_explanation(add_scores(attach_rules(scored, report), cfg, scored), cfg)
+    return add_explanation(rated(scored, report, cfg), cfg)
 
 
 def _is_priority() -> Column:

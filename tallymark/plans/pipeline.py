@@ -3,6 +3,8 @@
 A stage that several results read (features, report, scores, risk) is written
 to the shared checkpoint folder on first use and read back afterwards, so no
 result recomputes another one's joins and nothing depends on executor memory.
+What follows from a stored row alone (scaled features, the explanation) is added when read, and
+columns of the tables that no later stage reads are not carried along.
 """
 
 from __future__ import annotations
@@ -69,12 +71,17 @@ class Audit:
     # features
     @cached_property
     def features(self) -> DataFrame:
-        return pin(feat.build_features(self.inv, self.ven, self.po, self.bud, self.cfg), "features")
+        inv = self.inv.select(*[c for c in self.inv.columns if c in rk.EXPORT_COLUMNS])
+        return pin(feat.build_features(inv, self.ven, self.po, self.bud, self.cfg), "features")
 
     @cached_property
     def scaler(self) -> DataFrame:
         return pin(feat.scaler(self.features), "scaler")
 
+    def _rated(self, scored: DataFrame, label: str) -> DataFrame:
+        """Scores and tiers, stored; of the looked-up columns only the features made of them."""
+        return pin(rk.rated(scored.drop(*feat.LOOKED_UP), self.report, self.cfg), label)
+
     # risk with a plain statistic in the place of the models
     @cached_property
     def zscore_scored(self) -> DataFrame:
@@ -85,12 +92,12 @@ class Audit:
 
     @cached_property
     def zscore_risk(self) -> DataFrame:
-        return pin(rk.risk_frame(self.zscore_scored, self.report, self.cfg), "risk-z")
+        return rk.add_explanation(self._rated(self.zscore_scored, "risk-z"), self.cfg)
 
     # models
     @cached_property
     def scaled(self) -> DataFrame:
-        return pin(feat.scale(self.features, self.scaler), "scaled")
+        return feat.scale(self.features, self.scaler)
 
     @cached_property
     def forest_nodes(self) -> DataFrame:
@@ -114,20 +121,28 @@ class Audit:
             self.scaled, self.forest, self.autoencoder.weights, self.train_filter, self.cfg
         )
 
+    @cached_property
+    def rated(self) -> DataFrame:
+        return self._rated(self.scored, "risk")
+
     @cached_property
     def risk(self) -> DataFrame:
-        return pin(rk.risk_frame(self.scored, self.report, self.cfg), "risk")
+        return self._explainable(self.rated)
+
+    def _explainable(self, rated: DataFrame) -> DataFrame:
+        """With the explanation by rules and models, and what contributions are computed from."""
+        return feat.scale(rk.add_explanation(rated, self.cfg), self.scaler)
 
     # risk with the forest alone in the place of the ensemble
     @cached_property
     def forest_scored(self) -> DataFrame:
         """Features with the forest's score as ensemble_score."""
         scored = isolation.add_score(self.scaled, self.forest)
-        return pin(scored.withColumn("ensemble_score", F.col("iso_score")), "scored-forest")
+        return pin(scored.withColumn("ensemble_score", F.col("iso_score")).drop("scaled"), "scored-forest")
 
     @cached_property
     def forest_risk(self) -> DataFrame:
-        return pin(rk.risk_frame(self.forest_scored, self.report, self.cfg), "risk-forest")
+        return self._explainable(self._rated(self.forest_scored, "risk-forest"))
 
     @cached_property
     def forest_cases(self) -> DataFrame:
@@ -154,8 +169,9 @@ class Audit:
     @cached_property
     def explained_top(self) -> DataFrame:
         """The five highest cases, whatever their tier."""
-        cases = explain.add_contributions(explain.top_cases(self.risk, 5), self.forest)
-        return pin(explain.add_sentence(cases), "top")
+        # stored first: below a Python function a limit would sort all cases
+        cases = self._explainable(pin(explain.top_cases(self.rated, 5), "top-rated"))
+        return pin(explain.add_sentence(explain.add_contributions(cases, self.forest)), "top")
 
 
 _audits: dict[tuple[str, str], Audit] = {}
