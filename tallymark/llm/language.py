@@ -17,16 +17,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.functions.quantiles import exact_quantiles
+from tallymark.functions.quantiles import column_quantiles
 from tallymark.llm.common import buffers, positional, prepare, slices, stored, table
 
 CODE_BITS = 6
 ORDER = 4
 #: Rejection levels are set on all distinct labelled texts; the entropies of up to so many go to the driver, more stay with the tasks.
 CALIBRATION_TEXTS = 4000
+#: Languages whose levels one aggregate sets.
+LEVELS_AT_ONCE = 16
 #: Rejected above so many times the distance of the 99.9th percentile.
 REJECT_FACTOR = 2.0
 #: Nats a character of random letters; texts nearer to the language than to these stay, however few texts set the level.
@@ -179,17 +182,25 @@ def _count_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def learn(labelled: DataFrame) -> Model | None:
     """Models from rows of (lang, text); counts cover every row. None without any."""
-    spark = labelled.sparkSession
     counts = labelled.mapInArrow(_count_keys, "lang string, key int, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
-    found = counts.toPandas()
-    if not len(found):
+    model = _estimated(counts)  # what it takes is let go before the levels are set
+    if model is not None:
+        _calibrate(labelled.sparkSession, labelled, model)
+    return model
+
+
+def _estimated(counts: DataFrame) -> Model | None:
+    """Models from (lang, key, n), which come to the driver as columns, not as a row object each."""
+    found = counts.toArrow()
+    if not found.num_rows:
         return None
-    languages = sorted(found["lang"].unique())
+    label, key, n = found["lang"], found["key"].to_numpy().astype(np.int64), found["n"].to_numpy()
+    languages = sorted(pc.unique(label).to_pylist())
     parts = {}
     for name in languages:
-        own = found[found["lang"] == name].sort_values("key")
-        keys = own["key"].to_numpy(np.int64)
-        parts[name] = (keys, *kneser_ney(keys, own["n"].to_numpy()))
+        own = np.flatnonzero(pc.equal(label, name).to_numpy())
+        own = own[np.argsort(key[own])]
+        parts[name] = (key[own], *kneser_ney(key[own], n[own]))
     union = np.unique(np.concatenate([p[0] for p in parts.values()]))
     logs = np.empty((len(union), len(languages)), np.float32)
     for j, name in enumerate(languages):
@@ -197,15 +208,13 @@ def learn(labelled: DataFrame) -> Model | None:
         values = weight[union >> CODE_BITS] * lower[union & _mask(ORDER - 1)]
         values[np.searchsorted(union, keys)] = p
         logs[:, j] = np.log(values)
-    model = Model(
+    return Model(
         languages,
         union.astype(np.uint32),
         logs,
         np.log(np.stack([parts[n][2] for n in languages], axis=1)).astype(np.float32),
         np.log(np.stack([parts[n][3] for n in languages], axis=1)).astype(np.float32),
     )
-    _calibrate(spark, labelled, model)
-    return model
 
 
 def _calibrate(spark: SparkSession, labelled: DataFrame, model: Model) -> None:
@@ -229,26 +238,34 @@ def _calibrate(spark: SparkSession, labelled: DataFrame, model: Model) -> None:
     digested = labelled.select("lang", "text", F.md5(F.col("text").cast("binary")).alias("digest"))
     found = digested.mapInArrow(score, "lang string, digest string, e double, n long").filter("n > 0")
     scored = stored(found.dropDuplicates(["lang", "digest"]).select("lang", "e", "n"), "levels")
-    model.limits.update(_levels(scored))
+    model.limits.update(_levels(scored, model.languages))
 
 
-def _levels(scored: DataFrame) -> dict[str, tuple[float, float, float]]:
-    """`Model.limits` from (lang, e, n) rows, over all of them."""
-    held = scored.limit(CALIBRATION_TEXTS + 1).toPandas()
+def _levels(scored: DataFrame, languages: list[str]) -> dict[str, tuple[float, float, float]]:
+    """`Model.limits` from (lang, e, n) rows of `languages`, over all of them."""
+    held = scored.limit(CALIBRATION_TEXTS + 1).collect()
+    out = {}
     if len(held) <= CALIBRATION_TEXTS:
-        out = {}
-        for name, own in held.groupby("lang"):
-            usual = float(np.median(own["e"]))
-            above = np.maximum(own["e"] - usual, 0)
-            out[name] = (usual, float(np.quantile(above, 0.999)), float(np.quantile(above * np.sqrt(own["n"]), 0.999)))
+        for name in languages:
+            own = np.array([(r["e"], r["n"]) for r in held if r["lang"] == name], float)
+            if len(own):
+                usual = float(np.median(own[:, 0]))
+                above = np.maximum(own[:, 0] - usual, 0)
+                out[name] = (usual, float(np.quantile(above, 0.999)), float(np.quantile(above * np.sqrt(own[:, 1]), 0.999)))
         return out
-    usual = {r["lang"]: r["usual"] for r in exact_quantiles(scored, "e", {"usual": 0.5}, ("lang",)).collect()}  # a row per language
-    middle = F.create_map(*[F.lit(x) for pair in usual.items() for x in pair])[F.col("lang")]
-    above = F.greatest(F.col("e") - middle, F.lit(0.0))
-    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), v.alias("v")) for i, v in enumerate((above, above * F.sqrt("n")))])
-    far = exact_quantiles(scored.select("lang", F.inline(kinds)), "v", {"far": 0.999}, ("lang", "kind")).collect()
-    reach = {(r["lang"], r["kind"]): r["far"] for r in far}
-    return {name: (usual[name], reach[name, 0], reach[name, 1]) for name in usual}
+    del held
+    # languages as columns of a few aggregates: no shuffle of the texts' rows
+    for at in range(0, len(languages), LEVELS_AT_ONCE):
+        some = languages[at : at + LEVELS_AT_ONCE]
+        middle = column_quantiles(scored, {x: (F.when(F.col("lang") == F.lit(x), F.col("e")), {"usual": 0.5}) for x in some})
+        wanted = {}
+        for name in some:
+            if middle[name]["n"]:
+                above = F.when(F.col("lang") == F.lit(name), F.greatest(F.col("e") - F.lit(middle[name]["usual"]), F.lit(0.0)))
+                wanted |= {(name, 0): (above, {"far": 0.999}), (name, 1): (above * F.sqrt("n"), {"far": 0.999})}
+        reach = column_quantiles(scored, wanted)
+        out |= {x: (middle[x]["usual"], reach[x, 0]["far"], reach[x, 1]["far"]) for x, kind in wanted if not kind}
+    return out
 
 
 def identify(
