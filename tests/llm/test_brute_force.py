@@ -192,6 +192,24 @@ def test_op3_levels_come_from_all_distinct_texts(spark, monkeypatch):
             assert np.allclose(model.limits[lang], want, rtol=1e-12)
 
 
+def test_op3_learns_without_rows_on_the_driver(spark, monkeypatch):
+    """Counts come as columns, and levels of many texts need no global order of them."""
+    from tallymark.functions import quantiles
+
+    def refused(*_, **__):
+        raise AssertionError("not needed here")
+
+    monkeypatch.setattr(type(spark.range(0)), "toPandas", refused)
+    monkeypatch.setattr(quantiles, "running_totals", refused)
+    monkeypatch.setattr(language, "CALIBRATION_TEXTS", 20)
+    monkeypatch.setattr(language, "LEVELS_AT_ONCE", 2)
+    rng = random.Random(8)
+    rows = [(name, " ".join(rng.choices(["lorem", "ipsum", "dolor", "amet"], k=12))) for name in ("a", "b", "c's") for _ in range(40)]
+    model = language.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.languages == ["a", "b", "c's"] and set(model.limits) == {"a", "b", "c's"}
+    assert language.learn(spark.createDataFrame([], "lang string, text string")) is None
+
+
 def test_op4_reads_articles(spark, sf_dir):
     import html
 
@@ -517,6 +535,19 @@ def test_op10_longest_matches_and_places(spark):
     assert sorted(tuple(m) for m in got) == [("tiny", 0, 49, 2), ("x", 0, 3, 30), ("x", 3, 34, 15)]
 
 
+def test_components_of_stars_take_no_round(spark, monkeypatch):
+    from tallymark.llm import common
+
+    written, whole = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, label: written.append(label) or whole(df, label))
+    for links, rounds in (([(1, 5), (7, 1), (1, 5), (5, 1), (3, 3), (8, 9)], 0), ([(1, 5), (5, 9)], 1), ([], 0)):
+        written.clear()
+        got = sorted(tuple(r) for r in common.components(spark.createDataFrame(links, "a long, b long")).collect())
+        ids = sorted({x for pair in links if pair[0] != pair[1] for x in pair})
+        assert got == [(x, 8 if x in (8, 9) and rounds == 0 else 1) for x in ids]
+        assert written == ["links"] * (1 + rounds)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     rng = random.Random(0)
     links = [(i, i + 1) for i in range(100, 160)] + [(200, i) for i in range(201, 280)]
